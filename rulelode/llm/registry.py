@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulelode.llm import quality
+from rulelode.llm import packing, quality, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_quality_rules": quality.op6_quality_rules}
+    return {"op3_secret_scans": secrets.op3_secret_scans, "op6_quality_rules": quality.op6_quality_rules, "op10_packing": packing.op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:

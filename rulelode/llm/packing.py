@@ -262,6 +262,7 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             offset += c * x
         sequence += times
     arrays = {x: np.array(v, np.int64) for x, v in slots.items()}
+    names = pieces.columns
     before = counts.select("length", "_b", (F.sum("n").over(Window.partitionBy("length").orderBy("_b")) - F.col("n")).alias("_before"))
     ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32")) - 1).join(before, ["length", "_b"])
     ranked = ranked.select(*pieces.columns, (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
@@ -276,7 +277,7 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             step = at[own] - t[k, 0]
             seq[own] = t[k, 2] + step // t[k, 1]
             off[own] = t[k, 3] + step % t[k, 1] * x
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in pieces.columns), pa.array(seq), pa.array(off)], [*pieces.columns, "sequence_id", "offset"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(seq), pa.array(off)], [*names, "sequence_id", "offset"])
 
     return ut.map_batches(ranked, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long")
 

@@ -26,6 +26,8 @@ from rulelode.llm import _util as ut
 
 TOP = 300
 PER_LANGUAGE = 1500
+#: Rows of the sample in all.
+SAMPLE_ROWS = 8000
 #: A limit on the languages learned, the most frequent ones; it bounds the sample as a whole.
 LANGUAGES = 400
 UNKNOWN = "und"
@@ -146,6 +148,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP) -> Pr
     counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return build([], [])
+    per_language = max(1, min(per_language, SAMPLE_ROWS // len(counts)))
     # A hash bound per language leaves about twice the rows wanted before any shuffle, however frequent it is.
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * per_language / n))]), F.col("lang"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulelode.llm import langid, mixing, packing, quality, secrets
+from rulelode.llm import langid, licenses, mixing, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_secret_scans": secrets.op3_secret_scans, "op6_quality_rules": quality.op6_quality_rules, "op8_mixing": mixing.op8_mixing, "op9_language_id": langid.op9_language_id, "op10_packing": packing.op10_packing}
+    return {"op3_secret_scans": secrets.op3_secret_scans, "op5_license_scans": licenses.op5_license_scans, "op6_quality_rules": quality.op6_quality_rules, "op7_toxicity": toxicity.op7_toxicity, "op8_mixing": mixing.op8_mixing, "op9_language_id": langid.op9_language_id, "op10_packing": packing.op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:

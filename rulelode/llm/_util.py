@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir; a private one is set only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -31,7 +34,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # With the table written, no later step reads this query's shuffle files: they need not wait for a collection.
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,40 +66,28 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
-def key_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int, size: int) -> Iterator[tuple[pa.Table, bool]]:
-    """Cut a stream sorted by key into tables of whole groups; (table, True) is a further piece of a group over the bounds.
-
-    A piece holds at most about `rows` rows or `size` bytes. Only a group which alone is over a bound is cut.
-    """
+def key_groups(batches: Iterator[pa.RecordBatch], key: str, size: int) -> Iterator[pa.Table]:
+    """Cut a stream sorted by key into tables of whole groups of about `size` bytes; a larger group comes alone."""
     held: list[pa.RecordBatch] = []
-    n = total = 0
-    open_key = None
-    split = False
+    total = 0
     for batch in batches:
+        keys = batch.column(key).to_numpy()
+        starts = np.flatnonzero(np.concatenate([[not held or held[-1].column(key)[-1].as_py() != keys[0]], keys[1:] != keys[:-1]])) if len(keys) else []
         at = 0
-        while at < batch.num_rows:
-            step = batch.slice(at, max(1, min(batch.num_rows - at, rows)))
-            at += step.num_rows
-            held.append(step)
-            n += step.num_rows
-            total += step.nbytes
-            if n < rows and total < size:
-                continue
-            whole = pa.Table.from_batches(held)
-            keys = whole.column(key).to_numpy()
-            last = keys[-1]
-            cut = int(np.flatnonzero(keys != last)[-1]) + 1 if (keys != last).any() else 0
-            if cut:
-                yield whole.slice(0, cut), split and keys[0] == open_key and (keys[:cut] == open_key).all()
-                split = False
-                rest = whole.slice(cut)
-            else:
-                yield whole, split and last == open_key
-                split, open_key, rest = True, last, whole.slice(0, 0)
-            held = rest.combine_chunks().to_batches()
-            n, total = rest.num_rows, sum(b.nbytes for b in held)
-    if n:
-        yield pa.Table.from_batches(held), split and held[0].column(key)[0].as_py() == open_key
+        for s in starts:
+            piece = batch.slice(at, s - at)
+            if piece.num_rows:
+                held.append(piece)
+                total += piece.nbytes
+            at = int(s)
+            if total >= size:
+                yield pa.Table.from_batches(held)
+                held, total = [], 0
+        if at < batch.num_rows:
+            held.append(batch.slice(at))
+            total += held[-1].nbytes
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulelode.llm import langid, licenses, mixing, neardup, packing, quality, secrets, toxicity
+from rulelode.llm import langid, licenses, mixing, neardup, packing, quality, repeats, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_near_dedup": neardup.op2_near_dedup, "op3_secret_scans": secrets.op3_secret_scans, "op5_license_scans": licenses.op5_license_scans, "op6_quality_rules": quality.op6_quality_rules, "op7_toxicity": toxicity.op7_toxicity, "op8_mixing": mixing.op8_mixing, "op9_language_id": langid.op9_language_id, "op10_packing": packing.op10_packing}
+    return {"op1_suffix_dedup": repeats.op1_suffix_dedup, "op2_near_dedup": neardup.op2_near_dedup, "op3_secret_scans": secrets.op3_secret_scans, "op5_license_scans": licenses.op5_license_scans, "op6_quality_rules": quality.op6_quality_rules, "op7_toxicity": toxicity.op7_toxicity, "op8_mixing": mixing.op8_mixing, "op9_language_id": langid.op9_language_id, "op10_packing": packing.op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:

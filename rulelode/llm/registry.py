@@ -6,11 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from rulelode.llm import embeddup, langid, licenses, mixing, neardup, packing, quality, repeats, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffix_dedup": repeats.op1_suffix_dedup, "op2_near_dedup": neardup.op2_near_dedup, "op4_embedding_dedup": embeddup.op4_embedding_dedup, "op3_secret_scans": secrets.op3_secret_scans, "op5_license_scans": licenses.op5_license_scans, "op6_quality_rules": quality.op6_quality_rules, "op7_toxicity": toxicity.op7_toxicity, "op8_mixing": mixing.op8_mixing, "op9_language_id": langid.op9_language_id, "op10_packing": packing.op10_packing}
+    return {
+        "op1_suffix_dedup": repeats.op1_suffix_dedup,
+        "op2_near_dedup": neardup.op2_near_dedup,
+        "op3_secret_scans": secrets.op3_secret_scans,
+        "op4_embedding_dedup": embeddup.op4_embedding_dedup,
+        "op5_license_scans": licenses.op5_license_scans,
+        "op6_quality_rules": quality.op6_quality_rules,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op8_mixing": mixing.op8_mixing,
+        "op9_language_id": langid.op9_language_id,
+        "op10_packing": packing.op10_packing,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,19 +1,429 @@
-"""The registered queries and their SQL."""
+"""The registered queries over the driver's tables, and their SQL.
+
+Adapters give the tables the shape of the domain: turns of conversations are review comments, events are evidence
+for rules, documents are placed rules, page addresses are files, benchmark rows are manual overrides.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rulelode.functions import scalar
+from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, organize, placement, provenance, render, vectors
+from rulelode.plans import pipeline
+
+NEAR = 0.35
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Adapters
+
+
+def turns(spark: SparkSession, sf_dir: str, bot: str = "assistant") -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    ident = (F.col("conv_id") * 1000 + F.col("turn")).cast("long")
+    user = F.struct(F.col("role").alias("login"), F.when(F.col("role") == bot, F.lit("Bot")).otherwise(F.lit("User")).alias("type"))
+    return c.select(ident.alias("id"), F.col("conv_id").alias("pr_number"), F.when(F.col("turn") > 0, ident - 1).alias("in_reply_to_id"), user.alias("user"), F.col("text").alias("body"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("diff_hunk"), ident.alias("ord"))
+
+
+TURNS = "c as (select conv_id * 1000 + turn as id, conv_id as pr_number, case when turn > 0 then conv_id * 1000 + turn - 1 end as up, role as login, text as body from conversations)"
+
+
+def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as extractions: labels of quality 1 are actionable, sentences are potential rules."""
+    d, m = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    s = F.split("text", r"\. ")
+    rules = F.transform(s, lambda x, i: F.struct(F.trim(x).alias("generalization"), F.lit("").alias("motivation"), F.col("lang").alias("scope"), i.alias("source_change_index")))
+    rows = d.join(m, "doc_id", "left")
+    reason = F.when(F.col("quality").isNull(), F.lit(None)).when(F.col("toxic") == 1, F.lit("pr_workflow")).otherwise(F.lit("unclear"))
+    return rows.select(F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("ord"), F.lit(1).cast("long").alias("pr_number"), F.col("source").alias("author"), (F.coalesce("quality", F.lit(0)) == 1).alias("is_actionable"), reason.alias("rejection_reason"), F.slice(s, 1, 2).alias("changes"), rules.alias("potential_rules"), F.struct("text").alias("source"))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per user and day of events: distinct event types are the changes behind it."""
+    e = table(spark, sf_dir, "events").where("user_id is not null and ts is not null")
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    return e.groupBy("user_id", day.alias("day")).agg(
+        F.max(F.least(F.lit(1.0), F.col("value") / 500)).alias("confidence"), F.array_sort(F.collect_set(F.length("event_type").cast("long"))).alias("source_prs"), F.array_sort(F.collect_list("event_id")).alias("source_comments"),
+    ).select((F.col("user_id") * 100000 + F.col("day")).alias("rule_id"), F.col("user_id").alias("group_id"), "day", "confidence", "source_prs", "source_comments")
+
+
+SCORED = """s as (select user_id * 100000 + date_diff('day', date '1970-01-01', cast(ts as date)) as rule_id, user_id as group_id, date_diff('day', date '1970-01-01', cast(ts as date)) as day,
+ max(least(1.0, value / 500)) as confidence, list_sort(list(distinct length(event_type))) as source_prs, list_sort(list(event_id)) as source_comments from events where user_id is not null and ts is not null group by all),
+ f as (select *, least(1.0, confidence * case len(source_prs) when 1 then 0.6e0 when 2 then 0.85e0 when 3 then 0.95e0 else 1e0 end) as rule_score from s)"""
+
+
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    r = scored(spark, sf_dir).withColumn("unique_pr_count", F.size("source_prs")).withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    return r.withColumns({
+        "cluster_id": F.col("group_id"), "text": F.concat(F.lit("rule "), F.col("rule_id").cast("string")), "reason": F.lit(""), "category": F.concat(F.lit("c"), (F.col("day") % 3).cast("string")), "scope": F.lit("global"), "example_bad": F.when(F.col("day") % 2 == 0, F.concat(F.lit("bad "), F.col("rule_id").cast("string"))), "example_good": none,
+        "related_entities": F.array(F.concat(F.lit("e"), (F.col("day") % 4).cast("string"))), "cluster_coherence": F.col("confidence"), "common_pattern": F.concat(F.lit("p"), F.col("day").cast("string")), "ord": F.col("rule_id"), "is_override": F.lit(False), "explicit_category": F.lit(False), "explicit_scope": F.lit(False),
+    }).drop("day")
+
+
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    place = F.when(F.col("lang") == "en", F.col("source")).otherwise(F.concat("source", F.lit("/"), "lang"))
+    k = F.col("doc_id")
+    kind = F.when(k % 11 == 0, "agents_md_root").when(k % 13 == 0, "file").when(k % 17 == 0, "cross_file").otherwise("agents_md_dir")
+    p = F.struct(kind.alias("placement_type"), F.when(kind == "agents_md_dir", place).alias("directory"), F.when(kind == "file", F.concat(place, F.lit("/f"), (k % 5).cast("string"), F.lit(".py"))).alias("file_path"))
+    return d.select(k.alias("rule_id"), "lang", F.col("text").alias("rule_text"), F.least(F.lit(1.0), F.col("n_chars") / 5000).alias("rule_score"), p.alias("placement"), k.alias("ord"), "source")
+
+
+PLACED = """p as (select doc_id as rule_id, lang, text as rule_text, least(1.0, n_chars / 5000) as rule_score, case when lang = 'en' then source else source || '/' || lang end as place, doc_id, source,
+ case when doc_id % 11 = 0 then 'agents_md_root' when doc_id % 13 = 0 then 'file' when doc_id % 17 = 0 then 'cross_file' else 'agents_md_dir' end as kind from documents),
+ l as (select *, case when kind in ('agents_md_root', 'cross_file') then 'root' when kind = 'agents_md_dir' then coalesce(place, 'unknown') else 'file:' || coalesce(place || '/f' || cast(doc_id % 5 as varchar) || '.py', 'unknown') end as location from p)"""
+
+ROLLED = PLACED + """, z as (select location, count(*) as n from l group by location),
+ small as (select location from z where location not like 'file:%' and location <> 'root' and n <= 3),
+ up as (select s.location, z.location as target, row_number() over (partition by s.location order by length(z.location) desc) as n from small s join z on starts_with(s.location, z.location || '/') where z.location not in (select location from small)),
+ tgt as (select s.location, coalesce(up.target, 'root') as target from small s left join up on up.location = s.location and up.n = 1),
+ both_ as (select l.location, rule_id, 0 as moved, '' as origin, lang, rule_score from l where location not in (select location from small) union all select t.target, rule_id, 1, l.location, lang, rule_score from l join tgt t on t.location = l.location),
+ o as (select * from (select *, row_number() over (partition by location, rule_id order by moved, origin, rule_id) as n from both_) where n = 1)"""
+
+
+def organized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return organize.rolled_up(organize.organized(organize.located(placed(spark, sf_dir))))
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = placed(spark, sf_dir)
+    return p.select("rule_id", scalar.truncated(F.regexp_replace("rule_text", "\n", " "), 60).alias("rule_text"), F.col("source").alias("rationale"))
+
+
+# Queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    """Reply threads of people's comments, with the text a model would see of them."""
+    kept = comments.filter_bots(turns(spark, sf_dir, bot="system"))
+    return comments.with_context(kept).select(F.col("id").alias("comment_id"), "pr_number", "context")
+
+
+def bot_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.filter_bots(turns(spark, sf_dir)).select("id", "pr_number", F.col("user.login").alias("login"))
+
+
+def author_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.filter_authors(turns(spark, sf_dir), "user").select("id", "pr_number")
+
+
+def pr_in_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.filter_prs(turns(spark, sf_dir), "3,5,8").select("id", "pr_number", "body")
+
+
+def thread_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = comments.thread_chains(comments.filter_bots(turns(spark, sf_dir, bot="system")))
+    return found.select(F.col("id").alias("comment_id"), F.size("chain").cast("long").alias("depth"), F.array_join("chain", ",").alias("chain"))
+
+
+def comment_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = comments.with_context(comments.filter_bots(turns(spark, sf_dir)))
+    return rows.select("id", scalar.comment_prompt(F.col("body"), F.col("path"), F.col("diff_hunk"), F.col("context")).alias("prompt"))
+
+
+def sample_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    return comments.sample_seeded(d, F.col("doc_id"), 50)
+
+
+def generalization_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.generalizations(extractions(spark, sf_dir)).select("comment_id", "pos", "generalization", "scope")
+
+
+def extraction_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extraction_stats(extractions(spark, sf_dir))
+
+
+def rules_per_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.rules_per_comment(extractions(spark, sf_dir))
+
+
+def rejection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.rejections(extractions(spark, sf_dir))
+
+
+def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.unprocessed(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+def limit_after_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.limited(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id", 25)
+
+
+def limit_before_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comments.limited(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id", 25, before_resume=True)
+
+
+def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules(spark, sf_dir).select("rule_id", F.round("confidence", 9).alias("confidence"), "unique_pr_count", F.round("rule_score", 9).alias("rule_score"))
+
+
+def pr_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "events").select(F.col("user_id").alias("cluster_id"), F.col("event_id").alias("comment_id"), F.length("event_type").alias("pr_number"))
+    s = consolidate.cluster_summary(items)
+    return s.select("cluster_id", "num_generalizations", F.size("comment_ids").alias("n_comments"), F.array_join("pr_numbers", ",").alias("pr_numbers"), "unique_pr_count")
+
+
+def rule_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = turns(spark, sf_dir)
+    clusters = c.groupBy(F.col("pr_number").alias("cluster_id")).agg(F.collect_list(F.struct(F.col("id").alias("comment_id"), (F.col("id") % 4).alias("pr_number"))).alias("members"))
+    named = c.groupBy(F.col("pr_number").alias("cluster_id")).agg(F.collect_list(F.when(F.col("user.login") == "system", F.col("id"))).alias("source_comment_ids")).withColumn("confidence", F.lit(0.9))
+    return consolidate.attributed(named, clusters).select("cluster_id", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"), F.round("rule_score", 9).alias("rule_score"))
+
+
+def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.cosine_pairs(table(spark, sf_dir, "embeddings"), NEAR).select("i", "j", F.round("similarity", 6).alias("similarity"))
+
+
+def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.similar_components(table(spark, sf_dir, "embeddings"), NEAR)
+
+
+def avg_linkage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.average_linkage_clusters(table(spark, sf_dir, "embeddings"), NEAR)
+
+
+def unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    pairs = vectors.cosine_pairs(e, NEAR)
+    return vectors.unclustered(e.select("vec_id"), pairs.select(F.explode(F.array("i", "j")).alias("vec_id")), "vec_id")
+
+
+def _outputs(r: DataFrame) -> DataFrame:
+    return r.groupBy("group_id").agg(F.lit(0).alias("out"), F.lit("merged").alias("text"), F.lit("").alias("reason"), F.lit(0.9).alias("confidence"), F.lit("c").alias("category"), F.lit("global").alias("scope"), F.array_sort(F.collect_list("rule_id")).alias("source_rule_ids"))
+
+
+def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rules(spark, sf_dir)
+    m = consolidate.merged(_outputs(r), r)
+    return m.select("group_id", "rule_id", "cluster_id", "common_pattern", "example_bad", "unique_pr_count", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"), F.array_join("related_entities", ",").alias("related_entities"), F.round("rule_score", 9).alias("rule_score"), F.round("cluster_coherence", 9).alias("cluster_coherence"), F.size("merged_from").alias("n_merged"))
+
+
+def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rules(spark, sf_dir)
+    o = r.select("group_id").distinct().where("group_id % 3 = 0").withColumns({
+        "rule_id": -F.col("group_id") - 1, "cluster_id": F.lit(-1).cast("long"), "text": F.lit("override"), "reason": F.lit(""), "confidence": F.lit(0.95), "rule_score": F.lit(0.95), "category": F.lit("manual"), "scope": F.lit("manual"), "explicit_category": F.col("group_id") % 2 == 0, "explicit_scope": F.lit(False), "unique_pr_count": F.lit(5),
+        "related_entities": F.array().cast("array<string>"), "source_comments": F.array().cast("array<bigint>"), "source_prs": F.array().cast("array<bigint>"), "is_override": F.lit(True), "ord": -F.col("group_id") - 1, "example_bad": F.lit(None).cast("string"), "example_good": F.lit(None).cast("string"), "cluster_coherence": F.lit(1.0), "common_pattern": F.lit(""),
+    })
+    m = consolidate.overridden(r.unionByName(o))
+    return m.select("group_id", "rule_id", "cluster_id", "text", "category", "scope", "example_bad", "unique_pr_count", F.array_join("source_prs", ",").alias("source_prs"), F.round("rule_score", 9).alias("rule_score"), F.size("merged_from").alias("n_merged"))
+
+
+def id_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").withColumn("key", F.md5("text"))
+    return consolidate.first_of_id(d, "key", order="doc_id").select("doc_id", "key")
+
+
+def group_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rule_id"), "text")
+    same = d.groupBy("text").agg(F.collect_list("rule_id").alias("rule_ids")).select("rule_ids")
+    next_ = d.where("rule_id % 7 < 2").select(F.array("rule_id", F.col("rule_id") + 1, F.col("rule_id") + 100_000_000).alias("rule_ids"))
+    groups = same.unionByName(next_).withColumn("group_id", F.xxhash64("rule_ids"))
+    return graph.group_closure(groups, d)
+
+
+def evidence_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages")
+    path = F.regexp_replace(F.regexp_replace("url", r"^[a-z]+://[^/]*/?", ""), r"[?#].*$", "")
+    x = p.select(F.col("page_id").alias("comment_id"), F.col("page_id").alias("ord"), F.struct(path.alias("path")).alias("source"), F.array(F.struct(F.concat(path, F.lit("/x")).alias("file_path"))).alias("changes"), F.array(F.struct(F.when(F.col("page_id") % 2 == 0, F.lit("global")).otherwise(path).alias("scope"))).alias("potential_rules"))
+    r = p.groupBy((F.col("page_id") % 20).alias("rule_id")).agg(F.array_sort(F.collect_list("page_id")).alias("source_comments"))
+    e = placement.evidence(r, x)
+    counts = F.array_join(F.transform(F.map_entries("dir_counts"), lambda d: F.concat_ws("=", d["key"], d["value"])), ",")
+    return e.select("rule_id", "num_source_comments", F.size("source_files").alias("n_files"), F.element_at("source_files", 1).alias("first_file"), F.size("related_files").alias("n_related"), counts.alias("dirs"))
+
+
+def min_score_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.at_least(placed(spark, sf_dir), 0.5).select("rule_id", "rule_score")
+
+
+def top_k_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.top_rules(placement.at_least(placed(spark, sf_dir), 0.1), 100).select("rule_id", "rule_score", "cutoff")
+
+
+def threshold_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.threshold_preview(placed(spark, sf_dir)).select("threshold", "n_rules", F.array_join("marginal", ",").alias("marginal"))
+
+
+def _replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed(spark, sf_dir).withColumn("rule_id", F.col("rule_id") % 400)
+
+
+def best_placement_per_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.best_placement(_replaced(spark, sf_dir)).select("rule_id", "rule_score", "source", F.col("ord").alias("first_ord"))
+
+
+def last_placement_per_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.last_placement(_replaced(spark, sf_dir)).select("rule_id", "rule_score", "ord")
+
+
+def placement_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.type_counts(placed(spark, sf_dir))
+
+
+def location_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return organize.located(placed(spark, sf_dir)).select("location", "rule_id")
+
+
+def topic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = placed(spark, sf_dir)
+    at = organize.located(p)
+    topics = at.join(p.select("rule_id", "source"), "rule_id").select("location", F.concat(F.lit("t"), (F.col("rule_id") % 2).cast("string")).alias("topic_id"), "rule_id")
+    return organize.organized(at, topics).select("location", "rule_id", "topic_id")
+
+
+def location_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return organized(spark, sf_dir).select("location", "rule_id", F.col("place.moved").alias("moved"))
+
+
+def location_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return organize.location_totals(organized(spark, sf_dir)).select("location", "n_inline")
+
+
+def category_render_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = organized(spark, sf_dir).where(~F.col("location").startswith("file:")).join(placed(spark, sf_dir).select("rule_id", F.col("lang").alias("category"), F.col("rule_score").alias("score")), "rule_id")
+    return render.category_order(rows).select("location", "rule_id", "heading", "section", "line")
+
+
+def doc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = placed(spark, sf_dir)
+    return render.documents(organized(spark, sf_dir), p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"))
+
+
+def rule_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = placed(spark, sf_dir)
+    return provenance.search(p.select("rule_id", F.col("rule_text").alias("text"), "ord"), "THE").select("rule_id")
+
+
+def provenance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, c = placed(spark, sf_dir), turns(spark, sf_dir)
+    r = p.join(c.groupBy(F.col("pr_number").alias("rule_id")).agg(F.array_sort(F.collect_list("id")).alias("source_comments")), "rule_id", "left").select("rule_id", F.lit("").alias("text"), F.col("lang").alias("category"), "rule_score", "source_comments")
+    x = provenance.provenance(r, p, organized(spark, sf_dir), c, chars=40)
+    return x.select("rule_id", "n", "comment_id", "author", "placement_type", "location", "body")
+
+
+def location_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provenance.by_location(organized(spark, sf_dir)).select("location", F.array_join("rule_ids", ",").alias("rule_ids"))
+
+
+def _stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(i, s, t, h) for i, (s, t, h) in enumerate(zip(ledger.STAGES, ("documents", "labels", "conversations", "pages", "benchmark", "nation", "region"), ("a", "b", None, "x", "b", "a", "a"), strict=True))]
+    names = spark.createDataFrame(rows, "ord int, stage string, t string, stored_hash string")
+    counts = None
+    for _, s, t, _ in rows:
+        c = table(spark, sf_dir, t).agg(F.lit(s).alias("stage"), F.count(F.lit(1)).alias("n_out"))
+        counts = c if counts is None else counts.unionByName(c)
+    docs = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))
+    return names.join(counts, "stage").crossJoin(F.broadcast(docs)).withColumn("n_expected", F.when(F.col("stage") == "extract", F.col("n_docs"))).withColumn("current_hash", F.when(F.col("stage") == "place", F.lit("y")).otherwise(F.coalesce("stored_hash", F.lit("q"))))
+
+
+def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.status(_stages(spark, sf_dir)).select("stage", "n_out", "status")
+
+
+def next_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.next_stage(ledger.status(_stages(spark, sf_dir)))
+
+
+def staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("now"))
+    before = table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("id"), F.sha2("text", 256).alias("then"))
+    return d.join(before, "id", "left").select("id", ledger.is_stale(F.col("then"), F.col("now")).alias("stale"))
+
+
+def total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("stage"), (F.col("o_totalprice") / 1000).cast("decimal(18,6)").alias("cost"), F.ascii("o_orderstatus").alias("ord"))
+    return ledger.with_cost(o).select("stage", F.col("cost").cast("double").alias("cost"), F.col("running").cast("double").alias("running"))
+
+
+def cost_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", (F.round("c_acctbal") / 100000).cast("decimal(18,6)").alias("cost"))
+    return c.select("c_custkey", scalar.cost_text(F.col("cost")).alias("cost_text"))
+
+
+def embedding_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = lambda df: df.withColumn("size", F.length("text"))
+    half = d.where("doc_id % 2 = 0").select(F.sha2("text", 256).alias("key"), F.length("text").alias("size")).distinct()
+    return annotate.cached(d, "text", half, size, "size")[0].select("doc_id", "size")
+
+
+def review_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the turns of conversations, to documents."""
+    return pipeline.run(turns(spark, sf_dir))["generate"]
+
+
+_CHAIN = """with recursive {turns}, k as (select * from c where login <> 'system'),
+ r(id, anc, lvl) as (select id, up, 1 from k where up <> 0 and up in (select id from k) union all select r.id, k.up, r.lvl + 1 from r join k on k.id = r.anc where k.up <> 0 and k.up in (select id from k))"""
+
+SQL: dict[str, str] = {
+    "bot_filter": f"with {TURNS} select id, pr_number, login from c where login <> 'assistant'",
+    "author_filter": f"with {TURNS} select id, pr_number from c where login = 'user'",
+    "pr_in_filter": f"with {TURNS} select id, pr_number, body from c where pr_number in (3, 5, 8)",
+    "thread_chain": _CHAIN.format(turns=TURNS) + " select k.id as comment_id, count(r.anc) as depth, coalesce(string_agg(cast(r.anc as varchar), ',' order by r.lvl desc), '') as chain from k left join r on r.id = k.id group by k.id",
+    "thread_context": _CHAIN.format(turns=TURNS) + ", t as (select r.id, row_number() over (partition by r.id order by r.lvl desc) as n, c.login, c.body from r join c on c.id = r.anc) select k.id as comment_id, any_value(k.pr_number) as pr_number, coalesce(string_agg('[' || cast(n as varchar) || '] @' || t.login || ': ' || t.body, chr(10) order by n), 'No prior thread context.') as context from k left join t on t.id = k.id group by k.id",
+    "comment_prompts": f"with {TURNS}, t as (select id, body from c where login <> 'assistant'), q as (select a.id, a.body, p.login, p.body as pbody from (select * from c where login <> 'assistant') a left join (select * from c where login <> 'assistant') p on p.id = a.up) select id, '## Review comment' || chr(10) || chr(10) || '**File**: `unknown`' || chr(10) || chr(10) || '**Comment**:' || chr(10) || body || chr(10) || chr(10) || '**Diff**:' || chr(10) || '```' || chr(10) || chr(10) || '```' || chr(10) || chr(10) || '**Thread**:' || chr(10) || coalesce(ctx, 'No prior thread context.') || chr(10) as prompt from (select q.id, q.body, x.ctx from q left join (with recursive k as (select * from c where login <> 'assistant'), r(id, anc, lvl) as (select id, up, 1 from k where up <> 0 and up in (select id from k) union all select r.id, k.up, r.lvl + 1 from r join k on k.id = r.anc where k.up <> 0 and k.up in (select id from k)), t2 as (select r.id, row_number() over (partition by r.id order by r.lvl desc) as n, c.login, c.body from r join c on c.id = r.anc) select id, string_agg('[' || cast(n as varchar) || '] @' || login || ': ' || body, chr(10) order by n) as ctx from t2 group by id) x on x.id = q.id)",
+    "sample_seeded": "select doc_id from documents order by md5(cast(doc_id as varchar) || ':42'), doc_id limit 50",
+    "generalization_explode": "select comment_id, pos, generalization, scope from (select d.doc_id as comment_id, unnest(range(len(s))) as pos, trim(unnest(s)) as generalization, lang as scope from (select doc_id, lang, string_split(text, '. ') as s from documents) d join labels l on l.doc_id = d.doc_id where l.quality = 1) where generalization <> ''",
+    "extraction_stats": "select count(*) as total_processed, count(*) filter (where a) as actionable, count(*) filter (where not a) as non_actionable, cast(coalesce(sum(case when a then least(len(s), 2) end), 0) as bigint) as total_changes, cast(coalesce(sum(case when a then len(s) end), 0) as bigint) as total_potential_rules from (select string_split(text, '. ') as s, coalesce(quality, 0) = 1 as a from documents d left join labels l on l.doc_id = d.doc_id)",
+    "rules_per_comment": "select len(string_split(text, '. ')) as n_rules, count(*) as n_comments from documents d join labels l on l.doc_id = d.doc_id where quality = 1 group by 1",
+    "rejection_counts": "select case when quality is null then 'unknown' when toxic = 1 then 'pr_workflow' else 'unclear' end as reason, count(*) as n from documents d left join labels l on l.doc_id = d.doc_id where coalesce(quality, 0) <> 1 group by 1",
+    "checkpoint_resume": "select doc_id, source from documents where doc_id not in (select doc_id from labels)",
+    "limit_after_resume": "select doc_id from documents where doc_id not in (select doc_id from labels) order by doc_id limit 25",
+    "limit_before_resume": "select doc_id from (select doc_id from documents order by doc_id limit 25) where doc_id not in (select doc_id from labels)",
+    "rule_score": f"with {SCORED} select rule_id, round(confidence, 9) as confidence, len(source_prs) as unique_pr_count, round(rule_score, 9) as rule_score from f",
+    "pr_spread": "select user_id as cluster_id, count(*) as num_generalizations, count(distinct event_id) as n_comments, array_to_string(list_sort(list(distinct length(event_type))), ',') as pr_numbers, count(distinct length(event_type)) as unique_pr_count from events group by user_id",
+    "rule_attribution": f"with {TURNS}, g as (select pr_number as cluster_id, list_sort(list(id)) as every, list_sort(list(id) filter (where login = 'system')) as named from c group by 1), u as (select cluster_id, case when coalesce(len(named), 0) > 0 then named else every end as used from g), w as (select cluster_id, used, list_sort(list_distinct(list_transform(used, lambda x: x % 4))) as prs from u) select cluster_id, array_to_string(used, ',') as source_comments, array_to_string(prs, ',') as source_prs, round(least(1.0, 0.9 * case len(prs) when 1 then 0.6 when 2 then 0.85 when 3 then 0.95 else 1.0 end), 9) as rule_score from w",
+    "cosine_pairs": f"select a.vec_id as i, b.vec_id as j, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as similarity from embeddings a join embeddings b on a.vec_id < b.vec_id where list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= {NEAR}",
+    "dup_components": f"with recursive e as (select a.vec_id i, b.vec_id j from embeddings a join embeddings b on a.vec_id <> b.vec_id where list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= {NEAR}), r(n, m) as (select vec_id, vec_id from embeddings union select e.j, r.m from r join e on e.i = r.n where r.m < e.j) select n as vec_id, min(m) as component from r group by n",
+    "unclustered": f"select vec_id from embeddings where vec_id not in (select a.vec_id from embeddings a join embeddings b on a.vec_id <> b.vec_id where list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= {NEAR})",
+    "merge_rules": f"with {SCORED} select group_id, min(rule_id) as rule_id, group_id as cluster_id, first('p' || cast(day as varchar) order by rule_score desc, rule_id) as common_pattern, first('bad ' || cast(rule_id as varchar) order by rule_id) filter (where day % 2 = 0) as example_bad, len(list_distinct(flatten(list(source_prs)))) as unique_pr_count, array_to_string(list_sort(list_distinct(flatten(list(source_comments)))), ',') as source_comments, array_to_string(list_sort(list_distinct(flatten(list(source_prs)))), ',') as source_prs, array_to_string(list_sort(list(distinct 'e' || cast(day % 4 as varchar))), ',') as related_entities, round(least(1.0, 0.9e0 * case len(list_distinct(flatten(list(source_prs)))) when 1 then 0.6e0 when 2 then 0.85e0 when 3 then 0.95e0 else 1e0 end), 9) as rule_score, round(max(confidence), 9) as cluster_coherence, count(*) as n_merged from f group by group_id",
+    "override_merge": f"with {SCORED} select group_id, min(rule_id) as rule_id, group_id as cluster_id, 'override' as text, case when group_id % 2 = 0 then 'manual' else first('c' || cast(day % 3 as varchar) order by rule_score desc, rule_id) end as category, 'global' as scope, first('bad ' || cast(rule_id as varchar) order by rule_id) filter (where day % 2 = 0) as example_bad, greatest(5, len(list_distinct(flatten(list(source_prs))))) as unique_pr_count, array_to_string(list_sort(list_distinct(flatten(list(source_prs)))), ',') as source_prs, 0.95 as rule_score, count(*) + 1 as n_merged from f where group_id % 3 = 0 group by group_id",
+    "id_guard": "select min(doc_id) as doc_id, md5(text) as key from documents group by md5(text)",
+    "group_closure": "with recursive g as (select min(doc_id) over (partition by text) as a, doc_id as b from documents union all select doc_id, doc_id + 1 from documents where doc_id % 7 < 2), v as (select a, b from g where a <> b and a in (select doc_id from documents) and b in (select doc_id from documents)), e as (select a as i, b as j from v union select b, a from v), r(n, m) as (select i, i from e union select e.j, r.m from r join e on e.i = r.n where r.m < e.j) select n as rule_id, min(m) as root from r group by n",
+    "evidence_dirs": r"with q as (select page_id, page_id % 20 as rule_id, regexp_replace(regexp_replace(url, '^[a-z]+://[^/]*/?', ''), '[?#].*$', '') as path from pages), f as (select rule_id, page_id, 0 as k, path as file from q union all select rule_id, page_id, 1, path || '/x' from q), d as (select rule_id, file, min(page_id * 2 + k) as place from f where file <> '' group by 1, 2), c as (select rule_id, split_part(file, '/', 1) as dir, count(*) as n from d group by 1, 2), dd as (select rule_id, string_agg(dir || '=' || cast(n as varchar), ',' order by dir) as dirs from c group by 1) select q.rule_id, count(*) as num_source_comments, any_value(x.n_files) as n_files, any_value(x.first_file) as first_file, count(distinct case when page_id % 2 <> 0 and path <> '' then path end) as n_related, any_value(dd.dirs) as dirs from q join (select rule_id, count(*) as n_files, first(file order by place) as first_file from d group by 1) x on x.rule_id = q.rule_id join dd on dd.rule_id = q.rule_id group by q.rule_id",
+    "min_score_filter": f"with {PLACED} select rule_id, rule_score from p where rule_score >= 0.5",
+    "top_k_rules": f"with {PLACED}, t as (select rule_id, rule_score from p where rule_score >= 0.1 order by rule_score desc, rule_id limit 100) select rule_id, rule_score, min(rule_score) over () as cutoff from t",
+    "threshold_preview": f"with {PLACED}, t as (select unnest([0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0]) as threshold), x as (select threshold, rule_id, rule_score, row_number() over (partition by threshold order by rule_score, rule_id desc) as n from t join p on rule_score >= threshold) select threshold, count(*) as n_rules, string_agg(cast(rule_id as varchar), ',' order by rule_score desc, rule_id) filter (where n <= 3) as marginal from x group by threshold",
+    "best_placement_per_rule": f"with {PLACED} select rule_id, rule_score, source, first_ord from (select doc_id % 400 as rule_id, rule_score, source, min(doc_id) over (partition by doc_id % 400) as first_ord, row_number() over (partition by doc_id % 400 order by rule_score desc, doc_id) as n from p) where n = 1",
+    "last_placement_per_rule": f"with {PLACED} select rule_id, rule_score, ord from (select doc_id % 400 as rule_id, rule_score, doc_id as ord, row_number() over (partition by doc_id % 400 order by doc_id desc) as n from p) where n = 1",
+    "placement_types": f"with {PLACED} select kind as placement_type, count(*) as n from p group by 1",
+    "location_key": f"with {PLACED} select location, rule_id from l",
+    "topic_split": f"with {PLACED}, z as (select location from l group by 1 having count(*) >= 10), t as (select location, rule_id % 2 as t from l where location in (select location from z) group by 1, 2 having count(*) >= 10) select l.location, rule_id, case when t.t is not null then 't' || cast(t.t as varchar) end as topic_id from l left join t on t.location = l.location and t.t = rule_id % 2",
+    "location_rollup": f"with {ROLLED} select location, rule_id, moved from o",
+    "location_totals": f"with {ROLLED} select location, count(*) as n_inline from o where location not like 'file:%' group by 1",
+    "rule_search": "select doc_id as rule_id from documents where contains(lower(text), 'the') order by doc_id limit 20",
+    "location_list": f"with {ROLLED} select location, array_to_string(list_sort(list(distinct rule_id)), ',') as rule_ids from o group by 1",
+    "stage_status": "select stage, n_out, case when n_out = 0 then 'missing' when stage = 'extract' and n_out < (select count(*) from documents) then 'partial' when stage = 'place' and (select count(*) from benchmark) > 0 then 'stale' else 'done' end as status from (select 'download' as stage, count(*) as n_out from documents union all select 'extract', count(*) from labels union all select 'synthesize', count(*) from conversations union all select 'dedupe', count(*) from pages union all select 'place', count(*) from benchmark union all select 'group', count(*) from nation union all select 'generate', count(*) from region)",
+    "next_stage": "select case when (select count(*) from labels) < (select count(*) from documents) then 'extract' else 'place' end as stage",
+    "staleness": "select a.doc_id as id, sha256(b.text) <> sha256(a.text) as stale from documents a left join documents b on b.doc_id + 1 = a.doc_id",
+    "total_cost": "with s as (select o_orderstatus as stage, sum(cast(o_totalprice / 1000 as decimal(18,6))) as cost from orders group by 1) select stage, cast(cost as double) as cost, cast(sum(cost) over (order by stage) as double) as running from s",
+    "embedding_cache": "select doc_id, length(text) as size from documents",
+}
+_ORDER = ROLLED + """, q as (select location, rule_id, moved, origin, coalesce(lang, 'general') as cat, rule_score, count(*) over (partition by location, coalesce(lang, 'general')) as n, sum(cast(rule_score as decimal(38,12))) over (partition by location, coalesce(lang, 'general')) as sig from o where location not like 'file:%'),
+ q2 as (select *, first_value(moved) over w as fm, first_value(origin) over w as fo, first_value(rule_id) over w as fr from q window w as (partition by location, cat order by moved, origin, rule_id rows between unbounded preceding and unbounded following)),
+ q3 as (select *, dense_rank() over (partition by location order by n = 1, case when n > 1 then -sig end nulls first, case when n > 1 then fm end, case when n > 1 then fo end, case when n > 1 then fr end) as section, case when n = 1 then 'General' else upper(cat[1]) || cat[2:] end as heading from q2),
+ q4 as (select *, row_number() over (partition by location, section order by rule_score desc, moved, origin, rule_id) as line from q3)"""
+SQL["category_render_order"] = f"with {_ORDER} select location, rule_id, heading, section, line from q4"
+SQL["provenance_lookup"] = f"with {TURNS}, {ROLLED}, g as (select pr_number as rule_id, id, row_number() over (partition by pr_number order by id) - 1 as n from c), w as (select rule_id, location, row_number() over (partition by rule_id order by location) as k from o) select p.rule_id, g.n, g.id as comment_id, c.login as author, p.kind as placement_type, w.location, substr(c.body, 1, 40) as body from p left join g on g.rule_id = p.rule_id and g.n < 5 left join c on c.id = g.id left join w on w.rule_id = p.rule_id and w.k = 1"
+
+_NAMES = (
+    bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
+    avg_linkage_clusters, unclustered, merge_rules, override_merge, id_guard, group_closure, evidence_dirs, min_score_filter, top_k_rules, threshold_preview, best_placement_per_rule, last_placement_per_rule, placement_types, location_key, topic_split, location_rollup, location_totals, category_render_order, doc_render,
+    rule_search, provenance_lookup, location_list, stage_status, next_stage, staleness, total_cost, cost_texts, embedding_cache, review_pipeline,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"thread_context": flagship} | {f.__name__: f for f in _NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

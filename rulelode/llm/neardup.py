@@ -221,7 +221,8 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = members.withColumn("b", b).withColumn("c", other).select("k1", "rk", "blocks", F.xxhash64("component", F.least("b", "c"), F.greatest("b", "c")).alias("task"))
     dealt = ut.materialize(dealt, "members")
-    full = dealt.join(_keyed(docs).select("rk", "text"), "rk").select("task", "k1", "blocks", "text")
+    # Always by shuffle: the members grow with the corpus, so no size of theirs should change the plan.
+    full = dealt.join(_keyed(docs).select("rk", "text").hint("merge"), "rk").select("task", "k1", "blocks", "text")
     parts = ut.shuffle_parts(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +279,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     found = ut.materialize(components(docs), "components")
     keep = found.where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())).groupBy("rk").count()
     text = F.col("text").cast("string") if "text" in docs.columns else F.lit(None).cast("string")
-    out = docs.withColumn("__rk", F.xxhash64(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk"), "count"), "__rk").drop("count")
+    out = docs.withColumn("__rk", F.xxhash64(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk")).hint("merge"), "__rk")
     if not keep.where("count > 1").isEmpty():
         out = out.dropDuplicates(["__rk"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -17,7 +17,7 @@ collapse copies, however many; a group of more than GROUP classes is dealt into
 is a task. Texts are shuffled once to cut stretches and once to remove what was found.
 
 Defined results: null and empty texts have nothing to remove; matches never cross documents; rows equal in doc_id
-and text are copies of each other; order of copies is by doc_id, then by a hash of the row, then by place; extra
+and text are copies of each other, but share one result, so keep="first" keeps both; order of copies is by doc_id, then by a hash of the row, then by place; extra
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -116,7 +116,10 @@ def previous_factors(rank: np.ndarray, position: np.ndarray) -> tuple[np.ndarray
         previous_smaller = np.concatenate([[False], np.minimum.accumulate(down)[:-1] < down[1:]])
         next_smaller = np.concatenate([np.minimum.accumulate(up[::-1])[::-1][1:] < up[:-1], [False]])
         earlier[order] = previous_smaller | next_smaller
-        other[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        # A place that stands twice, as blocks of one group may meet in one array, is not its own copy.
+        above_before = np.concatenate([[False], np.maximum.accumulate(up)[:-1] > up[1:]])
+        above_after = np.concatenate([np.maximum.accumulate(down[::-1])[::-1][1:] > down[:-1], [False]])
+        other[order] = previous_smaller | next_smaller | above_before | above_after
     return earlier, other
 
 
@@ -178,7 +181,8 @@ def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
             row = np.repeat(np.arange(len(at)), windows)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
             place = np.empty(len(at), np.int64)
-            place[np.lexsort((at >> 16, rk, order))] = np.arange(len(at))
+            by = np.lexsort((at, rk, order))
+            place[by] = np.cumsum(np.concatenate([[False], (at[by][1:] != at[by][:-1]) | (rk[by][1:] != rk[by][:-1])]))
             rank = suffix_ranks(buf, length)[offs[row] + inside]
             if keep == "first":
                 hit, _ = previous_factors(rank, place[row] << 8 | inside)
@@ -197,7 +201,8 @@ def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -> DataFrame:
     """(rk, spans): byte spans to remove of each row that has any, by the row's key; spans may touch and overlap."""
     keyed = _keyed(docs)
-    twice = _anchor_rows(keyed, False, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
+    # Written before it is joined: a join of two plain exchanges can be split where one anchor is very frequent.
+    twice = ut.materialize(_anchor_rows(keyed, False, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent")
     some = ut.materialize(_anchor_rows(keyed, True, keep == "first").join(twice, "h", "left_semi"), "anchors")
     classes = ut.materialize(some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "rk", "at")).alias("first")), "stretches")
     found = _array_spans(_array_input(keyed, classes, length), length, keep)

@@ -7,8 +7,8 @@ has nearly the same likelihood in both. A document is described by the length-no
 log-likelihoods, over all its words and over the few that differ most, and a logistic curve over these, fitted on
 scores of rows that the counted model had not seen, turns them into a score.
 
-The models are fitted on a bounded sample of labelled rows, the `sample_rows` of least hash; whole texts are used
-in fitting and scoring. Word scores are cached per worker, at most CACHE of them.
+The models are fitted on a bounded sample of labelled rows, of each class the half of `sample_rows` of least hash,
+and the curve is fitted with each class weighted as frequent as it is; whole texts are used in fitting and scoring. Word scores are cached per worker, at most CACHE of them.
 
 Defined results: null and empty texts, and texts without a letter, get the score of no evidence, which is below
 0.5; repeated rows get the same score; extra columns are ignored; without labelled rows of both classes every
@@ -30,7 +30,7 @@ from rulelode.llm import _text as tx
 from rulelode.llm import _util as ut
 from rulelode.llm.langid import held_out
 
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 3000
 ORDER = 6
 SHARED = 2
 DISCOUNT = 0.95
@@ -69,22 +69,15 @@ def strands(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return out, pos, word
 
 
-def gram_keys(x: np.ndarray, pos: np.ndarray, order: int) -> list[np.ndarray]:
-    """keys[n][i]: the n bytes that end at i as a number, fewer where the word is younger; keys[0] is 0."""
-    keys = [np.zeros(len(x), np.uint64)]
-    acc = np.zeros(len(x), np.uint64)
-    for n in range(1, order + 1):
+def gram_key(x: np.ndarray, pos: np.ndarray, n: int) -> np.ndarray:
+    """The n bytes that end at each place as a number, fewer where the word is younger; their count stands above."""
+    size = np.minimum(pos + 1, n)
+    key = size.astype(np.uint64) << np.uint64(48)
+    for k in range(n):
         shifted = np.zeros(len(x), np.uint64)
-        if n == 1:
-            shifted = x.astype(np.uint64)
-        else:
-            shifted[n - 1 :] = x[: len(x) - n + 1].astype(np.uint64)
-        acc = np.where(pos >= n - 1, acc | shifted << np.uint64(8 * (n - 1)) | np.uint64(n << 48), acc) if n > 1 else shifted | np.uint64(1 << 48)
-        if n > 1:
-            grew = pos >= n - 1
-            acc = np.where(grew, acc & np.uint64((1 << 48) - 1) | np.uint64(n << 48), acc)
-        keys.append(acc)
-    return keys
+        shifted[k:] = x[: max(len(x) - k, 0)]
+        key |= np.where(k < size, shifted << np.uint64(8 * k), np.uint64(0))
+    return key
 
 
 @dataclass
@@ -116,16 +109,15 @@ class Counts:
         return np.where(seen, (n - d) / total + DISCOUNT * np.minimum(self.kinds[b], total / DISCOUNT) / total * below, below)
 
 
-def _counted(keys: list[np.ndarray], pos: np.ndarray, weight: np.ndarray, n: int, order: int) -> Counts:
+def _counted(x: np.ndarray, pos: np.ndarray, weight: np.ndarray, n: int, order: int) -> Counts:
     """Of order n: weighted at the highest order, kinds of preceding bytes below it. Position 0 is the edge mark."""
     at = np.flatnonzero(pos > 0)
-    context = np.zeros(len(pos), np.uint64)
-    context[1:] = keys[n - 1][:-1]
-    gram, ctx, w = keys[n][at], context[at], weight[at]
+    gram, before = gram_key(x, pos, n), gram_key(x, pos, n - 1)
+    gram, context = gram[at], before[at - 1]
     if n < order:
-        wide, first = np.unique(keys[n + 1][at], return_index=True)
-        return Counts.of(gram[first], ctx[first], np.ones(len(first)))
-    return Counts.of(gram, ctx, w)
+        _, first = np.unique(gram_key(x, pos, n + 1)[at], return_index=True)
+        return Counts.of(gram[first], context[first], np.ones(len(first)))
+    return Counts.of(gram, context, weight[at])
 
 
 @dataclass
@@ -141,13 +133,11 @@ class Model:
         if not len(start):
             return np.zeros(0)
         x, pos, word = strands(buf, start, end)
-        keys = gram_keys(x, pos, self.order)
         at = np.flatnonzero(pos > 0)
+        keys = [gram_key(x, pos, n) for n in range(self.order + 1)]
 
         def pair(n: int) -> tuple[np.ndarray, np.ndarray]:
-            context = np.zeros(len(pos), np.uint64)
-            context[1:] = keys[n - 1][:-1]
-            return keys[n][at], context[at]
+            return keys[n][at], keys[n - 1][at - 1]
 
         base = np.full(len(at), 1 / 256)
         for n, counts in enumerate(self.shared, 1):
@@ -225,29 +215,32 @@ def count(texts: list[str], labels: np.ndarray, order: int = ORDER) -> Model:
         kinds, at, docs = np.unique(h[once], return_index=True, return_counts=True)
         chosen = once[at]
         x, pos, word = strands(buf, start[chosen], end[chosen])
-        parts.append((gram_keys(x, pos, order), pos, docs[word].astype(float)))
-    joint = ([np.concatenate([a, b]) for a, b in zip(parts[0][0], parts[1][0], strict=True)], np.concatenate([parts[0][1], parts[1][1]]), np.concatenate([parts[0][2], parts[1][2]]))
+        parts.append((x, pos, docs[word].astype(np.float32)))
+    joint = [np.concatenate([a, b]) for a, b in zip(*parts, strict=True)]
     model.shared = [_counted(*joint, n, order) for n in range(1, SHARED + 1)]
     model.own = [[_counted(*p, n, order) for n in range(SHARED + 1, order + 1)] for p in parts]
     return model
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton steps; column 0 is the constant and is not shrunk."""
     w = np.zeros(x.shape[1])
     shrink = np.full(x.shape[1], ridge)
     shrink[0] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(shrink), x.T @ (y - p) - shrink * w)
+        step = np.linalg.solve((x * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(shrink), x.T @ (weight * (y - p)) - shrink * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
-    """A model whose curve is fitted on rows that the counts behind their scores had not seen (two-fold)."""
+def train(texts: list[str], labels: list[int], toxic_share: float | None = None) -> Model:
+    """A model whose curve is fitted on rows that the counts behind their scores had not seen (two-fold).
+
+    toxic_share is the share of toxic rows among all labelled ones, where the sample's is another.
+    """
     y = np.array(labels)
     if len(set(labels)) < 2:
         return Model()
@@ -259,17 +252,24 @@ def train(texts: list[str], labels: list[int]) -> Model:
     for f in (0, 1):
         seen, unseen = fold != f, fold == f
         half = count([t for t, s in zip(texts, seen, strict=True) if s], y[seen])
-        x[unseen] = half.rows(pa.array([t for t, s in zip(texts, unseen, strict=True) if s], pa.string()))
+        which = np.flatnonzero(unseen)
+        for some in np.array_split(which, max(1, len(which) // 100)):
+            x[some] = half.rows(pa.array([texts[i] for i in some.tolist()], pa.string()))
     model = count(texts, y)
-    model.weights = logistic(x, y.astype(float))
+    share = y.mean() if toxic_share is None else toxic_share
+    model.weights = logistic(x, y.astype(float), np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
     return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     marks = ut.only(labels, doc_id="long", toxic="int").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
-    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    total = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(total) < 2:
+        return Model()
+    pick = lambda label: marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows // 2)
+    chosen = pick(0).unionByName(pick(1))
     rows = ut.only(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id").where("text is not null").dropDuplicates(["doc_id"]).orderBy("doc_id").select("text", "toxic").toArrow()
-    return train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist())
+    return train(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), total[1] / (total[0] + total[1]))
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:

@@ -107,7 +107,7 @@ def shingles(buf: np.ndarray, offs: np.ndarray, width: int = 5) -> tuple[np.ndar
     at = np.arange(len(h))
     acc = np.zeros(len(h), U)
     for k in range(width):
-        acc[: len(h) - k] += h[k:] * U(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64))
+        acc[: max(len(h) - k, 0)] += h[k:] * U(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64))
     row = np.repeat(np.arange(len(n)), n)
     keep = at + width <= first[1:][row]
     few = np.flatnonzero((n > 0) & (n < width))

@@ -3,7 +3,8 @@
 Sizes are words. Targets share the corpus by weight and stop at CAP times a source's size. A source takes whole
 epochs of its documents and a part of one more: documents fall by hash into blocks of about BLOCK rows, blocks are
 taken in that random order up to the target, and within the one block where the target falls a greedy fit picks
-documents. This fixes an exact quota of blocks for every source. The quotas are then split over the output shards
+documents. Where a few documents are larger than a good part of what the last epoch still wants, those are left to
+the whole epochs, as they would overshoot or block it. This fixes an exact quota of blocks for every source. The quotas are then split over the output shards
 by a binary tree: a node draws, without replacement, how many blocks of each source go left (a multivariate
 hypergeometric variate), and the rest go right, so every shard gets a fair mixture and no block twice. Shards take
 consecutive runs of each source's blocks, permuted anew for each epoch, and are shuffled inside.
@@ -88,6 +89,18 @@ def _block(key: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(1)), blocks)
 
 
+def _limits(sized: DataFrame, rest: list[tuple[str | None, int, float]]) -> list[float]:
+    """The size over which documents of each source are left out of its last epoch: the smallest of some parts of
+    what is wanted under which enough words remain, else all that is wanted."""
+    if not rest:
+        return []
+    parts = (1 / 64, 1 / 16, 1 / 4)
+    wanted = sized.sparkSession.createDataFrame(rest, "_source string, _i int, _rest double")
+    on = sized.join(F.broadcast(wanted) if len(rest) < 10_000 else wanted, sized["_source"].eqNullSafe(wanted["_source"]))
+    sums = {r["_i"]: r for r in on.groupBy("_i").agg(*[F.sum(F.when(F.col("_size") <= F.col("_rest") * p, F.col("_size")).otherwise(0)).alias(f"s{k}") for k, p in enumerate(parts)]).collect()}
+    return [next((w * p for k, p in enumerate(parts) if sums[i][f"s{k}"] >= w), w) for _, i, w in rest]
+
+
 def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sources, blocks, picks) from rows of _source, _size, _key.
 
@@ -98,15 +111,19 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
     spark = sized.sparkSession
     found = sized.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")).orderBy(F.col("_source").asc_nulls_last()).collect()
     goal = targets([r["size"] for r in found])
+    rest = []
+    for i, (r, t) in enumerate(zip(found, goal, strict=True)):
+        rest.append((r["_source"], i, t - min(int(t // r["size"]), CAP) * r["size"] if r["size"] else 0.0))
+    limits = _limits(sized, rest)
     rows = []
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
         epochs = min(int(t // r["size"]), CAP) if r["size"] else 0
-        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / BLOCK)), r["size"], t, epochs, t - epochs * r["size"]))
-    sources = spark.createDataFrame(rows, "_source string, _i int, _n_blocks long, source_size long, target double, _epochs int, _rest double")
+        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / BLOCK)), r["size"], t, epochs, t - epochs * r["size"], limits[i]))
+    sources = spark.createDataFrame(rows, "_source string, _i int, _n_blocks long, source_size long, target double, _epochs int, _rest double, _limit double")
     if len(rows) < 10_000:
         sources = F.broadcast(sources)
-    on = sized.join(sources, sized["_source"].eqNullSafe(sources["_source"])).select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks")
-    words = on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks").agg(F.sum("_size").alias("_words"))
+    on = sized.join(sources, sized["_source"].eqNullSafe(sources["_source"])).select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks", "_limit")
+    words = on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks").agg(F.sum(F.when(F.col("_size") <= F.col("_limit"), F.col("_size")).otherwise(0)).alias("_words"))
     before = F.sum("_words").over(Window.partitionBy("_i").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_words")
     words = ut.materialize(words.withColumn("_before", before).withColumn("_cut", F.when((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before"))).withColumn("_part", F.col("_before") <= F.col("_rest")), "blocks")
 
@@ -114,7 +131,7 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
     cut = words.where("_cut is not null").select("_i", "_block", "_cut")
     if len(rows) < 10_000:
         cut = F.broadcast(cut)
-    items = on.select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
+    items = on.where("_size <= _limit").select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
     listed = items.groupBy("_i", "_cut").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "_key", "w"))).alias("items"))
     start = F.struct(F.col("_cut").alias("left"), F.array().cast("array<bigint>").alias("took"))
     fit = F.aggregate("items", start, lambda a, x: F.when(x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["took"], F.array(x["_key"])).alias("took"))).otherwise(a))
@@ -140,9 +157,9 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
                 if part:
                     at.append(epochs * n + block)
                 out.append(np.minimum(np.searchsorted(upto[i], at, "right"), shards - 1).astype(np.int32).tolist())
-            yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_block"), b.column("_cut"), pa.array(out, pa.list_(pa.int32()))], ["_i", "_block", "_cut", "_shards"])
+            yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_block"), b.column("_cut"), b.column("_part"), pa.array(out, pa.list_(pa.int32()))], ["_i", "_block", "_cut", "_part", "_shards"])
 
-    return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(run, "_i int, _block long, _cut double, _shards array<int>"), picks
+    return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(run, "_i int, _block long, _cut double, _part boolean, _shards array<int>"), picks
 
 
 def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -154,8 +171,8 @@ def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> Da
     full = full.withColumn("_block", _block(F.col("_key"), F.col("_n_blocks"))).join(blocks, ["_i", "_block"], "left")
     full = full.join(picks.withColumn("_picked", F.lit(True)), ["_i", "_key"], "left")
     n = F.size("_shards")
-    # In a cut block the last copy is of the picked documents only.
-    own = F.when(F.col("_size") == 0, F.array().cast("array<int>")).when(F.col("_cut").isNotNull() & F.col("_picked").isNull(), F.slice("_shards", F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(F.col("_shards"))
+    # In a cut block the last copy is of the picked documents only; nowhere is it of those over the limit.
+    own = F.when(F.col("_size") == 0, F.array().cast("array<int>")).when(F.col("_part") & ((F.col("_size") > F.col("_limit")) | F.col("_cut").isNotNull() & F.col("_picked").isNull()), F.slice("_shards", F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(F.col("_shards"))
     return full.withColumn("_shards", F.coalesce(own, F.array().cast("array<int>")))
 
 

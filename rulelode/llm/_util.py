@@ -1,9 +1,7 @@
-"""Shared plumbing of the corpus operators: scratch tables, Arrow helpers, graph components."""
+"""Shared plumbing of the corpus operators: tables, columns, Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,37 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulelode.operators.graph import connected_components
+from rulelode.sources.scratch import materialize, scratch_dir
 
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a private one is set only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = have.get() if have.isDefined() else None
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="rulelode-scratch-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared folder and read it back: lineage ends in files that every executor sees.
-
-    The file schema is given on the read, so empty tables keep their columns.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    # With the table written, no later step reads this query's shuffle files: they need not wait for a collection.
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["connected_components", "key_groups", "map_batches", "materialize", "only", "scratch_dir", "shuffle_parts", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,35 +59,3 @@ def key_groups(batches: Iterator[pa.RecordBatch], key: str, size: int) -> Iterat
             total += held[-1].nbytes
     if held:
         yield pa.Table.from_batches(held)
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for undirected edges (src, dst) of longs; component is the smallest node reachable.
-
-    Alternating large-star and small-star rounds. Every round ends in a table of the shared folder, is a
-    constant number of shuffles, and keeps at most the edges it was given. Nodes with no edge do not appear;
-    self loops name single nodes.
-    """
-    e = materialize(edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).dropna().where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
-
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
-
-    before = mark(e)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
-        both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
-        large = both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
-        large = materialize(large.select("src", "dst"), "large")
-        low = large.groupBy("src").agg(F.min("dst").alias("m"))
-        small = large.join(low, "src").select(F.when(F.col("dst") == F.col("m"), F.col("src")).otherwise(F.col("dst")).alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
-        e = materialize(small, "small")
-        after = mark(e)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
-    return e.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(e.select(F.col("dst").alias("node"), F.col("dst").alias("component"))).distinct()

@@ -252,11 +252,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
 
     found = ut.materialize(full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long, many boolean"), "links")
     single = found.where("not many").select(F.col("src").alias("node"), F.col("dst").alias("component"))
-    return single if found.where("many").isEmpty() else single.unionByName(connected(found.where("many")))
-
-
-def connected(edges: DataFrame) -> DataFrame:
-    return ut.connected_components(edges.select("src", "dst"))
+    return single if found.where("many").isEmpty() else single.unionByName(ut.connected_components(found.where("many").select("src", "dst")))
 
 
 def components(docs: DataFrame) -> DataFrame:

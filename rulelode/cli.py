@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rulelode.operators import ledger, organize, placement, provenance
 from rulelode.plans import pipeline
-from rulelode.sources import files
+from rulelode.sources import files, scratch
 
 TABLES = {"extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "dedupe": "rules", "merge_log": "merge_log", "place": "placements", "group": "organized"}
 
@@ -110,8 +110,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     o = pipeline.Options(authors=None if a.authors == "all" else a.authors, prs=a.prs, sample=a.sample, limit=a.limit, seed=a.seed, min_score=a.min_score, max_rules=a.max_rules)
     names = pipeline.stages_from(a.start, a.skip) if a.command == "run" else [a.command]
-    for name in names:
+    for name in (n for n in names if n != "download"):
         r.stage(name, o)
+        scratch.clear(spark)
 
 
 def _comments(r: Run):  # noqa: ANN202

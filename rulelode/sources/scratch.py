@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -33,7 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")
     try:
+        _WRITTEN.append(path)
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that this process wrote; call it once every result read from them is stored."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)

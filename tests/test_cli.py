@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import json
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+from rulelode import cli
+from rulelode.plans import pipeline
+from rulelode.sources import scratch
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def test_stages_one_by_one(spark, tmp_path, capsys):
+    d = tmp_path / "comments"
+    d.mkdir()
+    for pr in range(1, 5):
+        (d / f"{pr}.json").write_text(json.dumps([{"id": pr * 10 + k, "user": {"login": "ann", "type": "User"}, "path": f"src/f{k}.py", "body": "Use tuples for constant tables please."} for k in range(2)]))
+    over = tmp_path / "over.jsonl"
+    over.write_text('{"text": "Prefer short names.", "category": "naming"}\n')
+    base = ["--data", str(tmp_path / "data"), "--repo", "a/b"]
+    cli.main([*base, "run", "--comments", str(d), "--overrides", str(over)])
+    files = {p.relative_to(tmp_path / "data/a/b/documents").as_posix(): p.read_text() for p in (tmp_path / "data/a/b/documents").rglob("*.md")}
+    assert any("Use tuples for constant tables please." in t for t in files.values())
+    assert any("Prefer short names." in t for t in files.values())
+    cli.main([*base, "extract", "--comments", str(d)])
+    assert spark.read.parquet(str(tmp_path / "data/a/b/extractions")).count() == 8
+    capsys.readouterr()
+    for command in (["lookup", "tuples"], ["lookup"], ["lookup", "0"], ["status"]):
+        cli.main([*base, *command])
+    text = capsys.readouterr().out
+    assert "Use tuples" in text and "extract 8" in text
+    with pytest.raises(SystemExit):
+        cli.main(["--data", str(tmp_path), "--repo", "plain", "status"])
+
+
+def test_order_of_stages():
+    assert pipeline.stages_from("dedupe", "place") == ["dedupe", "group", "generate"]
+
+
+def test_clear(spark):
+    df = scratch.materialize(spark.range(3), "gone")
+    path = df.inputFiles()[0].removeprefix("file://")
+    scratch.clear(spark)
+    assert not Path(path).exists()
+
+
+def test_import_needs_no_corpus_package():
+    code = "import sys; sys.modules['rulelode.llm'] = None; import rulelode.cli, rulelode.plans.catalog, rulelode.streaming.ingest; print(len(rulelode.plans.catalog.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert int(out.stdout) > 40

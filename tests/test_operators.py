@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rulelode.functions import scalar
 from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, organize, placement, provenance, render, vectors
+from rulelode.operators.numbering import with_numbers
 from rulelode.plans import pipeline
 from rulelode.sources import files
 from rulelode.streaming import ingest
@@ -269,6 +270,13 @@ def test_files(spark, tmp_path):
     assert ledger.file_hash(spark, [str(d / "2.json"), str(d / "10.json")]).first() == ledger.file_hash(spark, [str(d / "10.json"), str(d / "2.json")]).first()
 
 
+def test_numbers(spark):
+    df = spark.range(1000).withColumn("x", F.col("id") * 7 % 1009).repartition(6)
+    got = {r.x: r.n for r in with_numbers(df, "x", "n").collect()}
+    assert [got[x] for x in sorted(got)] == list(range(1000))
+    assert with_numbers(df.limit(0), "x", "n").count() == 0
+
+
 def test_cache(spark):
     calls = spark.sparkContext.accumulator(0)
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "text string")

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rulelode.llm import _text as tx
@@ -38,6 +38,8 @@ PERCENT = 85
 SIGMAS = 5.0
 ABSORB = 0.92
 GROUP_SHINGLES = 4_000_000
+#: Sets in a band above which it is left to the rarest shingles of its sets.
+CROWD = 5_000
 EMPTY = 0xFFFF
 
 
@@ -152,11 +154,40 @@ class _Leaders:
         return i
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def _prefixes(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(band, k1) by rare shingles of the members (k1, rk, n_shingles), an exact way where bands are crowded.
+
+    Sets with 100 * intersection >= PERCENT * union share one of the first n - ceil(PERCENT * n / 100) + 1 shingles
+    of each, whatever order all sets have; here the rarest come first, so that what very many documents hold, a line
+    or a passage, brings none of them together.
+    """
+    texts = _keyed(docs).select("rk", "text").hint("merge").join(members.select("rk", "k1", "n_shingles"), "rk").select("k1", "n_shingles", "text")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part, buf, offs in tx.pieces(batch, "text"):
+            h, first = tx.shingles(buf, offs)
+            sets = [np.unique(h[first[r] : first[r + 1]]) for r in range(part.num_rows)]
+            row = pa.array(np.repeat(np.arange(part.num_rows), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, h[:0]]).view(np.int64)), part.column("k1").take(row), part.column("n_shingles").take(row)], ["band", "k1", "n"])
+
+    rows = ut.materialize(ut.map_batches(texts, run, "band long, k1 long, n long"), "shingles")
+    counts = ut.materialize(rows.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "counts")
+    place = F.row_number().over(Window.partitionBy("k1").orderBy("m", "band"))
+    # Shingles of one set alone are first in its order; they bring it together with none, but take up places.
+    shared = rows.join(counts, "band").withColumn("alone", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k1")))
+    last = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    return shared.withColumn("place", place + F.col("alone")).where(F.col("place") <= last).select("band", "k1")
+
+
+def candidate_edges(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(src, dst) of sets whose sketches are close, enough edges to join every group of them."""
     bands = _bands(classes)
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band")
-    rows = bands.join(shared, "band").join(classes.select("k1", "sketch", "n_shingles"), "k1")
+    shared = ut.materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bands")
+    met = bands.join(shared.where(F.col("m") <= CROWD).select("band"), "band")
+    if not shared.where(F.col("m") > CROWD).isEmpty():
+        crowded = ut.materialize(bands.join(shared.where(F.col("m") > CROWD).select("band"), "band").select("k1").distinct(), "crowded")
+        met = met.unionByName(_prefixes(docs, classes.join(crowded, "k1")))
+    rows = met.join(classes.select("k1", "sketch", "n_shingles"), "k1")
     parts = ut.shuffle_parts(classes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +290,7 @@ def components(docs: DataFrame) -> DataFrame:
     """doc_id, rk, n_shingles, component_id of every row; see the module for what links documents."""
     rows = ut.materialize(sketches(docs), "sketches")
     classes = ut.materialize(rows.where("n_shingles > 0").groupBy("k1").agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    groups = ut.connected_components(candidate_edges(classes))
+    groups = ut.connected_components(candidate_edges(classes, docs))
     own = _verified(docs, classes, ut.materialize(groups, "groups"))
     # A class outside every group is its own component.
     named = rows.where("n_shingles > 0").groupBy("k1").agg(F.min("doc_id").alias("low")).join(own.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))

@@ -163,6 +163,8 @@ def test_near_duplicates(docs, texts, monkeypatch):
     kept = sorted(r.doc_id for r in neardup.deduplicate(docs).collect())
     assert kept == sorted(i for i, c in want.items() if c[1] == i)
     assert neardup.deduplicate(docs).columns == docs.columns
+    monkeypatch.setattr(neardup, "CROWD", 1)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.components(docs).collect()} == want
     monkeypatch.setattr(neardup, "GROUP_SHINGLES", 60)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.components(docs).collect()} == want
 

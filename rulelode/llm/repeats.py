@@ -35,9 +35,9 @@ from rulelode.llm import _util as ut
 
 LENGTH = 200
 GRAM = 48
-GROUP = 50_000
+GROUP = 20_000
 #: Bytes of stretches that one suffix array holds; groups are kept whole.
-ARRAY_BYTES = 3 << 20
+ARRAY_BYTES = 2 << 20
 
 
 def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -75,7 +75,10 @@ def merged(outputs: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def allocated(sources: DataFrame) -> DataFrame:
-    """(group_id, out, rule_id): outputs in turn take the lowest unused id of merged_from. A group is one cluster."""
+    """(group_id, out, rule_id): outputs in turn take the lowest unused id of merged_from. A group is one cluster.
+
+    A group of one output, the usual case, needs no Python: it takes its lowest id.
+    """
 
     def allot(pdf: pd.DataFrame) -> pd.DataFrame:
         used: set[int] = set()
@@ -87,7 +90,9 @@ def allocated(sources: DataFrame) -> DataFrame:
             out.append((g, o, took))
         return pd.DataFrame(out, columns=["group_id", "out", "rule_id"])
 
-    return sources.groupBy("group_id").applyInPandas(allot, "group_id long, out int, rule_id long")
+    counted = sources.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("group_id")))
+    alone = counted.where("_n = 1").select(F.col("group_id").cast("long").alias("group_id"), F.col("out").cast("int").alias("out"), F.array_min("merged_from").cast("long").alias("rule_id"))
+    return alone.unionByName(counted.where("_n > 1").drop("_n").groupBy("group_id").applyInPandas(allot, "group_id long, out int, rule_id long"))
 
 
 def overridden(rules: DataFrame, group: str = "group_id", zero_is_id: bool = True) -> DataFrame:

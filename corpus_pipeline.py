@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next one's
 docs. All stages but the last return the columns of documents. Rows a stage keeps are whole rows; the quality
-stage drops what its rules reject, the near-duplicate stage keeps one document of each group, the secrets stage
+stage drops what its rules reject, the near-duplicate stage keeps one document of each group of Jaccard similarity 0.8 or more, the secrets stage
 replaces found spans inside texts, the mixing stage repeats or drops documents to meet source targets, and the
 packing stage returns the placement of every token piece.
 """
@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.deduplicate(docs)
+    return neardup.deduplicate(docs, neardup.STAGE_PERCENT)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ A document's set holds its distinct five-word shingles. The sketch deals the has
 and keeps, of each bucket's least value, the number of leading zeros (6 bits) and the MANTISSA bits after the first
 one: two bytes a register. Four registers make a band of 64 bits; documents that share a band are candidates if
 the Jaccard estimate from equal registers, corrected for registers that agree by chance, is not below the threshold
-by more than SIGMAS standard errors. With 20 bands a pair of similarity 0.85 shares none with probability under
-1e-6. Candidates are only grouped by the sketches; links are decided on the full sets.
+by more than SIGMAS standard errors. The threshold is a parameter in percent: 85 for the operator, 80 for the
+pipeline's stage. The number of bands follows from it, so that a pair at the threshold shares none with probability
+under MISS: 20 bands at 85, 27 at 80. Candidates are only grouped by the sketches; links are decided on the full sets.
 
 Scale: equal sets are one class and take part once, so copies cost nothing. In a band, documents are compared with
 leaders, those unlike every leader before them, and only edges that join something are kept: a band of m rows gives
@@ -21,6 +22,7 @@ name while others are in it; rows equal in doc_id and text get one result; extra
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,10 @@ from rulelode.llm import _util as ut
 REGISTERS = 80
 BAND = 4
 MANTISSA = 10
+#: Thresholds of op2_near_dedup and of `components` and the pipeline's stage.
 PERCENT = 85
+STAGE_PERCENT = 80
+MISS = 1e-6
 SIGMAS = 5.0
 ABSORB = 0.92
 GROUP_SHINGLES = 4_000_000
@@ -43,6 +48,11 @@ CROWD = 5_000
 EMPTY = 0xFFFF
 
 
+def width(percent: int) -> int:
+    """Registers of a sketch for this threshold."""
+    return max(REGISTERS, BAND * math.ceil(math.log(MISS) / math.log1p(-((min(percent, 99) / 100) ** BAND))))
+
+
 def registers(h: np.ndarray, count: int = REGISTERS) -> np.ndarray:
     """The sketch of one set of hashes."""
     out = np.full(count, EMPTY, np.uint16)
@@ -66,23 +76,24 @@ def _zeros(items: int) -> np.ndarray:
     return p[:-1] - p[1:]
 
 
-def chance(a: int, b: int) -> float:
+def chance(a: int, b: int, count: int = REGISTERS) -> float:
     """How often registers of sets of these sizes agree although nothing is shared."""
-    return float(_zeros(1 << max(a // REGISTERS, 1).bit_length() - 1) @ _zeros(1 << max(b // REGISTERS, 1).bit_length() - 1)) / (1 << MANTISSA)
+    return float(_zeros(1 << max(a // count, 1).bit_length() - 1) @ _zeros(1 << max(b // count, 1).bit_length() - 1)) / (1 << MANTISSA)
 
 
-def estimate(x: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(x: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(Jaccard estimates, standard errors at the threshold) of a sketch against others."""
     some = (others != EMPTY) | (x != EMPTY)
     valid = np.maximum(some.sum(1), 1)
     same = ((others == x) & some).sum(1)
-    c = chance(n, int(sizes[0])) if len(sizes) == 1 else np.array([chance(n, int(m)) for m in sizes.tolist()])
-    t = PERCENT / 100
+    c = chance(n, int(sizes[0]), len(x)) if len(sizes) == 1 else np.array([chance(n, int(m), len(x)) for m in sizes.tolist()])
+    t = percent / 100
     return np.maximum(0, (same / valid - c) / (1 - c)), np.sqrt(t * (1 - t) / valid)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, rk (the row's key), n_shingles, k1 (the set's key), sketch."""
+    count = width(percent)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
@@ -92,7 +103,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 u = np.unique(h[first[r] : first[r + 1]])
                 n[r] = len(u)
                 key[r] = tx.mix(tx.mix(u).sum(keepdims=True) + tx.U(len(u))).astype(np.int64)[0] if len(u) else 0
-                sketch.append(registers(u).tobytes())
+                sketch.append(registers(u, count).tobytes())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("rk"), pa.array(n), pa.array(key), pa.array(sketch, pa.binary())], ["doc_id", "rk", "n_shingles", "k1", "sketch"])
 
     return ut.map_batches(_keyed(docs), run, "doc_id long, rk long, n_shingles long, k1 long, sketch binary")
@@ -121,15 +132,15 @@ def _bands(classes: DataFrame) -> DataFrame:
 class _Leaders:
     """Documents of a band that no earlier leader resembles, and which of them edges have joined."""
 
-    def __init__(self) -> None:
-        self.ids, self.root, self.n = [], [], 0
-        self.sketch, self.size = np.empty((4, REGISTERS), np.uint16), np.empty(4, np.int64)
+    def __init__(self, percent: int) -> None:
+        self.ids, self.root, self.n, self.percent = [], [], 0, percent
+        self.sketch, self.size = np.empty((4, width(percent)), np.uint16), np.empty(4, np.int64)
 
     def meet(self, ident: int, sketch: np.ndarray, size: int) -> list[tuple[int, int]]:
         edges, top = [], 0.0
         if self.n:
-            j, error = estimate(sketch, size, self.sketch[: self.n], self.size[: self.n])
-            near = np.flatnonzero(j >= PERCENT / 100 - SIGMAS * error)
+            j, error = estimate(sketch, size, self.sketch[: self.n], self.size[: self.n], self.percent)
+            near = np.flatnonzero(j >= self.percent / 100 - SIGMAS * error)
             top = float(j.max())
             roots = {self._find(i): i for i in reversed(near.tolist())}
             edges = [(self.ids[i], ident) for i in roots.values()]
@@ -154,10 +165,10 @@ class _Leaders:
         return i
 
 
-def _prefixes(docs: DataFrame, members: DataFrame) -> DataFrame:
+def _prefixes(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(band, k1) by rare shingles of the members (k1, rk, n_shingles), an exact way where bands are crowded.
 
-    Sets with 100 * intersection >= PERCENT * union share one of the first n - ceil(PERCENT * n / 100) + 1 shingles
+    Sets with 100 * intersection >= percent * union share one of the first n - ceil(percent * n / 100) + 1 shingles
     of each, whatever order all sets have; here the rarest come first, so that what very many documents hold, a line
     or a passage, brings none of them together.
     """
@@ -175,30 +186,30 @@ def _prefixes(docs: DataFrame, members: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("k1").orderBy("m", "band"))
     # Shingles of one set alone are first in its order; they bring it together with none, but take up places.
     shared = rows.join(counts, "band").withColumn("alone", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k1")))
-    last = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     return shared.withColumn("place", place + F.col("alone")).where(F.col("place") <= last).select("band", "k1")
 
 
-def candidate_edges(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def candidate_edges(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(src, dst) of sets whose sketches are close, enough edges to join every group of them."""
     bands = _bands(classes)
     shared = ut.materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bands")
     met = bands.join(shared.where(F.col("m") <= CROWD).select("band"), "band")
     if not shared.where(F.col("m") > CROWD).isEmpty():
         crowded = ut.materialize(bands.join(shared.where(F.col("m") > CROWD).select("band"), "band").select("k1").distinct(), "crowded")
-        met = met.unionByName(_prefixes(docs, classes.join(crowded, "k1")))
+        met = met.unionByName(_prefixes(docs, classes.join(crowded, "k1"), percent))
     rows = met.join(classes.select("k1", "sketch", "n_shingles"), "k1")
     parts = ut.shuffle_parts(classes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, leaders = None, _Leaders()
+        key, leaders = None, _Leaders(percent)
         for batch in batches:
             band, ids, size = (batch.column(c).to_numpy().tolist() for c in ("band", "k1", "n_shingles"))
             s = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             edges: list[tuple[int, int]] = []
             for i, b in enumerate(band):
                 if b != key:
-                    key, leaders = b, _Leaders()
+                    key, leaders = b, _Leaders(percent)
                 edges += leaders.meet(ids[i], s[i], size[i])
             edges = list(set(edges))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["src", "dst"])
@@ -243,7 +254,7 @@ def link_components(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarra
     return comp
 
 
-def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(node, component) over set keys after exact verification inside candidate groups (node, component)."""
     members = groups.withColumnRenamed("node", "k1").join(classes.select("k1", "n_shingles", "rk"), "k1")
     totals = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / GROUP_SHINGLES).cast("int").alias("blocks"))
@@ -262,7 +273,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
         def flush() -> tuple[list[int], list[int], list[bool]]:
             if len(sets) < 2:
                 return [], [], []
-            comp = link_components(sets)
+            comp = link_components(sets, percent)
             return ids, [ids[c] for c in comp.tolist()], [many] * len(ids)
 
         for batch in batches:
@@ -286,12 +297,12 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     return single if found.where("many").isEmpty() else single.unionByName(ut.connected_components(found.where("many").select("src", "dst")))
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """doc_id, rk, n_shingles, component_id of every row; see the module for what links documents."""
-    rows = ut.materialize(sketches(docs), "sketches")
+    rows = ut.materialize(sketches(docs, percent), "sketches")
     classes = ut.materialize(rows.where("n_shingles > 0").groupBy("k1").agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    groups = ut.connected_components(candidate_edges(classes, docs))
-    own = _verified(docs, classes, ut.materialize(groups, "groups"))
+    groups = ut.connected_components(candidate_edges(classes, docs, percent))
+    own = _verified(docs, classes, ut.materialize(groups, "groups"), percent)
     # A class outside every group is its own component.
     named = rows.where("n_shingles > 0").groupBy("k1").agg(F.min("doc_id").alias("low")).join(own.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
     low = named.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -300,10 +311,10 @@ def components(docs: DataFrame) -> DataFrame:
     return full.unionByName(rows.where("n_shingles = 0").select("doc_id", "rk", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """The rows of docs, all columns, with one document of each component; rows without words all stay, and a row
     that repeats another's doc_id and text is taken once."""
-    found = ut.materialize(components(docs), "components")
+    found = ut.materialize(components(docs, percent), "components")
     keep = found.where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())).groupBy("rk").count()
     text = F.col("text").cast("string") if "text" in docs.columns else F.lit(None).cast("string")
     out = docs.withColumn("__rk", F.xxhash64(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk")).hint("merge"), "__rk")
@@ -313,5 +324,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = components(ut.table(spark, sf_dir, "documents"))
+    found = components(ut.table(spark, sf_dir, "documents"), PERCENT)
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import corpus_pipeline
@@ -54,3 +55,25 @@ def test_registry():
 
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_near_stage_at_80_percent(spark):
+    rng = random.Random(8)
+    texts, sets = {}, {}
+    for i in range(60):
+        words = [str(rng.random()) for _ in range(104)]
+        for k, tail in enumerate((0, 7, 10, 12, 14, 16)):
+            texts[10 * i + k] = " ".join(words[: 104 - tail] + [str(rng.random()) for _ in range(tail)])
+        # Only the first of these against one of the others, else they would link with one another.
+        keep = 10 * i + rng.randint(1, 5)
+        texts = {d: t for d, t in texts.items() if d // 10 < i or d in (10 * i, keep)}
+    for d, t in texts.items():
+        w = t.split()
+        sets[d] = {tuple(w[a : a + 5]) for a in range(len(w) - 4)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    kept = {}
+    for percent, found in ((80, stage(spark, docs, SF)), (85, neardup.components(docs, neardup.PERCENT).where("doc_id = component_id"))):
+        kept[percent] = [d for d in sorted(texts) if not any(a < d and 100 * len(sets[a] & sets[d]) >= percent * len(sets[a] | sets[d]) for a in texts)]
+        assert sorted(r.doc_id for r in found.select("doc_id").collect()) == kept[percent]
+    assert 60 < len(kept[80]) < len(kept[85]) < 120

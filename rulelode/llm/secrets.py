@@ -1,7 +1,9 @@
 """Secret scans: pattern rules, and a battery of randomness tests over further tokens.
 
 Patterns find assignments of credentials, access keys and long hexadecimal strings in whole texts. Any other run
-of 20 or more token characters is a candidate if its characters fit one of the usual encodings. For each
+of 20 or more token characters is cut at '=' that is not trailing padding, as in NAME=value; a piece is a candidate if
+its characters fit one of the usual encodings. A piece that fits none, as it mixes '+' or '/' with '-' or '_', is cut
+at '/', at '-' and '_', and at all three; each part of 20 or more that fits is a candidate, and parts may overlap. For each
 candidate three tests ask whether it could be random symbols of that encoding: chi-squared uniformity of its
 alphabet, the Wald-Wolfowitz runs test about the alphabet's middle, and the lag-one serial correlation; the
 least p, times three, is its p-value. Per class of length and over the whole corpus, the Benjamini-Hochberg rule
@@ -67,6 +69,18 @@ def infer_encoding(token: bytes) -> str | None:
     return next((name for name, v in _VALUES.items() if len(body) and (v[body] >= 0).all()), None)
 
 
+def pieces(token: bytes) -> list[tuple[int, int, str]]:
+    """(start, end, encoding) of the candidates in a run of token characters."""
+    out = set()
+    for m in re.finditer(rb"[^=]+(?:=+$)?", token):
+        mixed = re.search(rb"[+/]", m[0]) and re.search(rb"[_-]", m[0])
+        for cut in (rb"[^/]+", rb"[^_-]+", rb"[^/_-]+") if mixed else (rb".+",):
+            for part in re.finditer(cut, m[0]):
+                if part.end() - part.start() >= MIN_TOKEN and (name := infer_encoding(part[0])):
+                    out.add((m.start() + part.start(), m.start() + part.end(), name))
+    return sorted(out)
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -131,12 +145,10 @@ def find(buf: np.ndarray, offs: np.ndarray) -> list[tuple[list[tuple[int, int, i
         spans[int(np.searchsorted(offs, s, "right")) - 1].add((int(s), 2, int(e)))
     for s, e in zip(*_runs(_TOKEN[buf], offs, MIN_TOKEN), strict=True):
         r = int(np.searchsorted(offs, s, "right")) - 1
-        if any(x < e and s < y for x, _, y in spans[r]):
-            continue
-        token = whole[s:e]
-        name = infer_encoding(token)
-        if name:
-            found[r].add((int(s), int(e), int(np.searchsorted(CLASSES, e - s, "right")) - 1, -math.log10(max(p_value(token, name), 1e-300))))
+        for a, b, name in pieces(whole[s:e]):
+            if any(x < s + b and s + a < y for x, _, y in spans[r]):
+                continue
+            found[r].add((int(s) + a, int(s) + b, int(np.searchsorted(CLASSES, b - a, "right")) - 1, -math.log10(max(p_value(whole[s + a : s + b], name), 1e-300))))
     out = []
     for r in range(len(offs) - 1):
         base = int(heads[offs[r]])

@@ -231,6 +231,19 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0 == secrets.redact(empty(spark)).count()
 
 
+def test_secrets_inside_longer_runs(spark):
+    rng = random.Random(6)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = ["".join(rng.choice(chars) for _ in range(40)) for _ in range(7)]
+    data = [f"AWS_SECRET_ACCESS_KEY={key[0]}", f"export AUTH_KEY={key[1]} now", f"/var/my-app/some_dir/{key[2]}/x-y", f"KEY_A={key[3]}==", f"A_B={key[4]}=C_D={key[5]}", f"some_dir+my/a-b/x_{key[6]}", "NAME_OF_IT=plain_words_only_in_here", "a_b-wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLE5EY"]
+    where = [(i, data[i].index(k), data[i].index(k) + 40 + 2 * (k == key[3])) for i, k in zip((0, 1, 2, 3, 4, 4, 5), key, strict=True)]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = {(r.doc_id, s.start, s.end) for r in secrets.scan(df).collect() for s in r.spans}
+    assert set(where) <= got and (7, 4, 44) in got and not [x for x in got if x[0] == 6]
+    texts = " ".join(r.text for r in secrets.redact(df).collect())
+    assert not any(k in texts for k in key)
+
+
 def test_randomness():
     rng = random.Random(8)
     tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(300)]

@@ -95,7 +95,7 @@ def organized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = placed(spark, sf_dir)
-    return p.select("rule_id", scalar.truncated(F.regexp_replace("rule_text", "\n", " "), 60).alias("rule_text"), F.col("source").alias("rationale"))
+    return p.select("rule_id", F.regexp_replace("rule_text", "\n", " ").alias("rule_text"), F.col("source").alias("rationale"))
 
 
 # Queries

@@ -46,6 +46,14 @@ def test_query_without_sql_runs(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
 
 
+def test_doc_render_holds_whole_texts(spark):
+    told = {r.rule_id: r.rule_text.replace("\n", " ") for r in catalog.placed(spark, SF).select("rule_id", "rule_text").collect() if r.rule_text}
+    files = "".join(r.text for r in catalog.doc_render(spark, SF).collect())
+    shown = {int(part.split(" -->\n- ", 1)[0]): part.split(" -->\n- ", 1)[1] for part in files.split("<!-- rule:")[1:]}
+    assert sum(len(told[i]) > 60 for i in shown) > 10
+    assert all(line.startswith(told[i] + " — ") for i, line in shown.items())
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

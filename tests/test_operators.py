@@ -148,6 +148,23 @@ def test_average_linkage_ties_and_guard(spark):
         vectors.average_linkage_clusters(df, 0.5, largest=4)
 
 
+def test_average_linkage_in_rounds(spark):
+    x = np.random.default_rng(4).standard_normal((24, 3))
+    x = np.concatenate([x, x[[3, 3, 3, 8, 8]], np.zeros((2, 3))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None)], "vec_id long, embedding array<double>")
+    n = np.linalg.norm(x, axis=1, keepdims=True)
+    want = sorted(plain_linkage(x / np.where(n > 0, n, 1), 0.6))
+    for local, block in ((4096, 2048), (3, 5)):
+        found = {}
+        for r in vectors.average_linkage_clusters(df, 0.6, local=local, block=block).collect():
+            found.setdefault(r.cluster_id, {})[r.pos] = r.vec_id
+        # Clusters and the order of their members, copies of a vector first.
+        assert [[c[p] for p in range(len(c))] for _, c in sorted(found.items())] == want
+    same = spark.range(25_000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(0.5)).alias("embedding"))
+    got = vectors.average_linkage_clusters(same, 0.9)
+    assert got.where("cluster_id = 0 and pos = vec_id").count() == 25_000 == got.count()
+
+
 def test_cosine_blocks(spark):
     x = np.random.default_rng(1).standard_normal((60, 4))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(60, None), (61, [0.0] * 4)], "vec_id long, embedding array<double>")

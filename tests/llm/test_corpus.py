@@ -317,6 +317,26 @@ def test_licenses(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_license_headers(spark):
+    rng = random.Random(3)
+    gnu = "This {s} is free software{c} you can redistribute it and/or modify it under the terms of the GNU {n} as published by the Free Software Foundation{d} either version {v} of the License, or (at your option) any later version."
+    cases = [
+        ("GPL-2.0-or-later", gnu.format(s="program", c=";", n="General Public License", d=";", v="2")),
+        ("GPL-3.0-or-later", gnu.format(s="program", c=":", n="General Public License", d=",", v="3")),
+        ("AGPL-3.0-or-later", gnu.format(s="program", c=":", n="Affero General Public License", d=",", v="3")),
+        ("LGPL-2.1-or-later", gnu.format(s="library", c=";", n="Lesser General Public License", d=";", v="2.1")),
+        ("LGPL-3.0-or-later", gnu.format(s="library", c=":", n="Lesser General Public License", d=",", v="3")),
+        ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License."),
+        ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+        ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"),
+    ]
+    holder = "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    cases.append(("BSD-3-Clause", cases[-1][1].replace("THIS SOFTWARE", "3. " + holder + " THIS SOFTWARE")))
+    data = [(i, prose(rng, 30) + "\n" + t + "\n" + prose(rng, 30)) for i, (_, t) in enumerate(cases)]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(cases))] == [n for n, _ in cases]
+
+
 # 6
 
 

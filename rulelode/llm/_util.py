@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelode.operators.graph import connected_components
 from rulelode.sources.scratch import materialize, scratch_dir
 
-__all__ = ["connected_components", "key_groups", "map_batches", "materialize", "only", "scratch_dir", "shuffle_parts", "table"]
+__all__ = ["connected_components", "key_groups", "keyed", "local_table", "map_batches", "materialize", "only", "row_key", "scratch_dir", "shuffle_parts", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,22 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()])
 
 
+def local_table(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A table of rows at hand, of known size: the planner broadcasts it where that is below its threshold."""
+    return spark.createDataFrame(pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(columns.values())], names=list(columns)))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and rk: 128 bits of a SHA-256 of both, so that rows with one key are equal rows."""
+    own = only(docs, doc_id="long", text="string")
+    return own.withColumn("rk", row_key(F.col("doc_id"), F.col("text")))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(":"), text), F.lit("")))
+    return F.unhex(F.substring(F.sha2(whole, 256), 1, 32))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

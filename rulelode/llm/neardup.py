@@ -9,10 +9,14 @@ pipeline's stage. The number of bands follows from it, so that a pair at the thr
 under MISS: 20 bands at 85, 27 at 80. Candidates are only grouped by the sketches; links are decided on the full sets.
 
 Scale: equal sets are one class and take part once, so copies cost nothing. In a band, documents are compared with
-leaders, those unlike every leader before them, and only edges that join something are kept: a band of m rows gives
-at most m - 1 edges. A candidate group is verified in one task if its sets hold at most GROUP_SHINGLES hashes;
-larger groups are dealt into blocks and every pair of blocks is a task of its own, so nothing is dropped and no
-task grows with its group.
+leaders, those unlike every leader before them, and only edges that join something are kept. Bands of more than
+`crowd` sets, brought about by a passage that very many documents share, say little; their sets meet by their rarest
+shingles instead, which is exact too. Any meeting place of more than `crowd` sets is dealt into blocks and every
+pair of blocks is a task. A candidate group is verified in one task if its sets hold at most GROUP_SHINGLES members;
+larger groups are dealt into blocks likewise, so nothing is dropped and no task grows with its group.
+
+Shingles are told apart by 128 bits, made from their words' bytes or cryptographic digests; sets by a digest of all
+of these; rows by a SHA-256 of doc_id and text. A very long text is walked in parts: memory goes with its words.
 
 Defined results: texts without words have an empty set and link with nothing; null doc_ids are never a component's
 name while others are in it; rows equal in doc_id and text get one result; extra columns are ignored by
@@ -22,6 +26,7 @@ name while others are in it; rows equal in doc_id and text get one result; extra
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -43,7 +48,7 @@ MISS = 1e-6
 SIGMAS = 5.0
 ABSORB = 0.92
 GROUP_SHINGLES = 4_000_000
-#: Sets in a band above which it is left to the rarest shingles of its sets.
+#: Sets in a band above which it is left to the rarest shingles of its sets, and sets in a block.
 CROWD = 5_000
 EMPTY = 0xFFFF
 
@@ -91,26 +96,27 @@ def estimate(x: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, perce
     return np.maximum(0, (same / valid - c) / (1 - c)), np.sqrt(t * (1 - t) / valid)
 
 
+def _sets(buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The set of each row, as its shingles' two keys in order."""
+    h, g, first = tx.shingles(buf, offs)
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield tx.members(h[a:b], g[a:b])
+
+
 def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, rk (the row's key), n_shingles, k1 (the set's key), sketch."""
+    """doc_id, rk (the row's key), n_shingles, digest (of both keys of all shingles of the set), sketch."""
     count = width(percent)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
-            h, first = tx.shingles(buf, offs)
-            n, key, sketch = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64), []
-            for r in range(part.num_rows):
-                u = np.unique(h[first[r] : first[r + 1]])
-                n[r] = len(u)
-                key[r] = tx.mix(tx.mix(u).sum(keepdims=True) + tx.U(len(u))).astype(np.int64)[0] if len(u) else 0
-                sketch.append(registers(u, count).tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("rk"), pa.array(n), pa.array(key), pa.array(sketch, pa.binary())], ["doc_id", "rk", "n_shingles", "k1", "sketch"])
-
-    return ut.map_batches(_keyed(docs), run, "doc_id long, rk long, n_shingles long, k1 long, sketch binary")
+            n, key, sketch = [], [], []
+            for h, g in _sets(buf, offs):
+                n.append(len(h))
+                key.append(hashlib.blake2b(np.concatenate([h, g]).tobytes(), digest_size=16).digest())
+                sketch.append(registers(h, count).tobytes())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("rk"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "rk", "n_shingles", "digest", "sketch"])
 
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return ut.only(docs, doc_id="long", text="string").withColumn("rk", F.xxhash64("doc_id", "text"))
+    return ut.map_batches(ut.keyed(docs), run, "doc_id long, rk binary, n_shingles long, digest binary, sketch binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -172,14 +178,13 @@ def _prefixes(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     of each, whatever order all sets have; here the rarest come first, so that what very many documents hold, a line
     or a passage, brings none of them together.
     """
-    texts = _keyed(docs).select("rk", "text").hint("merge").join(members.select("rk", "k1", "n_shingles"), "rk").select("k1", "n_shingles", "text")
+    texts = ut.keyed(docs).select("rk", "text").hint("merge").join(members.select("rk", "k1", "n_shingles"), "rk").select("k1", "n_shingles", "text")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
-            h, first = tx.shingles(buf, offs)
-            sets = [np.unique(h[first[r] : first[r + 1]]) for r in range(part.num_rows)]
+            sets = [h for h, _ in _sets(buf, offs)]
             row = pa.array(np.repeat(np.arange(part.num_rows), [len(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, h[:0]]).view(np.int64)), part.column("k1").take(row), part.column("n_shingles").take(row)], ["band", "k1", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)), part.column("k1").take(row), part.column("n_shingles").take(row)], ["band", "k1", "n"])
 
     rows = ut.materialize(ut.map_batches(texts, run, "band long, k1 long, n long"), "shingles")
     counts = ut.materialize(rows.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "counts")
@@ -187,45 +192,53 @@ def _prefixes(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     # Shingles of one set alone are first in its order; they bring it together with none, but take up places.
     shared = rows.join(counts, "band").withColumn("alone", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k1")))
     last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return shared.withColumn("place", place + F.col("alone")).where(F.col("place") <= last).select("band", "k1")
+    return shared.withColumn("place", place + F.col("alone")).where(F.col("place") <= last).select("band", "k1", "m")
+
 
+def candidate_edges(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, crowd: int = CROWD) -> DataFrame:
+    """(src, dst) of sets whose sketches are close, enough edges to join every group of them.
 
-def candidate_edges(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(src, dst) of sets whose sketches are close, enough edges to join every group of them."""
+    Bands of more than `crowd` sets are left to the rarest shingles of their sets. Whatever brings sets together, a
+    task compares two blocks of it, of about `crowd` sets each.
+    """
     bands = _bands(classes)
     shared = ut.materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bands")
-    met = bands.join(shared.where(F.col("m") <= CROWD).select("band"), "band")
-    if not shared.where(F.col("m") > CROWD).isEmpty():
-        crowded = ut.materialize(bands.join(shared.where(F.col("m") > CROWD).select("band"), "band").select("k1").distinct(), "crowded")
+    met = bands.join(shared.where(F.col("m") <= crowd), "band")
+    if not shared.where(F.col("m") > crowd).isEmpty():
+        crowded = ut.materialize(bands.join(shared.where(F.col("m") > crowd).select("band"), "band").select("k1").distinct(), "crowded")
         met = met.unionByName(_prefixes(docs, classes.join(crowded, "k1"), percent))
+    blocks = F.ceil(F.col("m") / crowd).cast("int")
+    met = met.withColumn("b", F.pmod(F.xxhash64("k1"), blocks).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = met.select(F.xxhash64("band", F.least("b", "c"), F.greatest("b", "c")).alias("task"), "k1")
     rows = met.join(classes.select("k1", "sketch", "n_shingles"), "k1")
     parts = ut.shuffle_parts(classes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, leaders = None, _Leaders(percent)
         for batch in batches:
-            band, ids, size = (batch.column(c).to_numpy().tolist() for c in ("band", "k1", "n_shingles"))
+            task, ids, size = (batch.column(c).to_numpy().tolist() for c in ("task", "k1", "n_shingles"))
             s = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             edges: list[tuple[int, int]] = []
-            for i, b in enumerate(band):
-                if b != key:
-                    key, leaders = b, _Leaders(percent)
+            for i, t in enumerate(task):
+                if t != key:
+                    key, leaders = t, _Leaders(percent)
                 edges += leaders.meet(ids[i], s[i], size[i])
             edges = list(set(edges))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["src", "dst"])
 
-    return rows.select("band", "k1", "n_shingles", "sketch").repartition(parts, "band").sortWithinPartitions("band", "k1").mapInArrow(run, "src long, dst long").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    return rows.select("task", "k1", "n_shingles", "sketch").repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
-def link_components(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """Component (least index) of each set under links of 100 * intersection >= percent * union, decided exactly.
+def link_components(sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PERCENT) -> np.ndarray:
+    """Component (least index) of each set under links of 100 * intersection >= percent * union, decided on both
+    keys of all members of the full sets.
 
     Sets outside the largest component are compared with all others through an inverted index; a pair of two
     components has one such set, and pairs inside a component need no comparing.
     """
     m = len(sets)
-    size = np.array([len(s) for s in sets])
-    _, word = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(h) for h, _ in sets])
+    word = tx.numbered(np.concatenate([h for h, _ in sets]), np.concatenate([g for _, g in sets]))
     owner = np.repeat(np.arange(m), size)
     order = np.argsort(word, kind="stable")
     posting = owner[order]
@@ -264,7 +277,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: i
     dealt = members.withColumn("b", b).withColumn("c", other).select("k1", "rk", "blocks", F.xxhash64("component", F.least("b", "c"), F.greatest("b", "c")).alias("task"))
     dealt = ut.materialize(dealt, "members")
     # Always by shuffle: the members grow with the corpus, so no size of theirs should change the plan.
-    full = dealt.join(_keyed(docs).select("rk", "text").hint("merge"), "rk").select("task", "k1", "blocks", "text")
+    full = dealt.join(ut.keyed(docs).select("rk", "text").hint("merge"), "rk").select("task", "k1", "blocks", "text")
     parts = ut.shuffle_parts(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +292,14 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: i
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for part, buf, offs in tx.pieces(batch, "text"):
-                h, first = tx.shingles(buf, offs)
-                for r, (t, k, blocks) in enumerate(zip(*(part.column(c).to_pylist() for c in ("task", "k1", "blocks")), strict=True)):
+                for own, t, k, blocks in zip(_sets(buf, offs), *(part.column(c).to_pylist() for c in ("task", "k1", "blocks")), strict=True):
                     if t != task:
                         for column, more in zip(out, flush(), strict=True):
                             column += more
                         task, ids, sets, many = t, [], [], blocks > 1
                     if not ids or ids[-1] != k:  # repeated rows follow one another
                         ids.append(k)
-                        sets.append(np.unique(h[first[r] : first[r + 1]]))
+                        sets.append(own)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"])
         out = flush()
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"])
@@ -297,17 +309,20 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: i
     return single if found.where("many").isEmpty() else single.unionByName(ut.connected_components(found.where("many").select("src", "dst")))
 
 
-def components(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
+def components(docs: DataFrame, percent: int = STAGE_PERCENT, crowd: int = CROWD) -> DataFrame:
     """doc_id, rk, n_shingles, component_id of every row; see the module for what links documents."""
     rows = ut.materialize(sketches(docs, percent), "sketches")
-    classes = ut.materialize(rows.where("n_shingles > 0").groupBy("k1").agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    groups = ut.connected_components(candidate_edges(classes, docs, percent))
+    full = rows.where("n_shingles > 0")
+    # The number of a class is drawn as the table is written and read from it ever after.
+    classes = full.groupBy("digest").agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("low"))
+    classes = ut.materialize(classes.withColumn("k1", F.monotonically_increasing_id()), "classes")
+    groups = ut.connected_components(candidate_edges(classes, docs, percent, crowd))
     own = _verified(docs, classes, ut.materialize(groups, "groups"), percent)
     # A class outside every group is its own component.
-    named = rows.where("n_shingles > 0").groupBy("k1").agg(F.min("doc_id").alias("low")).join(own.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    named = classes.select("k1", "digest", "low").join(own.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
     low = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = named.join(low, "component").select("k1", "component_id")
-    full = rows.where("n_shingles > 0").select("doc_id", "rk", "n_shingles", "k1").join(named, "k1").drop("k1")
+    named = named.join(low, "component").select("digest", "component_id")
+    full = full.select("doc_id", "rk", "n_shingles", "digest").join(named, "digest").drop("digest")
     return full.unionByName(rows.where("n_shingles = 0").select("doc_id", "rk", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
@@ -317,7 +332,7 @@ def deduplicate(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     found = ut.materialize(components(docs, percent), "components")
     keep = found.where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())).groupBy("rk").count()
     text = F.col("text").cast("string") if "text" in docs.columns else F.lit(None).cast("string")
-    out = docs.withColumn("__rk", F.xxhash64(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk")).hint("merge"), "__rk")
+    out = docs.withColumn("__rk", ut.row_key(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk")).hint("merge"), "__rk")
     if not keep.where("count > 1").isEmpty():
         out = out.dropDuplicates(["__rk"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

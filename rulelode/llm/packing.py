@@ -16,6 +16,7 @@ an empty table gives an empty result. Cached token ids per worker are bounded by
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -49,6 +50,10 @@ def _class(code: int) -> int:
 
 #: Classes of the code points that the fast splitter knows; texts with others go to the tokenizer whole.
 _CLASS = np.array([_class(c) for c in range(0x250)] + [_RARE] * (0x800 - 0x250), np.int8)
+#: A place between a printed ASCII sign and white space, or between a Chinese letter and its comma or full stop: no
+#: pre-token reaches over it, whatever stands around, so texts may be cut there and tokenised apart.
+_SEAM = re.compile(rb"[!-~](?=[ \n])|[\xe5-\xe9][\x80-\xbf]{2}(?=\xe3\x80\x82|\xef\xbc\x8c)")
+STRIP = 1 << 18
 _SHORT = {ord("s"): b"", ord("t"): b"", ord("m"): b"", ord("d"): b"", ord("r"): b"e", ord("v"): b"e", ord("l"): b"l"}
 
 
@@ -66,13 +71,18 @@ class Encoder:
     def _clear(self) -> None:
         self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.tokens: list[bytes] = []
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lookup(self, h: np.ndarray, start: np.ndarray, end: np.ndarray, raw: bytes) -> np.ndarray:
-        """Cache slots of pre-tokens; encodes those not there yet."""
-        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    def _lookup(self, start: np.ndarray, end: np.ndarray, buf: np.ndarray) -> np.ndarray:
+        """Cache slots of pre-tokens; encodes those not there yet. A slot is reused for equal bytes only."""
+        first, number = tx.distinct(buf, start, end)
+        a, b = start[first], end[first]
+        u, _ = tx.word_keys(buf, a, b)
+        view = memoryview(np.ascontiguousarray(buf))
+        tokens = [bytes(view[s:e]) for s, e in zip(a.tolist(), b.tolist(), strict=True)]
         if len(self.keys) + len(u) > CACHE:
             self._clear()
         at = np.minimum(np.searchsorted(self.keys, u), max(len(self.keys) - 1, 0))
@@ -80,21 +90,47 @@ class Encoder:
         slots = np.empty(len(u), np.int64)
         if known.any():
             slots[known] = self.slot[at[known]]
+            for i in np.flatnonzero(known).tolist():
+                known[i] = self.tokens[slots[i]] == tokens[i]
         new = np.flatnonzero(~known)
         if len(new):
-            ids = self.whole([raw[a:b].decode("utf-8") for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            ids = self.whole([tokens[i].decode("utf-8") for i in new.tolist()])
             size = np.array([len(x) for x in ids], np.int64)
             slots[new] = len(self.size) + np.arange(len(new))
             self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.pool = np.concatenate([self.pool, *ids])
+            self.tokens += [tokens[i] for i in new.tolist()]
             keys, slot = np.concatenate([self.keys, u[new]]), np.concatenate([self.slot, slots[new]])
             order = np.argsort(keys, kind="stable")
             self.keys, self.slot = keys[order], slot[order]
-        return slots[inverse]
+        return slots[number]
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets) of every row."""
+        """(ids, offsets) of every row; rows over STRIP bytes are tokenised in strips cut at seams."""
+        cuts = [0]
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+            if b - a > 2 * STRIP:
+                view, at = memoryview(np.ascontiguousarray(buf[a:b])), STRIP
+                while m := _SEAM.search(view, at, b - a):
+                    cuts.append(a + m.end())
+                    at = m.end() + STRIP
+            cuts.append(b)
+        if len(cuts) == len(offs):
+            return self._encode(buf, offs)
+        inner, ids, total = np.array(cuts, np.int64), [], np.zeros(len(cuts), np.int64)
+        lo = 0
+        while lo < len(inner) - 1:
+            hi = max(lo + 1, int(np.searchsorted(inner, inner[lo] + 4 * STRIP, "right")) - 1)
+            own, at = self._encode(buf[inner[lo] : inner[hi]], inner[lo : hi + 1] - inner[lo])
+            ids.append(own)
+            total[lo + 1 : hi + 1] = total[lo] + at[1:]
+            lo = hi
+        # Rows that are equal in place, as empty ones are, have as many strips as they stand in the list of cuts.
+        last = np.searchsorted(inner, offs[1:], "right") - 1
+        return np.concatenate(ids), np.concatenate([[0], total[last]])
+
+    def _encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(offs) - 1
         raw = buf.tobytes()
         cls = _CLASS[buf]
@@ -116,7 +152,7 @@ class Encoder:
         row = np.searchsorted(offs, start, "right") - 1
         easy = ~odd[row]
         start, end, row = start[easy], end[easy], row[easy]
-        slots = self._lookup(tx.span_hash(tx.prefix(buf), start, end), start, end, raw) if len(start) else np.zeros(0, np.int64)
+        slots = self._lookup(start, end, buf) if len(start) else np.zeros(0, np.int64)
         size = self.size[slots]
         total = np.bincount(row, size, n).astype(np.int64)
         stop = np.cumsum(size)

@@ -3,22 +3,26 @@
 A string of LENGTH bytes repeats if it starts at two places. Two equal strings hold the same anchor: of all GRAM-byte
 strings inside a window the one of least hash, the first of equals. A maximal run of windows with one anchor is a
 stretch of at most 2 * LENGTH bytes; there is about one for 77 bytes of text. Only anchors that occur twice can
-belong to a repeat, which leaves the repeated part of the corpus. There,
- * stretches equal as a whole, the inside of every long repeat, are one class: its members are repeats throughout;
- * classes that share an anchor but differ, at the ends of repeats, send one stretch each to a suffix array of the
-   anchor's group. Suffixes are ranked by prefix doubling up to LENGTH bytes; a run of equal ranks is a run of
-   suffixes with longest common prefix of LENGTH or more. In it, a suffix with a smaller position before it (previous
-   smaller value) or after it (next smaller value) in suffix order has a longest previous factor of LENGTH or more:
-   it is a later copy. What has neither, in a run of two or more, is the first.
-`keep="first"` removes later copies only, `keep="none"` every copy.
-
-Scale: anchors shuffle as four numbers each; counts are combined before they are shuffled; classes of equal stretches
+belong to a repeat, which leaves the repeated part of the corpus. There, stretches with one anchor are a group, and
+those of a group that are equal as a whole, the inside of every long repeat, are one class. Of every class the first
+member's stretch, and the last one's if there are several, go to a suffix array of the group. Suffixes are ranked by
+prefix doubling up to LENGTH bytes; a run of equal ranks is a run of suffixes with longest common prefix of LENGTH or
+more. In it, a suffix with a smaller position before it (previous smaller value) or after it (next smaller value) in
+suffix order has a longest previous factor of LENGTH or more: it is a later copy. What has neither, in a run of two
+or more, is the first. These factors decide every removed byte; what they say of a class's last member holds for all
+members but the first, whose bytes are the same. `keep="first"` removes later copies only, `keep="none"` every copy.
+
+Classes are told apart by 128-bit cryptographic digests of their bytes, rows by a SHA-256 of doc_id and text.
+
+Scale: anchors shuffle as their hash, digest, row and place; counts are combined before they are shuffled; classes
 collapse copies, however many; a group of more than GROUP classes is dealt into blocks, and every pair of blocks
-is a task. Texts are shuffled once to cut stretches and once to remove what was found.
+is a task. Texts are shuffled once to cut stretches and once to remove what was found. A very long text is walked in
+strips; stretches over a seam become two, which still share their anchors with their copies elsewhere.
 
 Defined results: null and empty texts have nothing to remove; matches never cross documents; rows equal in doc_id
-and text are copies of each other, but share one result, so keep="first" keeps both; order of copies is by doc_id, then by a hash of the row, then by place; extra
-columns are ignored; an empty table gives an empty result.
+and text are copies of each other, but share one result, so keep="first" keeps both; ties between copies are broken
+by doc_id (null last), then by a hash of the row, then by place; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -38,16 +42,17 @@ GRAM = 48
 GROUP = 20_000
 #: Bytes of stretches that one suffix array holds; groups are kept whole.
 ARRAY_BYTES = 2 << 20
+#: Bytes of a very long text whose anchors are found at once.
+STRIP = 1 << 20
 
 
-def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, stretch hash, start, windows, anchor's place in the stretch) of the stretches of all rows."""
+def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, start, windows, anchor's place in the stretch) of the stretches of all rows."""
     m = len(buf) - length + 1
     if m < 1:
         z = np.zeros(0, np.int64)
-        return z.astype(np.uint64), z.astype(np.uint64), z, z, z
-    pre = tx.prefix(buf)
-    kh = tx.mix((pre[gram:] - pre[:-gram]) * tx._powers(len(buf), "down")[: len(buf) - gram + 1] + tx.U(gram))
+        return z.astype(np.uint64), z, z, z
+    kh = tx.rolling(buf, gram)
     key = kh & tx.U(0xFFFFFFFF00000000) | np.arange(len(kh), dtype=np.uint64)
     span, width = 1, length - gram + 1
     while 2 * span <= width:
@@ -57,8 +62,7 @@ def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int =
         key = np.minimum(key[: len(key) - (width - span)], key[width - span :])
     at = (key & tx.U(0xFFFFFFFF)).astype(np.int64)
     edges = np.zeros(m + 1, np.int32)
-    size = np.diff(offs)
-    long = size >= length
+    long = np.diff(offs) >= length
     np.add.at(edges, offs[:-1][long], 1)
     np.add.at(edges, np.minimum(offs[1:][long] - length + 1, m), -1)
     valid = np.cumsum(edges[:m]) > 0
@@ -66,12 +70,21 @@ def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int =
     new[1:] &= (at[1:] != at[:-1]) | ~valid[:-1]
     start = np.flatnonzero(new)
     if not len(start):
-        return kh[:0], kh[:0], start, start, start
+        return kh[:0], start, start, start
     seen = np.cumsum(valid)
     windows = np.diff(np.append(seen[start] - 1, seen[-1]))
-    place = at[start] - start
-    stretch = tx.span_hash(pre, start, start + windows + length - 1) ^ tx.mix(place.astype(np.uint64) + tx.U(1))
-    return kh[at[start]], stretch, start, windows, place
+    return kh[at[start]], start, windows, at[start] - start
+
+
+def strips(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(where it begins, bytes, offsets): the buffer as it is, or one very long row in strips that share length - 1
+    bytes, so that every window lies in one strip. A stretch over the seam of two strips becomes two."""
+    if len(offs) != 2 or len(buf) <= 2 * STRIP:
+        yield 0, buf, offs
+        return
+    for lo in range(0, len(buf), STRIP):
+        own = buf[lo : lo + STRIP + length - 1]
+        yield lo, own, np.array([0, len(own)], np.int64)
 
 
 def _rank(v: np.ndarray) -> np.ndarray:
@@ -96,17 +109,18 @@ def suffix_ranks(buf: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return rank
 
 
-def previous_factors(rank: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(has an earlier equal, has any other equal) of suffixes, from their ranks and positions in the text.
+def previous_factors(rank: np.ndarray, position: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(longest previous factor, longest factor that occurs at any other position) of suffixes, cut at `length`: the
+    ranks tell of `length` bytes and no less, so what is shorter counts as 0.
 
     The longest previous factor of a suffix is the longer of its common prefixes with two others: the last before it
-    and the first after it, in suffix order, whose positions are smaller. With prefixes cut at the ranks' length it
-    is full exactly if one of the two lies in the same run of equal ranks.
+    and the first after it, in suffix order, whose positions are smaller. Cut at the ranks' length it is full exactly
+    if one of the two lies in the same run of equal ranks.
     """
     order = np.argsort(rank, kind="stable")
     r, p = rank[order], position[order].astype(np.int64)
     n = len(r)
-    earlier, other = np.zeros(n, bool), np.zeros(n, bool)
+    earlier, other = np.zeros(n, np.int64), np.zeros(n, np.int64)
     if n:
         same = r[1:] == r[:-1]
         run = np.concatenate([[0], np.cumsum(~same)])
@@ -115,104 +129,116 @@ def previous_factors(rank: np.ndarray, position: np.ndarray) -> tuple[np.ndarray
         down, up = p + (run[-1] - run) * step, p + run * step
         previous_smaller = np.concatenate([[False], np.minimum.accumulate(down)[:-1] < down[1:]])
         next_smaller = np.concatenate([np.minimum.accumulate(up[::-1])[::-1][1:] < up[:-1], [False]])
-        earlier[order] = previous_smaller | next_smaller
+        earlier[order] = length * (previous_smaller | next_smaller)
         # A place that stands twice, as blocks of one group may meet in one array, is not its own copy.
         above_before = np.concatenate([[False], np.maximum.accumulate(up)[:-1] > up[1:]])
         above_after = np.concatenate([np.maximum.accumulate(down[::-1])[::-1][1:] > down[:-1], [False]])
-        other[order] = previous_smaller | next_smaller | above_before | above_after
+        other[order] = length * (previous_smaller | next_smaller | above_before | above_after)
     return earlier, other
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return ut.only(docs, doc_id="long", text="string").withColumn("rk", F.xxhash64("doc_id", "text"))
-
-
-def _anchor_rows(keyed: DataFrame, whole: bool, ordered: bool) -> DataFrame:
-    """h of every stretch; with `whole` also g, the row's order and key, and at: start, windows and place in one number."""
+def _anchor_rows(keyed: DataFrame, whole: bool, ordered: bool, length: int) -> DataFrame:
+    """h of every stretch; with `whole` also g (a digest of its bytes), the row's order and key, and at: start,
+    windows and place in one number."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part, buf, offs in tx.pieces(batch, "text"):
-            h, g, start, windows, place = anchors(buf, offs)
-            if not whole:
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
-                continue
-            row = np.searchsorted(offs, start, "right") - 1
-            at = start - offs[row] << 16 | windows << 8 | place
-            order = part.column("doc_id").take(pa.array(row)) if ordered else pa.array(np.zeros(len(row), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), order, part.column("rk").take(pa.array(row)), pa.array(at)], ["h", "g", "o", "rk", "at"])
-
-    return ut.map_batches(keyed, run, "h long, g long, o long, rk long, at long" if whole else "h long")
+        for part, whole_buf, whole_offs in tx.pieces(batch, "text"):
+            for base, buf, offs in strips(whole_buf, whole_offs, length):
+                h, start, windows, place = anchors(buf, offs, length)
+                if not whole:
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+                    continue
+                row = np.searchsorted(offs, start, "right") - 1
+                at = start + base - offs[row] << 16 | windows << 8 | place
+                g = tx.digests(np.ascontiguousarray(buf), start, start + windows + length - 1)
+                order = part.column("doc_id").fill_null(np.iinfo(np.int64).max).take(pa.array(row)) if ordered else pa.array(np.zeros(len(row), np.int64))
+                g = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(g), [None, pa.py_buffer(g.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), g, order, part.column("rk").take(pa.array(row)), pa.array(at)], ["h", "g", "o", "rk", "at"])
+
+    return ut.map_batches(keyed, run, "h long, g binary, o long, rk binary, at long" if whole else "h long")
 
 
 def _array_input(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """Stretches of the classes that share an anchor with another: task, o, rk, at, n, bytes."""
-    several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").withColumn("blocks", F.ceil(F.col("kinds") / GROUP).cast("int")).drop("kinds")
-    some = classes.join(several, "h").withColumn("b", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    some = some.select(F.xxhash64("h", F.least("b", "c"), F.greatest("b", "c")).alias("task"), F.col("first.o").alias("o"), F.col("first.rk").alias("rk"), F.col("first.at").alias("at"), "n")
-    wanted = some.groupBy("rk").agg(F.collect_list(F.struct("task", "o", "at", "n")).alias("cuts"))
+    """For every class the stretch of its first member, and that of its last if there is more than one: task, c (the
+    class), copy (0 or 1), o, rk, at, stretch."""
+    blocks = classes.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
+    some = classes.join(blocks, "h").withColumn("b", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    some = some.withColumn("task", F.xxhash64("h", F.least("b", "to"), F.greatest("b", "to")))
+    one = F.struct(F.lit(0).alias("copy"), F.col("first").alias("x"))
+    two = F.struct(F.lit(1).alias("copy"), F.col("last").alias("x"))
+    some = some.select("task", "c", F.explode(F.when(F.col("n") > 1, F.array(one, two)).otherwise(F.array(one))).alias("m"))
+    some = some.select("task", "c", "m.copy", F.col("m.x.o").alias("o"), F.col("m.x.rk").alias("rk"), F.col("m.x.at").alias("at"))
+    wanted = some.groupBy("rk").agg(F.collect_list(F.struct("task", "c", "copy", "o", "at")).alias("cuts"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
             lists = part.column("cuts")
             flat = lists.flatten()
-            task, order, at, n = (flat.field(k) for k in ("task", "o", "at", "n"))
             row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-            a = at.to_numpy()
-            begin = (a >> 16) + offs[row]
-            raw = buf.tobytes()
-            cut = [raw[s : s + w + length - 1] for s, w in zip(begin.tolist(), (a >> 8 & 255).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([task, order, part.column("rk").take(pa.array(row)), at, n, pa.array(cut, pa.binary())], ["task", "o", "rk", "at", "n", "stretch"])
+            view = memoryview(np.ascontiguousarray(buf))
+            for lo in range(0, len(row), 50_000):
+                task, c, copy, order, at = (flat.field(k).slice(lo, 50_000) for k in ("task", "c", "copy", "o", "at"))
+                own = row[lo : lo + 50_000]
+                a = at.to_numpy()
+                begin = (a >> 16) + offs[own]
+                cut = [bytes(view[s : s + w + length - 1]) for s, w in zip(begin.tolist(), (a >> 8 & 255).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([task, c, copy, order, part.column("rk").take(pa.array(own)), at, pa.array(cut, pa.binary())], ["task", "c", "copy", "o", "rk", "at", "stretch"])
 
-    return ut.map_batches(keyed.select("rk", "text").join(wanted, "rk"), run, "task long, o long, rk long, at long, n long, stretch binary")
+    return ut.map_batches(keyed.select("rk", "text").join(wanted, "rk"), run, "task long, c long, copy int, o long, rk binary, at long, stretch binary")
 
 
 def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
-    """(rk, a, b): what the suffix arrays of the groups find, as byte spans of single rows."""
+    """(c, copy, rk, at, a, b): the runs of bytes that the suffix arrays find repeated, from the stretch's start."""
     parts = ut.shuffle_parts(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in ut.key_groups(batches, "task", ARRAY_BYTES):
+            table = table.combine_chunks()
             column = table.column("stretch").combine_chunks()
             column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
             buf, offs = tx.buffers(column)
-            at, n, rk = (table.column(c).to_numpy() for c in ("at", "n", "rk"))
-            order = table.column("o").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy()
+            at, copy = (table.column(c).to_numpy() for c in ("at", "copy"))
+            rk = np.unique(np.array(table.column("rk").to_pylist(), "S16"), return_inverse=True)[1]
+            order = table.column("o").to_numpy()
             windows = at >> 8 & 255
             row = np.repeat(np.arange(len(at)), windows)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+            # Rows that are equal share their places if later copies go; if all go, they are copies of each other.
+            twin = copy if keep == "none" else np.zeros(len(at), copy.dtype)
             place = np.empty(len(at), np.int64)
-            by = np.lexsort((at, rk, order))
-            place[by] = np.cumsum(np.concatenate([[False], (at[by][1:] != at[by][:-1]) | (rk[by][1:] != rk[by][:-1])]))
+            by = np.lexsort((twin, at, rk, order))
+            place[by] = np.cumsum(np.concatenate([[False], (at[by][1:] != at[by][:-1]) | (rk[by][1:] != rk[by][:-1]) | (twin[by][1:] != twin[by][:-1])]))
             rank = suffix_ranks(buf, length)[offs[row] + inside]
-            if keep == "first":
-                hit, _ = previous_factors(rank, place[row] << 8 | inside)
-            else:
-                _, hit = previous_factors(rank, place[row] << 8 | inside)
-                hit &= n[row] == 1
+            factors = previous_factors(rank, place[row] << 8 | inside, length)
+            hit = factors[0 if keep == "first" else 1] >= length
             begin = hit & ~np.concatenate([[False], hit[:-1] & (row[1:] == row[:-1])])
             end = hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])
             s, e = np.flatnonzero(begin), np.flatnonzero(end)
-            base = (at >> 16)[row[s]]
-            yield pa.RecordBatch.from_arrays([pa.array(rk[row[s]]), pa.array(base + inside[s]), pa.array(base + inside[e] + length)], ["rk", "a", "b"])
+            own = pa.array(row[s])
+            yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks().take(own) for c in ("c", "copy", "rk", "at")), pa.array(inside[s]), pa.array(inside[e] + length)], ["c", "copy", "rk", "at", "a", "b"])
 
-    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "rk long, a long, b long")
+    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "c long, copy int, rk binary, at long, a long, b long")
 
 
 def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -> DataFrame:
     """(rk, spans): byte spans to remove of each row that has any, by the row's key; spans may touch and overlap."""
-    keyed = _keyed(docs)
+    keyed = ut.keyed(docs)
     # Written before it is joined: a join of two plain exchanges can be split where one anchor is very frequent.
-    twice = ut.materialize(_anchor_rows(keyed, False, False).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent")
-    some = ut.materialize(_anchor_rows(keyed, True, keep == "first").join(twice, "h", "left_semi"), "anchors")
-    classes = ut.materialize(some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "rk", "at")).alias("first")), "stretches")
-    found = _array_spans(_array_input(keyed, classes, length), length, keep)
-    equal = some.select("g", "h", "o", "rk", "at").join(classes.where("n > 1").select("g", "h", "first"), ["h", "g"])
-    if keep == "first":
-        equal = equal.where(~F.struct("o", "rk", "at").eqNullSafe(F.col("first")))
+    twice = ut.materialize(_anchor_rows(keyed, False, False, length).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent")
+    some = ut.materialize(_anchor_rows(keyed, True, keep == "first", length).join(twice, "h", "left_semi"), "anchors")
+    member = F.struct("o", "rk", "at")
+    classes = some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("first"), F.max(member).alias("last"))
+    classes = ut.materialize(classes.withColumn("c", F.monotonically_increasing_id()), "stretches")
+    found = ut.materialize(_array_spans(_array_input(keyed, classes, length), length, keep), "factors")
     start = F.shiftright("at", 16)
-    whole = equal.select("rk", start.alias("a"), (start + F.shiftright("at", 8).bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("b"))
-    spans = found.unionByName(whole)
-    return ut.materialize(spans.groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
+    own = found.where("copy = 0").select("rk", (start + F.col("a")).alias("a"), (start + F.col("b")).alias("b"))
+    # What holds for a class's last member holds for all but its first: they hold the same bytes and come after it.
+    later = found.where("copy = 1").select("c", "a", "b").distinct().join(classes.select("c", "h", "g", "first"), "c").withColumnsRenamed({"a": "x", "b": "y"})
+    rest = some.join(ut.materialize(later, "later"), ["h", "g"])
+    if keep == "first":
+        rest = rest.where(~member.eqNullSafe(F.col("first")))
+    rest = ut.materialize(rest.select("rk", (start + F.col("x")).alias("a"), (start + F.col("y")).alias("b")), "members")
+    return ut.materialize(own.unionByName(rest).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
 
 
 def _merged(lists: pa.ListArray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,7 +278,7 @@ def remove_repeats(docs: DataFrame, keep: str = "first", length: int = LENGTH) -
                 kept[r] = b"".join([*parts, own[at:]])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed), pa.array(np.diff(first)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return ut.map_batches(_keyed(docs).join(spans, "rk", "left").select("doc_id", "text", "spans"), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return ut.map_batches(ut.keyed(docs).join(spans, "rk", "left").select("doc_id", "text", "spans"), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,15 +4,16 @@ Each of several tables hashes a vector to the signs of its products with `bits`
 cosine 0.95 differ in sign about one hyperplane in ten; with the number of tables from `tables_for` they miss each
 other in all tables with probability MISS. Whoever shares a bucket is compared by exact cosine in double precision.
 A linked pair counts in the first table whose bucket it shares, so that links are counted once without any list of
-pairs: a bucket gives sums per vector and one edge per vector to its group.
+pairs: a bucket gives sums per vector and one edge per vector to its group. Signs are taken of products of whole
+numbers, exact in double precision, so they come out alike wherever they are computed.
 
-Scale: equal vectors are one class with a weight; bits grow with the number of classes, so that unlike vectors
-rarely meet; buckets of one class end before vectors are shuffled; a bucket over BUCKET classes is dealt into
-blocks, and every pair of blocks is a task of its own.
+Scale: equal vectors are one class with a weight; bits grow with the number of classes, without an end, so that
+unlike vectors rarely meet; buckets of one class end before vectors are shuffled; a bucket over BUCKET classes is
+dealt into blocks, and every pair of blocks is a task of its own.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing;
-vectors of different length never link; rows that repeat a vec_id are rows of their own; labels and extra columns
-are ignored; an empty table gives an empty result.
+vectors of different length never link; rows that repeat a vec_id are rows of their own; a cosine of exactly the
+threshold links; labels and extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,12 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulelode.llm import _text as tx
 from rulelode.llm import _util as ut
 
 COSINE = 0.95
 MISS = 1e-5
 BUCKET = 8192
+#: Bits of a bucket's number beyond those that count the classes: one vector in 2 ** SPARE meets an unlike one in a table.
+SPARE = 5
 SEED = 95
+#: Whole numbers for components of unit vectors and of hyperplanes: products of up to 2 ** 18 components stay exact.
+_GRID, _PLANE = 1 << 24, 64
+#: Rows of a bucket up to which pairs are listed at once for many buckets.
+_SMALL = 32
 TASK_BYTES = 8 << 20
 
 
@@ -48,21 +56,24 @@ def unit(flat: np.ndarray, dim: int) -> np.ndarray:
 
 def signatures(x: np.ndarray, bits: int, tables: int, seed: int = SEED) -> np.ndarray:
     """Bucket numbers (row, table) of unit vectors."""
-    planes = np.random.default_rng([seed, x.shape[1], bits, tables]).standard_normal((x.shape[1], bits * tables))
-    signs = (x @ planes > 0).reshape(len(x), tables, bits)
+    planes = np.rint(np.random.default_rng([seed, x.shape[1], bits, tables]).standard_normal((x.shape[1], bits * tables)) * _PLANE)
+    signs = (np.rint(x * _GRID) @ planes > 0).reshape(len(x), tables, bits)
     return (signs * (1 << np.arange(bits, dtype=np.int64))).sum(2)
 
 
 def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows: vec_id, k, ok; classes: k, weight, dim, v)."""
+    """(rows: vec_id, ok, two hashes of the vector; classes of equal hashes: k, weight, dim, v, low)."""
     kind = dict(vectors.dtypes).get("embedding", "array<double>")
     kind = kind if kind == "array<float>" else "array<double>"
     own = ut.only(vectors, vec_id="long", embedding=kind)
     good = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     ok = F.coalesce(F.forall("embedding", good) & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    rows = own.withColumn("ok", ok).withColumn("k", F.when(F.col("ok"), F.xxhash64(F.size("embedding"), "embedding")))
-    classes = rows.where("ok").groupBy("k").agg(F.count(F.lit(1)).alias("weight"), F.min("embedding").alias("v"))
-    return rows.select("vec_id", "k", "ok"), ut.materialize(classes.select("k", "weight", F.size("v").alias("dim"), "v"), "vectors")
+    hashes = {f"h{seed}": F.when(F.col("ok"), F.xxhash64(F.lit(seed), F.size("embedding"), "embedding")) for seed in (1, 2)}
+    rows = own.withColumn("ok", ok).withColumns(hashes)
+    classes = rows.where("ok").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"), F.first("embedding").alias("v"))
+    # The number of a class is drawn as the table is written and read from it ever after.
+    classes = classes.select(F.monotonically_increasing_id().alias("k"), "h1", "h2", "weight", "low", F.size("v").alias("dim"), "v")
+    return rows.select("vec_id", "h1", "h2", "ok"), ut.materialize(classes, "vectors")
 
 
 def _each_dim(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -80,8 +91,8 @@ def _buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
             k = part.column("k").to_numpy()
             for at, x in _each_dim(part):
                 s = signatures(x, bits, tables)
-                bucket = (s * tables + np.arange(tables)) * 65536 + x.shape[1] % 65536
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel()), pa.array(np.repeat(k[at], tables)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at)))], ["bucket", "k", "t"])
+                bucket = tx.mix(tx.mix(s.astype(np.uint64) + np.uint64(x.shape[1] << 48)) + np.arange(tables, dtype=np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64).ravel()), pa.array(np.repeat(k[at], tables)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at)))], ["bucket", "k", "t"])
 
     return ut.map_batches(classes.select("k", "dim", "v"), run, "bucket long, k long, t int")
 
@@ -107,9 +118,21 @@ def _compared(rows: DataFrame, bits: int, tables: int, cosine: float) -> DataFra
 
     def pairs(x: np.ndarray, block: np.ndarray, group: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        for lo, hi in zip(begin, np.append(begin[1:], len(group)), strict=True):
-            if hi - lo < 2:
-                continue
+        size = np.diff(np.append(begin, len(group)))
+        last = np.repeat(begin + size, size)
+        small = np.repeat(size <= _SMALL, size)
+        # Small buckets all at once: every row with the one `step` rows further on, while that is in its bucket.
+        for step in range(1, _SMALL):
+            i = np.flatnonzero(small[: max(len(group) - step, 0)] & (np.arange(max(len(group) - step, 0)) + step < last[: max(len(group) - step, 0)]))
+            if not len(i):
+                break
+            for lo in range(0, len(i), 65_536):
+                p = i[lo : lo + 65_536]
+                p = p[np.einsum("ij,ij->i", x[p], x[p + step]) >= cosine]
+                p = p[~cross[p] | (block[p] != block[p + step])]
+                if len(p):
+                    yield p, p + step
+        for lo, hi in zip(begin[size > _SMALL].tolist(), (begin + size)[size > _SMALL].tolist(), strict=True):
             for s in range(lo, hi, 1024):
                 i, j = np.nonzero(x[s : min(s + 1024, hi)] @ x[s:hi].T >= cosine)
                 own = j > i
@@ -160,21 +183,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     rows, classes = _classes(vectors)
     n = max(classes.count(), 1)
-    bits = min(max(math.ceil(math.log2(n)) + 3, 8), 26)
+    bits = max(math.ceil(math.log2(n)) + SPARE, 8)
     tables = tables_for(bits, cosine)
     buckets = _buckets(classes, bits, tables)
     counts = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("blocks", F.ceil(F.col("m") / BUCKET).cast("int")).drop("m")
     met = buckets.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(F.xxhash64("bucket", F.least("block", "c"), F.greatest("block", "c")).alias("task"), "k", "t", "block", (F.col("block") != F.col("c")).alias("cross"))
-    found = ut.materialize(_compared(met.join(classes, "k"), bits, tables, cosine), "cosines")
+    found = ut.materialize(_compared(met.join(classes.select("k", "weight", "dim", "v"), "k"), bits, tables, cosine), "cosines")
     joined = ut.materialize(ut.connected_components(found.select(F.col("k").alias("src"), F.col("to").alias("dst"))), "components")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
-    per_class = classes.select("k", "weight").join(links, "k", "left").join(joined.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k"))
-    low = rows.where("ok").groupBy("k").agg(F.min("vec_id").alias("low"))
-    per_class = per_class.join(low, "k")
+    per_class = classes.select("k", "h1", "h2", "weight", "low").join(links, "k", "left").join(joined.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k"))
     names = per_class.groupBy("component").agg(F.min("low").alias("component_id"))
-    per_class = per_class.join(names, "component").select("k", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
-    linked = rows.where("ok").join(per_class, "k").select("vec_id", "n_links", "component_id")
+    per_class = per_class.join(names, "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    linked = rows.where("ok").join(per_class, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

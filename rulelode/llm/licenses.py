@@ -1,18 +1,20 @@
 """License scans: Dice coefficient over word bigrams against licence templates.
 
-A text is normalised to its runs of lower-case letters and digits. Each template is compared with the whole text,
-if its size lets the coefficient reach the threshold at all, and with every stretch of the text as long as itself
-that begins with one of its bigrams. Templates are pruned per document by size bounds: 2*I/(a+b) >= t needs
-b between a*t/(2-t) and a*(2-t)/t, and a stretch needs I >= t*b, so a document with fewer kinds of a template's
-bigrams than that is never compared with it.
+A text is normalised to its runs of lower-case letters and digits. Each template is compared with the whole text and
+with stretches of it: those that begin with one of the template's bigrams and end with the last one within the
+template's length, or within the greatest length of the size bound. The coefficient is 2*I/(a+b) of the kinds of
+bigrams of template and stretch. Templates are pruned per document by size bounds: 2*I/(a+b) >= t needs b between
+a*t/(2-t) and a*(2-t)/t, and as b >= I, it needs I >= a*t/(2-t), so a document with fewer kinds of a template's bigrams
+than that is never compared with it. Bodies of long licences can be given as files, see `read_templates`.
 
 Overlapping matches keep the one of higher coefficient, then the longer, then the first in order of templates.
 Defined results: null and empty texts match nothing; repeated rows match alike; extra columns are ignored; an
-empty table gives an empty result.
+empty table gives an empty result. A very long text is walked in parts; memory goes with its words.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 
@@ -20,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rulelode.llm import _text as tx
 from rulelode.llm import _util as ut
@@ -80,22 +83,17 @@ _WORD[128:] = True
 
 
 def bigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, number in its row, words of each row) of the word bigrams of normalised texts."""
+    """(key, row, number in its row, words of each row) of the word bigrams of normalised texts."""
     buf, offs = tx.buffers(pc.utf8_lower(column))
-    ink = _WORD[buf]
-    edge = np.zeros(len(buf) + 1, bool)
-    edge[offs] = True
-    prev, after = np.zeros(len(buf), bool), np.zeros(len(buf), bool)
-    prev[1:], after[:-1] = ink[:-1], ink[1:]
-    start = np.flatnonzero(ink & (~prev | edge[:-1]))
-    end = np.flatnonzero(ink & (~after | edge[1:])) + 1
+    start, end = tx.runs(_WORD, buf, offs)
     first = np.searchsorted(start, offs)
     n = np.diff(first)
     if len(start) < 2:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), n
-    h = tx.span_hash(tx.prefix(buf), start, end)
+    h, g = tx.word_keys(buf, start, end)
     row = np.repeat(np.arange(len(n)), n)
-    two = tx.mix(h[:-1] * tx.U(0x9E3779B97F4A7C15) + tx.mix(h[1:]))
+    # Either word gives another one of its keys: a bigram is not mistaken for its reverse.
+    two = tx.mix(h[:-1] * tx.U(0x9E3779B97F4A7C15) + g[1:])
     at = np.flatnonzero(row[1:] == row[:-1])
     return two[at], row[at], at - first[row[at]], n
 
@@ -122,53 +120,74 @@ class Matcher:
         if not len(hit):
             return out
         begin = np.flatnonzero(np.concatenate([[True], row[hit][1:] != row[hit][:-1]]))
-        kinds = None
+        at = np.searchsorted(row, np.arange(len(column) + 1))
         for a, b in zip(begin, np.append(begin[1:], len(hit)), strict=True):
             r = int(row[hit[a]])
+            own_row = h[at[r] : at[r + 1]]
             seen: dict[int, list[tuple[int, int]]] = {}
             for j, key in zip(number[hit[a:b]].tolist(), k[hit[a:b]].tolist(), strict=True):
                 for t in self.owners[key]:
                     seen.setdefault(t, []).append((j, key))
             found = []
             for t, own in seen.items():
-                size = len(self.sets[t])
-                if len({key for _, key in own}) < math.ceil(self.threshold * size / 2):
+                size, kinds = len(self.sets[t]), len({key for _, key in own})
+                if kinds < self._least(size):
                     continue
-                found += self._stretches(t, own)
+                found += self._stretches(t, own, own_row)
                 lo, hi = size * self.threshold / (2 - self.threshold), size * (2 - self.threshold) / self.threshold
-                if n_words[r] - 1 >= lo and n_words[r] <= 4 * hi:
-                    if kinds is None:
-                        kinds = np.searchsorted(row, np.arange(len(column) + 1))
-                    whole = len(np.unique(h[kinds[r] : kinds[r + 1]]))
-                    if lo <= whole <= hi:
-                        dice = 2 * len({key for _, key in own}) / (whole + size)
-                        if dice >= self.threshold:
-                            found.append((0, int(n_words[r]), t, dice))
-            taken: list[tuple[int, int, int, float]] = []
-            for m in sorted(found, key=lambda m: (-m[3], m[0] - m[1], m[2], m[0])):
-                if all(m[1] <= x[0] or x[1] <= m[0] for x in taken):
-                    taken.append(m)
-            out[r] = sorted(taken)
+                if len(own_row) >= lo:
+                    whole = len(np.unique(own_row))
+                    if lo <= whole <= hi and 2 * kinds >= self.threshold * (whole + size):
+                        found.append((0, int(n_words[r]), t, 2 * kinds / (whole + size)))
+            out[r] = apart(found)
         return out
 
-    def _stretches(self, t: int, own: list[tuple[int, int]]) -> list[tuple[int, int, int, float]]:
-        size, span = len(self.sets[t]), self.words[t] - 1
-        need = math.ceil(self.threshold * size)
-        inside: dict[int, int] = {}
-        end, out = 0, []
-        for i, (start, _) in enumerate(own):
-            while end < len(own) and own[end][0] < start + span:
-                inside[own[end][1]] = inside.get(own[end][1], 0) + 1
-                end += 1
-            if len(inside) >= need:
-                out.append((start, start + span + 1, t, 2 * len(inside) / (size + size)))
-            key = own[i][1]
-            inside[key] -= 1
-            if not inside[key]:
-                del inside[key]
+    def _least(self, size: int) -> int:
+        """Common bigrams without which no text reaches the threshold: 2 * i / (size + kinds) with kinds >= i."""
+        return math.ceil(self.threshold * size / (2 - self.threshold) - 1e-9)
+
+    def _stretches(self, t: int, own: list[tuple[int, int]], row: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """Stretches that begin with a bigram of the template and end with the last one within the template's length,
+        or within the greatest length at which a text of distinct bigrams can still reach the threshold."""
+        size = len(self.sets[t])
+        need = self._least(size)
+        out = []
+        for span in sorted({self.words[t] - 1, int(size * (2 - self.threshold) / self.threshold)}):
+            inside: dict[int, int] = {}
+            end = 0
+            for i, (start, key) in enumerate(own):
+                while end < len(own) and own[end][0] < start + span:
+                    inside[own[end][1]] = inside.get(own[end][1], 0) + 1
+                    end += 1
+                if len(inside) >= need:
+                    stop = own[end - 1][0] + 1
+                    kinds = len(np.unique(row[start:stop]))
+                    if 2 * len(inside) >= self.threshold * (kinds + size):
+                        out.append((start, stop + 1, t, 2 * len(inside) / (kinds + size)))
+                inside[key] -= 1
+                if not inside[key]:
+                    del inside[key]
         return out
 
 
+def apart(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """Of overlapping matches the one of higher coefficient, then the longer, then the first template, then the first place."""
+    starts: list[int] = []
+    taken: list[tuple[int, int, int, float]] = []
+    for m in sorted(set(found), key=lambda m: (-m[3], m[0] - m[1], m[2], m[0])):
+        i = bisect.bisect_left(starts, m[0])
+        if (i == 0 or taken[i - 1][1] <= m[0]) and (i == len(starts) or m[1] <= starts[i]):
+            starts.insert(i, m[0])
+            taken.insert(i, m)
+    return taken
+
+
+def read_templates(spark: SparkSession, folder: str) -> tuple[tuple[str, str], ...]:
+    """Templates beside TEMPLATES: the text files of a folder, each named by its licence (LICENCE.txt), whole."""
+    files = spark.read.text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.txt)?$", 1).alias("name"), "value")
+    return tuple((r["name"], r["value"]) for r in files.orderBy("name").collect())
+
+
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license (of the best match, or null), dice, n_matches, matches (array of license, first word, end word, dice)."""
     kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("dice", pa.float64())]))

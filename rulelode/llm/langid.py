@@ -6,10 +6,13 @@ by the out-of-place distance: the sum, over the document's n-grams, of how far a
 and TOP for an n-gram that the language's profile lacks. The nearest language wins.
 
 Profiles are fitted on a bounded sample of labelled rows: at most `per_language` documents of each language, those
-of least hash. Whole texts are used, in fitting and in prediction; n-grams are counted per word of the alphabet.
+of least hash, and about SAMPLE_ROWS in all, but one at least of every language. Executors count the n-grams of the
+sample's whole texts; what reaches the driver is TOP n-grams of each language. A letter is any of Unicode's, in
+lower case; three of them fit one 64-bit number. A very long text is counted in parts.
 
 Defined results: a null text, and one without a letter, is `und` with score 0; without any labelled row all are
-`und`; ties go to the language first by code point; extra columns are ignored; an empty table gives an empty result.
+`und`; ties go to the language first by code point, of n-grams to the one first by its letters; repeated rows get the
+same prediction; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,58 +29,55 @@ from rulelode.llm import _util as ut
 
 TOP = 300
 PER_LANGUAGE = 1500
-#: Rows of the sample in all.
+#: Rows of the sample in all, where there are no more languages than that.
 SAMPLE_ROWS = 8000
-#: A limit on the languages learned, the most frequent ones; it bounds the sample as a whole.
-LANGUAGES = 400
+#: Code points of a text whose n-grams are counted at once.
+PART = 1 << 20
 UNKNOWN = "und"
-#: Letters get codes up to 1021, so that three of them fit one 32-bit key; others share the last code.
-LETTERS = 1021
-_PAD = 0
+_BASE = 0x110000
+_FOLD: list[np.ndarray] = []
 
 
 def _fold() -> np.ndarray:
-    """For each code point of the BMP its lower-case letter, or 0 if it is no letter."""
-    out = np.zeros(0x10000, np.uint16)
-    for c in range(0x10000):
+    """For each code point its lower-case letter, or 0 if it is no letter."""
+    out = np.zeros(0x110000, np.uint32)
+    for c in range(0x110000):
         x = chr(c)
         if x.isalpha():
             y = x.lower()
-            out[c] = ord(y) if len(y) == 1 and ord(y) < 0x10000 else c
+            out[c] = ord(y) if len(y) == 1 else c
     return out
 
 
-_FOLD: list[np.ndarray] = []
-
-
 def letters(text: str) -> np.ndarray:
-    """Lower-case letters of a text as numbers, with 0 for every other character; letters beyond the BMP are 0xFFFF."""
+    """Lower-case letters of a text as numbers, with 0 for every other character."""
     if not _FOLD:
         _FOLD.append(_fold())
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = _FOLD[0][np.minimum(code, 0xFFFF)]
-    high = np.flatnonzero(code > 0xFFFF)
-    if len(high):
-        out = out.copy()
-        out[high[[chr(int(c)).isalpha() for c in code[high]]]] = 0xFFFF
-    return out
+    return _FOLD[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
 
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kinds, inverse = np.unique(keys, return_inverse=True)
+    return kinds, np.bincount(inverse, counts, len(kinds)).astype(np.int64)
 
-def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) of the n-grams of coded letters; 0 stands between words and is the padding of both sides."""
-    x = np.concatenate([[0], codes, [0]]).astype(np.uint32)
-    blank = x == 0
-    # Runs of blanks are one: where two meet, no n-gram reaches over.
-    x = x[~(blank & np.concatenate([[False], blank[:-1]]))]
-    one = x[x > 0]
-    two = (x[:-1] << 10 | x[1:]) | np.uint32(1 << 30)
-    three = (x[:-2] << 20 | x[1:-1] << 10 | x[2:]) + np.uint32(0)
-    three = three[x[1:-1] > 0] | np.uint32(1 << 31)
-    keys = np.sort(np.concatenate([one, two, three]))
-    if not len(keys):
-        return keys, np.zeros(0, np.int64)
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[at], np.diff(np.append(at, len(keys)))
+
+def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of the n-grams of a text's letters; blanks pad words on both sides, and none reaches over one.
+
+    Keys are numbers to the base _BASE: those of one letter come before those of two, and these before those of three.
+    """
+    found = []
+    padded = f" {text} "
+    for lo in range(0, len(padded), PART):
+        x = letters(padded[lo : lo + PART + 2]).astype(np.int64)
+        n = min(PART, len(padded) - lo)
+        ink = x > 0
+        two = np.flatnonzero((ink[:-1] | ink[1:])[:n])
+        three = np.flatnonzero(ink[1:-1][:n])
+        keys = np.sort(np.concatenate([x[:n][ink[:n]], _BASE + x[two] * _BASE + x[two + 1], _BASE + _BASE**2 + (x[three] * _BASE + x[three + 1]) * _BASE + x[three + 2]]))
+        at = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+        found.append((keys[at], np.diff(np.append(at, len(keys)))))
+    return found[0] if len(found) == 1 else _merged(np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
 
 
 def ranked(keys: np.ndarray, counts: np.ndarray, top: int = TOP) -> np.ndarray:
@@ -91,11 +91,12 @@ def ranked(keys: np.ndarray, counts: np.ndarray, top: int = TOP) -> np.ndarray:
 
 @dataclass
 class Profiles:
-    """The n-gram ranks of each language over one sorted vocabulary, and the alphabet's codes."""
+    """Over one sorted vocabulary, the languages that rank an n-gram and their ranks, as stretches of two arrays."""
 
     languages: list[str]
-    alphabet: np.ndarray
     vocabulary: np.ndarray
+    start: np.ndarray
+    language: np.ndarray
     rank: np.ndarray
     top: int = TOP
 
@@ -103,38 +104,41 @@ class Profiles:
         """(language, score); the score is 1 for a profile met exactly and 0 for one without a common n-gram."""
         if text is None or not self.languages:
             return UNKNOWN, 0.0
-        raw = letters(text)
-        if not raw.any():
+        keys, counts = grams(text)
+        if not len(keys) or keys[0] >= _BASE:
             return UNKNOWN, 0.0
-        own = ranked(*grams(self.alphabet[raw]), self.top)
+        own = ranked(keys, counts, self.top)
         at = np.minimum(np.searchsorted(self.vocabulary, own), len(self.vocabulary) - 1)
-        ranks = np.where(self.vocabulary[at] == own, self.rank[:, at], -1)
-        place = np.arange(len(own))
-        distance = np.where(ranks >= 0, np.minimum(np.abs(ranks - place), self.top), self.top).sum(1)
+        place = np.flatnonzero(self.vocabulary[at] == own)
+        at = at[place]
+        n = self.start[at + 1] - self.start[at]
+        stop = np.cumsum(n)
+        which = np.repeat(self.start[at] - stop + n, n) + np.arange(int(stop[-1]) if len(stop) else 0)
+        # What a common n-gram saves of the distance TOP that a missing one costs.
+        saved = self.top - np.minimum(np.abs(self.rank[which] - np.repeat(place, n)), self.top)
+        distance = self.top * len(own) - np.bincount(self.language[which], saved, len(self.languages)).astype(np.int64)
         best = int(np.argmin(distance))
         return self.languages[best], float(1 - distance[best] / (self.top * len(own)))
 
 
+def profiles(tops: dict[str, np.ndarray], top: int = TOP) -> Profiles:
+    """From the ranked n-grams of each language."""
+    names = sorted(tops, key=lambda x: x.encode("utf-8"))
+    keys = np.concatenate([*(tops[x] for x in names), np.zeros(0, np.int64)]).astype(np.int64)
+    language = np.repeat(np.arange(len(names)), [len(tops[x]) for x in names])
+    rank = np.concatenate([*(np.arange(len(tops[x])) for x in names), np.zeros(0, np.int64)]).astype(np.int64)
+    order = np.lexsort((language, keys))
+    vocabulary, start = np.unique(keys[order], return_index=True)
+    return Profiles(names, vocabulary, np.append(start, len(keys)), language[order], rank[order], top)
+
+
 def build(texts: list[str], labels: list[str], top: int = TOP) -> Profiles:
-    names = sorted(set(labels), key=lambda x: x.encode("utf-8"))
-    seen = np.zeros(0x10000, np.int64)
-    raw = [letters(t) for t in texts]
-    for r in raw:
-        seen += np.bincount(r, minlength=0x10000)
-    seen[0] = 0
-    alphabet = np.where(np.arange(0x10000) > 0, LETTERS + 1, 0).astype(np.uint32)
-    order = np.argsort(-seen, kind="stable")[:LETTERS]
-    alphabet[order[seen[order] > 0]] = 1 + np.arange(int((seen[order] > 0).sum()), dtype=np.uint32)
-    tops = []
-    for name in names:
-        parts = [grams(alphabet[r]) for r, x in zip(raw, labels, strict=True) if x == name]
-        keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        tops.append(ranked(keys, np.bincount(inverse, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64), top))
-    vocabulary = np.unique(np.concatenate([*tops, np.zeros(1, np.uint32)]))
-    rank = np.full((len(names), len(vocabulary)), -1, np.int32)
-    for i, t in enumerate(tops):
-        rank[i, np.searchsorted(vocabulary, t)] = np.arange(len(t))
-    return Profiles(names, alphabet, vocabulary, rank, top)
+    """Profiles of a few texts at hand."""
+    tops = {}
+    for name in set(labels):
+        parts = [grams(t) for t, x in zip(texts, labels, strict=True) if x == name]
+        tops[name] = ranked(*_merged(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])), top)
+    return profiles(tops, top)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -142,20 +146,37 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP) -> Profiles:
-    """Profiles from text and lang of docs, on at most per_language rows of each of the LANGUAGES most frequent ones."""
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP, sample_rows: int = SAMPLE_ROWS) -> Profiles:
+    """Profiles from text and lang of docs: of each language the rows of least hash, at most per_language, at most
+    its even share of sample_rows, and at least one."""
     named = ut.only(docs, doc_id="long", text="string", lang="string").where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return build([], [])
-    per_language = max(1, min(per_language, SAMPLE_ROWS // len(counts)))
-    # A hash bound per language leaves about twice the rows wanted before any shuffle, however frequent it is.
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * per_language / n))]), F.col("lang"))
+    counts = ut.materialize(named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    languages = counts.count()
+    if not languages:
+        return profiles({}, top)
+    per_language = max(1, min(per_language, sample_rows // languages))
+    # A hash bound per language leaves about twice the rows wanted, and 32 more, before any shuffle, however frequent it is.
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    some = named.where(F.col("lang").isin(list(counts))).where(draw < share)
-    chosen = some.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))).where(F.col("n") <= per_language)
-    rows = chosen.select("lang", F.struct("lang", "n").alias("o"), "text").orderBy("o").toArrow()
-    return build(rows.column("text").to_pylist(), rows.column("lang").to_pylist(), top)
+    some = named.join(counts, "lang").where(draw * F.col("rows") <= 2 * per_language + 32)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
+    # A language none of whose few rows is under the bound cannot be: it would need over 32 rows, all of high hash.
+    chosen = some.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "text")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for name, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+            keys, n = grams(text.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(keys), pa.string()), pa.array(keys), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
+    counted = ut.map_batches(chosen, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    best = counted.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= top)
+    rows = best.select("lang", "gram", "place").toArrow()
+    names, keys, places = rows.column("lang").to_pylist(), rows.column("gram").to_numpy(), rows.column("place").to_numpy()
+    tops: dict[str, np.ndarray] = {}
+    index = np.array(names, object)
+    for name in set(names):
+        own = index == name
+        tops[name] = keys[own][np.argsort(places[own])]
+    return profiles(tops, top)
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:

@@ -10,13 +10,14 @@ hypergeometric variate), and the rest go right, so every shard gets a fair mixtu
 consecutive runs of each source's blocks, permuted anew for each epoch, and are shuffled inside.
 
 Everything is a function of the rows and `seed`: reruns agree. A source of any share is spread over its blocks;
-no window or group holds more than the blocks of one source or the rows of one block.
-Bounds: one row per source and one number per source and shard reach the driver; the number of shards shrinks
-where sources are many, so that these numbers stay under TABLE.
+no window or group holds more than RUN blocks, the runs of one source or the rows of one block.
+Bounds: one row per source and one number per source and shard reach the driver; shards hold more than `shard_words`
+where there would be more than `table` of these numbers, and blocks more than BLOCK rows where there would be more
+than MOST_BLOCKS of them. What is taken does not depend on either.
 
 Defined results: null texts have size 0; a document of size 0 is never taken; a null source is a source of its
-own, last in order; rows equal in doc_id, text and source are taken alike; with extra columns `draw` keeps them
-all; an empty table gives an empty result.
+own, last in order; rows equal in doc_id, text and source are taken alike; blocks and documents tied in their hash
+follow each other by number and key; with extra columns `draw` keeps them all; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,10 +33,14 @@ from rulelode.llm import _util as ut
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-BLOCK = 512
-SHARD_WORDS = 4_000_000
+BLOCK = 128
+SHARD_WORDS = 500_000
 SEED = 20
 TABLE = 1 << 22
+#: Blocks in all, below what numpy can draw from; blocks hold more rows where BLOCK would make more of them.
+MOST_BLOCKS = 5 * 10**8
+#: Neighbouring blocks of a source whose words are summed up in one window.
+RUN = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -70,7 +75,7 @@ def split(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
         mid = (lo + hi) // 2
         n = int(round(int(own.sum()) * (mid - lo) / (hi - lo)))
         rng = np.random.default_rng(np.random.SeedSequence([seed, lo, hi]))
-        left = rng.multivariate_hypergeometric(own, n, method="marginals") if own.sum() < 10**9 else np.minimum(own, np.round(own * (n / own.sum())).astype(np.int64))
+        left = rng.multivariate_hypergeometric(own, n, method="marginals")
         todo += [(lo, mid, left), (mid, hi, own - left)]
     return out
 
@@ -95,13 +100,23 @@ def _limits(sized: DataFrame, rest: list[tuple[str | None, int, float]]) -> list
     if not rest:
         return []
     parts = (1 / 64, 1 / 16, 1 / 4)
-    wanted = sized.sparkSession.createDataFrame(rest, "_source string, _i int, _rest double")
-    on = sized.join(F.broadcast(wanted) if len(rest) < 10_000 else wanted, sized["_source"].eqNullSafe(wanted["_source"]))
+    wanted = ut.local_table(sized.sparkSession, rest, {"_source": pa.string(), "_i": pa.int32(), "_rest": pa.float64()})
+    on = sized.join(wanted, sized["_source"].eqNullSafe(wanted["_source"]))
     sums = {r["_i"]: r for r in on.groupBy("_i").agg(*[F.sum(F.when(F.col("_size") <= F.col("_rest") * p, F.col("_size")).otherwise(0)).alias(f"s{k}") for k, p in enumerate(parts)]).collect()}
     return [next((w * p for k, p in enumerate(parts) if sums[i][f"s{k}"] >= w), w) for _, i, w in rest]
 
 
-def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _words_before(words: DataFrame) -> DataFrame:
+    """words of blocks (_i, _block, _words) with _before, the words of the source's blocks before: sums inside runs
+    of RUN blocks, and sums of whole runs, so that no task holds all blocks of a source."""
+    words = ut.materialize(words.withColumn("_run", (F.col("_block") / RUN).cast("long")), "words")
+    runs = words.groupBy("_i", "_run").agg(F.sum("_words").alias("_all"))
+    runs = runs.withColumn("_past", F.sum("_all").over(Window.partitionBy("_i").orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_all")).drop("_all")
+    inside = F.sum("_words").over(Window.partitionBy("_i", "_run").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_words")
+    return words.withColumn("_inside", inside).join(runs, ["_i", "_run"]).withColumn("_before", F.col("_inside") + F.col("_past")).drop("_run", "_inside", "_past")
+
+
+def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sources, blocks, picks) from rows of _source, _size, _key.
 
     sources: _source, _i, _n_blocks, source_size, target, _epochs. blocks: _i, _block, _shards (one shard per copy
@@ -115,22 +130,19 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
         rest.append((r["_source"], i, t - min(int(t // r["size"]), CAP) * r["size"] if r["size"] else 0.0))
     limits = _limits(sized, rest)
+    block = max(BLOCK, math.ceil(CAP * sum(r["n"] for r in found) / MOST_BLOCKS))
     rows = []
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
         epochs = min(int(t // r["size"]), CAP) if r["size"] else 0
-        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / BLOCK)), r["size"], t, epochs, t - epochs * r["size"], limits[i]))
-    sources = spark.createDataFrame(rows, "_source string, _i int, _n_blocks long, source_size long, target double, _epochs int, _rest double, _limit double")
-    if len(rows) < 10_000:
-        sources = F.broadcast(sources)
+        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / block)), r["size"], t, epochs, t - epochs * r["size"], limits[i]))
+    sources = ut.local_table(spark, rows, {"_source": pa.string(), "_i": pa.int32(), "_n_blocks": pa.int64(), "source_size": pa.int64(), "target": pa.float64(), "_epochs": pa.int32(), "_rest": pa.float64(), "_limit": pa.float64()})
     on = sized.join(sources, sized["_source"].eqNullSafe(sources["_source"])).select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks", "_limit")
     words = on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks").agg(F.sum(F.when(F.col("_size") <= F.col("_limit"), F.col("_size")).otherwise(0)).alias("_words"))
-    before = F.sum("_words").over(Window.partitionBy("_i").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_words")
-    words = ut.materialize(words.withColumn("_before", before).withColumn("_cut", F.when((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before"))).withColumn("_part", F.col("_before") <= F.col("_rest")), "blocks")
+    cut = F.when((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before"))
+    words = ut.materialize(_words_before(words).withColumn("_cut", cut).withColumn("_part", F.col("_before") <= F.col("_rest")), "blocks")
 
     # The cut blocks: one per source. Copies of one key are one item, so that an item list stays as short as a block.
     cut = words.where("_cut is not null").select("_i", "_block", "_cut")
-    if len(rows) < 10_000:
-        cut = F.broadcast(cut)
     items = on.where("_size <= _limit").select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
     listed = items.groupBy("_i", "_cut").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "_key", "w"))).alias("items"))
     start = F.struct(F.col("_cut").alias("left"), F.array().cast("array<bigint>").alias("took"))
@@ -140,7 +152,7 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
     # Quotas in blocks: whole epochs, and the blocks up to the cut.
     last = {r["_i"]: r["b"] for r in words.where("_part").groupBy("_i").agg(F.max("_block").alias("b")).collect()}
     quotas = np.array([r[5] * r[2] + (last.get(r[1], -1) + 1 if r[6] > 0 else 0) for r in rows], np.int64)
-    shards = max(1, min(math.ceil(sum(goal) / shard_words), TABLE // max(len(rows), 1)))
+    shards = max(1, min(math.ceil(sum(goal) / shard_words), table // max(len(rows), 1)))
     upto = split(quotas, shards, seed).cumsum(1) if len(rows) else np.zeros((0, 1), np.int64)
 
     def run(batches):  # noqa: ANN001, ANN202
@@ -162,11 +174,11 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) ->
     return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(run, "_i int, _block long, _cut double, _part boolean, _shards array<int>"), picks
 
 
-def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
+def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> DataFrame:
     """The rows of docs with _size, source_size, target and _shards: the shard of each copy that the mix takes."""
     sized = _sized(docs)
     narrow = ut.materialize(sized.select("_source", "_size", "_key"), "sizes")
-    sources, blocks, picks = plan(narrow, seed, shard_words)
+    sources, blocks, picks = plan(narrow, seed, shard_words, table)
     full = sized.join(sources.withColumnRenamed("_source", "_name"), F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name", "_rest", "_epochs")
     full = full.withColumn("_block", _block(F.col("_key"), F.col("_n_blocks"))).join(blocks, ["_i", "_block"], "left")
     full = full.join(picks.withColumn("_picked", F.lit(True)), ["_i", "_key"], "left")
@@ -176,9 +188,9 @@ def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> Da
     return full.withColumn("_shards", F.coalesce(own, F.array().cast("array<int>")))
 
 
-def draw(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
+def draw(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> DataFrame:
     """The mixed corpus: rows of docs with their columns, repeated as taken, laid out by shard and shuffled inside."""
-    mixed = mix(docs, seed, shard_words).select(*[F.col(f"`{c}`") for c in docs.columns], "_key", F.posexplode("_shards").alias("_copy", "_shard"))
+    mixed = mix(docs, seed, shard_words, table).select(*[F.col(f"`{c}`") for c in docs.columns], "_key", F.posexplode("_shards").alias("_copy", "_shard"))
     return mixed.repartitionByRange(ut.shuffle_parts(docs.sparkSession), "_shard", F.xxhash64(F.lit(seed), "_key", "_copy")).sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "_key", "_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

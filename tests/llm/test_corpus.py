@@ -59,10 +59,10 @@ def empty(spark):
 # Kernels
 
 
-def test_hashes_are_of_content():
+def test_keys_are_of_content():
     buf = np.frombuffer(b"abcabcxabc", np.uint8)
-    h = tx.span_hash(tx.prefix(buf), np.array([0, 3, 7, 0, 0]), np.array([3, 6, 10, 2, 0]))
-    assert h[0] == h[1] == h[2] != h[3] and h[4] != h[3]
+    for h in tx.word_keys(buf, np.array([0, 3, 7, 0, 0]), np.array([3, 6, 10, 2, 0])):
+        assert h[0] == h[1] == h[2] != h[3] and h[4] != h[3]
 
 
 def test_words_and_shingles(texts):
@@ -72,8 +72,55 @@ def test_words_and_shingles(texts):
     for r, t in enumerate(texts.values()):
         got = [buf[a:b].tobytes().decode() for a, b in zip(start[first[r] : first[r + 1]], end[first[r] : first[r + 1]], strict=True)]
         assert got == SPACE.findall(t or "")
-    h, at = tx.shingles(buf, offs)
-    assert [len(np.unique(h[at[r] : at[r + 1]])) for r in range(len(texts))] == [len(shingle_set(t)) for t in texts.values()]
+    h, g, at = tx.shingles(buf, offs)
+    assert [len(tx.members(h[at[r] : at[r + 1]], g[at[r] : at[r + 1]])[0]) for r in range(len(texts))] == [len(shingle_set(t)) for t in texts.values()]
+
+
+@pytest.mark.parametrize("part", [1, 3, 64])
+def test_kernels_walk_long_buffers_in_parts(texts, monkeypatch, part):
+    buf, offs = tx.buffers(pa.array([t and t[:400] for t in texts.values()], pa.string()))
+    whole = (*tx.words(buf, offs), *tx.shingles(buf, offs))
+    heads = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    monkeypatch.setattr(tx, "PART", part)
+    assert all((a == b).all() for a, b in zip(whole, (*tx.words(buf, offs), *tx.shingles(buf, offs)), strict=True))
+    places = np.arange(0, len(buf) + 1, 7)
+    assert (tx.code_points(buf, places) == heads[places]).all()
+    stats = quality.statistics(buf, offs)
+    monkeypatch.undo()
+    assert all((stats[k] == v).all() for k, v in quality.statistics(buf, offs).items())
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+#: Every polynomial hash modulo a power of two gives these two the same value.
+TWINS = (thue_morse(1024), thue_morse(1024).translate(str.maketrans("ab", "ba")))
+
+
+def test_strings_are_told_apart_by_their_bytes(monkeypatch):
+    rng = random.Random(8)
+    rows = [*TWINS, "x" * 40, "x" * 41, "ab", "ab\0", "ab", *(word(rng) for _ in range(50))]
+    raw = [r.encode() for r in rows]
+    end = np.cumsum([len(r) for r in raw])
+    buf, start = np.frombuffer(b"".join(raw), np.uint8), end - [len(r) for r in raw]
+    for key in (tx.word_keys, lambda b, s, e: (np.zeros(len(s), np.uint64), np.zeros(len(s), np.uint64))):
+        monkeypatch.setattr(tx, "word_keys", key)
+        first, number = tx.distinct(buf, start, end)
+        assert len(first) == len(set(raw)) and {raw[i]: n for i, n in enumerate(number.tolist())} == {raw[i]: number[raw.index(r)] for i, r in enumerate(raw)}
+    h, g = np.array([1, 1, 2, 1], np.uint64), np.array([5, 6, 5, 5], np.uint64)
+    assert tx.numbered(h, g).tolist() == [0, 1, 2, 0] and len(tx.members(h, g)[0]) == 3
+
+
+def test_colliding_texts_stay_apart(spark):
+    a, b = TWINS
+    df = spark.createDataFrame([(1, a), (2, b), (3, f"{a}\n{b}"), (4, f"{b} " * 3)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.components(df, 85).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    assert {r.doc_id: (r.n_dup_lines, r.n_repeat_words) for r in quality.quality_scores(df, None).collect()} == {1: (0, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
+    enc = packing.encoder(packing.default_tokenizer())
+    want = {i: len(enc.tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in df.collect()}
+    assert {r.doc_id: r.doc_tokens for r in packing.cut_pieces(df, packing.default_tokenizer()).collect()} == want
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(df, "none").collect()} == {k: v[1] for k, v in plain_repeats([tuple(r) for r in df.collect()], "none").items()}
 
 
 # 1
@@ -126,7 +173,22 @@ def test_suffix_ranks():
             x, y = b[i : i + 20], b[j : j + 20]
             assert (rank[i] < rank[j], rank[i] == rank[j]) == (x < y, x == y)
     earlier, other = repeats.previous_factors(np.array([3, 1, 3, 2, 1, 3]), np.array([5, 4, 3, 2, 1, 0]))
-    assert earlier.tolist() == [True, True, True, False, False, False] and other.tolist() == [True, True, True, False, True, True]
+    assert (earlier // repeats.LENGTH).tolist() == [1, 1, 1, 0, 0, 0] and (other // repeats.LENGTH).tolist() == [1, 1, 1, 0, 1, 1]
+
+
+def test_repeats_in_strips(spark, monkeypatch):
+    rng = random.Random(12)
+    passage = prose(rng, 80)
+    rows = [(1, prose(rng, 900) + passage + prose(rng, 900) + passage), (2, passage + prose(rng, 300)), (None, passage), (7, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for strip in (repeats.STRIP, 700):
+        monkeypatch.setattr(repeats, "STRIP", strip)
+        for part in (1 << 20, 1):
+            monkeypatch.setattr(tx.pieces, "__defaults__", (part,))
+            for keep in ("none", "first"):
+                got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(df, keep).collect()}
+                want = plain_repeats([(99 if i is None else i, t) for i, t in rows], keep)
+                assert got == {None if k == 99 else k: v[:3] for k, v in want.items()}
 
 
 # 2
@@ -194,7 +256,14 @@ def test_link_components_exact():
     sets = [np.unique(rng.choice(40, rng.integers(3, 40), replace=False)) for _ in range(60)]
     sets += [s[:-1] for s in sets if len(s) > 8]
     want = plain_links({i: set(s.tolist()) for i, s in enumerate(sets)})
-    assert neardup.link_components([s.astype(np.uint64) for s in sets]).tolist() == [want[i] for i in range(len(sets))]
+    assert neardup.link_components([(s.astype(np.uint64), s.astype(np.uint64) * np.uint64(3)) for s in sets]).tolist() == [want[i] for i in range(len(sets))]
+
+
+def test_crowded_bands(spark, docs, texts):
+    """On either side of the number of sets at which a band is crowded, and in blocks of it."""
+    want = {r.doc_id: r.component_id for r in neardup.components(docs, 85).collect()}
+    for crowd in (1, 2, 3):
+        assert {r.doc_id: r.component_id for r in neardup.components(docs, 85, crowd).collect()} == want
 
 
 # 3
@@ -287,20 +356,23 @@ def test_embeddings(spark, monkeypatch):
 # 5
 
 
-def dice(text, template):
+def dice(text, template, least=licenses.THRESHOLD):
+    """Best coefficient of a whole text or a stretch, by string pairs; stretches as the operator's docstring has them."""
+
     def grams(s):
         w = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", s.lower())
-        return set(zip(w, w[1:], strict=False)), len(w)
+        return list(zip(w, w[1:], strict=False)), len(w)
 
     b, n = grams(template)
-    w = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", text.lower())
-    best = 0.0
-    for i in range(len(w)):
-        own = set(zip(w[i : i + n], w[i + 1 : i + n], strict=False))
-        if own & b:
-            best = max(best, len(own & b) / len(b))
-    whole, _ = grams(text)
-    return max(best, 2 * len(whole & b) / (len(whole) + len(b)) if whole else 0.0)
+    own, _ = grams(text)
+    kinds = set(b)
+    best = 2 * len(set(own) & kinds) / (len(set(own)) + len(kinds)) if own else 0.0
+    for i in (i for i, g in enumerate(own) if g in kinds):
+        for span in (n - 1, int(len(kinds) * (2 - least) / least)):
+            end = max(j for j in range(i, min(i + span, len(own))) if own[j] in kinds)
+            some = set(own[i : end + 1])
+            best = max(best, 2 * len(some & kinds) / (len(some) + len(kinds)))
+    return best
 
 
 def test_licenses(spark):
@@ -317,6 +389,20 @@ def test_licenses(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_overlaps_and_long_texts(spark, monkeypatch, tmp_path):
+    found = [(0, 5, 1, 0.9), (4, 9, 0, 0.9), (5, 9, 2, 0.8), (9, 12, 3, 0.95), (0, 5, 0, 0.9)]
+    assert licenses.apart(found) == [(0, 5, 0, 0.9), (5, 9, 2, 0.8), (9, 12, 3, 0.95)]
+    long = " ".join([licenses.TEMPLATES[15][1]] * 60)
+    monkeypatch.setattr(tx, "PART", 50)
+    got = licenses.scan(spark.createDataFrame([(1, long), (1, long)], "doc_id long, text string")).collect()
+    assert [r.n_matches for r in got] == [60, 60] and all(r.dice == 1 for r in got)
+    (tmp_path / "Own-1.0.txt").write_text("Some own licence text of\nseveral words and lines.")
+    more = licenses.read_templates(spark, str(tmp_path))
+    assert more == (("Own-1.0", "Some own licence text of\nseveral words and lines."),)
+    own = spark.createDataFrame([(1, "x some OWN licence text of several words and lines")], "doc_id long, text string")
+    assert [r.license for r in licenses.scan(own, licenses.TEMPLATES + more).collect()] == ["Own-1.0"]
+
+
 def test_license_headers(spark):
     rng = random.Random(3)
     gnu = "This {s} is free software{c} you can redistribute it and/or modify it under the terms of the GNU {n} as published by the Free Software Foundation{d} either version {v} of the License, or (at your option) any later version."
@@ -461,11 +547,13 @@ def plain_profile(texts, top=langid.TOP):
     return c
 
 
-def test_grams_match_plain_counts():
-    text = "Éa b. ñandú, die Straße 12 x"
-    profiles = langid.build([text], ["x"])
-    keys, counts = langid.grams(profiles.alphabet[langid.letters(text)])
-    assert sorted(counts.tolist()) == sorted(plain_profile([text]).values())
+def test_grams_match_plain_counts(monkeypatch):
+    text = "Éa b. ñandú, die Straße 12 x 日本語 𐐨𐐩 a"
+    want = sorted(plain_profile([text]).values())
+    assert sorted(langid.grams(text)[1].tolist()) == want
+    for part in (1, 2, 5):
+        monkeypatch.setattr(langid, "PART", part)
+        assert sorted(langid.grams(text)[1].tolist()) == want
 
 
 def test_languages(spark):
@@ -486,6 +574,35 @@ def test_out_of_place_distance():
     p = langid.build(["aaa bbb ccc", "xxx yyy zzz"], ["l", "m"])
     assert p.predict("aaa ccc")[0] == "l" and p.predict("zzz")[0] == "m"
     assert p.predict("aaa bbb ccc") == ("l", 1.0)
+    assert langid.build(["same", "same"], ["b", "a"]).predict("same") == ("a", 1.0)
+
+
+def plain_distance(text, profile, top=langid.TOP):
+    """The out-of-place distance by the book, over n-grams as strings."""
+    key = lambda g: (len(g), g.lower())
+    rank = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], key(x[0])))[:top]]
+    own, other = rank(plain_profile([text])), {g: i for i, g in enumerate(rank(profile))}
+    return sum(min(abs(other[g] - i), top) if g in other else top for i, g in enumerate(own)) / (top * len(own))
+
+
+def test_distances_by_the_book():
+    rng = random.Random(14)
+    made = {x: [" ".join("".join(rng.choice(abc) for _ in range(rng.randint(1, 5))) for _ in range(60)) for _ in range(3)] for x, abc in (("k", "abcdé"), ("l", "abxyz"), ("m", "語日本x"))}
+    p = langid.build([t for ts in made.values() for t in ts], [x for x, ts in made.items() for _ in ts])
+    for ts in made.values():
+        text = ts[0][:90]
+        want = {x: plain_distance(text, plain_profile(own)) for x, own in made.items()}
+        name, score = p.predict(text)
+        assert want[name] == min(want.values()) and score == pytest.approx(1 - want[name])
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + i)}{chr(0x4E00 + i)} {chr(0x10400 + i % 40)}", f"l{i}") for i in range(450)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for sample in (100, 8000):
+        p = langid.fit(df, sample_rows=sample)
+        assert len(p.languages) == 450
+    assert [r.doc_id for r in langid.identify(df, p).join(df, "doc_id").where("lang <> lang_pred").collect()] == []
 
 
 # 10

@@ -64,21 +64,20 @@ def heading(category: Column) -> Column:
     return F.coalesce(F.element_at(known, category), F.initcap(F.translate(category, "_", " ")))
 
 
+#: The shape of a rule's line in a document, and what stands for a thread without comments.
+RULE_LINE = ("<!-- rule:", " -->\n- ", " — ")
+NO_THREAD = "No prior thread context."
+
+
 def rule_line(rule_id: Column, text: Column, rationale: Column) -> Column:
-    return F.concat(F.lit("<!-- rule:"), rule_id.cast("string"), F.lit(" -->\n- "), text, F.lit(" — "), rationale)
+    before, between, after = (F.lit(x) for x in RULE_LINE)
+    return F.concat(before, rule_id.cast("string"), between, text, after, rationale)
 
 
 def thread_context(thread: Column) -> Column:
     """Lines of an array of (login, body), root first."""
     line = lambda c, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] @"), F.coalesce(c["login"], F.lit("unknown")), F.lit(": "), F.coalesce(c["body"], F.lit("")))
-    return F.when(F.size(thread) > 0, F.array_join(F.transform(thread, line), "\n")).otherwise(F.lit("No prior thread context."))
-
-
-def comment_prompt(body: Column, path: Column, diff: Column, context: Column) -> Column:
-    text = lambda c, d="": F.coalesce(c, F.lit(d))
-    return F.concat(
-        F.lit("## Review comment\n\n**File**: `"), text(path, "unknown"), F.lit("`\n\n**Comment**:\n"), text(body), F.lit("\n\n**Diff**:\n```\n"), text(diff), F.lit("\n```\n\n**Thread**:\n"), context, F.lit("\n"),
-    )
+    return F.when(F.size(thread) > 0, F.array_join(F.transform(thread, line), "\n")).otherwise(F.lit(NO_THREAD))
 
 
 def truncated(text: Column, n: int) -> Column:

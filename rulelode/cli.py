@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 import argparse
+import time
+from decimal import Decimal
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rulelode.operators import ledger, organize, placement, provenance
+from rulelode.functions import scalar
+from rulelode.operators import annotate, consolidate, extraction, ledger, organize, placement, progress, provenance
 from rulelode.plans import pipeline
 from rulelode.sources import files, scratch
 
 TABLES = {"extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "dedupe": "rules", "merge_log": "merge_log", "place": "placements", "group": "organized"}
+#: What each stage writes, and the table that its input hash is of.
+OUTPUTS = {"extract": ("extract",), "synthesize": ("synthesize", "clusters"), "dedupe": ("dedupe", "merge_log"), "place": ("place",), "group": ("group",), "generate": ()}
+INPUT = {"synthesize": "extract", "dedupe": "synthesize", "place": "dedupe", "group": "place", "generate": "group"}
+#: Options that a stage's result depends on; a run with others works on, but does not start anew.
+MATTERS = {"extract": ("authors", "prs", "sample", "seed", "limit"), "synthesize": ("limit",), "dedupe": ("overrides",), "place": ("min_score", "limit"), "group": ("min_score", "max_rules"), "generate": ()}
+CACHES = {"embeddings": "embedding", "rephrased": "told"}
+#: Files of the other layout, by stage.
+LAYOUT = {"extract": "2-extract/extractions.jsonl", "synthesize": "3-synthesize/rules.jsonl", "dedupe": "4-dedupe/rules.jsonl", "place": "5-place/placements.jsonl", "group": "6-group/organized_rules.json"}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,54 +50,208 @@ def _parser() -> argparse.ArgumentParser:
     find = sub.add_parser("lookup")
     find.add_argument("what", nargs="?", help="a rule id or words")
     sub.add_parser("status")
+    for name, what in (("import", "read stage files of the JSON layout into tables"), ("export", "write tables as stage files of the JSON layout")):
+        sub.add_parser(name, help=what).add_argument("folder")
     return p
 
 
 class Run:
-    """Stage outputs as Parquet below data/repo; a stage that another's output feeds reads it from there."""
+    """Stage outputs as Parquet below data/repo; a stage that another's output feeds reads it from there.
+
+    A record of each stage holds the hash of what it read, its numbers and its cost. A stage whose input has changed
+    starts anew; else it goes on from where it is, and one that has ended with the same options does nothing.
+    """
 
     def __init__(self, spark: SparkSession, a: argparse.Namespace) -> None:
         if "/" not in a.repo:
             raise SystemExit("--repo must be owner/name")
         self.spark, self.a, self.root = spark, a, f"{a.data}/{a.repo}"
+        self.records = ledger.Records(spark, f"{self.root}/ledger")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name]}"
 
-    def read(self, name: str):  # noqa: ANN201
+    def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
     def has(self, name: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
-    def put(self, name: str, df, mode: str = "overwrite") -> None:  # noqa: ANN001
+    def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         df.write.mode(mode).parquet(self.path(name))
 
-    def stage(self, name: str, o: pipeline.Options) -> None:
+    def input_hash(self, name: str) -> str | None:
+        """Of what the stage reads now; None without it."""
         if name == "extract":
-            done = None if self.a.fresh or not self.has("extract") else self.read("extract")
-            self.put("extract", pipeline.extract(files.comments(self.spark, self.a.comments), done, o), "overwrite" if done is None else "append")
-        elif name == "synthesize":
-            rules, clusters = pipeline.synthesize(self.read("extract"), o)
-            self.put("synthesize", rules)
-            self.put("clusters", clusters)
-        elif name == "dedupe":
-            over = files.overrides(self.spark, self.a.overrides) if self.a.overrides else None
-            rules, log = pipeline.dedupe(self.read("synthesize"), over, o)
-            self.put("dedupe", rules)
-            self.put("merge_log", log)
-        elif name == "place":
-            self.put("place", pipeline.place(self.read("dedupe"), self.read("extract"), o))
-        elif name == "group":
-            if self.a.preview:
-                placement.threshold_preview(placement.best_placement(self.read("place"))).show(truncate=False)
-            else:
-                self.put("group", pipeline.group(self.read("place"), self.read("dedupe"), o))
-        elif name == "generate":
-            docs = pipeline.generate(self.read("group"), self.read("dedupe"), self.read("place"), o)
-            for path, size in files.write_documents(docs, f"{self.root}/documents", self.a.dry_run):
-                print(f"{path}: {size} bytes")
+            folder = self.a.comments if "comments" in self.a and self.a.comments else (self.records.read("extract") or {}).get("stats", {}).get("comments")
+            return ledger.file_hash(self.spark, [f"{folder}/*.json"]).first()[0] if folder and files.files_below(self.spark, folder, ".json") else None
+        if not self.has(INPUT[name]):
+            return None
+        rows = self.read(INPUT[name])
+        return ledger.content_hash(rows, *rows.columns).first()[0]
+
+    def stage(self, name: str, o: pipeline.Options) -> None:
+        current = self.input_hash(name)
+        record = self.records.read(name) or {}
+        before = record.get("stats", {})
+        options = {k: getattr(self.a, k, None) for k in MATTERS[name]}
+        same = record.get("input_hash") == current and not self.a.fresh
+        if same and record.get("done") and before.get("options") == options and not self.a.preview and not self.a.dry_run:
+            print(f"{name}: up to date")
+            return
+        if not same:
+            for table in OUTPUTS[name]:
+                files.delete(self.spark, self.path(table))
+        stats = progress.StageStats(cost=self.records.cost(name) if same else Decimal(0))
+        self.records.write(name, current, before if same else {}, stats.cost, False)
+        for cache in CACHES:
+            path = f"{self.root}/{cache}"
+            if files.exists(self.spark, path):
+                o.caches[cache] = self.spark.read.parquet(path)
+        known = dict(o.caches)
+        done = getattr(self, f"_{name}")(o, stats)
+        for cache, rows in o.caches.items():
+            if rows is not known.get(cache):
+                annotate.new_entries(rows, known.get(cache)).write.mode("append").parquet(f"{self.root}/{cache}")
+        o.caches.clear()
+        for rejected in o.rejected.values():
+            stats.inc("rejected_outputs", rejected.count())
+        o.rejected.clear()
+        stats.set("options", options)
+        if not self.a.dry_run and not self.a.preview:
+            self.records.write(name, current, stats.values, stats.cost, done)
+        print(f"{name}: {stats.detail or stats.summary()}")
+
+    def _extract(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        done = self.read("extract") if self.has("extract") else None
+        raw = files.comments(self.spark, self.a.comments)
+        made = pipeline.extract(raw, done, o)
+        stats.add_cost(progress.cost_of(made))
+        self.put("extract", made, "overwrite" if done is None else "append")
+        stats.values |= extraction.extraction_stats(self.read("extract")).first().asDict()
+        available = files.count_items(self.spark, self.a.comments).agg(F.sum("n")).first()[0]
+        stats.values |= {"available": available, "comments": self.a.comments}
+        stats.detail = progress.extract_detail(stats.values, available)
+        return o.limit is None
+
+    def _synthesize(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        done = self.read("synthesize") if self.has("synthesize") else None
+        extractions = self.read("extract")
+        rules, clusters = pipeline.synthesize(extractions, o, done)
+        stats.add_cost(progress.cost_of(rules))
+        self.put("synthesize", rules, "overwrite" if done is None else "append")
+        self.put("clusters", clusters)
+        every = self.read("synthesize")
+        progress.measured(self.read("clusters"), stats, total_clusters=F.count(F.lit(1)), _clustered=F.sum("num_generalizations"))
+        progress.measured(every, stats, rules_extracted=F.count(F.lit(1)), _analysed=F.count_distinct("cluster_id"))
+        mean = consolidate.synthesis_stats(every.groupBy("cluster_id").agg(F.max("cluster_coherence").alias("coherence")), every)[0].first()["avg_coherence"]
+        n = extraction.generalizations(extractions).count()
+        stats.values |= {"total_generalizations": n, "unclustered": n - stats.values.pop("_clustered"), "avg_coherence": mean or 0.0, "similarity_threshold": o.similarity, "min_cluster_size": o.min_cluster}
+        stats.detail = progress.synthesize_detail(stats.values)
+        return o.limit is None or stats.values["_analysed"] == stats.values["total_clusters"]
+
+    def _dedupe(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        over = files.overrides(self.spark, self.a.overrides) if self.a.overrides else None
+        before = self.read("synthesize")
+        rules, log = pipeline.dedupe(before, over, o)
+        self.put("dedupe", rules)
+        self.put("merge_log", log)
+        stats.set("input_rules", before.count() + (over.count() if over is not None else 0))
+        stats.set("output_rules", self.read("dedupe").count())
+        stats.detail = progress.dedupe_detail(stats.values)
+        return True
+
+    def _place(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        done = self.read("place") if self.has("place") else None
+        rules = self.read("dedupe")
+        made = pipeline.place(rules, self.read("extract"), o, done)
+        stats.add_cost(progress.cost_of(made))
+        self.put("place", made, "overwrite" if done is None else "append")
+        every = self.read("place")
+        stats.values |= {"input_rules": placement.at_least(rules, o.min_score).count(), "placed": every.count(), "min_score": o.min_score}
+        for r in placement.type_counts(every).collect():
+            stats.set(f"type {r['placement_type']}", r["n"])
+        stats.detail = progress.place_detail(stats.values)
+        return o.limit is None or stats.values["placed"] >= stats.values["input_rules"]
+
+    def _group(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        placements = self.read("place")
+        if self.a.preview:
+            placement.threshold_preview(placement.best_placement(placements)).show(truncate=False)
+            return True
+        self.put("group", pipeline.group(placements, self.read("dedupe"), o))
+        totals = organize.location_totals(self.read("group"))
+        progress.measured(totals, stats, locations=F.count(F.lit(1)), inline_rules=F.sum("n_inline"), topic_rules=F.sum("n_topic_rules"))
+        stats.values |= {"total_placements": placements.count(), "filtered_placements": placement.at_least(placement.best_placement(placements), o.min_score).count(), "min_score": o.min_score}
+        stats.detail = progress.group_detail(stats.values)
+        return True
+
+    def _generate(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
+        docs = pipeline.generate(self.read("group"), self.read("dedupe"), self.read("place"), o)
+        written = files.write_documents(docs, f"{self.root}/documents", self.a.dry_run)
+        for path, size in written:
+            print(f"{path}: {size} bytes")
+        guides = [p for p, _ in written if not p.endswith("AGENTS.md")]
+        places = ", ".join(p.removesuffix("/AGENTS.md") if "/" in p else "root" for p, _ in written if p.endswith("AGENTS.md"))
+        stats.values |= {"agents_files": len(written) - len(guides), "topic_docs": len(guides), "bytes": sum(n for _, n in written), "places": places}
+        stats.detail = progress.generate_detail(stats.values)
+        return True
+
+    def states(self) -> DataFrame:
+        """One row a stage: ord, stage, status, detail, age, cost; the table that `status` prints."""
+        rows = []
+        for i, name in enumerate(ledger.STAGES[1:], 1):
+            record = self.records.read(name)
+            done = bool(record) and (not OUTPUTS[name] or all(self.has(t) for t in OUTPUTS[name]))
+            s = (record or {}).get("stats", {})
+            detail = "" if not done else progress.extract_detail(s, s.get("available")) if name == "extract" else progress.DETAILS[name](s) if record.get("done") else f"{self.read(OUTPUTS[name][0]).count()} rows so far" if OUTPUTS[name] else ""
+            written = files.modified(self.spark, f"{self.root}/ledger/{name}.json")
+            rows.append((i, name, 1 if done else 0, 1 if not record or record.get("done") else 2, (record or {}).get("input_hash"), self.input_hash(name) if record else None, detail, None if written is None else time.time() - written, str(self.records.cost(name))))
+        known = self.spark.createDataFrame(rows, "ord int, stage string, n_out long, n_expected long, stored_hash string, current_hash string, detail string, seconds double, cost string")
+        age = F.when(F.col("seconds").isNotNull(), scalar.age_text(F.col("seconds")))
+        return ledger.status(known).select("ord", "stage", "status", "detail", age.alias("age"), scalar.cost_text(F.col("cost").cast("decimal(18,6)")).alias("cost"), F.col("cost").cast("decimal(18,6)").alias("spent"))
+
+    def status(self) -> None:
+        for name in TABLES:
+            print(name, self.read(name).count() if self.has(name) else "missing")
+        states = self.states()
+        for r in states.orderBy("ord").collect():
+            print(" | ".join(str(x) for x in (r["stage"], r["status"], r["detail"], r["age"] or "", r["cost"]) if x))
+        total = ledger.total_cost(states.select(F.col("spent").alias("cost"))).select(scalar.cost_text(F.col("cost"))).first()[0]
+        after = ledger.next_stage(states).first()["stage"]
+        print(f"cost: {total or '$0'}", f"next: {after}" if after else "all stages done")
+        if self.has("group"):
+            organize.location_totals(self.read("group")).show(truncate=False)
+
+    def take_in(self, folder: str) -> None:
+        """Stage files of the JSON layout become tables; their stages count as done."""
+        readers = {"extract": files.extractions, "synthesize": files.rules, "dedupe": files.rules, "place": files.placements, "group": files.organization}
+        for name, path in LAYOUT.items():
+            if not files.exists(self.spark, f"{folder}/{path}"):
+                continue
+            rows = readers[name](self.spark, f"{folder}/{path}")
+            if name == "group":
+                # The document's order: rules inline before those in topics, as they stand.
+                rows = rows.withColumn("place", F.struct(F.lit(0).alias("moved"), F.lit("").alias("_from"), F.col("ord"))).drop("ord")
+            self.put(name, rows)
+            print(f"{name}: {self.read(name).count()} rows")
+        for name in LAYOUT:
+            if self.has(name):
+                stats = {"options": {k: None for k in MATTERS[name]}}
+                self.records.write(name, self.input_hash(name) if name != "extract" else None, stats, self.records.cost(name), True)
+
+    def give_out(self, folder: str) -> None:
+        """Tables become stage files of the JSON layout: folders of JSON lines, and one organization document."""
+        names = {"synthesize": files.RULE, "dedupe": files.RULE, "place": files.PLACEMENT, "extract": files.EXTRACTION}
+        for name, schema in names.items():
+            if self.has(name):
+                rows = self.read(name)
+                have = [f.name for f in StructType.fromDDL(schema).fields if f.name in rows.columns]
+                files.write_lines(rows.orderBy("ord").select(*have), f"{folder}/{LAYOUT[name]}")
+        if self.has("group"):
+            rows = self.read("group")
+            stats = {k: v for k, v in (self.records.read("group") or {}).get("stats", {}).items() if k != "options"}
+            files.write_text(self.spark, f"{folder}/{LAYOUT['group']}", files.organization_document(rows, pipeline.topic_names(rows), stats).first()["value"])
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -93,6 +259,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("rulelode").getOrCreate()
     r = Run(spark, a)
     if a.command == "lookup":
+        if not r.has("group"):
+            print("no organization yet")
+            return
         rows = r.read("group").select("location", "rule_id", "topic_id")
         if a.what is None:
             provenance.by_location(rows).show(1000, truncate=False)
@@ -103,11 +272,9 @@ def main(argv: list[str] | None = None) -> None:
             provenance.search(r.read("dedupe"), a.what).select("rule_id", "text").show(truncate=False)
         return
     if a.command == "status":
-        for name in TABLES:
-            print(name, r.read(name).count() if r.has(name) else "missing")
-        if r.has("group"):
-            organize.location_totals(r.read("group")).show(truncate=False)
-        return
+        return r.status()
+    if a.command in ("import", "export"):
+        return (r.take_in if a.command == "import" else r.give_out)(a.folder)
     o = pipeline.Options(authors=None if a.authors == "all" else a.authors, prs=a.prs, sample=a.sample, limit=a.limit, seed=a.seed, min_score=a.min_score, max_rules=a.max_rules)
     names = pipeline.stages_from(a.start, a.skip) if a.command == "run" else [a.command]
     for name in (n for n in names if n != "download"):
@@ -115,7 +282,11 @@ def main(argv: list[str] | None = None) -> None:
         scratch.clear(spark)
 
 
-def _comments(r: Run):  # noqa: ANN202
+def _comments(r: Run) -> DataFrame:
+    """All comments where their files can be read, so that ones never extracted are found too; else the extracted."""
+    folder = (r.records.read("extract") or {}).get("stats", {}).get("comments")
+    if folder and files.files_below(r.spark, folder, ".json"):
+        return files.comments(r.spark, folder)
     x = r.read("extract")
     return x.select(F.col("comment_id").alias("id"), "pr_number", F.struct(F.col("author").alias("login")).alias("user"), "source.path", "source.body", "source.diff_hunk")
 

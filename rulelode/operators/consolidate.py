@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulelode.functions import scalar
+from rulelode.operators.annotate import checked
 from rulelode.operators.graph import group_closure
 from rulelode.sources.scratch import materialize
 
@@ -33,6 +36,12 @@ def cluster_summary(items: DataFrame) -> DataFrame:
     )
 
 
+def pr_histogram(items: DataFrame) -> DataFrame:
+    """cluster_id and histogram, an array of (pr_number, n) by number: how many items come from each change."""
+    each = items.groupBy("cluster_id", "pr_number").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("pr_number", "n"))).alias("histogram"))
+
+
 def synthesis_stats(clusters: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row with the mean coherence over all cluster records, a missing one being 0; counts by category and scope)."""
     return clusters.agg(F.count(F.lit(1)).alias("clusters"), F.avg(F.coalesce("coherence", F.lit(0.0))).alias("avg_coherence")), rules.groupBy("category", "scope").agg(F.count(F.lit(1)).alias("n"))
@@ -136,22 +145,31 @@ def kept_of_id(rows: DataFrame, *keys: str, order: str = "ord") -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def best_words(plain: DataFrame) -> DataFrame:
+    """One output a group, with the words of its best rule, the first of equals."""
+    return plain.groupBy("group_id").agg(
+        F.lit(0).alias("out"), *[_best(c, scalar.first_score(F.col("rule_score")), "ord").alias(c) for c in ("text", "reason", "confidence", "category", "scope")],
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", "rule_id"))), lambda s: s["rule_id"]).alias("source_rule_ids"),
+    )
+
+
+def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rules after the pass, its merge log) for groups (group_id, rule_id) of two or more rules.
 
-    Groups with an override take the override's words; the others take outputs (as in `merged`), by default one rule
-    with the words of the best of the group. Rules in no group pass through, and so do rules that no output names.
+    Groups with an override take the override's words; for the others `outputs` turns the rules with their group_id
+    into outputs (as in `merged`; several a group, if it likes), by default `best_words`. Outputs without a text or
+    with a confidence beyond 0 and 1 count as not given. Rules in no group pass through, and so do rules that no
+    output names.
     """
     grouped = rules.join(groups.select("group_id", "rule_id"), "rule_id")
     size = Window.partitionBy("group_id")
     grouped = grouped.withColumn("_n", F.count(F.lit(1)).over(size)).withColumn("_over", F.max(F.col("is_override").cast("int")).over(size)).where("_n > 1")
     forced = overridden(grouped.where("_over = 1").drop("_n", "_over"))
     plain = grouped.where("_over = 0")
-    if outputs is None:
-        outputs = plain.groupBy("group_id").agg(
-            F.lit(0).alias("out"), *[_best(c, scalar.first_score(F.col("rule_score")), "ord").alias(c) for c in ("text", "reason", "confidence", "category", "scope")], F.transform(F.array_sort(F.collect_list(F.struct("ord", "rule_id"))), lambda s: s["rule_id"]).alias("source_rule_ids"),
-        )
-    made = merged(outputs, plain).withColumn("override_applied", F.lit(False)).unionByName(forced.withColumn("out", F.lit(0)).withColumn("common_pattern", F.lit("")))
+    given = (outputs or best_words)(plain)
+    if outputs is not None:
+        given = materialize(checked(given, between={"confidence": (0.0, 1.0)}, filled=("text",))[0], "outputs")
+    made = merged(given, plain).withColumn("override_applied", F.lit(False)).unionByName(forced.withColumn("out", F.lit(0)).withColumn("common_pattern", F.lit("")))
     made = materialize(made, "merged")
     taken = made.select(F.explode("merged_from").alias("rule_id")).unionByName(grouped.where("_over = 1").select("rule_id")).distinct()
     log = made.select(F.lit(name).alias("pass"), "group_id", "rule_id", "merged_from", "text")
@@ -162,15 +180,16 @@ def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: Da
     return rest.unionByName(made, allowMissingColumns=True), log
 
 
-def deduplicated(rules: DataFrame, components: DataFrame, review=None) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
+def deduplicated(rules: DataFrame, components: DataFrame, review: Callable[[DataFrame], DataFrame] | None = None, outputs: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rules, merge log) after three passes: similar clusters, then review by category, then a second review of
     categories in which the first merged something and three rules or more remain.
 
     components: (rule_id, group_id) of similar rules. review(rules of categories with two or more) gives groups
-    (rule_ids) to merge; by default rules with equal normalised text.
+    (rule_ids) to merge; by default rules with equal normalised text. outputs is what each pass asks for the words
+    of merged rules, see `consolidate_pass`.
     """
     review = review or equal_texts
-    rules, log = consolidate_pass(rules, components, "similarity")
+    rules, log = consolidate_pass(rules, components, "similarity", outputs)
     rules = materialize(rules, "pass1")
     for name, least in (("category", 2), ("category again", 3)):
         some = rules.where("category is not null").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("category"))).where(F.col("_n") >= least).drop("_n")
@@ -178,7 +197,7 @@ def deduplicated(rules: DataFrame, components: DataFrame, review=None) -> tuple[
             again = log.where(F.col("pass") == "category").join(rules.select("rule_id", "category"), "rule_id").select("category").distinct()
             some = some.join(again, "category", "left_semi")
         closed = group_closure(review(some), some).withColumnRenamed("root", "group_id")
-        rules, more = consolidate_pass(rules, closed, name)
+        rules, more = consolidate_pass(rules, closed, name, outputs)
         rules, log = materialize(rules, "pass"), materialize(log.unionByName(more), "log")
     return first_of_id(rules, "rule_id"), log
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rulelode.sources import files
+
 #: The stages in order.
 STAGES = ("download", "extract", "synthesize", "dedupe", "place", "group", "generate")
 
@@ -20,6 +26,19 @@ def file_hash(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "line"))), lambda x: x["line"]), "\n"), 256).alias("input_hash"))
 
 
+def joined_hash(spark: SparkSession, paths: list[str]) -> str:
+    """SHA-256 of the bytes of all files, one after the other by name, as ledgers written elsewhere hold it.
+
+    One hash over a sequence of bytes has to see them in turn: files stream through the driver one at a time. For
+    large inputs `file_hash` reads them where they are.
+    """
+    h = hashlib.sha256()
+    files = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", "content")
+    for row in files.orderBy("name", "path").toLocalIterator():
+        h.update(bytes(row["content"]))
+    return h.hexdigest()
+
+
 def content_hash(rows: DataFrame, *columns: str) -> DataFrame:
     """(input_hash, n): an order-free hash of a table; sums of row hashes in two halves, combined as partial sums."""
     h = F.sha2(F.to_json(F.struct(*columns)), 256)
@@ -59,3 +78,27 @@ def with_cost(ledger: DataFrame) -> DataFrame:
 
 def total_cost(ledger: DataFrame) -> DataFrame:
     return ledger.agg(F.coalesce(F.sum(F.col("cost").cast("decimal(18,6)")), F.lit(0)).cast("decimal(18,6)").alias("cost"))
+
+
+class Records:
+    """One JSON record a stage below a folder of the shared file system: input hash, numbers, cost, whether it ended."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def read(self, stage: str) -> dict | None:
+        text = files.read_text(self.spark, f"{self.folder}/{stage}.json")
+        try:
+            found = json.loads(text) if text else None
+        except ValueError:
+            return None
+        return found if isinstance(found, dict) else None
+
+    def write(self, stage: str, input_hash: str, stats: dict, cost: Decimal, done: bool) -> None:
+        files.write_text(self.spark, f"{self.folder}/{stage}.json", json.dumps({"input_hash": input_hash, "stats": stats, "cost": str(cost), "done": done}, indent=2, default=str))
+
+    def cost(self, stage: str) -> Decimal:
+        try:
+            return Decimal((self.read(stage) or {}).get("cost", "0"))
+        except ArithmeticError:
+            return Decimal(0)

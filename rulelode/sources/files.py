@@ -31,9 +31,29 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON-lines file in file order as ord; blank lines are skipped, a malformed one reads as nulls."""
-    text = spark.read.text(path).where(F.trim("value") != "")
-    return text.withColumn("ord", F.monotonically_increasing_id()).select(F.from_json("value", schema).alias("r"), "ord").select("r.*", "ord")
+    """Rows of JSON-lines files in their order as ord: by file, then by block, then within it, so that it does not
+    matter how blocks are dealt to tasks; blank lines are skipped, a malformed one reads as nulls."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    text = spark.read.text(path).select("value", at.alias("ord")).where(F.trim("value") != "")
+    return text.select(F.from_json("value", schema).alias("r"), "ord").select("r.*", "ord")
+
+
+def extractions(spark: SparkSession, path: str) -> DataFrame:
+    return lines(spark, path, EXTRACTION).where("comment_id is not null")
+
+
+def rules(spark: SparkSession, path: str) -> DataFrame:
+    """Rules of a JSON-lines file; one without rule_score carries it as adjusted_confidence."""
+    none = F.lit(False)
+    rows = lines(spark, path, f"{RULE}, adjusted_confidence DOUBLE, _is_override BOOLEAN, _override_applied BOOLEAN, _merged_from ARRAY<BIGINT>").where("rule_id is not null")
+    rows = rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", F.lit(0.0))).withColumn("is_override", F.coalesce("is_override", "_is_override", none)).withColumn("override_applied", F.coalesce("override_applied", "_override_applied", none))
+    return rows.withColumn("merged_from", F.coalesce("merged_from", "_merged_from")).withColumn("explicit_category", F.col("is_override")).withColumn("explicit_scope", F.col("is_override")).drop("adjusted_confidence", "_is_override", "_override_applied", "_merged_from")
+
+
+def placements(spark: SparkSession, path: str) -> DataFrame:
+    """Placements of a JSON-lines file, the score under either of its older names too."""
+    rows = lines(spark, path, f"{PLACEMENT}, adjusted_confidence DOUBLE, signal_score DOUBLE").where("rule_id is not null")
+    return rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", "signal_score", F.lit(0.0))).drop("adjusted_confidence", "signal_score")
 
 
 def overrides(spark: SparkSession, path: str) -> DataFrame:
@@ -56,6 +76,23 @@ def organization(spark: SparkSession, path: str) -> DataFrame:
     return inline.unionByName(topics)
 
 
+def organization_document(rows: DataFrame, topics: DataFrame, stats: dict | None = None) -> DataFrame:
+    """One row `value`: the organization as a JSON document, from (location, rule_id, topic_id, place) and topics
+    (location, topic_id, topic_name, topic_description, trigger_description). It names every placed rule once a
+    place, and is read as one document by whoever writes guideline files, so it is made in one task."""
+    ids = lambda df, *key: df.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "rule_id"))), lambda x: x["rule_id"]).alias("rule_ids"))
+    inline = ids(rows.where("topic_id is null"), "location").withColumnRenamed("rule_ids", "inline_rules")
+    told = ids(rows.where("topic_id is not null"), "location", "topic_id").join(topics, ["location", "topic_id"], "left")
+    told = told.groupBy("location").agg(F.array_sort(F.collect_list(F.struct("topic_id", "topic_name", "topic_description", "trigger_description", "rule_ids"))).alias("topic_references"))
+    each = rows.select("location").distinct().join(inline, "location", "left").join(told, "location", "left")
+    kind = told.schema["topic_references"].dataType
+    each = each.select(F.struct("location", F.coalesce("inline_rules", F.array().cast("array<bigint>")).alias("inline_rules"), F.coalesce("topic_references", F.array().cast(kind)).alias("topic_references")).alias("l"))
+    parts = [F.array_sort(F.collect_list("l")).alias("locations")]
+    if stats:
+        parts.append(F.create_map(*[F.lit(str(x)) for pair in stats.items() for x in pair]).alias("stats"))
+    return each.agg(F.to_json(F.struct(*parts)).alias("value"))
+
+
 def count_items(spark: SparkSession, folder: str) -> DataFrame:
     """(file, n): elements of the JSON array in each file; a malformed file counts 0."""
     files = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
@@ -71,23 +108,72 @@ def write_lines(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).json(path)
 
 
+def _path(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, system = _path(spark, path)
+    return system.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, system = _path(spark, path)
+    system.delete(p, True)
+
+
+def modified(spark: SparkSession, path: str) -> float | None:
+    """Seconds since 1970 at which a file or table was last written; None without it."""
+    p, system = _path(spark, path)
+    return system.getFileStatus(p).getModificationTime() / 1000 if system.exists(p) else None
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of the shared file system, whole."""
+    if not exists(spark, path):
+        return None
+    return "".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, system = _path(spark, path)
+    stream = system.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def files_below(spark: SparkSession, folder: str, ending: str) -> list[tuple[str, int]]:
+    """(path below the folder, bytes) of the files of one ending, at any depth, by path."""
+    top, system = _path(spark, folder)
+    if not system.exists(top):
+        return []
+    root = system.makeQualified(top).toUri().getPath().rstrip("/") + "/"
+    out, listed = [], system.listFiles(top, True)
+    while listed.hasNext():
+        one = listed.next()
+        path = one.getPath().toUri().getPath()
+        if path.endswith(ending):
+            out.append((path.removeprefix(root), one.getLen()))
+    return sorted(out)
+
+
 def write_documents(documents: DataFrame, folder: str, dry_run: bool = False) -> list[tuple[str, int]]:
     """Write (path, text) rows below folder by the shared file system, path by path; returns (path, bytes).
 
     Documents are guideline files: as many as directories. They stream to the driver one partition at a time.
+    Guideline files of an earlier run that this one does not write are deleted; other files stay.
     """
     spark = documents.sparkSession
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    before = files_below(spark, folder, ".md")
     out = []
     for row in documents.orderBy("path").toLocalIterator():
-        data = row["text"].encode()
-        out.append((row["path"], len(data)))
-        if dry_run:
-            continue
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{row['path']}")
-        stream = path.getFileSystem(hadoop).create(path, True)
-        try:
-            stream.write(bytearray(data))
-        finally:
-            stream.close()
+        out.append((row["path"], len(row["text"].encode())))
+        if not dry_run:
+            write_text(spark, f"{folder}/{row['path']}", row["text"])
+    if not dry_run:
+        for path in {p for p, _ in before} - {p for p, _ in out}:
+            delete(spark, f"{folder}/{path}")
     return out

@@ -52,3 +52,77 @@ def test_import_needs_no_corpus_package():
     code = "import sys; sys.modules['rulelode.llm'] = None; import rulelode.cli, rulelode.plans.catalog, rulelode.streaming.ingest; print(len(rulelode.plans.catalog.queries()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
     assert int(out.stdout) > 40
+
+
+def _comment_files(folder, extra=()):
+    folder.mkdir(exist_ok=True)
+    for pr in range(1, 5):
+        (folder / f"{pr}.json").write_text(json.dumps([{"id": pr * 10 + k, "user": {"login": "ann", "type": "User"}, "path": f"src/f{k}.py", "body": "Use tuples for constant tables please."} for k in range(2)]))
+    for pr, body in extra:
+        (folder / f"{pr}.json").write_text(json.dumps([{"id": pr * 10, "user": {"login": "bob", "type": "User"}, "path": "a.py", "body": body}]))
+
+
+def test_ledger_resumes_and_tells(spark, tmp_path, capsys):
+    _comment_files(tmp_path / "c")
+    base = ["--data", str(tmp_path / "data"), "--repo", "a/b"]
+    run = [*base, "run", "--comments", str(tmp_path / "c")]
+    cli.main(run)
+    text = capsys.readouterr().out
+    assert "extract: 8 comments → 8 actionable, 0 rejected → 8 generalizations" in text and "up to date" not in text
+    assert "generate: 1 AGENTS.md files" in text or "generate: 2 AGENTS.md files" in text
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "data").rglob("*.parquet")}
+    cli.main(run)
+    assert capsys.readouterr().out.count("up to date") == 6
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "data").rglob("*.parquet")}
+    cli.main([*base, "status"])
+    text = capsys.readouterr().out
+    assert "all stages done" in text and "synthesize | done | 8 generalizations → 8 in 1 clusters, 0 unclustered → 1 rules" in text
+    # A guideline file of an earlier run goes, another file stays, when documents are written again.
+    docs = tmp_path / "data/a/b/documents"
+    (docs / "old").mkdir()
+    (docs / "old/AGENTS.md").write_text("x")
+    (docs / "keep.txt").write_text("x")
+    # New comments change the input of extract: it and what follows from it are stale, then made anew.
+    _comment_files(tmp_path / "c", [(pr, "Name test helpers after what they check.") for pr in (8, 9)])
+    cli.main([*base, "status"])
+    assert "extract | stale" in capsys.readouterr().out
+    cli.main(run)
+    text = capsys.readouterr().out
+    assert "extract: 10 comments" in text and "extract: up to date" not in text
+    assert not (docs / "old/AGENTS.md").exists() and (docs / "keep.txt").exists()
+    cli.main([*base, "lookup", "0"])
+    assert "Use tuples" in capsys.readouterr().out
+
+
+def test_limits_go_on(spark, tmp_path, capsys):
+    _comment_files(tmp_path / "c", [(8, "Name test helpers after what they check."), (9, "Name test helpers after what they check.")])
+    base = ["--data", str(tmp_path / "data"), "--repo", "a/b"]
+    cli.main([*base, "extract", "--comments", str(tmp_path / "c"), "--limit", "5"])
+    assert spark.read.parquet(str(tmp_path / "data/a/b/extractions")).count() == 5
+    cli.main([*base, "status"])
+    assert "extract | partial" in capsys.readouterr().out
+    cli.main([*base, "extract", "--comments", str(tmp_path / "c")])
+    assert spark.read.parquet(str(tmp_path / "data/a/b/extractions")).count() == 10
+    for limit in (["--limit", "1"], []):
+        cli.main([*base, "synthesize", *limit])
+    rules = spark.read.parquet(str(tmp_path / "data/a/b/synthesized")).orderBy("rule_id").collect()
+    assert [r.rule_id for r in rules] == [0, 1] and len({r.cluster_id for r in rules}) == 2
+    cli.main([*base, "dedupe"])
+    for limit in (["--limit", "1"], []):
+        cli.main([*base, "place", *limit])
+    assert sorted(r.rule_id for r in spark.read.parquet(str(tmp_path / "data/a/b/placements")).collect()) == [0, 1]
+
+
+def test_files_of_the_other_layout(spark, tmp_path, capsys):
+    _comment_files(tmp_path / "c")
+    first, second = (["--data", str(tmp_path / x), "--repo", "a/b"] for x in ("one", "two"))
+    cli.main([*first, "run", "--comments", str(tmp_path / "c")])
+    cli.main([*first, "export", str(tmp_path / "files")])
+    assert [x["location"] for x in json.loads((tmp_path / "files/6-group/organized_rules.json").read_text())["locations"]]
+    cli.main([*second, "import", str(tmp_path / "files")])
+    for name in ("extractions", "synthesized", "rules", "placements", "organized"):
+        a, b = (spark.read.parquet(str(tmp_path / x / "a/b" / name)) for x in ("one", "two"))
+        assert a.count() == b.count() > 0
+    cli.main([*second, "generate"])
+    texts = [(tmp_path / x / "a/b/documents/AGENTS.md").read_text() for x in ("one", "two") if (tmp_path / x / "a/b/documents/AGENTS.md").exists()]
+    assert len(texts) != 1 and len(set(texts)) <= 1

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulelode.functions import scalar
+from rulelode.functions import prompts, scalar
 from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, organize, placement, provenance, render, vectors
 from rulelode.plans import pipeline
 
@@ -126,7 +126,47 @@ def thread_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comment_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = comments.with_context(comments.filter_bots(turns(spark, sf_dir)))
-    return rows.select("id", scalar.comment_prompt(F.col("body"), F.col("path"), F.col("diff_hunk"), F.col("context")).alias("prompt"))
+    return rows.select("id", prompts.comment(F.col("body"), F.col("path"), F.col("diff_hunk"), F.col("context")).alias("prompt"))
+
+
+def bot_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Potential rules of people: extractions whose author is a bot, by the end of the name or by list, give none."""
+    x = extractions(spark, sf_dir)
+    k = F.col("comment_id") % 4
+    author = F.when(k == 0, F.lit("helper[bot]")).when(k == 1, F.lit("Copilot")).when(k == 2, F.lit("bot")).otherwise(F.col("author"))
+    return extraction.generalizations(x.withColumn("author", author)).groupBy("comment_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = turns(spark, sf_dir)
+    return c.select((F.col("pr_number") % 40).alias("cluster_id"), "pr_number", F.col("id").alias("comment_id"), F.col("id").alias("pos"), F.col("body").alias("generalization"), F.col("user.login").alias("motivation"), F.when(F.col("id") % 2 == 0, F.lit("global")).alias("scope"), "body")
+
+
+def pr_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = consolidate.pr_histogram(_clusters(spark, sf_dir))
+    return found.select("cluster_id", F.size("histogram").alias("n_prs"), prompts.pr_distribution(F.col("histogram")).alias("distribution"))
+
+
+def cluster_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _clusters(spark, sf_dir)
+    items = F.array_sort(F.collect_list(F.struct("pos", "generalization", "motivation", "scope", "pr_number", "comment_id", "body")))
+    lists = rows.groupBy("cluster_id").agg(items.alias("items")).join(consolidate.pr_histogram(rows), "cluster_id")
+    return lists.select("cluster_id", prompts.cluster(F.col("cluster_id"), F.col("items"), F.col("histogram")).alias("prompt"))
+
+
+def placement_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    e = d.groupBy("source").agg(F.array_sort(F.collect_set(F.concat("lang", F.lit("/"), (F.col("doc_id") % 13).cast("string")))).alias("source_files"), F.count(F.lit(1)).alias("num_source_comments"))
+    counts = d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("dir_counts"))
+    rows = e.join(counts, "source").withColumn("related_files", F.array().cast("array<string>"))
+    rule = {"text": F.col("source"), "category": F.lit("naming"), "scope": F.lit("global"), "rule_score": F.lit(0.125), "unique_pr_count": F.size("source_files"), "reason": F.lit(None).cast("string")}
+    return rows.select("source", prompts.placement(rule, {c: F.col(c) for c in ("source_files", "related_files", "dir_counts", "num_source_comments")}).alias("prompt"))
+
+
+def bounded_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a model gave, within its bounds: documents as outputs, with scores beyond 1 and places that are none."""
+    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / 2000).alias("confidence"), "lang", F.when(F.col("doc_id") % 5 > 0, F.col("source")).alias("text"))
+    return annotate.checked(d, between={"confidence": (0.0, 1.0)}, among={"lang": ("en", "de")}, filled=("text",))[0].select("doc_id", "lang")
 
 
 def sample_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +247,17 @@ def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("group_id", "rule_id", "cluster_id", "common_pattern", "example_bad", "unique_pr_count", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"), F.array_join("related_entities", ",").alias("related_entities"), F.round("rule_score", 9).alias("rule_score"), F.round("cluster_coherence", 9).alias("cluster_coherence"), F.size("merged_from").alias("n_merged"))
 
 
+def merge_several(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three outputs a group: of all its rules, of its second half, of one rule that does not exist. Ids differ."""
+    r = rules(spark, sf_dir)
+    ids = r.groupBy("group_id").agg(F.array_sort(F.collect_list("rule_id")).alias("ids")).where(F.size("ids") > 1)
+    half = F.slice("ids", F.floor(F.size("ids") / 2).cast("int") + 1, F.size("ids"))
+    outs = ids.select("group_id", F.posexplode(F.array(F.col("ids"), half, F.col("ids"), F.array(F.lit(-7).cast("long")))).alias("out", "source_rule_ids"))
+    words = {"text": F.concat(F.lit("merged "), F.col("out").cast("string")), "reason": F.lit(""), "confidence": F.lit(0.9), "category": F.lit("c"), "scope": F.lit("global")}
+    m = consolidate.merged(outs.withColumns(words), r)
+    return m.select("group_id", "text", "rule_id", "unique_pr_count", F.size("merged_from").alias("n_merged"))
+
+
 def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = rules(spark, sf_dir)
     o = r.select("group_id").distinct().where("group_id % 3 = 0").withColumns({
@@ -369,7 +420,14 @@ SQL: dict[str, str] = {
     "pr_in_filter": f"with {TURNS} select id, pr_number, body from c where pr_number in (3, 5, 8)",
     "thread_chain": _CHAIN.format(turns=TURNS) + " select k.id as comment_id, count(r.anc) as depth, coalesce(string_agg(cast(r.anc as varchar), ',' order by r.lvl desc), '') as chain from k left join r on r.id = k.id group by k.id",
     "thread_context": _CHAIN.format(turns=TURNS) + ", t as (select r.id, row_number() over (partition by r.id order by r.lvl desc) as n, c.login, c.body from r join c on c.id = r.anc) select k.id as comment_id, any_value(k.pr_number) as pr_number, coalesce(string_agg('[' || cast(n as varchar) || '] @' || t.login || ': ' || t.body, chr(10) order by n), 'No prior thread context.') as context from k left join t on t.id = k.id group by k.id",
-    "comment_prompts": f"with {TURNS}, t as (select id, body from c where login <> 'assistant'), q as (select a.id, a.body, p.login, p.body as pbody from (select * from c where login <> 'assistant') a left join (select * from c where login <> 'assistant') p on p.id = a.up) select id, '## Review comment' || chr(10) || chr(10) || '**File**: `unknown`' || chr(10) || chr(10) || '**Comment**:' || chr(10) || body || chr(10) || chr(10) || '**Diff**:' || chr(10) || '```' || chr(10) || chr(10) || '```' || chr(10) || chr(10) || '**Thread**:' || chr(10) || coalesce(ctx, 'No prior thread context.') || chr(10) as prompt from (select q.id, q.body, x.ctx from q left join (with recursive k as (select * from c where login <> 'assistant'), r(id, anc, lvl) as (select id, up, 1 from k where up <> 0 and up in (select id from k) union all select r.id, k.up, r.lvl + 1 from r join k on k.id = r.anc where k.up <> 0 and k.up in (select id from k)), t2 as (select r.id, row_number() over (partition by r.id order by r.lvl desc) as n, c.login, c.body from r join c on c.id = r.anc) select id, string_agg('[' || cast(n as varchar) || '] @' || login || ': ' || body, chr(10) order by n) as ctx from t2 group by id) x on x.id = q.id)",
+    "comment_prompts": f"with {TURNS}, t as (select id, body from c where login <> 'assistant'), q as (select a.id, a.body, p.login, p.body as pbody from (select * from c where login <> 'assistant') a left join (select * from c where login <> 'assistant') p on p.id = a.up) select id, '## Comment to Extract From' || chr(10) || chr(10) || '**File**: `unknown`' || chr(10) || chr(10) || '**Comment Body**:' || chr(10) || body || chr(10) || chr(10) || '**Diff Context**:' || chr(10) || '```' || chr(10) || chr(10) || '```' || chr(10) || chr(10) || '**Thread Context**:' || chr(10) || coalesce(ctx, 'No prior thread context.') || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'Extract changes and potential rules from this comment. If not actionable, explain why.' || chr(10) as prompt from (select q.id, q.body, x.ctx from q left join (with recursive k as (select * from c where login <> 'assistant'), r(id, anc, lvl) as (select id, up, 1 from k where up <> 0 and up in (select id from k) union all select r.id, k.up, r.lvl + 1 from r join k on k.id = r.anc where k.up <> 0 and k.up in (select id from k)), t2 as (select r.id, row_number() over (partition by r.id order by r.lvl desc) as n, c.login, c.body from r join c on c.id = r.anc) select id, string_agg('[' || cast(n as varchar) || '] @' || login || ': ' || body, chr(10) order by n) as ctx from t2 group by id) x on x.id = q.id)",
+    "bot_authors": "select d.doc_id as comment_id, count(*) as n from (select doc_id, source, unnest(string_split(text, '. ')) as s from documents) d join labels l on l.doc_id = d.doc_id where l.quality = 1 and d.doc_id % 4 >= 2 and trim(s) <> '' group by 1",
+    "pr_histogram": f"with {TURNS}, h as (select pr_number % 40 as cluster_id, pr_number, count(*) as n from c group by 1, 2) select cluster_id, count(*) as n_prs, string_agg('PR#' || cast(pr_number as varchar) || ': ' || cast(n as varchar), ', ' order by pr_number) as distribution from h group by 1",
+    "cluster_prompts": f"with {TURNS}, h as (select pr_number % 40 as cluster_id, pr_number, count(*) as n from c group by 1, 2), d as (select cluster_id, count(*) as prs, string_agg('PR#' || cast(pr_number as varchar) || ': ' || cast(n as varchar), ', ' order by pr_number) as dist from h group by 1), i as (select pr_number % 40 as cluster_id, id, pr_number, login, body, row_number() over (partition by pr_number % 40 order by id) as k from c), s as (select cluster_id, count(*) as n, string_agg(case when k <= 15 then chr(10) || '### Generalization ' || cast(k as varchar) || ' (PR#' || cast(pr_number as varchar) || ', comment #' || cast(id as varchar) || ')' || chr(10) || '**Rule text**: ' || body || chr(10) || '**Motivation**: ' || login || case when id % 2 = 0 then ' [scope: global]' else '' end || chr(10) || '**Source context**: ' || substr(body, 1, 200) || '...' || chr(10) end, chr(10) order by k) as items from i group by 1) select s.cluster_id, '## Cluster Analysis' || chr(10) || chr(10) || '**Cluster ID**: ' || cast(s.cluster_id as varchar) || chr(10) || chr(10) || '**Cluster Statistics**:' || chr(10) || '- Total generalizations: ' || cast(n as varchar) || chr(10) || '- From ' || cast(prs as varchar) || ' unique PR(s)' || chr(10) || '- PR distribution: ' || dist || chr(10) || chr(10) || '**Generalizations in this cluster:**' || chr(10) || items || case when n > 15 then chr(10) || chr(10) || '... and ' || cast(n - 15 as varchar) || ' more generalizations' else '' end || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'Analyze this cluster of related generalizations. Assess coherence, identify the common pattern, and extract validated rule(s) if appropriate.' || chr(10) || chr(10) || '**Important**: This cluster spans ' || cast(prs as varchar) || ' unique PR(s). Prefer the most general rule that still has multi-PR support. If distinct sub-patterns exist, extract multiple rules.' || chr(10) as prompt from s join d on d.cluster_id = s.cluster_id",
+    "placement_prompts": "with f as (select source, lang || '/' || cast(doc_id % 13 as varchar) as f from documents group by 1, 2), g as (select source, f, row_number() over (partition by source order by f) as k from f), e as (select source, count(*) as n_files, string_agg(case when k <= 10 then '- ' || f end, chr(10) order by f) as files from g group by 1), l as (select source, lang, count(*) as n from documents group by 1, 2), d as (select source, cast(sum(n) as bigint) as n, string_agg(lang || ': ' || cast(n as varchar), ', ' order by n desc, lang) as dirs from l group by 1) select e.source, '## Rule to Place' || chr(10) || chr(10) || '**Rule text**: ' || e.source || chr(10) || chr(10) || '**Category**: naming' || chr(10) || '**Original scope**: global' || chr(10) || '**Score**: 0.12' || chr(10) || '**Validated across**: ' || cast(n_files as varchar) || ' PRs, ' || cast(n as varchar) || ' comments' || chr(10) || chr(10) || '**Reason**: N/A' || chr(10) || chr(10) || '## Evidence from Source Comments' || chr(10) || chr(10) || '**Directory distribution**: ' || dirs || chr(10) || chr(10) || '**Sample source files** (where this rule was applied):' || chr(10) || files || chr(10) || chr(10) || '**Mentioned entities**:' || chr(10) || '(none)' || chr(10) || chr(10) || '**Context entities** (inferred from diff):' || chr(10) || '(none)' || chr(10) || chr(10) || '**Related files mentioned** (files that needed coordinated updates):' || chr(10) || '(none)' || chr(10) || chr(10) || '**Keywords**: ' || chr(10) || chr(10) || '**Themes**: ' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'Based on this evidence, determine the optimal placement for this rule.' || chr(10) as prompt from e join d on d.source = e.source",
+    "bounded_outputs": "select doc_id, lang from documents where n_chars between 0 and 2000 and lang in ('en', 'de') and doc_id % 5 > 0 and trim(source) <> ''",
+    "merge_several": f"with {SCORED}, n as (select group_id, list_sort(list(rule_id)) as ids from f group by 1 having count(*) > 1), o as (select group_id, 0 as out, ids from n union all select group_id, 1, ids[len(ids) // 2 + 1 :] from n union all select group_id, 2, ids from n), i as (select *, ids[1] as a0 from o), b as (select i.group_id, out, i.ids, case when out = 0 then n.ids[1] when out = 1 then n.ids[len(n.ids) // 2 + 1] when len(n.ids) = 2 then n.ids[1] else n.ids[2] end as rule_id from i join n on n.group_id = i.group_id), u as (select b.group_id, out, any_value(b.rule_id) as rule_id, len(any_value(b.ids)) as n_merged, len(list_distinct(flatten(list(f.source_prs)))) as unique_pr_count from b join f on f.group_id = b.group_id and list_contains(b.ids, f.rule_id) group by 1, 2) select group_id, 'merged ' || cast(out as varchar) as text, rule_id, unique_pr_count, n_merged from u",
+    "cost_texts": "with m as (select c_custkey, cast(round(c_acctbal) as bigint) * 10 as u from customer), h as (select *, u // 100 + case when 2 * (u % 100) > 100 or 2 * (u % 100) = 100 and (u // 100) % 2 = 1 then 1 else 0 end as four, u // 10000 + case when 2 * (u % 10000) > 10000 or 2 * (u % 10000) = 10000 and (u // 10000) % 2 = 1 then 1 else 0 end as two from m) select c_custkey, case when u <= 0 then '' when u < 10000 then '$' || cast(four // 10000 as varchar) || '.' || lpad(cast(four % 10000 as varchar), 4, '0') else '$' || cast(two // 100 as varchar) || '.' || lpad(cast(two % 100 as varchar), 2, '0') end as cost_text from h",
     "sample_seeded": "select doc_id from documents order by md5(cast(doc_id as varchar) || ':42'), doc_id limit 50",
     "generalization_explode": "select comment_id, pos, generalization, scope from (select d.doc_id as comment_id, unnest(range(len(s))) as pos, trim(unnest(s)) as generalization, lang as scope from (select doc_id, lang, string_split(text, '. ') as s from documents) d join labels l on l.doc_id = d.doc_id where l.quality = 1) where generalization <> ''",
     "extraction_stats": "select count(*) as total_processed, count(*) filter (where a) as actionable, count(*) filter (where not a) as non_actionable, cast(coalesce(sum(case when a then least(len(s), 2) end), 0) as bigint) as total_changes, cast(coalesce(sum(case when a then len(s) end), 0) as bigint) as total_potential_rules from (select string_split(text, '. ') as s, coalesce(quality, 0) = 1 as a from documents d left join labels l on l.doc_id = d.doc_id)",
@@ -413,9 +471,29 @@ _ORDER = ROLLED + """, q as (select location, rule_id, moved, origin, coalesce(l
  q4 as (select *, row_number() over (partition by location, section order by rule_score desc, moved, origin, rule_id) as line from q3)"""
 SQL["category_render_order"] = f"with {_ORDER} select location, rule_id, heading, section, line from q4"
 SQL["provenance_lookup"] = f"with {TURNS}, {ROLLED}, g as (select pr_number as rule_id, id, row_number() over (partition by pr_number order by id) - 1 as n from c), w as (select rule_id, location, row_number() over (partition by rule_id order by location) as k from o) select p.rule_id, g.n, g.id as comment_id, c.login as author, p.kind as placement_type, w.location, substr(c.body, 1, 40) as body from p left join g on g.rule_id = p.rule_id and g.n < 5 left join c on c.id = g.id left join w on w.rule_id = p.rule_id and w.k = 1"
+#: The lines of every file with the keys that order them, as in render.documents.
+SQL["doc_render"] = f"""with {_ORDER},
+ t as (select rule_id, '<!-- rule:' || cast(rule_id as varchar) || ' -->' || chr(10) || '- ' || replace(rule_text, chr(10), ' ') || ' — ' || source as md from p),
+ pl as (select distinct location, case when location = 'root' then 'AGENTS.md' else location || '/AGENTS.md' end as path from o where location not like 'file:%'),
+ sub as (select location as s from pl where location <> 'root' and exists (select 1 from pl where location = 'root')),
+ fl as (select *, case when contains(file_path, '/') then regexp_replace(file_path, '/[^/]*$', '') else 'root' end as directory from (select substr(location, 6) as file_path, rule_id, rule_score, moved, origin from o where location like 'file:%')),
+ fr as (select pl.path, file_path, rule_id, row_number() over (partition by directory, file_path order by rule_score desc, moved, origin, rule_id) as line from fl join pl on pl.location = fl.directory),
+ x as (select path, '0' as a, '' as b, '' as c, '' as d, '<!-- guidelines -->' || chr(10) || chr(10) || case when location = 'root' then '# Coding Guidelines' else '# ' || location || '/ Guidelines' end || chr(10) as text from pl
+ union all select distinct path, '2', lpad(cast(section as varchar), 12, '0'), '0', '', '## ' || heading || chr(10) from q4 join pl on pl.location = q4.location
+ union all select path, '2', lpad(cast(section as varchar), 12, '0'), '1', lpad(cast(line as varchar), 12, '0'), md from q4 join pl on pl.location = q4.location join t on t.rule_id = q4.rule_id
+ union all select distinct path, '2', lpad(cast(section as varchar), 12, '0'), '2', '', '' from q4 join pl on pl.location = q4.location
+ union all select path, '9', '', '', '', '<!-- /guidelines -->' from pl
+ union all select 'AGENTS.md', '1', '0', '', '', 'Also see directory-specific guidelines:' || chr(10) where exists (select 1 from sub)
+ union all select 'AGENTS.md', '1', '1', s, '', '- [' || s || '/AGENTS.md](' || s || '/AGENTS.md)' from sub
+ union all select 'AGENTS.md', '1', '2', '', '', '' where exists (select 1 from sub)
+ union all select distinct path, '4', '', '', '', '## File-Specific Rules' || chr(10) from fr
+ union all select distinct path, '4', file_path, '0', '', '### `' || file_path || '`' || chr(10) from fr
+ union all select path, '4', file_path, '1', lpad(cast(line as varchar), 12, '0'), md from fr join t on t.rule_id = fr.rule_id
+ union all select distinct path, '4', file_path, '2', '', '' from fr)
+ select path, string_agg(text, chr(10) order by a, b, c, d) as text from x group by path"""
 
 _NAMES = (
-    bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
+    bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
     avg_linkage_clusters, unclustered, merge_rules, override_merge, id_guard, group_closure, evidence_dirs, min_score_filter, top_k_rules, threshold_preview, best_placement_per_rule, last_placement_per_rule, placement_types, location_key, topic_split, location_rollup, location_totals, category_render_order, doc_render,
     rule_search, provenance_lookup, location_list, stage_status, next_stage, staleness, total_cost, cost_texts, embedding_cache, review_pipeline,
 )

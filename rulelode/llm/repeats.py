@@ -4,13 +4,14 @@ A string of LENGTH bytes repeats if it starts at two places. Two equal strings h
 strings inside a window the one of least hash, the first of equals. A maximal run of windows with one anchor is a
 stretch of at most 2 * LENGTH bytes; there is about one for 77 bytes of text. Only anchors that occur twice can
 belong to a repeat, which leaves the repeated part of the corpus. There, stretches with one anchor are a group, and
-those of a group that are equal as a whole, the inside of every long repeat, are one class. Of every class the first
-member's stretch, and the last one's if there are several, go to a suffix array of the group. Suffixes are ranked by
-prefix doubling up to LENGTH bytes; a run of equal ranks is a run of suffixes with longest common prefix of LENGTH or
-more. In it, a suffix with a smaller position before it (previous smaller value) or after it (next smaller value) in
-suffix order has a longest previous factor of LENGTH or more: it is a later copy. What has neither, in a run of two
-or more, is the first. These factors decide every removed byte; what they say of a class's last member holds for all
-members but the first, whose bytes are the same. `keep="first"` removes later copies only, `keep="none"` every copy.
+those of a group that are equal as a whole, the inside of every long repeat, are one class. In suffix order the same
+suffixes of a class's members stand side by side, so each member but the first has a longest previous factor of LENGTH
+or more throughout: there is nothing to sort. Of groups with two classes or more, at the ends of repeats, every
+class's first member goes to a suffix array. Suffixes are ranked by prefix doubling up to LENGTH bytes; a run of equal
+ranks is a run of suffixes with longest common prefix of LENGTH or more. In it, a suffix with a smaller position
+before it (previous smaller value) or after it (next smaller value) in suffix order has a longest previous factor of
+LENGTH or more: it is a later copy. What has neither, in a run of two or more, is the first. `keep="first"` removes
+later copies only, `keep="none"` every copy.
 
 Classes are told apart by 128-bit cryptographic digests of their bytes, rows by a SHA-256 of doc_id and text.
 
@@ -159,16 +160,11 @@ def _anchor_rows(keyed: DataFrame, whole: bool, ordered: bool, length: int) -> D
 
 
 def _array_input(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """For every class the stretch of its first member, and that of its last if there is more than one: task, c (the
-    class), copy (0 or 1), o, rk, at, stretch."""
-    blocks = classes.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
-    some = classes.join(blocks, "h").withColumn("b", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    some = some.withColumn("task", F.xxhash64("h", F.least("b", "to"), F.greatest("b", "to")))
-    one = F.struct(F.lit(0).alias("copy"), F.col("first").alias("x"))
-    two = F.struct(F.lit(1).alias("copy"), F.col("last").alias("x"))
-    some = some.select("task", "c", F.explode(F.when(F.col("n") > 1, F.array(one, two)).otherwise(F.array(one))).alias("m"))
-    some = some.select("task", "c", "m.copy", F.col("m.x.o").alias("o"), F.col("m.x.rk").alias("rk"), F.col("m.x.at").alias("at"))
-    wanted = some.groupBy("rk").agg(F.collect_list(F.struct("task", "c", "copy", "o", "at")).alias("cuts"))
+    """Of groups with two or more classes, the stretch of every class's first member: task, o, rk, at, n, stretch."""
+    blocks = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h", F.ceil(F.col("kinds") / GROUP).cast("int").alias("blocks"))
+    some = classes.join(blocks, "h").withColumn("b", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    some = some.select(F.xxhash64("h", F.least("b", "to"), F.greatest("b", "to")).alias("task"), F.col("first.o").alias("o"), F.col("first.rk").alias("rk"), F.col("first.at").alias("at"), "n")
+    wanted = some.groupBy("rk").agg(F.collect_list(F.struct("task", "o", "at", "n")).alias("cuts"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
@@ -177,18 +173,18 @@ def _array_input(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame
             row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
             view = memoryview(np.ascontiguousarray(buf))
             for lo in range(0, len(row), 50_000):
-                task, c, copy, order, at = (flat.field(k).slice(lo, 50_000) for k in ("task", "c", "copy", "o", "at"))
+                task, order, at, n = (flat.field(k).slice(lo, 50_000) for k in ("task", "o", "at", "n"))
                 own = row[lo : lo + 50_000]
                 a = at.to_numpy()
                 begin = (a >> 16) + offs[own]
                 cut = [bytes(view[s : s + w + length - 1]) for s, w in zip(begin.tolist(), (a >> 8 & 255).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([task, c, copy, order, part.column("rk").take(pa.array(own)), at, pa.array(cut, pa.binary())], ["task", "c", "copy", "o", "rk", "at", "stretch"])
+                yield pa.RecordBatch.from_arrays([task, order, part.column("rk").take(pa.array(own)), at, n, pa.array(cut, pa.binary())], ["task", "o", "rk", "at", "n", "stretch"])
 
-    return ut.map_batches(keyed.select("rk", "text").join(wanted, "rk"), run, "task long, c long, copy int, o long, rk binary, at long, stretch binary")
+    return ut.map_batches(keyed.select("rk", "text").join(wanted, "rk"), run, "task long, o long, rk binary, at long, n long, stretch binary")
 
 
 def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
-    """(c, copy, rk, at, a, b): the runs of bytes that the suffix arrays find repeated, from the stretch's start."""
+    """(rk, a, b): what the suffix arrays of the groups find of first members, as byte spans of single rows."""
     parts = ut.shuffle_parts(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,27 +193,24 @@ def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
             column = table.column("stretch").combine_chunks()
             column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
             buf, offs = tx.buffers(column)
-            at, copy = (table.column(c).to_numpy() for c in ("at", "copy"))
+            at, n, order = (table.column(c).to_numpy() for c in ("at", "n", "o"))
             rk = np.unique(np.array(table.column("rk").to_pylist(), "S16"), return_inverse=True)[1]
-            order = table.column("o").to_numpy()
             windows = at >> 8 & 255
             row = np.repeat(np.arange(len(at)), windows)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-            # Rows that are equal share their places if later copies go; if all go, they are copies of each other.
-            twin = copy if keep == "none" else np.zeros(len(at), copy.dtype)
             place = np.empty(len(at), np.int64)
-            by = np.lexsort((twin, at, rk, order))
-            place[by] = np.cumsum(np.concatenate([[False], (at[by][1:] != at[by][:-1]) | (rk[by][1:] != rk[by][:-1]) | (twin[by][1:] != twin[by][:-1])]))
-            rank = suffix_ranks(buf, length)[offs[row] + inside]
-            factors = previous_factors(rank, place[row] << 8 | inside, length)
-            hit = factors[0 if keep == "first" else 1] >= length
+            by = np.lexsort((at, rk, order))
+            place[by] = np.cumsum(np.concatenate([[False], (at[by][1:] != at[by][:-1]) | (rk[by][1:] != rk[by][:-1])]))
+            factors = previous_factors(suffix_ranks(buf, length)[offs[row] + inside], place[row] << 8 | inside, length)
+            # If every copy goes, a first member with copies of its own is found with these.
+            hit = factors[0] >= length if keep == "first" else (factors[1] >= length) & (n[row] == 1)
             begin = hit & ~np.concatenate([[False], hit[:-1] & (row[1:] == row[:-1])])
             end = hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])
             s, e = np.flatnonzero(begin), np.flatnonzero(end)
-            own = pa.array(row[s])
-            yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks().take(own) for c in ("c", "copy", "rk", "at")), pa.array(inside[s]), pa.array(inside[e] + length)], ["c", "copy", "rk", "at", "a", "b"])
+            base = (at >> 16)[row[s]]
+            yield pa.RecordBatch.from_arrays([table.column("rk").combine_chunks().take(pa.array(row[s])), pa.array(base + inside[s]), pa.array(base + inside[e] + length)], ["rk", "a", "b"])
 
-    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "c long, copy int, rk binary, at long, a long, b long")
+    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "rk binary, a long, b long")
 
 
 def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -> DataFrame:
@@ -227,18 +220,15 @@ def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -
     twice = ut.materialize(_anchor_rows(keyed, False, False, length).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent")
     some = ut.materialize(_anchor_rows(keyed, True, keep == "first", length).join(twice, "h", "left_semi"), "anchors")
     member = F.struct("o", "rk", "at")
-    classes = some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("first"), F.max(member).alias("last"))
-    classes = ut.materialize(classes.withColumn("c", F.monotonically_increasing_id()), "stretches")
+    classes = ut.materialize(some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("first")), "stretches")
     found = ut.materialize(_array_spans(_array_input(keyed, classes, length), length, keep), "factors")
-    start = F.shiftright("at", 16)
-    own = found.where("copy = 0").select("rk", (start + F.col("a")).alias("a"), (start + F.col("b")).alias("b"))
-    # What holds for a class's last member holds for all but its first: they hold the same bytes and come after it.
-    later = found.where("copy = 1").select("c", "a", "b").distinct().join(classes.select("c", "h", "g", "first"), "c").withColumnsRenamed({"a": "x", "b": "y"})
-    rest = some.join(ut.materialize(later, "later"), ["h", "g"])
+    # A table of its own, so that nothing but a join of two plain exchanges stands in this step.
+    equal = some.join(classes.where("n > 1").select("h", "g", "first"), ["h", "g"])
     if keep == "first":
-        rest = rest.where(~member.eqNullSafe(F.col("first")))
-    rest = ut.materialize(rest.select("rk", (start + F.col("x")).alias("a"), (start + F.col("y")).alias("b")), "members")
-    return ut.materialize(own.unionByName(rest).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
+        equal = equal.where(~member.eqNullSafe(F.col("first")))
+    start = F.shiftright("at", 16)
+    equal = ut.materialize(equal.select("rk", start.alias("a"), (start + F.shiftright("at", 8).bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("b")), "members")
+    return ut.materialize(found.unionByName(equal).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
 
 
 def _merged(lists: pa.ListArray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -318,10 +319,68 @@ def test_randomness():
     tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(300)]
     p = np.array([secrets.p_value(t.encode(), "hex") for t in tokens])
     assert (p < 0.01).mean() < 0.03
+    # Nominal far into the tail, where discovery control decides, whatever the length and the encoding.
+    draw = np.random.default_rng(9)
+    for n, name in itertools.product((20, 32, 64, 200), ("hex", "base62")):
+        chars = np.frombuffer(secrets.ENCODINGS[name], np.uint8)
+        p = np.array([secrets.p_value(chars[draw.integers(0, len(chars), n)].tobytes(), name) for _ in range(4000)])
+        assert (p < 0.01).mean() < 0.015 and (p < 0.001).mean() < 0.0025 and (p < 0.0001).mean() <= 0.0005
     assert secrets.p_value(b"0123456789abcdef0123456789abcdef", "hex") < 1e-3 or secrets.p_value(b"00000000001111111111222222222233", "hex") < 1e-6
     assert secrets.infer_encoding(b"deadbeef00") == "hex" and secrets.infer_encoding(b"onlyletters") is None and secrets.infer_encoding(b"aB3+/x==") == "base64"
 
 
+def plain_p(token, name):
+    """The battery by counting: pairs of equal symbols and runs by simulation, the serial test by its formula."""
+    chars = secrets.ENCODINGS[name].decode()
+    v = np.array([chars.index(c) for c in token.rstrip("=")])
+    n, k = len(v), len(chars)
+    pairs = lambda x: sum(c * (c - 1) // 2 for c in Counter(x.tolist()).values())
+    draw = np.random.default_rng(2).integers(0, k, (20_000, n))
+    same = np.sort(draw, 1)
+    size = np.zeros(len(draw), int)
+    streak = np.zeros(len(draw), int)
+    for i in range(1, n):
+        streak = np.where(same[:, i] == same[:, i - 1], streak + 1, 0)
+        size += streak
+    uniform = (size >= pairs(v)).mean()
+    c = v - (k - 1) / 2
+    z = abs((c[1:] * c[:-1]).sum()) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+    z -= 5.04 / n / 24 * (z**3 - 3 * z)
+    return uniform, math.erfc(z / math.sqrt(2))
+
+
+def test_battery_against_simulation():
+    rng = random.Random(17)
+    for name in ("hex", "base62"):
+        chars = secrets.ENCODINGS[name].decode()
+        for n in (20, 45):
+            for skew in (1, 2):
+                token = "".join(chars[int(len(chars) * rng.random() ** skew)] for _ in range(n))
+                v = secrets._VALUES[name][np.frombuffer(token.encode(), np.uint8)]
+                uniform, serial = plain_p(token, name)
+                assert secrets._p_uniform(np.bincount(v, minlength=len(chars)), n, len(chars)) == pytest.approx(uniform, abs=0.02)
+                assert secrets._p_serial(v, len(chars)) == pytest.approx(serial, abs=1e-9)
+    # Runs against every order of a few signs.
+    for a, b in ((2, 3), (4, 4), (1, 6)):
+        seen = Counter(1 + sum(x != y for x, y in itertools.pairwise(p)) for p in itertools.permutations([1] * a + [0] * b))
+        total = sum(seen.values())
+        odds = secrets._run_odds(a, b)
+        assert all(odds[r] == pytest.approx(seen[r] / total) for r in range(len(odds)))
+
+
+def test_planted_keys_among_ordinary_tokens(spark):
+    """Random keys are found; of ordinary tokens a known share is, which is what the tests' power leaves."""
+    rng = random.Random(23)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = ["user", "account", "list", "backup", "final", "report", "config", "session", "handler", "table", "index", "daily"]
+    keys = ["".join(rng.choice(chars) for _ in range(rng.randint(32, 64))) for _ in range(300)]
+    plain = ["_".join(rng.choice(parts) for _ in range(6)) + f"_{rng.randint(1, 99):04d}" for _ in range(150)] + ["".join(rng.choice(parts).title() for _ in range(7)) + str(rng.randint(1, 9)) for _ in range(150)]
+    rows = list(enumerate(f"see {x} there" for x in keys + plain))
+    found = {r.doc_id: len(r.spans) for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(bool(found[i]) for i in range(300)) >= 294
+    assert sum(bool(found[i]) for i in range(300, 600)) <= 150
+
+
 # 4
 
 
@@ -459,6 +518,35 @@ def test_forest(spark):
     assert quality.fit(docs, labels.limit(0)) is None
 
 
+def test_forest_on_unseen_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(3)) == 0
+    forest = quality.fit(docs, labels.where(~unseen))
+    rows = quality.quality_scores(docs, forest).join(labels.where(unseen), "doc_id").where("not base_failed").collect()
+    good, bad = [r.kept for r in rows if r.quality == 1], [r.kept for r in rows if r.quality == 0]
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.35
+
+
+def plain_path(forest, tree, x, node=0):
+    k = forest.feature[tree, node]
+    return forest.path[tree, node] if k < 0 else plain_path(forest, tree, x, 2 * node + 1 + int(x[k] >= forest.cut[tree, node]))
+
+
+def test_paths_by_the_book():
+    rng = np.random.default_rng(3)
+    good = rng.normal(0, 1, (400, 4))
+    forest = quality.grow(good, np.ptp(good, axis=0), trees=20)
+    odd = np.array([[9.0, -9, 9, 9], [0, 0, 0, 0], [0, 0, 0, 0]])
+    want = [2.0 ** (-np.mean([plain_path(forest, t, x) for t in range(20)]) / forest.norm) for x in odd]
+    got = forest.score(odd)
+    assert got == pytest.approx(want) and got[0] > got[1] == got[2]
+    # The threshold is the middle of what keeps the good rows and loses most bad ones.
+    found = quality.calibrate(forest, good, rng.normal(8, 1, (50, 4)))
+    assert (found.score(good) >= found.threshold).mean() <= quality.MAX_FALSE_REJECTS
+    assert (found.score(rng.normal(8, 1, (50, 4))) >= found.threshold).mean() > 0.9
+    assert quality.learn(good[:10], np.ones(10)) is None
+
+
 # 7
 
 
@@ -492,6 +580,36 @@ def test_smoothing_sums_to_one():
             assert total == pytest.approx(1, abs=0.02)
 
 
+def test_pairs_by_the_book():
+    """Words in context against counts in dictionaries."""
+    texts, labels = ["you great cat", "you great dog", "you bad cat", "you bad cat", "no bad dog"], np.array([0, 0, 1, 1, 1])
+    model = toxicity.count(texts, labels)
+    seen = {y: Counter() for y in (0, 1)}
+    for t, y in zip(texts, labels.tolist(), strict=True):
+        w = [None, *t.split()]
+        seen[y].update(set(itertools.pairwise(w)))
+    seen["both"] = seen[0] + seen[1]
+
+    def smooth(counts, pair, below):
+        total = sum(n for (a, _), n in counts.items() if a == pair[0])
+        kinds = sum(a == pair[0] for a, _ in counts)
+        n = counts[pair]
+        return below if not total else (n - min(toxicity.DISCOUNT, n)) / total + toxicity.DISCOUNT * min(kinds, total / toxicity.DISCOUNT) / total * below
+
+    buf, start, end, _ = toxicity.split_words(pa.array(["you bad cat"]))
+    logs = model.logs(buf, start, end)
+    h, g = tx.word_keys(buf, start, end)
+    pair, context = toxicity.pair_keys(h, g, np.zeros(3, int))
+    known, ratio = model._in_context(pair, context, logs)
+    assert known.tolist() == [0, 1, 2]
+    for i, p in enumerate(itertools.pairwise([None, "you", "bad", "cat"])):
+        want = [math.log(smooth(seen[y], p, smooth(seen["both"], p, math.exp(logs[i, y])))) for y in (0, 1)]
+        assert ratio[i] == pytest.approx(want[1] - want[0], rel=1e-5)
+    again, pairs = toxicity.tally(pa.array(["a b a b", "b a", "a b"]), np.array([0, 0, 1]))
+    assert sorted(zip(again[0], again[1].tolist(), again[2].tolist(), strict=True)) == [(b"a", 0, 2), (b"a", 1, 1), (b"b", 0, 2), (b"b", 1, 1)]
+    assert sorted(pairs[3].tolist()) == [1, 1, 1, 1, 1, 2]
+
+
 # 8
 
 
@@ -534,6 +652,43 @@ def test_mixing(spark, docs, texts, monkeypatch):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def test_shards_hold_each_block_copy_once(spark, docs, texts, monkeypatch):
+    """The tree draws: each copy of a document lies in one shard, shards hold their even part of all blocks, and
+    whatever number of shards the table allows, the same copies are taken."""
+    monkeypatch.setattr(mixing, "BLOCK", 2)
+    own = docs.drop("_size")
+    taken = {}
+    for table, least in ((1 << 22, 12), (16, 2), (1, 1)):
+        rows = mixing.mix(own, shard_words=300, table=table).select("doc_id", "_i", "_block", "_n_blocks", "_shards", "_cut").collect()
+        taken[table] = {r.doc_id: len(r["_shards"]) for r in rows}
+        used = {s for r in rows for s in r["_shards"]}
+        assert len(used) >= least if least > 2 else len(used) <= max(table // 4, 1)
+        blocks: dict = {}
+        for r in rows:
+            if r["_cut"] is None:
+                blocks.setdefault((r["_i"], r["_block"]), set()).add(tuple(r["_shards"]))
+        # Documents of one block go together: all of them, but those too large for the last epoch or without words.
+        for copies in blocks.values():
+            longest = max(copies, key=len)
+            assert all(c == longest[: len(c)] for c in copies)
+        count = Counter(s for copies in blocks.values() for s in max(copies, key=len))
+        assert not count or max(count.values()) <= sum(count.values()) / len(used) + 14
+    assert taken[1 << 22] == taken[16] == taken[1]
+
+
+def test_words_before_in_runs(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, b, rng.randint(0, 50)) for i in range(3) for b in range(40) if rng.random() < 0.8]
+    want, total = {}, Counter()
+    for i, b, w in rows:
+        want[i, b] = total[i]
+        total[i] += w
+    for run in (1, 7, 4096):
+        monkeypatch.setattr(mixing, "RUN", run)
+        got = mixing._words_before(spark.createDataFrame(rows, "_i int, _block long, _words long")).collect()
+        assert {(r["_i"], r["_block"]): r["_before"] for r in got} == want
+
+
 # 9
 
 
@@ -656,3 +811,46 @@ def test_fullest_is_best():
         assert sum(x * c for x, c in take.items()) <= 1024
         solved.update({x: c * times for x, c in take.items()})
     assert solved == {700: 10_000, 300: 7000, 24: 9000, 1024: 5}
+
+
+# All
+
+
+def scanned(name):
+    """Results by doc_id of the operators that look at one document at a time."""
+    model = toxicity.count(["a good day", "what a bad day", "bad bad"], np.array([0, 1, 1]))
+    model.weights = np.array([-1.0, 0.5, 0.2, 0.1, 0, 0, 0, 0.3, 0.1])
+    p = langid.build(["abc abc de", "ßñé ßñ"], ["k", "l"])
+    return {
+        "secrets": lambda d: secrets.scan(d).select("doc_id", "base_sha256", F.to_json("spans")), "licenses": lambda d: licenses.scan(d).select("doc_id", "license", "dice", F.to_json("matches")), "quality": lambda d: quality.quality_scores(d, None),
+        "toxicity": lambda d: toxicity.toxicity(d, model), "langid": lambda d: langid.identify(d, p),
+    }[name]
+
+
+@pytest.mark.parametrize("name", ["secrets", "licenses", "quality", "toxicity", "langid"])
+def test_clashing_columns_and_repeated_rows(docs, name):
+    """Columns named like an operator's own change nothing; rows that stand twice get the same result twice."""
+    go = scanned(name)
+    plain = sorted(map(tuple, go(docs.select("doc_id", "text")).collect()), key=repr)
+    clash = docs.withColumns({c: F.lit("clash") for c in ("candidates", "base", "spans", "score", "license", "dice", "kept", "anomaly", "n_words", "lang_pred", "toxic", "place", "n")})
+    assert sorted(map(tuple, go(clash).collect()), key=repr) == plain
+    assert sorted(map(tuple, go(docs.unionByName(docs)).collect()), key=repr) == sorted([*plain, *plain], key=repr)
+
+
+def test_kept_columns_with_clashing_names(spark, docs):
+    """Operators that hand rows on keep every column and value, whatever its name."""
+    clash = docs.withColumns({c: F.lit("own") for c in ("candidates", "base", "spans", "kept", "digest", "k1", "component_id")})
+    for out in (secrets.redact(clash), quality.quality_filter(clash, None), neardup.deduplicate(clash)):
+        assert out.columns == clash.columns and {r.base for r in out.select("base").distinct().collect()} == {"own"}
+
+
+def test_fit_with_ties_and_repeated_rows(spark):
+    """Rows that stand twice, labels that disagree and documents that are equal leave the fits the same."""
+    rows = [(i, f"good words number {i % 7} here" if i % 3 else f"vile scum number {i % 5} here", "k" if i % 2 else "l") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 1) for i in range(60)], "doc_id long, toxic int, quality int")
+    one = toxicity.fit(docs, labels)
+    two = toxicity.fit(docs.unionByName(docs), labels.unionByName(labels).withColumn("text", F.lit("x")))
+    assert one.weights == pytest.approx(two.weights) and one.score(pa.array(["vile scum"]))[0] > one.score(pa.array(["good words"]))[0]
+    a, b = langid.fit(docs), langid.fit(docs.withColumn("n", F.lit(1)))
+    assert a.languages == b.languages == ["k", "l"] and (a.vocabulary == b.vocabulary).all()

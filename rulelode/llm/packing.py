@@ -6,11 +6,14 @@ corpus, and the packing is solved on it: the longest length left opens a window,
 big integer per stage of the dynamic programme) finds the fullest reachable sum of the lengths left, and
 backtracking gives the multiset that reaches it. A multiset is used as often as its counts allow, so the number
 of programmes depends on the lengths and not on the documents. Pieces then take slots by their rank within their
-length. Ranks come from counts per length and hash bucket: a length that many copies share is no single task.
+length. Ranks come from counts per length and hash bucket: a length that many copies share is no single task. Full
+windows need no rank and are not shuffled; one count per task of the first pass reaches the driver.
 
 Defined results: null and empty texts are the one id 0; repeated rows are packed once each; a text with the
 literal end-of-text marker is tokenised like any other by the tokenizer's own rules; extra columns are ignored;
-an empty table gives an empty result. Cached token ids per worker are bounded by CACHE entries.
+an empty table gives an empty result; pieces alike in id, start and tokens take their slots in any order. Cached token
+ids per worker are bounded by CACHE entries, and an entry is used for equal bytes only. A very long text is cut at
+seams, places that no pre-token reaches over, and tokenised strip by strip.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -210,24 +214,27 @@ def default_tokenizer() -> str:
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens of the full windows and the remainder of every document."""
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        for part, buf, offs in tx.pieces(batch, "text"):
-            ids, at = enc.encode(buf, offs)
-            own = part.column("doc_id").to_numpy(zero_copy_only=False) if not part.column("doc_id").null_count else part.column("doc_id").to_pylist()
-            rows: list[list] = [[], [], [], [], []]
-            for r in range(part.num_rows):
-                x = np.append(ids[at[r] : at[r + 1]], np.uint32(0)).astype("<u4")
-                for s in range(0, len(x), window):
-                    p = x[s : s + window]
-                    for column, value in zip(rows, (own[r], s, len(p), zlib.crc32(p.tobytes()), len(x)), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
-
-    return ut.map_batches(ut.only(docs, doc_id="long", text="string"), run, ", ".join(f"{k} long" for k in names))
+    """doc_id, start, length, ids_crc32, doc_tokens of the full windows and the remainder of every document; _task and
+    _nth count the full windows of each task, from 0."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_task", "_nth"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, task, full = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for part, buf, offs in tx.pieces(batch, "text"):
+                ids, at = enc.encode(buf, offs)
+                rows: list[list] = [[] for _ in names]
+                for own, lo, hi in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    x = np.append(ids[lo:hi], np.uint32(0)).astype("<u4")
+                    for s in range(0, len(x), window):
+                        p = x[s : s + window]
+                        nth = full if len(p) == window else None
+                        full += len(p) == window
+                        for column, value in zip(rows, (own, s, len(p), zlib.crc32(p.tobytes()), len(x), task, nth), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
+
+    return ut.only(docs, doc_id="long", text="string").mapInArrow(run, ", ".join(f"{k} long" for k in names))
 
 
 def fullest(lengths: list[int], counts: dict[int, int], room: int) -> dict[int, int]:
@@ -281,10 +288,13 @@ def solve(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[dict[in
 
 
 def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Add sequence_id and offset to pieces: each piece takes the slot of its rank within its length."""
+    """sequence_id and offset of pieces: each shorter piece takes the slot of its rank within its length; full windows
+    are sequences of their own, numbered on by task and place in it, and never shuffled."""
     spark = pieces.sparkSession
+    names = [c for c in pieces.columns if c not in ("_task", "_nth")]
+    short = pieces.where(F.col("length") < window).select(*names)
     buckets = ut.shuffle_parts(spark) * BUCKETS_PER_PARTITION
-    keyed = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
+    keyed = short.withColumn("_b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = ut.materialize(keyed.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -298,10 +308,9 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             offset += c * x
         sequence += times
     arrays = {x: np.array(v, np.int64) for x, v in slots.items()}
-    names = pieces.columns
     before = counts.select("length", "_b", (F.sum("n").over(Window.partitionBy("length").orderBy("_b")) - F.col("n")).alias("_before"))
     ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32")) - 1).join(before, ["length", "_b"])
-    ranked = ranked.select(*pieces.columns, (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
+    ranked = ranked.select(*names, (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         length, at = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
@@ -315,7 +324,16 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             off[own] = t[k, 3] + step % t[k, 1] * x
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(seq), pa.array(off)], [*names, "sequence_id", "offset"])
 
-    return ut.map_batches(ranked, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long")
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema}
+    shared = ut.map_batches(ranked, run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", sequence_id long, offset long")
+    full = pieces.where(F.col("length") == window)
+    starts = []
+    for r in full.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect():
+        starts.append((r["_task"], sequence))
+        sequence += r["n"]
+    known = ut.local_table(spark, starts, {"_task": pa.int64(), "_start": pa.int64()})
+    alone = full.join(known, "_task").select(*names, (F.col("_start") + F.col("_nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return shared.unionByName(alone)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:

@@ -771,6 +771,19 @@ def test_encoder_equals_tokenizer(texts):
     assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(data))] == [w.ids for w in want]
 
 
+def test_encoder_in_strips(texts, monkeypatch):
+    """Long texts are cut where no pre-token reaches over: ids are those of the whole text, whatever the strips."""
+    enc = packing.encoder(packing.default_tokenizer())
+    rng = random.Random(41)
+    odd = ["日本語、文字。", "don't 've", "  \n\n x", "é 12½3", "a\t b", "\u00a0x", "\x85", "🙂 ok.", "一二，三四。五", "'s ", "...\n", "<|endoftext|> a"]
+    data = [t or "" for t in texts.values()] + ["".join(rng.choice(odd) for _ in range(300)) for _ in range(6)] + ["", "x" * 500]
+    want = [w.ids for w in enc.tokenizer.encode_batch(data, add_special_tokens=False)]
+    for strip in (5, 64):
+        monkeypatch.setattr(packing, "STRIP", strip)
+        ids, at = enc.encode(*tx.buffers(pa.array(data)))
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(len(data))] == want
+
+
 def test_packing(spark, docs, texts):
     rows = packing.pack(docs).collect()
     enc = packing.encoder(packing.default_tokenizer()).tokenizer
@@ -789,7 +802,7 @@ def test_packing(spark, docs, texts):
             assert offset == at
             at += length
         assert at <= 1024
-    assert len(places) <= math.ceil(total / 1024) + 1
+    assert len(places) <= math.ceil(total / 1024) + 1 and sorted(places) == list(range(len(places)))
     assert packing.pack(empty(spark)).count() == 0
     twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
     assert packing.pack(twice).count() == 3

@@ -197,9 +197,24 @@ class Run:
         stats.detail = progress.generate_detail(stats.values)
         return True
 
+    def landed(self) -> tuple | None:
+        """The row of the download, made by other means: how many of the listed changes have all their files."""
+        folder = (self.records.read("extract") or {}).get("stats", {}).get("comments")
+        folder = folder.rstrip("/").rpartition("/")[0] if folder else f"{self.root}/1-download"
+        if not files.exists(self.spark, f"{folder}/pr_list.json"):
+            return None
+        listed = files.pr_list(self.spark, f"{folder}/pr_list.json", cap=None).select(F.col("number").alias("pr_number"))
+        n = listed.count()
+        whole = ledger.complete(files.resources(self.spark, folder)).join(listed, "pr_number", "left_semi").count()
+        said = files.count_items(self.spark, f"{folder}/review_comments").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        diffs = len(files.files_below(self.spark, f"{folder}/diffs", ".diff"))
+        detail = f"{progress.number(n)} PRs | {progress.number(said)} review comments, {progress.number(diffs)} diffs" if whole >= n else f"{progress.number(whole)}/{progress.number(n)} PRs downloaded | {progress.number(said)} review comments"
+        written = files.modified(self.spark, f"{folder}/pr_list.json")
+        return (0, "download", whole, n, None, None, detail, None if written is None else time.time() - written, "0")
+
     def states(self) -> DataFrame:
         """One row a stage: ord, stage, status, detail, age, cost; the table that `status` prints."""
-        rows = []
+        rows = [x for x in [self.landed()] if x]
         for i, name in enumerate(ledger.STAGES[1:], 1):
             record = self.records.read(name)
             done = bool(record) and (not OUTPUTS[name] or all(self.has(t) for t in OUTPUTS[name]))
@@ -234,7 +249,9 @@ class Run:
                 # The document's order: rules inline before those in topics, as they stand.
                 rows = rows.withColumn("place", F.struct(F.lit(0).alias("moved"), F.lit("").alias("_from"), F.col("ord"))).drop("ord")
             self.put(name, rows)
-            print(f"{name}: {self.read(name).count()} rows")
+            n = self.read(name).count()
+            lines = n if name == "group" else files.count_lines(self.spark, f"{folder}/{path}").first()["n"]
+            print(f"{name}: {n} rows" + (f", {lines - n} lines unreadable" if lines > n else ""))
         for name in LAYOUT:
             if self.has(name):
                 stats = {"options": {k: None for k in MATTERS[name]}}

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulelode.functions import scalar
+from rulelode.functions import prompts, scalar
 from rulelode.operators.annotate import checked
 from rulelode.operators.graph import group_closure
 from rulelode.sources.scratch import materialize
@@ -153,6 +153,12 @@ def best_words(plain: DataFrame) -> DataFrame:
     )
 
 
+def questions(plain: DataFrame) -> DataFrame:
+    """(group_id, prompt): what a model is asked about each group of rules, for a function that gives `outputs`."""
+    one = F.struct("ord", "rule_id", "text", "reason", "category", "scope", "confidence", "source_prs", "unique_pr_count")
+    return plain.groupBy("group_id").agg(F.array_sort(F.collect_list(one)).alias("rules")).select("group_id", prompts.consolidation(F.col("rules")).alias("prompt"))
+
+
 def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rules after the pass, its merge log) for groups (group_id, rule_id) of two or more rules.
 

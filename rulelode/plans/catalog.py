@@ -258,6 +258,12 @@ def merge_several(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("group_id", "text", "rule_id", "unique_pr_count", F.size("merged_from").alias("n_merged"))
 
 
+def category_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of one category with the same words, as groups closed over overlaps."""
+    r = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rule_id"), F.col("lang").alias("category"), "text")
+    return graph.group_closure(consolidate.equal_texts(r), r)
+
+
 def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = rules(spark, sf_dir)
     o = r.select("group_id").distinct().where("group_id % 3 = 0").withColumns({
@@ -348,6 +354,11 @@ def doc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.documents(organized(spark, sf_dir), p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"))
 
 
+def file_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules about single files, at the directory's own guideline file where there is one."""
+    return organize.file_rules(organized(spark, sf_dir)).select("directory", "file_path", "rule_id")
+
+
 def rule_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = placed(spark, sf_dir)
     return provenance.search(p.select("rule_id", F.col("rule_text").alias("text"), "ord"), "THE").select("rule_id")
@@ -444,6 +455,8 @@ SQL: dict[str, str] = {
     "unclustered": f"select vec_id from embeddings where vec_id not in (select a.vec_id from embeddings a join embeddings b on a.vec_id <> b.vec_id where list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= {NEAR})",
     "merge_rules": f"with {SCORED} select group_id, min(rule_id) as rule_id, group_id as cluster_id, first('p' || cast(day as varchar) order by rule_score desc, rule_id) as common_pattern, first('bad ' || cast(rule_id as varchar) order by rule_id) filter (where day % 2 = 0) as example_bad, len(list_distinct(flatten(list(source_prs)))) as unique_pr_count, array_to_string(list_sort(list_distinct(flatten(list(source_comments)))), ',') as source_comments, array_to_string(list_sort(list_distinct(flatten(list(source_prs)))), ',') as source_prs, array_to_string(list_sort(list(distinct 'e' || cast(day % 4 as varchar))), ',') as related_entities, round(least(1.0, 0.9e0 * case len(list_distinct(flatten(list(source_prs)))) when 1 then 0.6e0 when 2 then 0.85e0 when 3 then 0.95e0 else 1e0 end), 9) as rule_score, round(max(confidence), 9) as cluster_coherence, count(*) as n_merged from f group by group_id",
     "override_merge": f"with {SCORED} select group_id, min(rule_id) as rule_id, group_id as cluster_id, 'override' as text, case when group_id % 2 = 0 then 'manual' else first('c' || cast(day % 3 as varchar) order by rule_score desc, rule_id) end as category, 'global' as scope, first('bad ' || cast(rule_id as varchar) order by rule_id) filter (where day % 2 = 0) as example_bad, greatest(5, len(list_distinct(flatten(list(source_prs))))) as unique_pr_count, array_to_string(list_sort(list_distinct(flatten(list(source_prs)))), ',') as source_prs, 0.95 as rule_score, count(*) + 1 as n_merged from f where group_id % 3 = 0 group by group_id",
+    "category_review": r"with n as (select doc_id, lang, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) as plain from documents) select doc_id as rule_id, min(doc_id) over (partition by lang, plain) as root from n where plain is not null qualify count(*) over (partition by lang, plain) > 1",
+    "file_regroup": f"with {ROLLED}, f as (select substr(location, 6) as file_path, rule_id from o where location like 'file:%'), d as (select *, case when contains(file_path, '/') then regexp_replace(file_path, '/[^/]*$', '') else 'root' end as directory from f) select directory, file_path, rule_id from d where directory in (select location from o where location not like 'file:%')",
     "id_guard": "select min(doc_id) as doc_id, md5(text) as key from documents group by md5(text)",
     "group_closure": "with recursive g as (select min(doc_id) over (partition by text) as a, doc_id as b from documents union all select doc_id, doc_id + 1 from documents where doc_id % 7 < 2), v as (select a, b from g where a <> b and a in (select doc_id from documents) and b in (select doc_id from documents)), e as (select a as i, b as j from v union select b, a from v), r(n, m) as (select i, i from e union select e.j, r.m from r join e on e.i = r.n where r.m < e.j) select n as rule_id, min(m) as root from r group by n",
     "evidence_dirs": r"with q as (select page_id, page_id % 20 as rule_id, regexp_replace(regexp_replace(url, '^[a-z]+://[^/]*/?', ''), '[?#].*$', '') as path from pages), f as (select rule_id, page_id, 0 as k, path as file from q union all select rule_id, page_id, 1, path || '/x' from q), d as (select rule_id, file, min(page_id * 2 + k) as place from f where file <> '' group by 1, 2), c as (select rule_id, split_part(file, '/', 1) as dir, count(*) as n from d group by 1, 2), dd as (select rule_id, string_agg(dir || '=' || cast(n as varchar), ',' order by dir) as dirs from c group by 1) select q.rule_id, count(*) as num_source_comments, any_value(x.n_files) as n_files, any_value(x.first_file) as first_file, count(distinct case when page_id % 2 <> 0 and path <> '' then path end) as n_related, any_value(dd.dirs) as dirs from q join (select rule_id, count(*) as n_files, first(file order by place) as first_file from d group by 1) x on x.rule_id = q.rule_id join dd on dd.rule_id = q.rule_id group by q.rule_id",
@@ -493,7 +506,7 @@ SQL["doc_render"] = f"""with {_ORDER},
  select path, string_agg(text, chr(10) order by a, b, c, d) as text from x group by path"""
 
 _NAMES = (
-    bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
+    category_review, file_regroup, bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
     avg_linkage_clusters, unclustered, merge_rules, override_merge, id_guard, group_closure, evidence_dirs, min_score_filter, top_k_rules, threshold_preview, best_placement_per_rule, last_placement_per_rule, placement_types, location_key, topic_split, location_rollup, location_totals, category_render_order, doc_render,
     rule_search, provenance_lookup, location_list, stage_status, next_stage, staleness, total_cost, cost_texts, embedding_cache, review_pipeline,
 )

@@ -22,6 +22,16 @@ def pr_list(spark: SparkSession, path: str, since: str | None = None, cap: int |
     return rows if cap is None else rows.orderBy(F.desc("updatedAt"), "number").limit(cap)
 
 
+#: The resources of a change, as folder and ending of its files.
+RESOURCES = {"prs": ".json", "reviews": ".json", "review_comments": ".json", "diffs": ".diff", "issue_comments": ".json"}
+
+
+def resources(spark: SparkSession, folder: str) -> DataFrame:
+    """(pr_number, resource) of the files that have landed below a download folder."""
+    rows = [(int(name.removesuffix(end)), kind) for kind, end in RESOURCES.items() for name, _ in files_below(spark, f"{folder}/{kind}", end) if name.removesuffix(end).isdigit()]
+    return spark.createDataFrame(rows, "pr_number long, resource string")
+
+
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Comments of one JSON array a file, with pr_number from the file's name and ord: names as text, then place."""
     rows = spark.read.schema(COMMENT).json(f"{folder}/*.json", multiLine=True)

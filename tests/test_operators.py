@@ -329,3 +329,91 @@ def test_stream(spark, tmp_path):
     (d / "2.json").write_text(json.dumps([{"id": 1, "user": {"login": "a"}, "body": "Use x."}, {"id": 2, "user": {"login": "b"}, "body": "Use y."}]))
     go()
     assert sorted(r.comment_id for r in spark.read.parquet(str(tmp_path / "out") + "/batch=*").collect()) == [1, 2]
+
+
+def test_hash_of_joined_files(spark, tmp_path):
+    import hashlib
+
+    for name, data in (("b.json", b"two"), ("a.json", b"one"), ("c.json", b"")):
+        (tmp_path / name).write_bytes(data)
+    assert ledger.joined_hash(spark, [str(tmp_path / n) for n in ("c.json", "b.json", "a.json")]) == hashlib.sha256(b"onetwo").hexdigest()
+
+
+def test_lines_in_file_order(spark, tmp_path):
+    """Blocks are dealt to tasks by size; rows still come file by file, block by block."""
+    (tmp_path / "in").mkdir()
+    for name, n in (("a.jsonl", 4000), ("b.jsonl", 40), ("c.jsonl", 9000)):
+        (tmp_path / "in" / name).write_text("\n".join(json.dumps({"rule_id": k, "text": f"{name} {k}", "adjusted_confidence": 0.5}) for k in range(n)) + "\n\nbroken\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        rows = files.rules(spark, str(tmp_path / "in")).orderBy("ord").select("text", "rule_score").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.text for r in rows] == [f"{name} {k}" for name, n in (("a.jsonl", 4000), ("b.jsonl", 40), ("c.jsonl", 9000)) for k in range(n)]
+    assert {r.rule_score for r in rows} == {0.5}
+
+
+def test_bounds(spark):
+    df = spark.createDataFrame([(1, 0.0, "file", "x"), (2, 1.0, "file", "x"), (3, 1.1, "file", "x"), (4, None, "file", "x"), (5, 0.5, "nowhere", "x"), (6, 0.5, None, "x"), (7, 0.5, "file", " "), (8, float("nan"), "file", "x")], "id long, confidence double, kind string, text string")
+    good, bad = annotate.checked(df, between={"confidence": (0.0, 1.0)}, among={"kind": annotate.PLACES}, filled=("text",))
+    assert [r.id for r in good.collect()] == [1, 2] and bad.count() == 6
+
+
+def test_consolidation_hook(spark):
+    """A function may give several outputs a group; those out of bounds count as not given, their rules stay."""
+    df = rule_table(spark, *[rule(i, text=f"t{i}", category="c", ord=i) for i in range(1, 6)], rule(9, text="alone", category="d", ord=9))
+    comp = spark.createDataFrame([(i, 1) for i in range(1, 6)], "rule_id long, group_id long")
+    asked = []
+
+    def outputs(plain):
+        asked.extend(r.prompt for r in consolidate.questions(plain).collect())
+        rows = [(1, 0, "first", "", 0.9, "c", "s", [2, 1]), (1, 1, "second", "", 0.8, "c", "s", [1, 3]), (1, 2, "beyond", "", 1.5, "c", "s", [4]), (1, 3, " ", "", 0.5, "c", "s", [5])]
+        return spark.createDataFrame(rows, "group_id long, out int, text string, reason string, confidence double, category string, scope string, source_rule_ids array<long>")
+
+    out, log = consolidate.deduplicated(df.drop("group_id"), comp, lambda rules: consolidate.equal_texts(rules.limit(0)), outputs)
+    assert {(r.rule_id, r.text) for r in out.collect()} == {(1, "first"), (3, "second"), (4, "t4"), (5, "t5"), (9, "alone")}
+    assert log.count() == 2 and asked[0].startswith("## Consolidate Cluster of 5 Similar Rules") and "- **Rule ID 5**" in asked[0]
+
+
+def test_caches_of_model_steps(spark):
+    """Texts embedded and rules rephrased before are not asked about again; a changed rule is."""
+    calls = spark.sparkContext.accumulator(0)
+    data = [(i, "a", None, "Use tuples for constant tables please.", None) for i in range(1, 5)]
+    raw = talk(spark, *data).withColumn("pr_number", F.col("id")).withColumn("ord", F.col("id"))
+
+    def embed(df):
+        seen = F.udf(lambda t: calls.add(1) or t)
+        return annotate.embed_offline("text")(df.withColumn("text", seen("text")))
+
+    def rephrase(df):
+        assert "question" in df.columns
+        return annotate.rephrase_offline(df)
+
+    o = pipeline.Options(embed=embed, rephrase=rephrase)
+    first = pipeline.run(raw, None, o)["generate"].collect()
+    once = calls.value
+    assert once and o.caches["rephrased"].count() == 1
+    known = o.caches["rephrased"]
+    o.rephrase = lambda df: annotate.rephrase_offline(df.where("false"))
+    again = pipeline.run(raw, None, o)["generate"].collect()
+    assert again == first and calls.value == once and annotate.new_entries(o.caches["rephrased"], known).count() == 0
+
+
+def test_questions(spark):
+    at = loc(spark, {"a": 12, "b": 3})
+    info = at.select("rule_id", F.lit(0.5).alias("rule_score"), F.concat(F.lit("do "), F.col("rule_id").cast("string")).alias("rule_text"), F.lit("naming").alias("category"))
+    [r] = organize.topic_questions(at, info).collect()
+    assert r.location == "a" and "The following 12 rules" in r.prompt and "\nRule 3 (score=0.50):\n  do 3\n  Category: naming\n" in r.prompt
+
+
+def test_stream_knows_threads(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "1.json").write_text(json.dumps([{"id": 1, "user": {"login": "a"}, "body": "Use x."}]))
+    go = lambda: ingest.extract_stream(ingest.comment_stream(spark, str(d)), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    go()
+    (d / "2.json").write_text(json.dumps([{"id": 2, "user": {"login": "b"}, "body": "Use y.", "in_reply_to_id": 1}]))
+    go()
+    got = {r.comment_id: r.source.thread_context for r in spark.read.parquet(str(tmp_path / "out") + "/batch=*").collect()}
+    assert got[2] == "[1] @a: Use x." and got[1] == "No prior thread context."

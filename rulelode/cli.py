@@ -15,9 +15,9 @@ from rulelode.operators import annotate, consolidate, extraction, ledger, organi
 from rulelode.plans import pipeline
 from rulelode.sources import files, scratch
 
-TABLES = {"extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "dedupe": "rules", "merge_log": "merge_log", "place": "placements", "group": "organized"}
+TABLES = {"extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "unclustered": "unclustered", "dedupe": "rules", "merge_log": "merge_log", "place": "placements", "group": "organized"}
 #: What each stage writes, and the table that its input hash is of.
-OUTPUTS = {"extract": ("extract",), "synthesize": ("synthesize", "clusters"), "dedupe": ("dedupe", "merge_log"), "place": ("place",), "group": ("group",), "generate": ()}
+OUTPUTS = {"extract": ("extract",), "synthesize": ("synthesize", "clusters", "unclustered"), "dedupe": ("dedupe", "merge_log"), "place": ("place",), "group": ("group",), "generate": ()}
 INPUT = {"synthesize": "extract", "dedupe": "synthesize", "place": "dedupe", "group": "place", "generate": "group"}
 #: Options that a stage's result depends on; a run with others works on, but does not start anew.
 MATTERS = {"extract": ("authors", "prs", "sample", "seed", "limit"), "synthesize": ("limit",), "dedupe": ("overrides",), "place": ("min_score", "limit"), "group": ("min_score", "max_rules"), "generate": ()}
@@ -141,6 +141,7 @@ class Run:
         stats.add_cost(progress.cost_of(rules))
         self.put("synthesize", rules, "overwrite" if done is None else "append")
         self.put("clusters", clusters)
+        self.put("unclustered", o.unclustered)
         every = self.read("synthesize")
         progress.measured(self.read("clusters"), stats, total_clusters=F.count(F.lit(1)), _clustered=F.sum("num_generalizations"))
         progress.measured(every, stats, rules_extracted=F.count(F.lit(1)), _analysed=F.count_distinct("cluster_id"))
@@ -217,7 +218,7 @@ class Run:
         rows = [x for x in [self.landed()] if x]
         for i, name in enumerate(ledger.STAGES[1:], 1):
             record = self.records.read(name)
-            done = bool(record) and (not OUTPUTS[name] or all(self.has(t) for t in OUTPUTS[name]))
+            done = bool(record) and (not OUTPUTS[name] or self.has(OUTPUTS[name][0]))
             s = (record or {}).get("stats", {})
             detail = "" if not done else progress.extract_detail(s, s.get("available")) if name == "extract" else progress.DETAILS[name](s) if record.get("done") else f"{self.read(OUTPUTS[name][0]).count()} rows so far" if OUTPUTS[name] else ""
             written = files.modified(self.spark, f"{self.root}/ledger/{name}.json")

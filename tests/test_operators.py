@@ -318,6 +318,10 @@ def test_stages(spark):
     assert out["extract"].count() == 8 and out["extract"].where("is_actionable").count() == 7
     [doc] = out["generate"].collect()
     assert "Use tuples for constant tables please." in doc.text
+    assert {len(r.source_file_patterns) for r in out["place"].collect()} <= set(range(6))
+    o = pipeline.Options()
+    pipeline.synthesize(out["extract"], o)
+    assert o.unclustered.count() == 0
 
 
 def test_stream(spark, tmp_path):

@@ -412,6 +412,36 @@ def test_embeddings(spark, monkeypatch):
     assert embeddup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_recall_at_the_threshold(spark):
+    """Links of thousands of vectors, many of them hardly over the threshold, against all cosines."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((500, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [base]
+    for cosine in (0.951, 0.96, 0.98, 0.949, 0.9):
+        side = rng.standard_normal(base.shape)
+        side -= (side * base).sum(1, keepdims=True) * base
+        side /= np.linalg.norm(side, axis=1, keepdims=True)
+        rows.append(cosine * base + math.sqrt(1 - cosine**2) * side)
+    x = np.concatenate(rows)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = np.zeros(len(x), int)
+    for r in embeddup.near_duplicates(df).collect():
+        got[r.vec_id] = r.n_links
+    want = (x @ x.T >= 0.95).sum(1) - 1
+    assert (got <= want).all() and got.sum() >= 0.999 * want.sum()
+
+
+def test_signs_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    x = embeddup.unit(rng.standard_normal((400, 64)).ravel(), 64)
+    x[7] = 0
+    whole = embeddup.signatures(x, 20, 30)
+    for part in (1, 3, 100):
+        assert (np.concatenate([embeddup.signatures(x[lo : lo + part], 20, 30) for lo in range(0, 400, part)]) == whole).all()
+
+
 # 5
 
 

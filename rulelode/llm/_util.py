@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from rulelode.operators.graph import connected_components
 from rulelode.sources.scratch import materialize, scratch_dir
 
-__all__ = ["connected_components", "key_groups", "keyed", "local_table", "map_batches", "materialize", "only", "row_key", "scratch_dir", "shuffle_parts", "table"]
+__all__ = [
+    "connected_components", "key_groups", "keyed", "local_table", "map_batches", "materialize", "only", "row_key", "scratch_dir", "shuffle_parts",
+    "table",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +62,9 @@ def key_groups(batches: Iterator[pa.RecordBatch], key: str, size: int) -> Iterat
     total = 0
     for batch in batches:
         keys = batch.column(key).to_numpy()
-        starts = np.flatnonzero(np.concatenate([[not held or held[-1].column(key)[-1].as_py() != keys[0]], keys[1:] != keys[:-1]])) if len(keys) else []
+        starts = np.flatnonzero(
+            np.concatenate([[not held or held[-1].column(key)[-1].as_py() != keys[0]], keys[1:] != keys[:-1]])
+        ) if len(keys) else []
         at = 0
         for s in starts:
             piece = batch.slice(at, s - at)

@@ -70,7 +70,9 @@ def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = F.coalesce(F.forall("embedding", good) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     hashes = {f"h{seed}": F.when(F.col("ok"), F.xxhash64(F.lit(seed), F.size("embedding"), "embedding")) for seed in (1, 2)}
     rows = own.withColumn("ok", ok).withColumns(hashes)
-    classes = rows.where("ok").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"), F.first("embedding").alias("v"))
+    classes = (
+        rows.where("ok").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"), F.first("embedding").alias("v"))
+    )
     # The number of a class is drawn as the table is written and read from it ever after.
     classes = classes.select(F.monotonically_increasing_id().alias("k"), "h1", "h2", "weight", "low", F.size("v").alias("dim"), "v")
     return rows.select("vec_id", "h1", "h2", "ok"), ut.materialize(classes, "vectors")
@@ -92,7 +94,13 @@ def _buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
             for at, x in _each_dim(part):
                 s = signatures(x, bits, tables)
                 bucket = tx.mix(tx.mix(s.astype(np.uint64) + np.uint64(x.shape[1] << 48)) + np.arange(tables, dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64).ravel()), pa.array(np.repeat(k[at], tables)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at)))], ["bucket", "k", "t"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket.view(np.int64).ravel()), pa.array(np.repeat(k[at], tables)),
+                        pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))),
+                    ],
+                    ["bucket", "k", "t"],
+                )
 
     return ut.map_batches(classes.select("k", "dim", "v"), run, "bucket long, k long, t int")
 
@@ -150,7 +158,9 @@ def _compared(rows: DataFrame, bits: int, tables: int, cosine: float) -> DataFra
             if not whole:
                 continue
             batch = whole[0]
-            k, weight, t, block, task, cross = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "weight", "t", "block", "task", "cross"))
+            k, weight, t, block, task, cross = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "weight", "t", "block", "task", "cross")
+            )
             links, to = np.zeros(len(k), np.int64), np.arange(len(k))
             a, b = [], []
             for at, x in _each_dim(batch):
@@ -186,15 +196,29 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     bits = max(math.ceil(math.log2(n)) + SPARE, 8)
     tables = tables_for(bits, cosine)
     buckets = _buckets(classes, bits, tables)
-    counts = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("blocks", F.ceil(F.col("m") / BUCKET).cast("int")).drop("m")
-    met = buckets.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select(F.xxhash64("bucket", F.least("block", "c"), F.greatest("block", "c")).alias("task"), "k", "t", "block", (F.col("block") != F.col("c")).alias("cross"))
+    counts = (
+        buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("blocks", F.ceil(F.col("m") / BUCKET).cast("int"))
+        .drop("m")
+    )
+    met = (
+        buckets.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+        .withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    )
+    met = met.select(
+        F.xxhash64("bucket", F.least("block", "c"), F.greatest("block", "c")).alias("task"), "k", "t", "block",
+        (F.col("block") != F.col("c")).alias("cross"),
+    )
     found = ut.materialize(_compared(met.join(classes.select("k", "weight", "dim", "v"), "k"), bits, tables, cosine), "cosines")
     joined = ut.materialize(ut.connected_components(found.select(F.col("k").alias("src"), F.col("to").alias("dst"))), "components")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
-    per_class = classes.select("k", "h1", "h2", "weight", "low").join(links, "k", "left").join(joined.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k"))
+    per_class = (
+        classes.select("k", "h1", "h2", "weight", "low").join(links, "k", "left").join(joined.withColumnRenamed("node", "k"), "k", "left")
+        .withColumn("component", F.coalesce("component", "k"))
+    )
     names = per_class.groupBy("component").agg(F.min("low").alias("component_id"))
-    per_class = per_class.join(names, "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    per_class = (
+        per_class.join(names, "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    )
     linked = rows.where("ok").join(per_class, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -74,7 +74,11 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
         ink = x > 0
         two = np.flatnonzero((ink[:-1] | ink[1:])[:n])
         three = np.flatnonzero(ink[1:-1][:n])
-        keys = np.sort(np.concatenate([x[:n][ink[:n]], _BASE + x[two] * _BASE + x[two + 1], _BASE + _BASE**2 + (x[three] * _BASE + x[three + 1]) * _BASE + x[three + 2]]))
+        keys = np.sort(
+            np.concatenate(
+                [x[:n][ink[:n]], _BASE + x[two] * _BASE + x[two + 1], _BASE + _BASE**2 + (x[three] * _BASE + x[three + 1]) * _BASE + x[three + 2]]
+            )
+        )
         at = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
         found.append((keys[at], np.diff(np.append(at, len(keys)))))
     return found[0] if len(found) == 1 else _merged(np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
@@ -165,7 +169,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP, sampl
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for name, text in zip(batch.column("lang"), batch.column("text"), strict=True):
             keys, n = grams(text.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(keys), pa.string()), pa.array(keys), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name.as_py()] * len(keys), pa.string()), pa.array(keys), pa.array(n, pa.int64())], ["lang", "gram", "n"],
+            )
 
     counted = ut.map_batches(chosen, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = counted.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= top)
@@ -188,7 +194,9 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
             name, score = profiles.predict(text.as_py())
             names.append(name)
             scores.append(score)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"],
+        )
 
     return ut.map_batches(ut.only(docs, doc_id="long", text="string"), run, "doc_id long, lang_pred string, score double")
 

@@ -102,7 +102,11 @@ def _limits(sized: DataFrame, rest: list[tuple[str | None, int, float]]) -> list
     parts = (1 / 64, 1 / 16, 1 / 4)
     wanted = ut.local_table(sized.sparkSession, rest, {"_source": pa.string(), "_i": pa.int32(), "_rest": pa.float64()})
     on = sized.join(wanted, sized["_source"].eqNullSafe(wanted["_source"]))
-    sums = {r["_i"]: r for r in on.groupBy("_i").agg(*[F.sum(F.when(F.col("_size") <= F.col("_rest") * p, F.col("_size")).otherwise(0)).alias(f"s{k}") for k, p in enumerate(parts)]).collect()}
+    sums = {
+        r["_i"]: r for r in on.groupBy("_i").agg(
+            *[F.sum(F.when(F.col("_size") <= F.col("_rest") * p, F.col("_size")).otherwise(0)).alias(f"s{k}") for k, p in enumerate(parts)]
+        ).collect()
+    }
     return [next((w * p for k, p in enumerate(parts) if sums[i][f"s{k}"] >= w), w) for _, i, w in rest]
 
 
@@ -111,9 +115,20 @@ def _words_before(words: DataFrame) -> DataFrame:
     of RUN blocks, and sums of whole runs, so that no task holds all blocks of a source."""
     words = ut.materialize(words.withColumn("_run", (F.col("_block") / RUN).cast("long")), "words")
     runs = words.groupBy("_i", "_run").agg(F.sum("_words").alias("_all"))
-    runs = runs.withColumn("_past", F.sum("_all").over(Window.partitionBy("_i").orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_all")).drop("_all")
-    inside = F.sum("_words").over(Window.partitionBy("_i", "_run").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_words")
-    return words.withColumn("_inside", inside).join(runs, ["_i", "_run"]).withColumn("_before", F.col("_inside") + F.col("_past")).drop("_run", "_inside", "_past")
+    runs = (
+        runs.withColumn(
+            "_past",
+            F.sum("_all").over(Window.partitionBy("_i").orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_all"),
+        )
+        .drop("_all")
+    )
+    inside = F.sum("_words").over(
+        Window.partitionBy("_i", "_run").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ) - F.col("_words")
+    return (
+        words.withColumn("_inside", inside).join(runs, ["_i", "_run"]).withColumn("_before", F.col("_inside") + F.col("_past"))
+        .drop("_run", "_inside", "_past")
+    )
 
 
 def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -124,7 +139,9 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
     picks: _i, _key of the documents taken once more in the cut blocks.
     """
     spark = sized.sparkSession
-    found = sized.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")).orderBy(F.col("_source").asc_nulls_last()).collect()
+    found = (
+        sized.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")).orderBy(F.col("_source").asc_nulls_last()).collect()
+    )
     goal = targets([r["size"] for r in found])
     rest = []
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
@@ -135,18 +152,38 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
         epochs = min(int(t // r["size"]), CAP) if r["size"] else 0
         rows.append((r["_source"], i, max(1, math.ceil(r["n"] / block)), r["size"], t, epochs, t - epochs * r["size"], limits[i]))
-    sources = ut.local_table(spark, rows, {"_source": pa.string(), "_i": pa.int32(), "_n_blocks": pa.int64(), "source_size": pa.int64(), "target": pa.float64(), "_epochs": pa.int32(), "_rest": pa.float64(), "_limit": pa.float64()})
-    on = sized.join(sources, sized["_source"].eqNullSafe(sources["_source"])).select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks", "_limit")
-    words = on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks").agg(F.sum(F.when(F.col("_size") <= F.col("_limit"), F.col("_size")).otherwise(0)).alias("_words"))
+    sources = ut.local_table(
+        spark, rows,
+        {
+            "_source": pa.string(), "_i": pa.int32(), "_n_blocks": pa.int64(), "source_size": pa.int64(), "target": pa.float64(),
+            "_epochs": pa.int32(), "_rest": pa.float64(), "_limit": pa.float64(),
+        },
+    )
+    on = (
+        sized.join(sources, sized["_source"].eqNullSafe(sources["_source"]))
+        .select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks", "_limit")
+    )
+    words = (
+        on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks")
+        .agg(F.sum(F.when(F.col("_size") <= F.col("_limit"), F.col("_size")).otherwise(0)).alias("_words"))
+    )
     cut = F.when((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before"))
     words = ut.materialize(_words_before(words).withColumn("_cut", cut).withColumn("_part", F.col("_before") <= F.col("_rest")), "blocks")
 
     # The cut blocks: one per source. Copies of one key are one item, so that an item list stays as short as a block.
     cut = words.where("_cut is not null").select("_i", "_block", "_cut")
-    items = on.where("_size <= _limit").select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
+    items = (
+        on.where("_size <= _limit").select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key")
+        .agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
+    )
     listed = items.groupBy("_i", "_cut").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "_key", "w"))).alias("items"))
     start = F.struct(F.col("_cut").alias("left"), F.array().cast("array<bigint>").alias("took"))
-    fit = F.aggregate("items", start, lambda a, x: F.when(x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["took"], F.array(x["_key"])).alias("took"))).otherwise(a))
+    fit = F.aggregate(
+        "items", start,
+        lambda a, x: F.when(
+            x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["took"], F.array(x["_key"])).alias("took")),
+        ).otherwise(a),
+    )
     picks = ut.materialize(listed.select("_i", F.explode(fit["took"]).alias("_key")), "picks")
 
     # Quotas in blocks: whole epochs, and the blocks up to the cut.
@@ -169,9 +206,14 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
                 if part:
                     at.append(epochs * n + block)
                 out.append(np.minimum(np.searchsorted(upto[i], at, "right"), shards - 1).astype(np.int32).tolist())
-            yield pa.RecordBatch.from_arrays([b.column("_i"), b.column("_block"), b.column("_cut"), b.column("_part"), pa.array(out, pa.list_(pa.int32()))], ["_i", "_block", "_cut", "_part", "_shards"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_i"), b.column("_block"), b.column("_cut"), b.column("_part"), pa.array(out, pa.list_(pa.int32()))],
+                ["_i", "_block", "_cut", "_part", "_shards"],
+            )
 
-    return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(run, "_i int, _block long, _cut double, _part boolean, _shards array<int>"), picks
+    return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(
+        run, "_i int, _block long, _cut double, _part boolean, _shards array<int>",
+    ), picks
 
 
 def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> DataFrame:
@@ -179,21 +221,42 @@ def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table
     sized = _sized(docs)
     narrow = ut.materialize(sized.select("_source", "_size", "_key"), "sizes")
     sources, blocks, picks = plan(narrow, seed, shard_words, table)
-    full = sized.join(sources.withColumnRenamed("_source", "_name"), F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name", "_rest", "_epochs")
+    full = (
+        sized.join(sources.withColumnRenamed("_source", "_name"), F.col("_source").eqNullSafe(F.col("_name")), "left")
+        .drop("_name", "_rest", "_epochs")
+    )
     full = full.withColumn("_block", _block(F.col("_key"), F.col("_n_blocks"))).join(blocks, ["_i", "_block"], "left")
     full = full.join(picks.withColumn("_picked", F.lit(True)), ["_i", "_key"], "left")
     n = F.size("_shards")
     # In a cut block the last copy is of the picked documents only; nowhere is it of those over the limit.
-    own = F.when(F.col("_size") == 0, F.array().cast("array<int>")).when(F.col("_part") & ((F.col("_size") > F.col("_limit")) | F.col("_cut").isNotNull() & F.col("_picked").isNull()), F.slice("_shards", F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(F.col("_shards"))
+    own = (
+        F.when(F.col("_size") == 0, F.array().cast("array<int>"))
+        .when(
+            F.col("_part") & ((F.col("_size") > F.col("_limit")) | F.col("_cut").isNotNull() & F.col("_picked").isNull()),
+            F.slice("_shards", F.lit(1), F.greatest(n - 1, F.lit(0))),
+        )
+        .otherwise(F.col("_shards"))
+    )
     return full.withColumn("_shards", F.coalesce(own, F.array().cast("array<int>")))
 
 
 def draw(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> DataFrame:
     """The mixed corpus: rows of docs with their columns, repeated as taken, laid out by shard and shuffled inside."""
-    mixed = mix(docs, seed, shard_words, table).select(*[F.col(f"`{c}`") for c in docs.columns], "_key", F.posexplode("_shards").alias("_copy", "_shard"))
-    return mixed.repartitionByRange(ut.shuffle_parts(docs.sparkSession), "_shard", F.xxhash64(F.lit(seed), "_key", "_copy")).sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "_key", "_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = (
+        mix(docs, seed, shard_words, table).select(*[F.col(f"`{c}`") for c in docs.columns], "_key", F.posexplode("_shards").alias("_copy", "_shard"))
+    )
+    return (
+        mixed.repartitionByRange(ut.shuffle_parts(docs.sparkSession), "_shard", F.xxhash64(F.lit(seed), "_key", "_copy"))
+        .sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "_key", "_copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    )
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ut.only(ut.table(spark, sf_dir, "documents"), doc_id="long", text="string", source="string")
-    return mix(docs).select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.size("_shards")).alias("taken"), F.col("_shards").alias("shards"))
+    return (
+        mix(docs)
+        .select(
+            "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.size("_shards")).alias("taken"),
+            F.col("_shards").alias("shards"),
+        )
+    )

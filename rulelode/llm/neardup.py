@@ -114,7 +114,10 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 n.append(len(h))
                 key.append(hashlib.blake2b(np.concatenate([h, g]).tobytes(), digest_size=16).digest())
                 sketch.append(registers(h, count).tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("rk"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "rk", "n_shingles", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("rk"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.binary())],
+                ["doc_id", "rk", "n_shingles", "digest", "sketch"],
+            )
 
     return ut.map_batches(ut.keyed(docs), run, "doc_id long, rk binary, n_shingles long, digest binary, sketch binary")
 
@@ -184,7 +187,13 @@ def _prefixes(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         for part, buf, offs in tx.pieces(batch, "text"):
             sets = [h for h, _ in _sets(buf, offs)]
             row = pa.array(np.repeat(np.arange(part.num_rows), [len(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)), part.column("k1").take(row), part.column("n_shingles").take(row)], ["band", "k1", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)), part.column("k1").take(row),
+                    part.column("n_shingles").take(row),
+                ],
+                ["band", "k1", "n"],
+            )
 
     rows = ut.materialize(ut.map_batches(texts, run, "band long, k1 long, n long"), "shingles")
     counts = ut.materialize(rows.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "counts")
@@ -224,9 +233,14 @@ def candidate_edges(classes: DataFrame, docs: DataFrame, percent: int = PERCENT,
                     key, leaders = t, _Leaders(percent)
                 edges += leaders.meet(ids[i], s[i], size[i])
             edges = list(set(edges))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["src", "dst"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["src", "dst"],
+            )
 
-    return rows.select("task", "k1", "n_shingles", "sketch").repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    return (
+        rows.select("task", "k1", "n_shingles", "sketch").repartition(parts, "task").sortWithinPartitions("task", "k1")
+        .mapInArrow(run, "src long, dst long").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    )
 
 
 def link_components(sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PERCENT) -> np.ndarray:
@@ -274,7 +288,10 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: i
     members = members.join(totals, "component")
     b = F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.withColumn("b", b).withColumn("c", other).select("k1", "rk", "blocks", F.xxhash64("component", F.least("b", "c"), F.greatest("b", "c")).alias("task"))
+    dealt = (
+        members.withColumn("b", b).withColumn("c", other)
+        .select("k1", "rk", "blocks", F.xxhash64("component", F.least("b", "c"), F.greatest("b", "c")).alias("task"))
+    )
     dealt = ut.materialize(dealt, "members")
     # Always by shuffle: the members grow with the corpus, so no size of theirs should change the plan.
     full = dealt.join(ut.keyed(docs).select("rk", "text").hint("merge"), "rk").select("task", "k1", "blocks", "text")
@@ -300,11 +317,17 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: i
                     if not ids or ids[-1] != k:  # repeated rows follow one another
                         ids.append(k)
                         sets.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"],
+            )
         out = flush()
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"],
+        )
 
-    found = ut.materialize(full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long, many boolean"), "links")
+    found = ut.materialize(
+        full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long, many boolean"), "links",
+    )
     single = found.where("not many").select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return single if found.where("many").isEmpty() else single.unionByName(ut.connected_components(found.where("many").select("src", "dst")))
 
@@ -314,12 +337,18 @@ def components(docs: DataFrame, percent: int = STAGE_PERCENT, crowd: int = CROWD
     rows = ut.materialize(sketches(docs, percent), "sketches")
     full = rows.where("n_shingles > 0")
     # The number of a class is drawn as the table is written and read from it ever after.
-    classes = full.groupBy("digest").agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("low"))
+    classes = (
+        full.groupBy("digest")
+        .agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("low"))
+    )
     classes = ut.materialize(classes.withColumn("k1", F.monotonically_increasing_id()), "classes")
     groups = ut.connected_components(candidate_edges(classes, docs, percent, crowd))
     own = _verified(docs, classes, ut.materialize(groups, "groups"), percent)
     # A class outside every group is its own component.
-    named = classes.select("k1", "digest", "low").join(own.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    named = (
+        classes.select("k1", "digest", "low").join(own.withColumnRenamed("node", "k1"), "k1", "left")
+        .withColumn("component", F.coalesce("component", "k1"))
+    )
     low = named.groupBy("component").agg(F.min("low").alias("component_id"))
     named = named.join(low, "component").select("digest", "component_id")
     full = full.select("doc_id", "rk", "n_shingles", "digest").join(named, "digest").drop("digest")
@@ -330,7 +359,10 @@ def deduplicate(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """The rows of docs, all columns, with one document of each component; rows without words all stay, and a row
     that repeats another's doc_id and text is taken once."""
     found = ut.materialize(components(docs, percent), "components")
-    keep = found.where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())).groupBy("rk").count()
+    keep = (
+        found.where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())).groupBy("rk")
+        .count()
+    )
     text = F.col("text").cast("string") if "text" in docs.columns else F.lit(None).cast("string")
     out = docs.withColumn("__rk", ut.row_key(F.col("doc_id").cast("long"), text)).join(keep.select(F.col("rk").alias("__rk")).hint("merge"), "__rk")
     if not keep.where("count > 1").isEmpty():

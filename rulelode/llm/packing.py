@@ -309,7 +309,10 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
         sequence += times
     arrays = {x: np.array(v, np.int64) for x, v in slots.items()}
     before = counts.select("length", "_b", (F.sum("n").over(Window.partitionBy("length").orderBy("_b")) - F.col("n")).alias("_before"))
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32")) - 1).join(before, ["length", "_b"])
+    ranked = (
+        keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32")) - 1)
+        .join(before, ["length", "_b"])
+    )
     ranked = ranked.select(*names, (F.col("_rank") + F.col("_before")).cast("long").alias("_rank"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

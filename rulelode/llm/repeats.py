@@ -154,16 +154,27 @@ def _anchor_rows(keyed: DataFrame, whole: bool, ordered: bool, length: int) -> D
                 g = tx.digests(np.ascontiguousarray(buf), start, start + windows + length - 1)
                 order = part.column("doc_id").fill_null(np.iinfo(np.int64).max).take(pa.array(row)) if ordered else pa.array(np.zeros(len(row), np.int64))
                 g = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(g), [None, pa.py_buffer(g.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), g, order, part.column("rk").take(pa.array(row)), pa.array(at)], ["h", "g", "o", "rk", "at"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), g, order, part.column("rk").take(pa.array(row)), pa.array(at)], ["h", "g", "o", "rk", "at"],
+                )
 
     return ut.map_batches(keyed, run, "h long, g binary, o long, rk binary, at long" if whole else "h long")
 
 
 def _array_input(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """Of groups with two or more classes, the stretch of every class's first member: task, o, rk, at, n, stretch."""
-    blocks = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h", F.ceil(F.col("kinds") / GROUP).cast("int").alias("blocks"))
-    some = classes.join(blocks, "h").withColumn("b", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    some = some.select(F.xxhash64("h", F.least("b", "to"), F.greatest("b", "to")).alias("task"), F.col("first.o").alias("o"), F.col("first.rk").alias("rk"), F.col("first.at").alias("at"), "n")
+    blocks = (
+        classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        .select("h", F.ceil(F.col("kinds") / GROUP).cast("int").alias("blocks"))
+    )
+    some = (
+        classes.join(blocks, "h").withColumn("b", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
+        .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    )
+    some = some.select(
+        F.xxhash64("h", F.least("b", "to"), F.greatest("b", "to")).alias("task"), F.col("first.o").alias("o"), F.col("first.rk").alias("rk"),
+        F.col("first.at").alias("at"), "n",
+    )
     wanted = some.groupBy("rk").agg(F.collect_list(F.struct("task", "o", "at", "n")).alias("cuts"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -178,7 +189,10 @@ def _array_input(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame
                 a = at.to_numpy()
                 begin = (a >> 16) + offs[own]
                 cut = [bytes(view[s : s + w + length - 1]) for s, w in zip(begin.tolist(), (a >> 8 & 255).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([task, order, part.column("rk").take(pa.array(own)), at, n, pa.array(cut, pa.binary())], ["task", "o", "rk", "at", "n", "stretch"])
+                yield pa.RecordBatch.from_arrays(
+                    [task, order, part.column("rk").take(pa.array(own)), at, n, pa.array(cut, pa.binary())],
+                    ["task", "o", "rk", "at", "n", "stretch"],
+                )
 
     return ut.map_batches(keyed.select("rk", "text").join(wanted, "rk"), run, "task long, o long, rk binary, at long, n long, stretch binary")
 
@@ -208,7 +222,10 @@ def _array_spans(rows: DataFrame, length: int, keep: str) -> DataFrame:
             end = hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])
             s, e = np.flatnonzero(begin), np.flatnonzero(end)
             base = (at >> 16)[row[s]]
-            yield pa.RecordBatch.from_arrays([table.column("rk").combine_chunks().take(pa.array(row[s])), pa.array(base + inside[s]), pa.array(base + inside[e] + length)], ["rk", "a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [table.column("rk").combine_chunks().take(pa.array(row[s])), pa.array(base + inside[s]), pa.array(base + inside[e] + length)],
+                ["rk", "a", "b"],
+            )
 
     return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "rk binary, a long, b long")
 
@@ -217,7 +234,9 @@ def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -
     """(rk, spans): byte spans to remove of each row that has any, by the row's key; spans may touch and overlap."""
     keyed = ut.keyed(docs)
     # Written before it is joined: a join of two plain exchanges can be split where one anchor is very frequent.
-    twice = ut.materialize(_anchor_rows(keyed, False, False, length).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent")
+    twice = ut.materialize(
+        _anchor_rows(keyed, False, False, length).groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "frequent",
+    )
     some = ut.materialize(_anchor_rows(keyed, True, keep == "first", length).join(twice, "h", "left_semi"), "anchors")
     member = F.struct("o", "rk", "at")
     classes = ut.materialize(some.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("first")), "stretches")
@@ -227,7 +246,9 @@ def repeated_spans(docs: DataFrame, keep: str = "first", length: int = LENGTH) -
     if keep == "first":
         equal = equal.where(~member.eqNullSafe(F.col("first")))
     start = F.shiftright("at", 16)
-    equal = ut.materialize(equal.select("rk", start.alias("a"), (start + F.shiftright("at", 8).bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("b")), "members")
+    equal = ut.materialize(
+        equal.select("rk", start.alias("a"), (start + F.shiftright("at", 8).bitwiseAND(F.lit(255)) + F.lit(length - 1)).alias("b")), "members",
+    )
     return ut.materialize(found.unionByName(equal).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
 
 
@@ -266,9 +287,15 @@ def remove_repeats(docs: DataFrame, keep: str = "first", length: int = LENGTH) -
                     removed[r] += e - s
                     at = e
                 kept[r] = b"".join([*parts, own[at:]])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed), pa.array(np.diff(first)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return ut.map_batches(ut.keyed(docs).join(spans, "rk", "left").select("doc_id", "text", "spans"), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed), pa.array(np.diff(first)), pa.array(kept, pa.binary())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+            )
+
+    return ut.map_batches(
+        ut.keyed(docs).join(spans, "rk", "left").select("doc_id", "text", "spans"), run,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary",
+    )
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,10 @@ _LOW, _UP, _DIG = bytes(range(97, 123)), bytes(range(65, 91)), bytes(range(48, 5
 _HEX = _set(_DIG + b"abcdef")
 _TOKEN = _set(_LOW + _UP + _DIG + b"+/_=-")
 #: Encodings from narrow to wide, and the characters in the order of their values.
-ENCODINGS = {"hex": _DIG + b"abcdef", "HEX": _DIG + b"ABCDEF", "base32": _UP + b"234567", "lower36": _DIG + _LOW, "upper36": _DIG + _UP, "base62": _UP + _LOW + _DIG, "base64": _UP + _LOW + _DIG + b"+/", "base64url": _UP + _LOW + _DIG + b"-_"}
+ENCODINGS = {
+    "hex": _DIG + b"abcdef", "HEX": _DIG + b"ABCDEF", "base32": _UP + b"234567", "lower36": _DIG + _LOW, "upper36": _DIG + _UP,
+    "base62": _UP + _LOW + _DIG, "base64": _UP + _LOW + _DIG + b"+/", "base64url": _UP + _LOW + _DIG + b"-_",
+}
 _VALUES = {}
 for _name, _chars in ENCODINGS.items():
     _VALUES[_name] = np.full(256, -1, np.int64)
@@ -204,9 +207,25 @@ def find(buf: np.ndarray, offs: np.ndarray) -> list[tuple[list[tuple[int, int, i
             before = int(np.searchsorted(base[:, 0], s + b, "left"))
             if before and reach[before - 1] > s + a:
                 continue
-            found[r].add((int(s) + a, int(s) + b, int(np.searchsorted(CLASSES, b - a, "right")) - 1, -math.log10(max(p_value(whole[s + a : s + b], name), 1e-300))))
+            (
+                found[r]
+                .add(
+                    (
+                        int(s) + a, int(s) + b, int(np.searchsorted(CLASSES, b - a, "right")) - 1,
+                        -math.log10(max(p_value(whole[s + a : s + b], name), 1e-300)),
+                    )
+                )
+            )
     # Offsets in code points: all places of all rows in one walk over the text.
-    places = np.unique(np.array([0, *(offs[r] for r in range(n) if spans[r] or found[r]), *(x for own in spans for s, _, e in own for x in (s, e)), *(x for own in found for s, e, _, _ in own for x in (s, e))], np.int64))
+    places = np.unique(
+        np.array(
+            [
+                0, *(offs[r] for r in range(n) if spans[r] or found[r]), *(x for own in spans for s, _, e in own for x in (s, e)),
+                *(x for own in found for s, e, _, _ in own for x in (s, e)),
+            ],
+            np.int64,
+        )
+    )
     points = dict(zip(places.tolist(), tx.code_points(buf, places).tolist(), strict=True))
     out: list = []
     for r in range(n):
@@ -214,7 +233,12 @@ def find(buf: np.ndarray, offs: np.ndarray) -> list[tuple[list[tuple[int, int, i
             out.append(([], []))
             continue
         base_point = points[int(offs[r])]
-        out.append((sorted((points[s] - base_point, k, points[e] - base_point) for s, k, e in spans[r]), sorted((points[s] - base_point, points[e] - base_point, c, p) for s, e, c, p in found[r])))
+        out.append(
+            (
+                sorted((points[s] - base_point, k, points[e] - base_point) for s, k, e in spans[r]),
+                sorted((points[s] - base_point, points[e] - base_point, c, p) for s, e, c, p in found[r]),
+            )
+        )
     return out
 
 
@@ -248,7 +272,11 @@ def thresholds(found: DataFrame, fdr: float = FDR) -> list[float]:
 
     What reaches the driver is at most len(CLASSES) * BINS counts, whatever the input.
     """
-    binned = found.select(F.explode("candidates").alias("c")).select(F.col("c.class").alias("cls"), F.least(F.floor(F.col("c.score") / BIN), F.lit(BINS)).cast("int").alias("bin")).groupBy("cls", "bin").count()
+    binned = (
+        found.select(F.explode("candidates").alias("c"))
+        .select(F.col("c.class").alias("cls"), F.least(F.floor(F.col("c.score") / BIN), F.lit(BINS)).cast("int").alias("bin")).groupBy("cls", "bin")
+        .count()
+    )
     counts = np.zeros((len(CLASSES), BINS + 1), np.int64)
     for row in binned.collect():
         counts[row["cls"], row["bin"]] = row["count"]
@@ -269,7 +297,10 @@ def _is_random(cut: list[float]):  # noqa: ANN202
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """doc_id, base_sha256 and spans (array of start, kind, end) by start, then kind, for every row."""
     found = ut.materialize(candidates(docs), "secrets")
-    more = F.transform(F.filter("candidates", _is_random(thresholds(found, fdr))), lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
+    more = F.transform(
+        F.filter("candidates", _is_random(thresholds(found, fdr))),
+        lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")),
+    )
     return found.select("doc_id", "base_sha256", F.array_sort(F.concat("base", more)).alias("spans"))
 
 
@@ -314,5 +345,6 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return scan(ut.table(spark, sf_dir, "documents")).select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), "base_sha256",
-        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", F.element_at(named, s["kind"] + 1), s["start"], s["end"])), ",").alias("spans"), count(3).alias("n_random"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", F.element_at(named, s["kind"] + 1), s["start"], s["end"])), ",").alias("spans"),
+        count(3).alias("n_random"),
     )

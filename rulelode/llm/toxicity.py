@@ -100,7 +100,9 @@ class Counts:
         g, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weight, len(g))
         c, cinv = np.unique(context[first], return_inverse=True)
-        return Counts(g, n.astype(np.float32), c, np.bincount(cinv, n, len(c)).astype(np.float32), np.bincount(cinv, minlength=len(c)).astype(np.float32))
+        return Counts(
+            g, n.astype(np.float32), c, np.bincount(cinv, n, len(c)).astype(np.float32), np.bincount(cinv, minlength=len(c)).astype(np.float32),
+        )
 
     def smooth(self, gram: np.ndarray, context: np.ndarray, below: np.ndarray) -> np.ndarray:
         if not len(self.gram):
@@ -239,7 +241,9 @@ def _kinds(row: np.ndarray, value: np.ndarray, kind: np.ndarray) -> tuple[np.nda
     return row[new], value[new]
 
 
-def tally(column: pa.Array, group: np.ndarray) -> tuple[tuple[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def tally(column: pa.Array, group: np.ndarray) -> tuple[
+    tuple[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray],
+]:
     """((words, group, documents), (pairs, contexts, group, documents)): how many documents of each group hold a word
     or pair; a document counts once, as repeats tell of one author only."""
     buf, start, end, first = split_words(column)
@@ -283,7 +287,10 @@ def counted(words: list[bytes], docs: np.ndarray, pairs: tuple[np.ndarray, np.nd
 def count(texts: list[str], labels: np.ndarray, order: int = ORDER) -> Model:
     """A model of a few texts at hand."""
     (words, own, docs), (gram, context, whose, many) = tally(pa.array(texts, pa.string()), np.asarray(labels))
-    return counted(words, np.stack([np.where(own == y, docs, 0) for y in (0, 1)]), (gram, context, np.stack([np.where(whose == y, many, 0) for y in (0, 1)])), order)
+    return counted(
+        words, np.stack([np.where(own == y, docs, 0) for y in (0, 1)]), (gram, context, np.stack([np.where(whose == y, many, 0) for y in (0, 1)])),
+        order,
+    )
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -309,7 +316,10 @@ def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> tuple[DataF
     pick = lambda label: marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows // 2)
     chosen = pick(0).unionByName(pick(1))
     rows = ut.only(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id").where("text is not null").dropDuplicates(["doc_id"])
-    rows = rows.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("fold")).repartition(ut.shuffle_parts(docs.sparkSession))
+    rows = (
+        rows.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("fold"))
+        .repartition(ut.shuffle_parts(docs.sparkSession))
+    )
     return ut.materialize(rows, "sample"), total[1] / (total[0] + total[1])
 
 
@@ -321,9 +331,14 @@ def _summed(rows: DataFrame, pairs: bool) -> pa.Table:
             group = part.column("toxic").to_numpy() + 2 * part.column("fold").to_numpy()
             (words, own, docs), (gram, context, whose, many) = tally(part.column("text"), group)
             if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(whose, pa.int32()), pa.array(many, pa.int64())], ["gram", "context", "own", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(whose, pa.int32()), pa.array(many, pa.int64())],
+                    ["gram", "context", "own", "n"],
+                )
             else:
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(own, pa.int32()), pa.array(docs, pa.int64())], ["word", "own", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(own, pa.int32()), pa.array(docs, pa.int64())], ["word", "own", "n"],
+                )
 
     key = ["gram", "context"] if pairs else ["word"]
     found = ut.map_batches(rows, run, "gram long, context long, own int, n long" if pairs else "word binary, own int, n long")
@@ -356,7 +371,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 own = np.flatnonzero(fold == f)
                 if len(own):
                     x = halves[f].rows(part.column("text").take(pa.array(own)))
-                    yield pa.RecordBatch.from_arrays([part.column("toxic").take(pa.array(own)), *(pa.array(x[:, k]) for k in range(FEATURES))], ["toxic", *(f"x{k}" for k in range(FEATURES))])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("toxic").take(pa.array(own)), *(pa.array(x[:, k]) for k in range(FEATURES))],
+                        ["toxic", *(f"x{k}" for k in range(FEATURES))],
+                    )
 
     names_x = [f"x{k}" for k in range(FEATURES)]
     seen = ut.map_batches(rows, run, "toxic int, " + ", ".join(f"{c} double" for c in names_x)).orderBy("toxic", *names_x).toArrow()
@@ -383,4 +401,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = ut.table(spark, sf_dir, "documents"), ut.table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 3, 1)
-    return toxicity(docs, fit(docs.where(~out), labels.where(~out))).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    return (
+        toxicity(docs, fit(docs.where(~out), labels.where(~out)))
+        .select("doc_id", out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    )

@@ -35,7 +35,10 @@ def packing_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("MinHash near-dedup", minhash_near_dedup), ("secret scans", secret_scans), ("mixing sources to target weights", mixing_sources), ("packing", packing_windows)]
+STAGES = [
+    ("quality rules", quality_rules), ("MinHash near-dedup", minhash_near_dedup), ("secret scans", secret_scans),
+    ("mixing sources to target weights", mixing_sources), ("packing", packing_windows),
+]
 
 #: The method-specific verdicts of the stages are no SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None

@@ -15,15 +15,27 @@ from rulelode.operators import annotate, consolidate, extraction, ledger, organi
 from rulelode.plans import pipeline
 from rulelode.sources import files, scratch
 
-TABLES = {"extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "unclustered": "unclustered", "dedupe": "rules", "merge_log": "merge_log", "place": "placements", "group": "organized"}
+TABLES = {
+    "extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "unclustered": "unclustered", "dedupe": "rules",
+    "merge_log": "merge_log", "place": "placements", "group": "organized",
+}
 #: What each stage writes, and the table that its input hash is of.
-OUTPUTS = {"extract": ("extract",), "synthesize": ("synthesize", "clusters", "unclustered"), "dedupe": ("dedupe", "merge_log"), "place": ("place",), "group": ("group",), "generate": ()}
+OUTPUTS = {
+    "extract": ("extract",), "synthesize": ("synthesize", "clusters", "unclustered"), "dedupe": ("dedupe", "merge_log"), "place": ("place",),
+    "group": ("group",), "generate": (),
+}
 INPUT = {"synthesize": "extract", "dedupe": "synthesize", "place": "dedupe", "group": "place", "generate": "group"}
 #: Options that a stage's result depends on; a run with others works on, but does not start anew.
-MATTERS = {"extract": ("authors", "prs", "sample", "seed", "limit"), "synthesize": ("limit",), "dedupe": ("overrides",), "place": ("min_score", "limit"), "group": ("min_score", "max_rules"), "generate": ()}
+MATTERS = {
+    "extract": ("authors", "prs", "sample", "seed", "limit"), "synthesize": ("limit",), "dedupe": ("overrides",), "place": ("min_score", "limit"),
+    "group": ("min_score", "max_rules"), "generate": (),
+}
 CACHES = {"embeddings": "embedding", "rephrased": "told"}
 #: Files of the other layout, by stage.
-LAYOUT = {"extract": "2-extract/extractions.jsonl", "synthesize": "3-synthesize/rules.jsonl", "dedupe": "4-dedupe/rules.jsonl", "place": "5-place/placements.jsonl", "group": "6-group/organized_rules.json"}
+LAYOUT = {
+    "extract": "2-extract/extractions.jsonl", "synthesize": "3-synthesize/rules.jsonl", "dedupe": "4-dedupe/rules.jsonl",
+    "place": "5-place/placements.jsonl", "group": "6-group/organized_rules.json",
+}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -145,9 +157,15 @@ class Run:
         every = self.read("synthesize")
         progress.measured(self.read("clusters"), stats, total_clusters=F.count(F.lit(1)), _clustered=F.sum("num_generalizations"))
         progress.measured(every, stats, rules_extracted=F.count(F.lit(1)), _analysed=F.count_distinct("cluster_id"))
-        mean = consolidate.synthesis_stats(every.groupBy("cluster_id").agg(F.max("cluster_coherence").alias("coherence")), every)[0].first()["avg_coherence"]
+        mean = (
+            consolidate.synthesis_stats(every.groupBy("cluster_id").agg(F.max("cluster_coherence").alias("coherence")), every)[0]
+            .first()["avg_coherence"]
+        )
         n = extraction.generalizations(extractions).count()
-        stats.values |= {"total_generalizations": n, "unclustered": n - stats.values.pop("_clustered"), "avg_coherence": mean or 0.0, "similarity_threshold": o.similarity, "min_cluster_size": o.min_cluster}
+        stats.values |= {
+            "total_generalizations": n, "unclustered": n - stats.values.pop("_clustered"), "avg_coherence": mean or 0.0,
+            "similarity_threshold": o.similarity, "min_cluster_size": o.min_cluster,
+        }
         stats.detail = progress.synthesize_detail(stats.values)
         return o.limit is None or stats.values["_analysed"] == stats.values["total_clusters"]
 
@@ -183,7 +201,10 @@ class Run:
         self.put("group", pipeline.group(placements, self.read("dedupe"), o))
         totals = organize.location_totals(self.read("group"))
         progress.measured(totals, stats, locations=F.count(F.lit(1)), inline_rules=F.sum("n_inline"), topic_rules=F.sum("n_topic_rules"))
-        stats.values |= {"total_placements": placements.count(), "filtered_placements": placement.at_least(placement.best_placement(placements), o.min_score).count(), "min_score": o.min_score}
+        stats.values |= {
+            "total_placements": placements.count(),
+            "filtered_placements": placement.at_least(placement.best_placement(placements), o.min_score).count(), "min_score": o.min_score,
+        }
         stats.detail = progress.group_detail(stats.values)
         return True
 
@@ -222,10 +243,25 @@ class Run:
             s = (record or {}).get("stats", {})
             detail = "" if not done else progress.extract_detail(s, s.get("available")) if name == "extract" else progress.DETAILS[name](s) if record.get("done") else f"{self.read(OUTPUTS[name][0]).count()} rows so far" if OUTPUTS[name] else ""
             written = files.modified(self.spark, f"{self.root}/ledger/{name}.json")
-            rows.append((i, name, 1 if done else 0, 1 if not record or record.get("done") else 2, (record or {}).get("input_hash"), self.input_hash(name) if record else None, detail, None if written is None else time.time() - written, str(self.records.cost(name))))
-        known = self.spark.createDataFrame(rows, "ord int, stage string, n_out long, n_expected long, stored_hash string, current_hash string, detail string, seconds double, cost string")
+            rows.append(
+                (
+                    i, name, 1 if done else 0, 1 if not record or record.get("done") else 2, (record or {}).get("input_hash"),
+                    self.input_hash(name) if record else None, detail, None if written is None else time.time() - written,
+                    str(self.records.cost(name)),
+                )
+            )
+        known = self.spark.createDataFrame(
+            rows,
+            "ord int, stage string, n_out long, n_expected long, stored_hash string, current_hash string, detail string, seconds double, cost string",
+        )
         age = F.when(F.col("seconds").isNotNull(), scalar.age_text(F.col("seconds")))
-        return ledger.status(known).select("ord", "stage", "status", "detail", age.alias("age"), scalar.cost_text(F.col("cost").cast("decimal(18,6)")).alias("cost"), F.col("cost").cast("decimal(18,6)").alias("spent"))
+        return (
+            ledger.status(known)
+            .select(
+                "ord", "stage", "status", "detail", age.alias("age"), scalar.cost_text(F.col("cost").cast("decimal(18,6)")).alias("cost"),
+                F.col("cost").cast("decimal(18,6)").alias("spent"),
+            )
+        )
 
     def status(self) -> None:
         for name in TABLES:
@@ -241,7 +277,9 @@ class Run:
 
     def take_in(self, folder: str) -> None:
         """Stage files of the JSON layout become tables; their stages count as done."""
-        readers = {"extract": files.extractions, "synthesize": files.rules, "dedupe": files.rules, "place": files.placements, "group": files.organization}
+        readers = {
+            "extract": files.extractions, "synthesize": files.rules, "dedupe": files.rules, "place": files.placements, "group": files.organization,
+        }
         for name, path in LAYOUT.items():
             if not files.exists(self.spark, f"{folder}/{path}"):
                 continue
@@ -269,7 +307,9 @@ class Run:
         if self.has("group"):
             rows = self.read("group")
             stats = {k: v for k, v in (self.records.read("group") or {}).get("stats", {}).items() if k != "options"}
-            files.write_text(self.spark, f"{folder}/{LAYOUT['group']}", files.organization_document(rows, pipeline.topic_names(rows), stats).first()["value"])
+            files.write_text(
+                self.spark, f"{folder}/{LAYOUT['group']}", files.organization_document(rows, pipeline.topic_names(rows), stats).first()["value"],
+            )
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -293,7 +333,10 @@ def main(argv: list[str] | None = None) -> None:
         return r.status()
     if a.command in ("import", "export"):
         return (r.take_in if a.command == "import" else r.give_out)(a.folder)
-    o = pipeline.Options(authors=None if a.authors == "all" else a.authors, prs=a.prs, sample=a.sample, limit=a.limit, seed=a.seed, min_score=a.min_score, max_rules=a.max_rules)
+    o = pipeline.Options(
+        authors=None if a.authors == "all" else a.authors, prs=a.prs, sample=a.sample, limit=a.limit, seed=a.seed, min_score=a.min_score,
+        max_rules=a.max_rules,
+    )
     names = pipeline.stages_from(a.start, a.skip) if a.command == "run" else [a.command]
     for name in (n for n in names if n != "download"):
         r.stage(name, o)
@@ -306,7 +349,10 @@ def _comments(r: Run) -> DataFrame:
     if folder and files.files_below(r.spark, folder, ".json"):
         return files.comments(r.spark, folder)
     x = r.read("extract")
-    return x.select(F.col("comment_id").alias("id"), "pr_number", F.struct(F.col("author").alias("login")).alias("user"), "source.path", "source.body", "source.diff_hunk")
+    return x.select(
+        F.col("comment_id").alias("id"), "pr_number", F.struct(F.col("author").alias("login")).alias("user"), "source.path", "source.body",
+        "source.diff_hunk",
+    )
 
 
 if __name__ == "__main__":

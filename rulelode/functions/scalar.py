@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 SPREAD = {1: 0.6, 2: 0.85, 3: 0.95}
 #: Headings of rule categories.
 HEADINGS = {
-    "api_design": "API Design", "code_style": "Code Style", "documentation": "Documentation", "error_handling": "Error Handling", "testing": "Testing",
+    "api_design": "API Design", "code_style": "Code Style", "documentation": "Documentation", "error_handling": "Error Handling",
+    "testing": "Testing",
     "typing": "Type System", "imports": "Imports", "naming": "Naming", "exports": "Exports", "deprecation": "Deprecation",
 }
 
@@ -76,7 +77,9 @@ def rule_line(rule_id: Column, text: Column, rationale: Column) -> Column:
 
 def thread_context(thread: Column) -> Column:
     """Lines of an array of (login, body), root first."""
-    line = lambda c, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] @"), F.coalesce(c["login"], F.lit("unknown")), F.lit(": "), F.coalesce(c["body"], F.lit("")))
+    line = lambda c, i: F.concat(
+        F.lit("["), (i + 1).cast("string"), F.lit("] @"), F.coalesce(c["login"], F.lit("unknown")), F.lit(": "), F.coalesce(c["body"], F.lit("")),
+    )
     return F.when(F.size(thread) > 0, F.array_join(F.transform(thread, line), "\n")).otherwise(F.lit(NO_THREAD))
 
 
@@ -93,7 +96,10 @@ def cost_text(cost: Column) -> Column:
     """Blank at or under 0, four places under a cent, else two; halves go to the even digit."""
     money = cost.cast("decimal(18,6)")
     short = F.bround(money, 2).cast("decimal(18,2)").cast("string")
-    return F.when(money <= 0, F.lit("")).when(money < 0.01, F.concat(F.lit("$"), F.bround(money, 4).cast("decimal(18,4)").cast("string"))).otherwise(F.concat(F.lit("$"), short))
+    return (
+        F.when(money <= 0, F.lit("")).when(money < 0.01, F.concat(F.lit("$"), F.bround(money, 4).cast("decimal(18,4)").cast("string")))
+        .otherwise(F.concat(F.lit("$"), short))
+    )
 
 
 def count_text(n: Column) -> Column:

@@ -24,15 +24,22 @@ def attributed(analysed: DataFrame, clusters: DataFrame) -> DataFrame:
     named = F.filter("members", lambda m: F.array_contains("source_comment_ids", m["comment_id"]))
     used = F.when(F.coalesce(F.size(named), F.lit(0)) > 0, named).otherwise(F.col("members"))
     rows = joined.withColumn("_used", used)
-    rows = rows.withColumn("source_comments", F.array_sort(F.array_distinct(F.transform("_used", lambda m: m["comment_id"])))).withColumn("source_prs", F.array_sort(F.array_distinct(F.transform("_used", lambda m: m["pr_number"]))))
-    rows = rows.withColumn("unique_pr_count", F.size("source_prs")).withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    rows = (
+        rows.withColumn("source_comments", F.array_sort(F.array_distinct(F.transform("_used", lambda m: m["comment_id"]))))
+        .withColumn("source_prs", F.array_sort(F.array_distinct(F.transform("_used", lambda m: m["pr_number"]))))
+    )
+    rows = (
+        rows.withColumn("unique_pr_count", F.size("source_prs"))
+        .withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    )
     return rows.drop("_used", "members")
 
 
 def cluster_summary(items: DataFrame) -> DataFrame:
     """Per cluster_id: number of items, its comments and its changes, sorted, and how many changes."""
     return items.groupBy("cluster_id").agg(
-        F.count(F.lit(1)).alias("num_generalizations"), F.array_sort(F.collect_set("comment_id")).alias("comment_ids"), F.array_sort(F.collect_set("pr_number")).alias("pr_numbers"), F.count_distinct("pr_number").alias("unique_pr_count"),
+        F.count(F.lit(1)).alias("num_generalizations"), F.array_sort(F.collect_set("comment_id")).alias("comment_ids"),
+        F.array_sort(F.collect_set("pr_number")).alias("pr_numbers"), F.count_distinct("pr_number").alias("unique_pr_count"),
     )
 
 
@@ -44,7 +51,9 @@ def pr_histogram(items: DataFrame) -> DataFrame:
 
 def synthesis_stats(clusters: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row with the mean coherence over all cluster records, a missing one being 0; counts by category and scope)."""
-    return clusters.agg(F.count(F.lit(1)).alias("clusters"), F.avg(F.coalesce("coherence", F.lit(0.0))).alias("avg_coherence")), rules.groupBy("category", "scope").agg(F.count(F.lit(1)).alias("n"))
+    return clusters.agg(
+        F.count(F.lit(1)).alias("clusters"), F.avg(F.coalesce("coherence", F.lit(0.0))).alias("avg_coherence"),
+    ), rules.groupBy("category", "scope").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _first(value: str, *order: str) -> Column:
@@ -71,16 +80,24 @@ def merged(outputs: DataFrame, rules: DataFrame) -> DataFrame:
     its sources that no earlier output of the group took, else the lowest.
     """
     named = outputs.select("group_id", "out", F.posexplode(F.array_distinct("source_rule_ids")).alias("pos", "rule_id"))
-    source = rules.select("rule_id", "cluster_id", scalar.first_score(F.col("rule_score")).alias("rule_score"), "example_bad", "example_good", "related_entities", "source_comments", "source_prs", "cluster_coherence", "common_pattern")
+    source = rules.select(
+        "rule_id", "cluster_id", scalar.first_score(F.col("rule_score")).alias("rule_score"), "example_bad", "example_good", "related_entities",
+        "source_comments", "source_prs", "cluster_coherence", "common_pattern",
+    )
     joined = named.join(source, "rule_id")
     agg = joined.groupBy("group_id", "out").agg(
-        F.array_sort(F.collect_list("rule_id")).alias("merged_from"), _best("cluster_id", F.col("rule_score"), "pos").alias("cluster_id"), _best("common_pattern", F.col("rule_score"), "pos").alias("common_pattern"),
-        _first("example_bad", "pos").alias("example_bad"), _first("example_good", "pos").alias("example_good"), _union("related_entities").alias("related_entities"), _union("source_comments").alias("source_comments"),
+        F.array_sort(F.collect_list("rule_id")).alias("merged_from"), _best("cluster_id", F.col("rule_score"), "pos").alias("cluster_id"),
+        _best("common_pattern", F.col("rule_score"), "pos").alias("common_pattern"),
+        _first("example_bad", "pos").alias("example_bad"), _first("example_good", "pos").alias("example_good"),
+        _union("related_entities").alias("related_entities"), _union("source_comments").alias("source_comments"),
         _union("source_prs").alias("source_prs"), F.max(F.coalesce("cluster_coherence", F.lit(0.0))).alias("cluster_coherence"),
     )
     ids = allocated(agg.select("group_id", "out", "merged_from"))
     rows = outputs.drop("source_rule_ids").join(agg, ["group_id", "out"]).join(ids, ["group_id", "out"])
-    return rows.withColumn("unique_pr_count", F.size("source_prs")).withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    return (
+        rows.withColumn("unique_pr_count", F.size("source_prs"))
+        .withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    )
 
 
 def allocated(sources: DataFrame) -> DataFrame:
@@ -100,7 +117,13 @@ def allocated(sources: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["group_id", "out", "rule_id"])
 
     counted = sources.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("group_id")))
-    alone = counted.where("_n = 1").select(F.col("group_id").cast("long").alias("group_id"), F.col("out").cast("int").alias("out"), F.array_min("merged_from").cast("long").alias("rule_id"))
+    alone = (
+        counted.where("_n = 1")
+        .select(
+            F.col("group_id").cast("long").alias("group_id"), F.col("out").cast("int").alias("out"),
+            F.array_min("merged_from").cast("long").alias("rule_id"),
+        )
+    )
     return alone.unionByName(counted.where("_n > 1").drop("_n").groupBy("group_id").applyInPandas(allot, "group_id long, out int, rule_id long"))
 
 
@@ -117,17 +140,26 @@ def overridden(rules: DataFrame, group: str = "group_id", zero_is_id: bool = Tru
     first_over = lambda c: F.min_by(F.col(c), F.when(over, F.col("ord")))
     best = lambda c: F.min_by(F.col(c), F.when(~over, F.struct((-scalar.first_score(F.col("rule_score"))).alias("s"), "ord")))
     mine = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(~over, F.col(c))))))
-    example = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.struct((~(over & (F.col("ord") == F.col("_lead")))).alias("late"), "ord")))
+    example = lambda c: F.min_by(
+        F.col(c), F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.struct((~(over & (F.col("ord") == F.col("_lead")))).alias("late"), "ord")),
+    )
     usable = F.col("rule_id") >= 0 if zero_is_id else F.col("rule_id") > 0
     lead = F.min(F.when(over, F.col("ord"))).over(Window.partitionBy(group))
     rows = rules.withColumn("_lead", lead).where("_lead is not null").where(~over | (F.col("ord") == F.col("_lead")))
     out = rows.groupBy(group).agg(
-        F.coalesce(F.min(F.when(~over & usable, F.col("rule_id"))), first_over("rule_id")).alias("rule_id"), F.coalesce(F.min_by("cluster_id", F.when(~over, F.col("ord"))), first_over("cluster_id")).alias("cluster_id"),
+        F.coalesce(F.min(F.when(~over & usable, F.col("rule_id"))), first_over("rule_id")).alias("rule_id"),
+        F.coalesce(F.min_by("cluster_id", F.when(~over, F.col("ord"))), first_over("cluster_id")).alias("cluster_id"),
         first_over("text").alias("text"), first_over("reason").alias("reason"), first_over("confidence").alias("confidence"),
-        F.when(first_over("explicit_category"), first_over("category")).otherwise(F.coalesce(best("category"), first_over("category"))).alias("category"),
+        (
+            F.when(first_over("explicit_category"), first_over("category")).otherwise(F.coalesce(best("category"), first_over("category")))
+            .alias("category")
+        ),
         F.when(first_over("explicit_scope"), first_over("scope")).otherwise(F.coalesce(best("scope"), first_over("scope"))).alias("scope"),
-        example("example_bad").alias("example_bad"), example("example_good").alias("example_good"), mine("related_entities").alias("related_entities"), mine("source_comments").alias("source_comments"), mine("source_prs").alias("source_prs"),
-        first_over("unique_pr_count").alias("_claimed"), F.coalesce(F.max(F.when(~over, F.coalesce("cluster_coherence", F.lit(0.0)))), F.lit(1.0)).alias("cluster_coherence"), F.array_sort(F.collect_list("rule_id")).alias("merged_from"),
+        example("example_bad").alias("example_bad"), example("example_good").alias("example_good"),
+        mine("related_entities").alias("related_entities"), mine("source_comments").alias("source_comments"), mine("source_prs").alias("source_prs"),
+        first_over("unique_pr_count").alias("_claimed"),
+        F.coalesce(F.max(F.when(~over, F.coalesce("cluster_coherence", F.lit(0.0)))), F.lit(1.0)).alias("cluster_coherence"),
+        F.array_sort(F.collect_list("rule_id")).alias("merged_from"),
     )
     out = out.withColumn("unique_pr_count", F.greatest(F.size("source_prs"), "_claimed")).drop("_claimed")
     return out.withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.col("unique_pr_count"))).withColumn("override_applied", F.lit(True))
@@ -148,7 +180,8 @@ def kept_of_id(rows: DataFrame, *keys: str, order: str = "ord") -> DataFrame:
 def best_words(plain: DataFrame) -> DataFrame:
     """One output a group, with the words of its best rule, the first of equals."""
     return plain.groupBy("group_id").agg(
-        F.lit(0).alias("out"), *[_best(c, scalar.first_score(F.col("rule_score")), "ord").alias(c) for c in ("text", "reason", "confidence", "category", "scope")],
+        F.lit(0).alias("out"),
+        *[_best(c, scalar.first_score(F.col("rule_score")), "ord").alias(c) for c in ("text", "reason", "confidence", "category", "scope")],
         F.transform(F.array_sort(F.collect_list(F.struct("ord", "rule_id"))), lambda s: s["rule_id"]).alias("source_rule_ids"),
     )
 
@@ -156,10 +189,15 @@ def best_words(plain: DataFrame) -> DataFrame:
 def questions(plain: DataFrame) -> DataFrame:
     """(group_id, prompt): what a model is asked about each group of rules, for a function that gives `outputs`."""
     one = F.struct("ord", "rule_id", "text", "reason", "category", "scope", "confidence", "source_prs", "unique_pr_count")
-    return plain.groupBy("group_id").agg(F.array_sort(F.collect_list(one)).alias("rules")).select("group_id", prompts.consolidation(F.col("rules")).alias("prompt"))
+    return (
+        plain.groupBy("group_id").agg(F.array_sort(F.collect_list(one)).alias("rules"))
+        .select("group_id", prompts.consolidation(F.col("rules")).alias("prompt"))
+    )
 
 
-def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def consolidate_pass(
+    rules: DataFrame, groups: DataFrame, name: str, outputs: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(rules after the pass, its merge log) for groups (group_id, rule_id) of two or more rules.
 
     Groups with an override take the override's words; for the others `outputs` turns the rules with their group_id
@@ -169,24 +207,41 @@ def consolidate_pass(rules: DataFrame, groups: DataFrame, name: str, outputs: Ca
     """
     grouped = rules.join(groups.select("group_id", "rule_id"), "rule_id")
     size = Window.partitionBy("group_id")
-    grouped = grouped.withColumn("_n", F.count(F.lit(1)).over(size)).withColumn("_over", F.max(F.col("is_override").cast("int")).over(size)).where("_n > 1")
+    grouped = (
+        grouped.withColumn("_n", F.count(F.lit(1)).over(size)).withColumn("_over", F.max(F.col("is_override").cast("int")).over(size)).where("_n > 1")
+    )
     forced = overridden(grouped.where("_over = 1").drop("_n", "_over"))
     plain = grouped.where("_over = 0")
     given = (outputs or best_words)(plain)
     if outputs is not None:
         given = materialize(checked(given, between={"confidence": (0.0, 1.0)}, filled=("text",))[0], "outputs")
-    made = merged(given, plain).withColumn("override_applied", F.lit(False)).unionByName(forced.withColumn("out", F.lit(0)).withColumn("common_pattern", F.lit("")))
+    made = (
+        merged(given, plain).withColumn("override_applied", F.lit(False))
+        .unionByName(forced.withColumn("out", F.lit(0)).withColumn("common_pattern", F.lit("")))
+    )
     made = materialize(made, "merged")
     taken = made.select(F.explode("merged_from").alias("rule_id")).unionByName(grouped.where("_over = 1").select("rule_id")).distinct()
     log = made.select(F.lit(name).alias("pass"), "group_id", "rule_id", "merged_from", "text")
     # A merged rule keeps the place of its first source; an override stays one, so no later pass rewrites it.
-    place = made.select("group_id", "out", F.explode("merged_from").alias("rule_id")).join(rules.select("rule_id", "ord"), "rule_id").groupBy("group_id", "out").agg(F.min("ord").alias("ord"))
-    made = made.join(place, ["group_id", "out"]).drop("group_id", "out").withColumn("is_override", F.col("override_applied")).withColumn("explicit_category", F.col("override_applied")).withColumn("explicit_scope", F.col("override_applied"))
-    rest = rules.join(taken, "rule_id", "left_anti").withColumn("override_applied", F.coalesce(F.col("override_applied") if "override_applied" in rules.columns else F.lit(False), F.lit(False)))
+    place = (
+        made.select("group_id", "out", F.explode("merged_from").alias("rule_id")).join(rules.select("rule_id", "ord"), "rule_id")
+        .groupBy("group_id", "out").agg(F.min("ord").alias("ord"))
+    )
+    made = (
+        made.join(place, ["group_id", "out"]).drop("group_id", "out").withColumn("is_override", F.col("override_applied"))
+        .withColumn("explicit_category", F.col("override_applied")).withColumn("explicit_scope", F.col("override_applied"))
+    )
+    rest = (
+        rules.join(taken, "rule_id", "left_anti")
+        .withColumn("override_applied", F.coalesce(F.col("override_applied") if "override_applied" in rules.columns else F.lit(False), F.lit(False)))
+    )
     return rest.unionByName(made, allowMissingColumns=True), log
 
 
-def deduplicated(rules: DataFrame, components: DataFrame, review: Callable[[DataFrame], DataFrame] | None = None, outputs: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def deduplicated(
+    rules: DataFrame, components: DataFrame, review: Callable[[DataFrame], DataFrame] | None = None,
+    outputs: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(rules, merge log) after three passes: similar clusters, then review by category, then a second review of
     categories in which the first merged something and three rules or more remain.
 
@@ -198,7 +253,10 @@ def deduplicated(rules: DataFrame, components: DataFrame, review: Callable[[Data
     rules, log = consolidate_pass(rules, components, "similarity", outputs)
     rules = materialize(rules, "pass1")
     for name, least in (("category", 2), ("category again", 3)):
-        some = rules.where("category is not null").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("category"))).where(F.col("_n") >= least).drop("_n")
+        some = (
+            rules.where("category is not null").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("category"))).where(F.col("_n") >= least)
+            .drop("_n")
+        )
         if least == 3:
             again = log.where(F.col("pass") == "category").join(rules.select("rule_id", "category"), "rule_id").select("category").distinct()
             some = some.join(again, "category", "left_semi")
@@ -211,4 +269,7 @@ def deduplicated(rules: DataFrame, components: DataFrame, review: Callable[[Data
 def equal_texts(rules: DataFrame) -> DataFrame:
     """Groups of one category whose texts are equal but for case, blanks and punctuation."""
     plain = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "))
-    return rules.groupBy("category", plain.alias("plain")).agg(F.collect_list("rule_id").alias("rule_ids")).where(F.size("rule_ids") > 1).select("rule_ids")
+    return (
+        rules.groupBy("category", plain.alias("plain")).agg(F.collect_list("rule_id").alias("rule_ids")).where(F.size("rule_ids") > 1)
+        .select("rule_ids")
+    )

@@ -15,7 +15,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     it was given; rounds go on until one changes nothing. Centres of large stars are join keys of plain exchanges,
     which adaptive execution can split. Nodes with no edge do not appear; self loops name no node.
     """
-    e = materialize(edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).dropna().where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
+    e = materialize(
+        (
+            edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).dropna().where("src <> dst")
+            .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
+        ),
+        "edges",
+    )
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
@@ -27,13 +33,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
         large = materialize(large.select("src", "dst"), "large")
         low = large.groupBy("src").agg(F.min("dst").alias("m"))
-        small = large.join(low, "src").select(F.when(F.col("dst") == F.col("m"), F.col("src")).otherwise(F.col("dst")).alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
+        small = (
+            large.join(low, "src")
+            .select(F.when(F.col("dst") == F.col("m"), F.col("src")).otherwise(F.col("dst")).alias("src"), F.col("m").alias("dst"))
+            .where("src <> dst").distinct()
+        )
         e = materialize(small, "small")
         after = mark(e)
         if after == before:
             break
         before = after
-    return e.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(e.select(F.col("dst").alias("node"), F.col("dst").alias("component"))).distinct()
+    return (
+        e.select(F.col("src").alias("node"), F.col("dst").alias("component"))
+        .unionByName(e.select(F.col("dst").alias("node"), F.col("dst").alias("component"))).distinct()
+    )
 
 
 def components_of(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
@@ -48,7 +61,9 @@ def group_closure(groups: DataFrame, valid: DataFrame) -> DataFrame:
     groups holds arrays rule_ids; ids that are not in valid(rule_id) are dropped first, then repeats, and groups
     of fewer than two ids mean nothing.
     """
-    flat = groups.select(F.monotonically_increasing_id().alias("g"), F.array_distinct("rule_ids").alias("ids")) if "group_id" not in groups.columns else groups.select(F.col("group_id").alias("g"), F.array_distinct("rule_ids").alias("ids"))
+    flat = groups.select(
+        F.monotonically_increasing_id().alias("g"), F.array_distinct("rule_ids").alias("ids"),
+    ) if "group_id" not in groups.columns else groups.select(F.col("group_id").alias("g"), F.array_distinct("rule_ids").alias("ids"))
     flat = flat.select("g", F.explode("ids").alias("rule_id")).join(valid.select("rule_id").distinct(), "rule_id", "left_semi")
     low = flat.groupBy("g").agg(F.min("rule_id").alias("dst"), F.count(F.lit(1)).alias("n")).where("n > 1")
     edges = flat.join(low, "g").select(F.col("rule_id").alias("src"), "dst")

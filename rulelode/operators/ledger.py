@@ -23,7 +23,9 @@ def file_hash(spark: SparkSession, paths: list[str]) -> DataFrame:
     files = spark.read.format("binaryFile").load(paths)
     name = F.element_at(F.split("path", "/"), -1)
     lines = files.select(name.alias("name"), F.concat_ws(" ", name, F.col("length").cast("string"), F.sha2("content", 256)).alias("line"))
-    return lines.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "line"))), lambda x: x["line"]), "\n"), 256).alias("input_hash"))
+    return lines.agg(
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "line"))), lambda x: x["line"]), "\n"), 256).alias("input_hash")
+    )
 
 
 def joined_hash(spark: SparkSession, paths: list[str]) -> str:
@@ -43,7 +45,19 @@ def content_hash(rows: DataFrame, *columns: str) -> DataFrame:
     """(input_hash, n): an order-free hash of a table; sums of row hashes in two halves, combined as partial sums."""
     h = F.sha2(F.to_json(F.struct(*columns)), 256)
     half = lambda at: F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)"))
-    return rows.agg(F.sha2(F.concat_ws(":", F.coalesce(half(1), F.lit(0)).cast("string"), F.coalesce(half(16), F.lit(0)).cast("string"), F.count(F.lit(1)).cast("string")), 256).alias("input_hash"), F.count(F.lit(1)).alias("n"))
+    return rows.agg(
+        (
+            F.sha2(
+                F.concat_ws(
+                    ":", F.coalesce(half(1), F.lit(0)).cast("string"), F.coalesce(half(16), F.lit(0)).cast("string"),
+                    F.count(F.lit(1)).cast("string"),
+                ),
+                256,
+            )
+            .alias("input_hash")
+        ),
+        F.count(F.lit(1)).alias("n"),
+    )
 
 
 def is_stale(stored: Column, current: Column) -> Column:
@@ -57,7 +71,10 @@ def status(stages: DataFrame) -> DataFrame:
     No output is 'missing', fewer rows than expected 'partial', another input hash 'stale', else 'done'.
     """
     stale = F.coalesce(is_stale(F.col("stored_hash"), F.col("current_hash")), F.lit(False))
-    state = F.when(F.coalesce("n_out", F.lit(0)) == 0, F.lit("missing")).when(F.col("n_out") < F.coalesce("n_expected", "n_out"), F.lit("partial")).when(stale, F.lit("stale")).otherwise(F.lit("done"))
+    state = (
+        F.when(F.coalesce("n_out", F.lit(0)) == 0, F.lit("missing")).when(F.col("n_out") < F.coalesce("n_expected", "n_out"), F.lit("partial"))
+        .when(stale, F.lit("stale")).otherwise(F.lit("done"))
+    )
     return stages.withColumn("status", state)
 
 
@@ -95,7 +112,10 @@ class Records:
         return found if isinstance(found, dict) else None
 
     def write(self, stage: str, input_hash: str, stats: dict, cost: Decimal, done: bool) -> None:
-        files.write_text(self.spark, f"{self.folder}/{stage}.json", json.dumps({"input_hash": input_hash, "stats": stats, "cost": str(cost), "done": done}, indent=2, default=str))
+        files.write_text(
+            self.spark, f"{self.folder}/{stage}.json",
+            json.dumps({"input_hash": input_hash, "stats": stats, "cost": str(cost), "done": done}, indent=2, default=str),
+        )
 
     def cost(self, stage: str) -> Decimal:
         try:

@@ -54,7 +54,9 @@ def number(n: int) -> str:
 def extract_detail(s: dict, available: int | None) -> str:
     done = s.get("total_processed", 0)
     of = f"{number(done)}/{number(available)}" if available and done < available else number(done)
-    return f"{of} comments → {number(s.get('actionable', 0))} actionable, {number(s.get('non_actionable', 0))} rejected → {number(s.get('total_potential_rules', 0))} generalizations"
+    return f"{of} comments → {number(s.get('actionable', 0))} actionable, {number(s.get('non_actionable', 0))} rejected → {
+        number(s.get('total_potential_rules', 0))
+    } generalizations"
 
 
 def synthesize_detail(s: dict) -> str:
@@ -64,7 +66,9 @@ def synthesize_detail(s: dict) -> str:
 
 
 def dedupe_detail(s: dict) -> str:
-    return f"{number(s.get('input_rules', 0))} → {number(s.get('output_rules', 0))} rules ({number(s.get('input_rules', 0) - s.get('output_rules', 0))} merged)"
+    return f"{number(s.get('input_rules', 0))} → {number(s.get('output_rules', 0))} rules ({
+        number(s.get('input_rules', 0) - s.get('output_rules', 0))
+    } merged)"
 
 
 def place_detail(s: dict) -> str:

@@ -16,9 +16,17 @@ def rule_locations(rows: DataFrame) -> DataFrame:
 
 def provenance(rules: DataFrame, placements: DataFrame, rows: DataFrame, comments: DataFrame, shown: int = 5, chars: int = 300) -> DataFrame:
     """One row per rule and each of its first `shown` source comments; a rule or comment that lacks a counterpart stays."""
-    first = rules.select("rule_id", "text", "category", "rule_score", F.posexplode_outer(F.slice("source_comments", 1, shown)).alias("n", "comment_id"))
-    told = comments.select(F.col("id").alias("comment_id"), "pr_number", F.col("user.login").alias("author"), "path", scalar.truncated(F.col("body"), chars).alias("body"), scalar.last_lines(F.col("diff_hunk"), 8).alias("diff"))
-    out = first.join(placements.select("rule_id", F.col("placement.placement_type").alias("placement_type")), "rule_id", "left").join(rule_locations(rows), "rule_id", "left")
+    first = rules.select(
+        "rule_id", "text", "category", "rule_score", F.posexplode_outer(F.slice("source_comments", 1, shown)).alias("n", "comment_id"),
+    )
+    told = comments.select(
+        F.col("id").alias("comment_id"), "pr_number", F.col("user.login").alias("author"), "path",
+        scalar.truncated(F.col("body"), chars).alias("body"), scalar.last_lines(F.col("diff_hunk"), 8).alias("diff"),
+    )
+    out = (
+        first.join(placements.select("rule_id", F.col("placement.placement_type").alias("placement_type")), "rule_id", "left")
+        .join(rule_locations(rows), "rule_id", "left")
+    )
     return out.join(told, "comment_id", "left")
 
 

@@ -29,7 +29,10 @@ def turns(spark: SparkSession, sf_dir: str, bot: str = "assistant") -> DataFrame
     c = table(spark, sf_dir, "conversations")
     ident = (F.col("conv_id") * 1000 + F.col("turn")).cast("long")
     user = F.struct(F.col("role").alias("login"), F.when(F.col("role") == bot, F.lit("Bot")).otherwise(F.lit("User")).alias("type"))
-    return c.select(ident.alias("id"), F.col("conv_id").alias("pr_number"), F.when(F.col("turn") > 0, ident - 1).alias("in_reply_to_id"), user.alias("user"), F.col("text").alias("body"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("diff_hunk"), ident.alias("ord"))
+    return c.select(
+        ident.alias("id"), F.col("conv_id").alias("pr_number"), F.when(F.col("turn") > 0, ident - 1).alias("in_reply_to_id"), user.alias("user"),
+        F.col("text").alias("body"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("diff_hunk"), ident.alias("ord"),
+    )
 
 
 TURNS = "c as (select conv_id * 1000 + turn as id, conv_id as pr_number, case when turn > 0 then conv_id * 1000 + turn - 1 end as up, role as login, text as body from conversations)"
@@ -39,10 +42,19 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as extractions: labels of quality 1 are actionable, sentences are potential rules."""
     d, m = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     s = F.split("text", r"\. ")
-    rules = F.transform(s, lambda x, i: F.struct(F.trim(x).alias("generalization"), F.lit("").alias("motivation"), F.col("lang").alias("scope"), i.alias("source_change_index")))
+    rules = F.transform(
+        s,
+        lambda x, i: F.struct(
+            F.trim(x).alias("generalization"), F.lit("").alias("motivation"), F.col("lang").alias("scope"), i.alias("source_change_index"),
+        ),
+    )
     rows = d.join(m, "doc_id", "left")
     reason = F.when(F.col("quality").isNull(), F.lit(None)).when(F.col("toxic") == 1, F.lit("pr_workflow")).otherwise(F.lit("unclear"))
-    return rows.select(F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("ord"), F.lit(1).cast("long").alias("pr_number"), F.col("source").alias("author"), (F.coalesce("quality", F.lit(0)) == 1).alias("is_actionable"), reason.alias("rejection_reason"), F.slice(s, 1, 2).alias("changes"), rules.alias("potential_rules"), F.struct("text").alias("source"))
+    return rows.select(
+        F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("ord"), F.lit(1).cast("long").alias("pr_number"), F.col("source").alias("author"),
+        (F.coalesce("quality", F.lit(0)) == 1).alias("is_actionable"), reason.alias("rejection_reason"), F.slice(s, 1, 2).alias("changes"),
+        rules.alias("potential_rules"), F.struct("text").alias("source"),
+    )
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +62,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").where("user_id is not null and ts is not null")
     day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
     return e.groupBy("user_id", day.alias("day")).agg(
-        F.max(F.least(F.lit(1.0), F.col("value") / 500)).alias("confidence"), F.array_sort(F.collect_set(F.length("event_type").cast("long"))).alias("source_prs"), F.array_sort(F.collect_list("event_id")).alias("source_comments"),
-    ).select((F.col("user_id") * 100000 + F.col("day")).alias("rule_id"), F.col("user_id").alias("group_id"), "day", "confidence", "source_prs", "source_comments")
+        F.max(F.least(F.lit(1.0), F.col("value") / 500)).alias("confidence"),
+        F.array_sort(F.collect_set(F.length("event_type").cast("long"))).alias("source_prs"),
+        F.array_sort(F.collect_list("event_id")).alias("source_comments"),
+    ).select((F.col("user_id") * 100000 + F.col("day")).alias("rule_id"), F.col("user_id").alias("group_id"), "day", "confidence", "source_prs",
+    "source_comments")
 
 
 SCORED = """s as (select user_id * 100000 + date_diff('day', date '1970-01-01', cast(ts as date)) as rule_id, user_id as group_id, date_diff('day', date '1970-01-01', cast(ts as date)) as day,
@@ -61,10 +76,17 @@ SCORED = """s as (select user_id * 100000 + date_diff('day', date '1970-01-01',
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
-    r = scored(spark, sf_dir).withColumn("unique_pr_count", F.size("source_prs")).withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    r = (
+        scored(spark, sf_dir).withColumn("unique_pr_count", F.size("source_prs"))
+        .withColumn("rule_score", scalar.rule_score(F.col("confidence"), F.size("source_prs")))
+    )
     return r.withColumns({
-        "cluster_id": F.col("group_id"), "text": F.concat(F.lit("rule "), F.col("rule_id").cast("string")), "reason": F.lit(""), "category": F.concat(F.lit("c"), (F.col("day") % 3).cast("string")), "scope": F.lit("global"), "example_bad": F.when(F.col("day") % 2 == 0, F.concat(F.lit("bad "), F.col("rule_id").cast("string"))), "example_good": none,
-        "related_entities": F.array(F.concat(F.lit("e"), (F.col("day") % 4).cast("string"))), "cluster_coherence": F.col("confidence"), "common_pattern": F.concat(F.lit("p"), F.col("day").cast("string")), "ord": F.col("rule_id"), "is_override": F.lit(False), "explicit_category": F.lit(False), "explicit_scope": F.lit(False),
+        "cluster_id": F.col("group_id"), "text": F.concat(F.lit("rule "), F.col("rule_id").cast("string")), "reason": F.lit(""),
+        "category": F.concat(F.lit("c"), (F.col("day") % 3).cast("string")), "scope": F.lit("global"),
+        "example_bad": F.when(F.col("day") % 2 == 0, F.concat(F.lit("bad "), F.col("rule_id").cast("string"))), "example_good": none,
+        "related_entities": F.array(F.concat(F.lit("e"), (F.col("day") % 4).cast("string"))), "cluster_coherence": F.col("confidence"),
+        "common_pattern": F.concat(F.lit("p"), F.col("day").cast("string")), "ord": F.col("rule_id"), "is_override": F.lit(False),
+        "explicit_category": F.lit(False), "explicit_scope": F.lit(False),
     }).drop("day")
 
 
@@ -73,8 +95,14 @@ def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.when(F.col("lang") == "en", F.col("source")).otherwise(F.concat("source", F.lit("/"), "lang"))
     k = F.col("doc_id")
     kind = F.when(k % 11 == 0, "agents_md_root").when(k % 13 == 0, "file").when(k % 17 == 0, "cross_file").otherwise("agents_md_dir")
-    p = F.struct(kind.alias("placement_type"), F.when(kind == "agents_md_dir", place).alias("directory"), F.when(kind == "file", F.concat(place, F.lit("/f"), (k % 5).cast("string"), F.lit(".py"))).alias("file_path"))
-    return d.select(k.alias("rule_id"), "lang", F.col("text").alias("rule_text"), F.least(F.lit(1.0), F.col("n_chars") / 5000).alias("rule_score"), p.alias("placement"), k.alias("ord"), "source")
+    p = F.struct(
+        kind.alias("placement_type"), F.when(kind == "agents_md_dir", place).alias("directory"),
+        F.when(kind == "file", F.concat(place, F.lit("/f"), (k % 5).cast("string"), F.lit(".py"))).alias("file_path"),
+    )
+    return d.select(
+        k.alias("rule_id"), "lang", F.col("text").alias("rule_text"), F.least(F.lit(1.0), F.col("n_chars") / 5000).alias("rule_score"),
+        p.alias("placement"), k.alias("ord"), "source",
+    )
 
 
 PLACED = """p as (select doc_id as rule_id, lang, text as rule_text, least(1.0, n_chars / 5000) as rule_score, case when lang = 'en' then source else source || '/' || lang end as place, doc_id, source,
@@ -139,7 +167,11 @@ def bot_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = turns(spark, sf_dir)
-    return c.select((F.col("pr_number") % 40).alias("cluster_id"), "pr_number", F.col("id").alias("comment_id"), F.col("id").alias("pos"), F.col("body").alias("generalization"), F.col("user.login").alias("motivation"), F.when(F.col("id") % 2 == 0, F.lit("global")).alias("scope"), "body")
+    return c.select(
+        (F.col("pr_number") % 40).alias("cluster_id"), "pr_number", F.col("id").alias("comment_id"), F.col("id").alias("pos"),
+        F.col("body").alias("generalization"), F.col("user.login").alias("motivation"), F.when(F.col("id") % 2 == 0, F.lit("global")).alias("scope"),
+        "body",
+    )
 
 
 def pr_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,16 +188,34 @@ def cluster_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def placement_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    e = d.groupBy("source").agg(F.array_sort(F.collect_set(F.concat("lang", F.lit("/"), (F.col("doc_id") % 13).cast("string")))).alias("source_files"), F.count(F.lit(1)).alias("num_source_comments"))
-    counts = d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("dir_counts"))
+    e = (
+        d.groupBy("source")
+        .agg(
+            F.array_sort(F.collect_set(F.concat("lang", F.lit("/"), (F.col("doc_id") % 13).cast("string")))).alias("source_files"),
+            F.count(F.lit(1)).alias("num_source_comments"),
+        )
+    )
+    counts = (
+        d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).groupBy("source")
+        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("dir_counts"))
+    )
     rows = e.join(counts, "source").withColumn("related_files", F.array().cast("array<string>"))
-    rule = {"text": F.col("source"), "category": F.lit("naming"), "scope": F.lit("global"), "rule_score": F.lit(0.125), "unique_pr_count": F.size("source_files"), "reason": F.lit(None).cast("string")}
-    return rows.select("source", prompts.placement(rule, {c: F.col(c) for c in ("source_files", "related_files", "dir_counts", "num_source_comments")}).alias("prompt"))
+    rule = {
+        "text": F.col("source"), "category": F.lit("naming"), "scope": F.lit("global"), "rule_score": F.lit(0.125),
+        "unique_pr_count": F.size("source_files"), "reason": F.lit(None).cast("string"),
+    }
+    return rows.select(
+        "source",
+        prompts.placement(rule, {c: F.col(c) for c in ("source_files", "related_files", "dir_counts", "num_source_comments")}).alias("prompt"),
+    )
 
 
 def bounded_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a model gave, within its bounds: documents as outputs, with scores beyond 1 and places that are none."""
-    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / 2000).alias("confidence"), "lang", F.when(F.col("doc_id") % 5 > 0, F.col("source")).alias("text"))
+    d = (
+        table(spark, sf_dir, "documents")
+        .select("doc_id", (F.col("n_chars") / 2000).alias("confidence"), "lang", F.when(F.col("doc_id") % 5 > 0, F.col("source")).alias("text"))
+    )
     return annotate.checked(d, between={"confidence": (0.0, 1.0)}, among={"lang": ("en", "de")}, filled=("text",))[0].select("doc_id", "lang")
 
 
@@ -203,20 +253,41 @@ def limit_before_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules(spark, sf_dir).select("rule_id", F.round("confidence", 9).alias("confidence"), "unique_pr_count", F.round("rule_score", 9).alias("rule_score"))
+    return (
+        rules(spark, sf_dir)
+        .select("rule_id", F.round("confidence", 9).alias("confidence"), "unique_pr_count", F.round("rule_score", 9).alias("rule_score"))
+    )
 
 
 def pr_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "events").select(F.col("user_id").alias("cluster_id"), F.col("event_id").alias("comment_id"), F.length("event_type").alias("pr_number"))
+    items = (
+        table(spark, sf_dir, "events")
+        .select(F.col("user_id").alias("cluster_id"), F.col("event_id").alias("comment_id"), F.length("event_type").alias("pr_number"))
+    )
     s = consolidate.cluster_summary(items)
-    return s.select("cluster_id", "num_generalizations", F.size("comment_ids").alias("n_comments"), F.array_join("pr_numbers", ",").alias("pr_numbers"), "unique_pr_count")
+    return s.select(
+        "cluster_id", "num_generalizations", F.size("comment_ids").alias("n_comments"), F.array_join("pr_numbers", ",").alias("pr_numbers"),
+        "unique_pr_count",
+    )
 
 
 def rule_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = turns(spark, sf_dir)
-    clusters = c.groupBy(F.col("pr_number").alias("cluster_id")).agg(F.collect_list(F.struct(F.col("id").alias("comment_id"), (F.col("id") % 4).alias("pr_number"))).alias("members"))
-    named = c.groupBy(F.col("pr_number").alias("cluster_id")).agg(F.collect_list(F.when(F.col("user.login") == "system", F.col("id"))).alias("source_comment_ids")).withColumn("confidence", F.lit(0.9))
-    return consolidate.attributed(named, clusters).select("cluster_id", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"), F.round("rule_score", 9).alias("rule_score"))
+    clusters = (
+        c.groupBy(F.col("pr_number").alias("cluster_id"))
+        .agg(F.collect_list(F.struct(F.col("id").alias("comment_id"), (F.col("id") % 4).alias("pr_number"))).alias("members"))
+    )
+    named = (
+        c.groupBy(F.col("pr_number").alias("cluster_id"))
+        .agg(F.collect_list(F.when(F.col("user.login") == "system", F.col("id"))).alias("source_comment_ids")).withColumn("confidence", F.lit(0.9))
+    )
+    return (
+        consolidate.attributed(named, clusters)
+        .select(
+            "cluster_id", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"),
+            F.round("rule_score", 9).alias("rule_score"),
+        )
+    )
 
 
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,13 +309,24 @@ def unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outputs(r: DataFrame) -> DataFrame:
-    return r.groupBy("group_id").agg(F.lit(0).alias("out"), F.lit("merged").alias("text"), F.lit("").alias("reason"), F.lit(0.9).alias("confidence"), F.lit("c").alias("category"), F.lit("global").alias("scope"), F.array_sort(F.collect_list("rule_id")).alias("source_rule_ids"))
+    return (
+        r.groupBy("group_id")
+        .agg(
+            F.lit(0).alias("out"), F.lit("merged").alias("text"), F.lit("").alias("reason"), F.lit(0.9).alias("confidence"),
+            F.lit("c").alias("category"), F.lit("global").alias("scope"), F.array_sort(F.collect_list("rule_id")).alias("source_rule_ids"),
+        )
+    )
 
 
 def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = rules(spark, sf_dir)
     m = consolidate.merged(_outputs(r), r)
-    return m.select("group_id", "rule_id", "cluster_id", "common_pattern", "example_bad", "unique_pr_count", F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"), F.array_join("related_entities", ",").alias("related_entities"), F.round("rule_score", 9).alias("rule_score"), F.round("cluster_coherence", 9).alias("cluster_coherence"), F.size("merged_from").alias("n_merged"))
+    return m.select(
+        "group_id", "rule_id", "cluster_id", "common_pattern", "example_bad", "unique_pr_count",
+        F.array_join("source_comments", ",").alias("source_comments"), F.array_join("source_prs", ",").alias("source_prs"),
+        F.array_join("related_entities", ",").alias("related_entities"), F.round("rule_score", 9).alias("rule_score"),
+        F.round("cluster_coherence", 9).alias("cluster_coherence"), F.size("merged_from").alias("n_merged"),
+    )
 
 
 def merge_several(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,8 +334,13 @@ def merge_several(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = rules(spark, sf_dir)
     ids = r.groupBy("group_id").agg(F.array_sort(F.collect_list("rule_id")).alias("ids")).where(F.size("ids") > 1)
     half = F.slice("ids", F.floor(F.size("ids") / 2).cast("int") + 1, F.size("ids"))
-    outs = ids.select("group_id", F.posexplode(F.array(F.col("ids"), half, F.col("ids"), F.array(F.lit(-7).cast("long")))).alias("out", "source_rule_ids"))
-    words = {"text": F.concat(F.lit("merged "), F.col("out").cast("string")), "reason": F.lit(""), "confidence": F.lit(0.9), "category": F.lit("c"), "scope": F.lit("global")}
+    outs = ids.select(
+        "group_id", F.posexplode(F.array(F.col("ids"), half, F.col("ids"), F.array(F.lit(-7).cast("long")))).alias("out", "source_rule_ids"),
+    )
+    words = {
+        "text": F.concat(F.lit("merged "), F.col("out").cast("string")), "reason": F.lit(""), "confidence": F.lit(0.9), "category": F.lit("c"),
+        "scope": F.lit("global"),
+    }
     m = consolidate.merged(outs.withColumns(words), r)
     return m.select("group_id", "text", "rule_id", "unique_pr_count", F.size("merged_from").alias("n_merged"))
 
@@ -267,11 +354,19 @@ def category_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = rules(spark, sf_dir)
     o = r.select("group_id").distinct().where("group_id % 3 = 0").withColumns({
-        "rule_id": -F.col("group_id") - 1, "cluster_id": F.lit(-1).cast("long"), "text": F.lit("override"), "reason": F.lit(""), "confidence": F.lit(0.95), "rule_score": F.lit(0.95), "category": F.lit("manual"), "scope": F.lit("manual"), "explicit_category": F.col("group_id") % 2 == 0, "explicit_scope": F.lit(False), "unique_pr_count": F.lit(5),
-        "related_entities": F.array().cast("array<string>"), "source_comments": F.array().cast("array<bigint>"), "source_prs": F.array().cast("array<bigint>"), "is_override": F.lit(True), "ord": -F.col("group_id") - 1, "example_bad": F.lit(None).cast("string"), "example_good": F.lit(None).cast("string"), "cluster_coherence": F.lit(1.0), "common_pattern": F.lit(""),
+        "rule_id": -F.col("group_id") - 1, "cluster_id": F.lit(-1).cast("long"), "text": F.lit("override"), "reason": F.lit(""),
+        "confidence": F.lit(0.95), "rule_score": F.lit(0.95), "category": F.lit("manual"), "scope": F.lit("manual"),
+        "explicit_category": F.col("group_id") % 2 == 0, "explicit_scope": F.lit(False), "unique_pr_count": F.lit(5),
+        "related_entities": F.array().cast("array<string>"), "source_comments": F.array().cast("array<bigint>"),
+        "source_prs": F.array().cast("array<bigint>"), "is_override": F.lit(True), "ord": -F.col("group_id") - 1,
+        "example_bad": F.lit(None).cast("string"), "example_good": F.lit(None).cast("string"), "cluster_coherence": F.lit(1.0),
+        "common_pattern": F.lit(""),
     })
     m = consolidate.overridden(r.unionByName(o))
-    return m.select("group_id", "rule_id", "cluster_id", "text", "category", "scope", "example_bad", "unique_pr_count", F.array_join("source_prs", ",").alias("source_prs"), F.round("rule_score", 9).alias("rule_score"), F.size("merged_from").alias("n_merged"))
+    return m.select(
+        "group_id", "rule_id", "cluster_id", "text", "category", "scope", "example_bad", "unique_pr_count",
+        F.array_join("source_prs", ",").alias("source_prs"), F.round("rule_score", 9).alias("rule_score"), F.size("merged_from").alias("n_merged"),
+    )
 
 
 def id_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,11 +385,18 @@ def group_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     path = F.regexp_replace(F.regexp_replace("url", r"^[a-z]+://[^/]*/?", ""), r"[?#].*$", "")
-    x = p.select(F.col("page_id").alias("comment_id"), F.col("page_id").alias("ord"), F.struct(path.alias("path")).alias("source"), F.array(F.struct(F.concat(path, F.lit("/x")).alias("file_path"))).alias("changes"), F.array(F.struct(F.when(F.col("page_id") % 2 == 0, F.lit("global")).otherwise(path).alias("scope"))).alias("potential_rules"))
+    x = p.select(
+        F.col("page_id").alias("comment_id"), F.col("page_id").alias("ord"), F.struct(path.alias("path")).alias("source"),
+        F.array(F.struct(F.concat(path, F.lit("/x")).alias("file_path"))).alias("changes"),
+        F.array(F.struct(F.when(F.col("page_id") % 2 == 0, F.lit("global")).otherwise(path).alias("scope"))).alias("potential_rules"),
+    )
     r = p.groupBy((F.col("page_id") % 20).alias("rule_id")).agg(F.array_sort(F.collect_list("page_id")).alias("source_comments"))
     e = placement.evidence(r, x)
     counts = F.array_join(F.transform(F.map_entries("dir_counts"), lambda d: F.concat_ws("=", d["key"], d["value"])), ",")
-    return e.select("rule_id", "num_source_comments", F.size("source_files").alias("n_files"), F.element_at("source_files", 1).alias("first_file"), F.size("related_files").alias("n_related"), counts.alias("dirs"))
+    return e.select(
+        "rule_id", "num_source_comments", F.size("source_files").alias("n_files"), F.element_at("source_files", 1).alias("first_file"),
+        F.size("related_files").alias("n_related"), counts.alias("dirs"),
+    )
 
 
 def min_score_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +434,10 @@ def location_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = placed(spark, sf_dir)
     at = organize.located(p)
-    topics = at.join(p.select("rule_id", "source"), "rule_id").select("location", F.concat(F.lit("t"), (F.col("rule_id") % 2).cast("string")).alias("topic_id"), "rule_id")
+    topics = (
+        at.join(p.select("rule_id", "source"), "rule_id")
+        .select("location", F.concat(F.lit("t"), (F.col("rule_id") % 2).cast("string")).alias("topic_id"), "rule_id")
+    )
     return organize.organized(at, topics).select("location", "rule_id", "topic_id")
 
 
@@ -345,13 +450,18 @@ def location_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_render_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = organized(spark, sf_dir).where(~F.col("location").startswith("file:")).join(placed(spark, sf_dir).select("rule_id", F.col("lang").alias("category"), F.col("rule_score").alias("score")), "rule_id")
+    rows = (
+        organized(spark, sf_dir).where(~F.col("location").startswith("file:"))
+        .join(placed(spark, sf_dir).select("rule_id", F.col("lang").alias("category"), F.col("rule_score").alias("score")), "rule_id")
+    )
     return render.category_order(rows).select("location", "rule_id", "heading", "section", "line")
 
 
 def doc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = placed(spark, sf_dir)
-    return render.documents(organized(spark, sf_dir), p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"))
+    return render.documents(
+        organized(spark, sf_dir), p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"),
+    )
 
 
 def file_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,7 +476,10 @@ def rule_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def provenance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, c = placed(spark, sf_dir), turns(spark, sf_dir)
-    r = p.join(c.groupBy(F.col("pr_number").alias("rule_id")).agg(F.array_sort(F.collect_list("id")).alias("source_comments")), "rule_id", "left").select("rule_id", F.lit("").alias("text"), F.col("lang").alias("category"), "rule_score", "source_comments")
+    r = (
+        p.join(c.groupBy(F.col("pr_number").alias("rule_id")).agg(F.array_sort(F.collect_list("id")).alias("source_comments")), "rule_id", "left")
+        .select("rule_id", F.lit("").alias("text"), F.col("lang").alias("category"), "rule_score", "source_comments")
+    )
     x = provenance.provenance(r, p, organized(spark, sf_dir), c, chars=40)
     return x.select("rule_id", "n", "comment_id", "author", "placement_type", "location", "body")
 
@@ -383,7 +496,10 @@ def _stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         c = table(spark, sf_dir, t).agg(F.lit(s).alias("stage"), F.count(F.lit(1)).alias("n_out"))
         counts = c if counts is None else counts.unionByName(c)
     docs = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))
-    return names.join(counts, "stage").crossJoin(F.broadcast(docs)).withColumn("n_expected", F.when(F.col("stage") == "extract", F.col("n_docs"))).withColumn("current_hash", F.when(F.col("stage") == "place", F.lit("y")).otherwise(F.coalesce("stored_hash", F.lit("q"))))
+    return (
+        names.join(counts, "stage").crossJoin(F.broadcast(docs)).withColumn("n_expected", F.when(F.col("stage") == "extract", F.col("n_docs")))
+        .withColumn("current_hash", F.when(F.col("stage") == "place", F.lit("y")).otherwise(F.coalesce("stored_hash", F.lit("q"))))
+    )
 
 
 def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,7 +517,13 @@ def staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("stage"), (F.col("o_totalprice") / 1000).cast("decimal(18,6)").alias("cost"), F.ascii("o_orderstatus").alias("ord"))
+    o = (
+        table(spark, sf_dir, "orders")
+        .select(
+            F.col("o_orderstatus").alias("stage"), (F.col("o_totalprice") / 1000).cast("decimal(18,6)").alias("cost"),
+            F.ascii("o_orderstatus").alias("ord"),
+        )
+    )
     return ledger.with_cost(o).select("stage", F.col("cost").cast("double").alias("cost"), F.col("running").cast("double").alias("running"))
 
 
@@ -506,8 +628,13 @@ SQL["doc_render"] = f"""with {_ORDER},
  select path, string_agg(text, chr(10) order by a, b, c, d) as text from x group by path"""
 
 _NAMES = (
-    category_review, file_regroup, bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter, author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment, rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs, dup_components,
-    avg_linkage_clusters, unclustered, merge_rules, override_merge, id_guard, group_closure, evidence_dirs, min_score_filter, top_k_rules, threshold_preview, best_placement_per_rule, last_placement_per_rule, placement_types, location_key, topic_split, location_rollup, location_totals, category_render_order, doc_render,
+    category_review, file_regroup, bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter,
+    author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment,
+    rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs,
+    dup_components,
+    avg_linkage_clusters, unclustered, merge_rules, override_merge, id_guard, group_closure, evidence_dirs, min_score_filter, top_k_rules,
+    threshold_preview, best_placement_per_rule, last_placement_per_rule, placement_types, location_key, topic_split, location_rollup, location_totals,
+    category_render_order, doc_render,
     rule_search, provenance_lookup, location_list, stage_status, next_stage, staleness, total_cost, cost_texts, embedding_cache, review_pipeline,
 )
 

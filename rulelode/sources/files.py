@@ -37,13 +37,18 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.schema(COMMENT).json(f"{folder}/*.json", multiLine=True)
     name = F.col("_metadata.file_name")
     rows = rows.select("*", name.alias("_file"), F.monotonically_increasing_id().alias("_at"))
-    return rows.withColumn("pr_number", F.regexp_extract("_file", r"^(\d+)\.json$", 1).cast("long")).withColumn("ord", F.struct("_file", "_at")).drop("_file", "_at")
+    return (
+        rows.withColumn("pr_number", F.regexp_extract("_file", r"^(\d+)\.json$", 1).cast("long")).withColumn("ord", F.struct("_file", "_at"))
+        .drop("_file", "_at")
+    )
 
 
 def lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of JSON-lines files in their order as ord: by file, then by block, then within it, so that it does not
     matter how blocks are dealt to tasks; blank lines are skipped, a malformed one reads as nulls."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    at = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+    )
     text = spark.read.text(path).select("value", at.alias("ord")).where(F.trim("value") != "")
     return text.select(F.from_json("value", schema).alias("r"), "ord").select("r.*", "ord")
 
@@ -55,26 +60,45 @@ def extractions(spark: SparkSession, path: str) -> DataFrame:
 def rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules of a JSON-lines file; one without rule_score carries it as adjusted_confidence."""
     none = F.lit(False)
-    rows = lines(spark, path, f"{RULE}, adjusted_confidence DOUBLE, _is_override BOOLEAN, _override_applied BOOLEAN, _merged_from ARRAY<BIGINT>").where("rule_id is not null")
-    rows = rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", F.lit(0.0))).withColumn("is_override", F.coalesce("is_override", "_is_override", none)).withColumn("override_applied", F.coalesce("override_applied", "_override_applied", none))
-    return rows.withColumn("merged_from", F.coalesce("merged_from", "_merged_from")).withColumn("explicit_category", F.col("is_override")).withColumn("explicit_scope", F.col("is_override")).drop("adjusted_confidence", "_is_override", "_override_applied", "_merged_from")
+    rows = (
+        lines(spark, path, f"{RULE}, adjusted_confidence DOUBLE, _is_override BOOLEAN, _override_applied BOOLEAN, _merged_from ARRAY<BIGINT>")
+        .where("rule_id is not null")
+    )
+    rows = (
+        rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", F.lit(0.0)))
+        .withColumn("is_override", F.coalesce("is_override", "_is_override", none))
+        .withColumn("override_applied", F.coalesce("override_applied", "_override_applied", none))
+    )
+    return (
+        rows.withColumn("merged_from", F.coalesce("merged_from", "_merged_from")).withColumn("explicit_category", F.col("is_override"))
+        .withColumn("explicit_scope", F.col("is_override")).drop("adjusted_confidence", "_is_override", "_override_applied", "_merged_from")
+    )
 
 
 def placements(spark: SparkSession, path: str) -> DataFrame:
     """Placements of a JSON-lines file, the score under either of its older names too."""
     rows = lines(spark, path, f"{PLACEMENT}, adjusted_confidence DOUBLE, signal_score DOUBLE").where("rule_id is not null")
-    return rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", "signal_score", F.lit(0.0))).drop("adjusted_confidence", "signal_score")
+    return (
+        rows.withColumn("rule_score", F.coalesce("rule_score", "adjusted_confidence", "signal_score", F.lit(0.0)))
+        .drop("adjusted_confidence", "signal_score")
+    )
 
 
 def overrides(spark: SparkSession, path: str) -> DataFrame:
     """Manual rules of a JSON-lines file: ids -1, -2, ... by line (blank lines count), presence of category and scope kept."""
     one = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "value")).where(F.trim("value") != "")
-    r = one.select("at", F.from_json("value", OVERRIDE).alias("r"), F.get_json_object("value", "$.category").isNotNull().alias("explicit_category"), F.get_json_object("value", "$.scope").isNotNull().alias("explicit_scope"))
+    r = one.select(
+        "at", F.from_json("value", OVERRIDE).alias("r"), F.get_json_object("value", "$.category").isNotNull().alias("explicit_category"),
+        F.get_json_object("value", "$.scope").isNotNull().alias("explicit_scope"),
+    )
     empty = lambda kind: F.array().cast(f"array<{kind}>")
     return r.where("r.text is not null").select(
-        (-(F.col("at") + 1)).cast("long").alias("rule_id"), F.lit(-1).cast("long").alias("cluster_id"), "r.text", F.coalesce("r.reason", F.lit("")).alias("reason"), F.lit(0.95).alias("confidence"), F.lit(0.95).alias("rule_score"),
-        F.coalesce("r.category", F.lit("general")).alias("category"), F.coalesce("r.scope", F.lit("global")).alias("scope"), "r.example_bad", "r.example_good", empty("string").alias("related_entities"), empty("bigint").alias("source_comments"), empty("bigint").alias("source_prs"),
-        F.lit(5).alias("unique_pr_count"), F.lit(1.0).alias("cluster_coherence"), F.lit("").alias("common_pattern"), F.lit(True).alias("is_override"), "explicit_category", "explicit_scope", F.col("at").cast("long").alias("ord"),
+        (-(F.col("at") + 1)).cast("long").alias("rule_id"), F.lit(-1).cast("long").alias("cluster_id"), "r.text",
+        F.coalesce("r.reason", F.lit("")).alias("reason"), F.lit(0.95).alias("confidence"), F.lit(0.95).alias("rule_score"),
+        F.coalesce("r.category", F.lit("general")).alias("category"), F.coalesce("r.scope", F.lit("global")).alias("scope"), "r.example_bad",
+        "r.example_good", empty("string").alias("related_entities"), empty("bigint").alias("source_comments"), empty("bigint").alias("source_prs"),
+        F.lit(5).alias("unique_pr_count"), F.lit(1.0).alias("cluster_coherence"), F.lit("").alias("common_pattern"), F.lit(True).alias("is_override"),
+        "explicit_category", "explicit_scope", F.col("at").cast("long").alias("ord"),
     )
 
 
@@ -82,7 +106,10 @@ def organization(spark: SparkSession, path: str) -> DataFrame:
     """(location, rule_id, topic_id, ord) of an organization document."""
     loc = spark.read.schema(ORGANIZATION).json(path, multiLine=True).select(F.explode("locations").alias("l"))
     inline = loc.select("l.location", F.posexplode("l.inline_rules").alias("ord", "rule_id")).withColumn("topic_id", F.lit(None).cast("string"))
-    topics = loc.select("l.location", F.explode("l.topic_references").alias("t")).select("location", F.col("t.topic_id").alias("topic_id"), F.posexplode("t.rule_ids").alias("ord", "rule_id"))
+    topics = (
+        loc.select("l.location", F.explode("l.topic_references").alias("t"))
+        .select("location", F.col("t.topic_id").alias("topic_id"), F.posexplode("t.rule_ids").alias("ord", "rule_id"))
+    )
     return inline.unionByName(topics)
 
 
@@ -90,13 +117,31 @@ def organization_document(rows: DataFrame, topics: DataFrame, stats: dict | None
     """One row `value`: the organization as a JSON document, from (location, rule_id, topic_id, place) and topics
     (location, topic_id, topic_name, topic_description, trigger_description). It names every placed rule once a
     place, and is read as one document by whoever writes guideline files, so it is made in one task."""
-    ids = lambda df, *key: df.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "rule_id"))), lambda x: x["rule_id"]).alias("rule_ids"))
+    ids = lambda df, *key: df.groupBy(*key).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "rule_id"))), lambda x: x["rule_id"]).alias("rule_ids")
+    )
     inline = ids(rows.where("topic_id is null"), "location").withColumnRenamed("rule_ids", "inline_rules")
     told = ids(rows.where("topic_id is not null"), "location", "topic_id").join(topics, ["location", "topic_id"], "left")
-    told = told.groupBy("location").agg(F.array_sort(F.collect_list(F.struct("topic_id", "topic_name", "topic_description", "trigger_description", "rule_ids"))).alias("topic_references"))
+    told = (
+        told.groupBy("location")
+        .agg(
+            (
+                F.array_sort(F.collect_list(F.struct("topic_id", "topic_name", "topic_description", "trigger_description", "rule_ids")))
+                .alias("topic_references")
+            )
+        )
+    )
     each = rows.select("location").distinct().join(inline, "location", "left").join(told, "location", "left")
     kind = told.schema["topic_references"].dataType
-    each = each.select(F.struct("location", F.coalesce("inline_rules", F.array().cast("array<bigint>")).alias("inline_rules"), F.coalesce("topic_references", F.array().cast(kind)).alias("topic_references")).alias("l"))
+    each = each.select(
+        (
+            F.struct(
+                "location", F.coalesce("inline_rules", F.array().cast("array<bigint>")).alias("inline_rules"),
+                F.coalesce("topic_references", F.array().cast(kind)).alias("topic_references"),
+            )
+            .alias("l")
+        )
+    )
     parts = [F.array_sort(F.collect_list("l")).alias("locations")]
     if stats:
         parts.append(F.create_map(*[F.lit(str(x)) for pair in stats.items() for x in pair]).alias("stats"))

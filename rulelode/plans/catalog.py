@@ -464,6 +464,15 @@ def doc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guideline files and topic guides, every crowded location split into two topics."""
+    p = placed(spark, sf_dir)
+    at = organize.located(p)
+    topics = at.select("location", F.concat(F.lit("t_"), (F.col("rule_id") % 2).cast("string")).alias("topic_id"), "rule_id")
+    rows = organize.rolled_up(organize.organized(at, topics))
+    return render.documents(rows, p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"), pipeline.topic_names(rows))
+
+
 def file_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules about single files, at the directory's own guideline file where there is one."""
     return organize.file_rules(organized(spark, sf_dir)).select("directory", "file_path", "rule_id")
@@ -627,8 +636,25 @@ SQL["doc_render"] = f"""with {_ORDER},
  union all select distinct path, '4', file_path, '2', '', '' from fr)
  select path, string_agg(text, chr(10) order by a, b, c, d) as text from x group by path"""
 
+#: The same with topics: their rules are not inline; links stand in the file, the rules in guides of their own.
+_TOPICS = """, tz as (select location from l group by 1 having count(*) >= 10), tt as (select location, rule_id % 2 as t from l where location in (select location from tz) group by 1, 2 having count(*) >= 10),
+ ot as (select o.*, case when o.moved = 0 and tt.t is not null then 't_' || cast(tt.t as varchar) end as topic_id from o left join tt on tt.location = o.location and tt.t = o.rule_id % 2),
+ oi as (select * from ot where topic_id is null),
+ tl as (select *, row_number() over (partition by location, topic_id order by rule_score desc, moved, origin, rule_id) as line from ot where topic_id is not null),
+ tn as (select distinct location, topic_id, 'T ' || substr(topic_id, 3) as name, 't ' || substr(topic_id, 3) as low, case when location = 'root' then '' else location || '/' end || 'agent_docs/' || topic_id || '.md' as guide from tl)"""
+_TOPIC_LINES = """ union all select distinct path, '3', '0', '', '', '## Topic Guides' || chr(10) || chr(10) || 'Check these when working in specific areas:' || chr(10) from tn join pl on pl.location = tn.location
+ union all select path, '3', '1', topic_id, '', '- **[' || name || '](agent_docs/' || topic_id || '.md)**: When working on ' || low from tn join pl on pl.location = tn.location
+ union all select distinct path, '3', '2', '', '', '' from tn join pl on pl.location = tn.location
+ union all select guide, '0', '', '', '', '# ' || name || chr(10) || chr(10) || '> Rules about ' || low || chr(10) || chr(10) || '**When to check**: When working on ' || low || chr(10) || chr(10) || '## Rules' || chr(10) from tn
+ union all select guide, '1', lpad(cast(line as varchar), 12, '0'), '', '', md from tl join tn on tn.location = tl.location and tn.topic_id = tl.topic_id join t on t.rule_id = tl.rule_id
+ union all select guide, '2', '', '', '', '' from tn)
+ select path, string_agg"""
+_HEAD, _TAIL = _ORDER.removeprefix(ROLLED), SQL["doc_render"].removeprefix(f"with {_ORDER}")
+SQL["topic_docs"] = f"with {ROLLED}{_TOPICS}{_HEAD.replace('from o where', 'from oi where')}" + _TAIL.replace(""")
+ select path, string_agg""", _TOPIC_LINES)
+
 _NAMES = (
-    category_review, file_regroup, bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter,
+    topic_docs,    category_review, file_regroup, bot_authors, pr_histogram, cluster_prompts, placement_prompts, bounded_outputs, merge_several, bot_filter,
     author_filter, pr_in_filter, thread_chain, comment_prompts, sample_seeded, generalization_explode, extraction_stats, rules_per_comment,
     rejection_counts, checkpoint_resume, limit_after_resume, limit_before_resume, rule_score, pr_spread, rule_attribution, cosine_pairs,
     dup_components,

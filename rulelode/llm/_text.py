@@ -230,3 +230,14 @@ def numbered(h: np.ndarray, g: np.ndarray) -> np.ndarray:
     out = np.empty(len(h), np.int64)
     out[order] = np.concatenate([[0], np.cumsum(new)])[: len(h)]
     return out
+
+
+def common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """How many pairs of keys two sets share, each as `members` gives it."""
+    (h, g), (x, y) = a, b
+    if not len(h) or not len(x):
+        return 0
+    if (h[1:] == h[:-1]).any():
+        return len(set(zip(h.tolist(), g.tolist(), strict=True)) & set(zip(x.tolist(), y.tolist(), strict=True)))
+    at = np.minimum(np.searchsorted(h, x), len(h) - 1)
+    return int(((h[at] == x) & (g[at] == y)).sum())

@@ -12,8 +12,10 @@ Scale: equal sets are one class and take part once, so copies cost nothing. In a
 leaders, those unlike every leader before them, and only edges that join something are kept. Bands of more than
 `crowd` sets, brought about by a passage that very many documents share, say little; their sets meet by their rarest
 shingles instead, which is exact too. Any meeting place of more than `crowd` sets is dealt into blocks and every
-pair of blocks is a task. A candidate group is verified in one task if its sets hold at most GROUP_SHINGLES members;
-larger groups are dealt into blocks likewise, so nothing is dropped and no task grows with its group.
+pair of blocks is a task. Candidate edges are verified first: the set in the middle of a star meets the others one by
+one, in tasks of at most STAR_SHINGLES members, which is linear in the edges. A family of near copies that these
+links join, however large, is done. In other groups every set outside the largest part found meets all sets of the
+group, in blocks of at most GROUP_SHINGLES members, so nothing is dropped and no task grows with its group.
 
 Shingles are told apart by 128 bits, made from their words' bytes or cryptographic digests; sets by a digest of all
 of these; rows by a SHA-256 of doc_id and text. A very long text is walked in parts: memory goes with its words.
@@ -48,6 +50,7 @@ MISS = 1e-6
 SIGMAS = 5.0
 ABSORB = 0.92
 GROUP_SHINGLES = 4_000_000
+STAR_SHINGLES = 250_000
 #: Sets in a band above which it is left to the rarest shingles of its sets, and sets in a block.
 CROWD = 5_000
 EMPTY = 0xFFFF
@@ -243,12 +246,15 @@ def candidate_edges(classes: DataFrame, docs: DataFrame, percent: int = PERCENT,
     )
 
 
-def link_components(sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PERCENT) -> np.ndarray:
-    """Component (least index) of each set under links of 100 * intersection >= percent * union, decided on both
-    keys of all members of the full sets.
+def link_components(
+    sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PERCENT, known: np.ndarray | None = None, probe: np.ndarray | None = None,
+) -> np.ndarray:
+    """Component (an index of one of its sets, the least without `known`) of each set under links of
+    100 * intersection >= percent * union, decided on both keys of all members of the full sets.
 
-    Sets outside the largest component are compared with all others through an inverted index; a pair of two
-    components has one such set, and pairs inside a component need no comparing.
+    `known` numbers components that are found already; only sets marked in `probe` are compared. Sets outside the
+    largest component are compared with all others through an inverted index; a pair of two components has one such
+    set, and pairs inside a component need no comparing.
     """
     m = len(sets)
     size = np.array([len(h) for h, _ in sets])
@@ -259,12 +265,17 @@ def link_components(sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PE
     begin = np.concatenate([[0], np.cumsum(np.bincount(word))])
     start = np.concatenate([[0], np.cumsum(size)])
     comp = np.arange(m)
-    done = np.zeros(m, bool)
+    if known is not None:
+        _, first, number = np.unique(known, return_index=True, return_inverse=True)
+        comp = first[number]
+    done = np.zeros(m, bool) if probe is None else ~probe
+    fresh = known is None
     while True:
         kinds, counts = np.unique(comp, return_counts=True)
         if len(kinds) == 1:
             break
-        todo = np.flatnonzero(~done & (comp != kinds[np.argmax(counts)])) if done.any() else np.zeros(1, np.int64)
+        todo = np.zeros(1, np.int64) if fresh else np.flatnonzero(~done & (comp != kinds[np.argmax(counts)]))
+        fresh = False
         if not len(todo):
             break
         for x in todo[:16].tolist():
@@ -281,55 +292,103 @@ def link_components(sets: list[tuple[np.ndarray, np.ndarray]], percent: int = PE
     return comp
 
 
-def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(node, component) over set keys after exact verification inside candidate groups (node, component)."""
-    members = groups.withColumnRenamed("node", "k1").join(classes.select("k1", "n_shingles", "rk"), "k1")
-    totals = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / GROUP_SHINGLES).cast("int").alias("blocks"))
-    members = members.join(totals, "component")
-    b = F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (
-        members.withColumn("b", b).withColumn("c", other)
-        .select("k1", "rk", "blocks", F.xxhash64("component", F.least("b", "c"), F.greatest("b", "c")).alias("task"))
+def _texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """rows with the texts of their rk. Always by shuffle: rows grow with the corpus, so no size should change the plan."""
+    return rows.join(ut.keyed(docs).select("rk", "text").hint("merge"), "rk")
+
+
+def _star_links(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+    """(src, dst): the candidate edges that are links. The edges of one set are a star; a task holds the set in the
+    middle and meets the others one by one, so a star of any size is dealt into blocks at the cost of its middle."""
+    own = classes.select(F.col("k1").alias("dst"), "rk", "n_shingles")
+    ends = ut.materialize(edges.join(own, "dst"), "stars")
+    blocks = ends.groupBy("src").agg(F.ceil(F.sum("n_shingles") / STAR_SHINGLES).cast("int").alias("blocks"))
+    outer = ends.join(blocks, "src").select(
+        F.xxhash64("src", F.pmod(F.xxhash64("dst"), F.col("blocks"))).alias("task"), F.lit(1).alias("place"), F.col("dst").alias("k1"), "rk",
     )
-    dealt = ut.materialize(dealt, "members")
-    # Always by shuffle: the members grow with the corpus, so no size of theirs should change the plan.
-    full = dealt.join(ut.keyed(docs).select("rk", "text").hint("merge"), "rk").select("task", "k1", "blocks", "text")
+    inner = blocks.join(classes.select(F.col("k1").alias("src"), "rk"), "src")
+    inner = inner.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+    inner = inner.select(F.xxhash64("src", "b").alias("task"), F.lit(0).alias("place"), F.col("src").alias("k1"), "rk")
     parts = ut.shuffle_parts(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, ids, sets, many = None, [], [], False
+        task, middle, held = None, None, None
+        for batch in batches:
+            for part, buf, offs in tx.pieces(batch, "text"):
+                found: tuple[list, list] = ([], [])
+                for own_set, t, place, k in zip(_sets(buf, offs), *(part.column(c).to_pylist() for c in ("task", "place", "k1")), strict=True):
+                    if place == 0:
+                        task, middle, held = t, k, own_set
+                    elif t == task:
+                        both = tx.common(held, own_set)
+                        if 100 * both >= percent * (len(held[0]) + len(own_set[0]) - both):
+                            found[0].append(middle)
+                            found[1].append(k)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["src", "dst"])
+
+    rows = _texts(ut.materialize(inner.unionByName(outer), "ends"), docs).select("task", "place", "k1", "text")
+    return rows.repartition(parts, "task").sortWithinPartitions("task", "place", "k1").mapInArrow(run, "src long, dst long")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+    """(node, component) over set keys of the groups that candidate edges make, under exact links.
+
+    First the edges themselves are verified, which is linear. A group that they join needs no more. In the others,
+    every set outside the largest part meets all sets of the group, in blocks.
+    """
+    groups = ut.materialize(ut.connected_components(edges), "groups")
+    linked = ut.connected_components(ut.materialize(_star_links(docs, classes, edges, percent), "links"))
+    known = groups.join(linked.withColumnRenamed("component", "v"), "node", "left").withColumn("v", F.coalesce("v", "node"))
+    known = ut.materialize(known, "known")
+    sizes = known.groupBy("component", "v").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("component").agg(F.max_by("v", F.struct("n", "v")).alias("main"), F.count(F.lit(1)).alias("kinds"))
+    open_ = largest.where("kinds > 1").select("component", "main")
+    settled = known.join(open_, "component", "left_anti").select("node", F.col("v").alias("component"))
+    rest = known.join(open_, "component").withColumnRenamed("node", "k1").join(classes.select("k1", "n_shingles", "rk"), "k1")
+    rest = ut.materialize(rest.withColumn("out", F.col("v") != F.col("main")), "members")
+    if rest.isEmpty():
+        return settled
+    some = lambda x: F.greatest(F.ceil(F.sum(x) / GROUP_SHINGLES), F.lit(1)).cast("int")
+    blocks = rest.groupBy("component").agg(some("n_shingles").alias("all"), some(F.when(F.col("out"), F.col("n_shingles")).otherwise(0)).alias("few"))
+    dealt = rest.join(blocks, "component")
+    place = lambda n: F.pmod(F.xxhash64("k1"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    met = dealt.withColumns({"b": place("all"), "c": each("few"), "probe": F.lit(False)})
+    asked = dealt.where("out").withColumns({"b": each("all"), "c": place("few"), "probe": F.lit(True)})
+    both = met.unionByName(asked).select(F.xxhash64("component", "b", "c").alias("task"), "k1", "rk", "v", "probe")
+    # A set that asks where it is met stands there once.
+    both = ut.materialize(both.groupBy("task", "k1", "rk", "v").agg(F.max("probe").alias("probe")), "asked")
+    full = _texts(both, docs).select("task", "k1", "v", "probe", "text")
+    parts = ut.shuffle_parts(docs.sparkSession)
 
-        def flush() -> tuple[list[int], list[int], list[bool]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, ids, sets, marks = None, [], [], []
+
+        def flush() -> tuple[list[int], list[int]]:
             if len(sets) < 2:
-                return [], [], []
-            comp = link_components(sets, percent)
-            return ids, [ids[c] for c in comp.tolist()], [many] * len(ids)
+                return [], []
+            comp = link_components(sets, percent, np.array([v for v, _ in marks]), np.array([p for _, p in marks]))
+            return ids, [ids[c] for c in comp.tolist()]
 
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
+            out: tuple[list, list] = ([], [])
             for part, buf, offs in tx.pieces(batch, "text"):
-                for own, t, k, blocks in zip(_sets(buf, offs), *(part.column(c).to_pylist() for c in ("task", "k1", "blocks")), strict=True):
+                columns = (part.column(c).to_pylist() for c in ("task", "k1", "v", "probe"))
+                for own, t, k, v, ask in zip(_sets(buf, offs), *columns, strict=True):
                     if t != task:
                         for column, more in zip(out, flush(), strict=True):
                             column += more
-                        task, ids, sets, many = t, [], [], blocks > 1
+                        task, ids, sets, marks = t, [], [], []
                     if not ids or ids[-1] != k:  # repeated rows follow one another
                         ids.append(k)
                         sets.append(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"],
-            )
-        out = flush()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["src", "dst", "many"],
-        )
+                        marks.append((v, ask))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["src", "dst"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flush()], ["src", "dst"])
 
-    found = ut.materialize(
-        full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long, many boolean"), "links",
-    )
-    single = found.where("not many").select(F.col("src").alias("node"), F.col("dst").alias("component"))
-    return single if found.where("many").isEmpty() else single.unionByName(ut.connected_components(found.where("many").select("src", "dst")))
+    found = full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long")
+    found = ut.materialize(found, "found").unionByName(rest.select(F.col("k1").alias("src"), F.col("v").alias("dst")))
+    return settled.unionByName(ut.connected_components(found))
 
 
 def components(docs: DataFrame, percent: int = STAGE_PERCENT, crowd: int = CROWD) -> DataFrame:
@@ -342,8 +401,7 @@ def components(docs: DataFrame, percent: int = STAGE_PERCENT, crowd: int = CROWD
         .agg(F.min("rk").alias("rk"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("low"))
     )
     classes = ut.materialize(classes.withColumn("k1", F.monotonically_increasing_id()), "classes")
-    groups = ut.connected_components(candidate_edges(classes, docs, percent, crowd))
-    own = _verified(docs, classes, ut.materialize(groups, "groups"), percent)
+    own = _verified(docs, classes, ut.materialize(candidate_edges(classes, docs, percent, crowd), "edges"), percent)
     # A class outside every group is its own component.
     named = (
         classes.select("k1", "digest", "low").join(own.withColumnRenamed("node", "k1"), "k1", "left")

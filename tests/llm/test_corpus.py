@@ -200,7 +200,7 @@ def shingle_set(t):
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def plain_links(sets):
+def plain_links(sets, percent=85):
     parent = {i: i for i in sets}
 
     def find(x):
@@ -212,7 +212,7 @@ def plain_links(sets):
     for n, i in enumerate(keys):
         for j in keys[:n]:
             a, b = sets[i], sets[j]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in sets}
@@ -260,6 +260,45 @@ def test_link_components_exact():
     assert neardup.link_components([(s.astype(np.uint64), s.astype(np.uint64) * np.uint64(3)) for s in sets]).tolist() == [want[i] for i in range(len(sets))]
 
 
+def test_shared_members():
+    h, g = np.array([1, 1, 2, 5], np.uint64), np.array([5, 6, 5, 5], np.uint64)
+    assert tx.common((h, g), (h[1:], g[1:])) == 3 and tx.common((h[2:], g[2:]), (h, g)) == 2 and tx.common((h[:0], g[:0]), (h, g)) == 0
+    assert tx.common((h[1:], g[1:]), (h[:1], g[:1])) == 0
+
+
+def test_links_from_known_parts():
+    """Parts found before and sets asked about give the same components, if every set outside the largest part asks."""
+    rng = np.random.default_rng(14)
+    sets = [np.unique(rng.choice(30, rng.integers(3, 30), replace=False)) for _ in range(50)]
+    want = plain_links({i: set(s.tolist()) for i, s in enumerate(sets)}, 60)
+    pairs = [(s.astype(np.uint64), s.astype(np.uint64)) for s in sets]
+    known = np.array([want[i] if rng.random() < 0.6 else 1000 + i for i in range(50)])
+    kinds, counts = np.unique(known, return_counts=True)
+    got = neardup.link_components(pairs, 60, known, known != kinds[counts.argmax()])
+    same = lambda x: {tuple(np.flatnonzero(np.array(x) == c)) for c in set(x)}
+    assert same(got.tolist()) == same([want[i] for i in range(50)])
+
+
+def test_groups_in_blocks(spark, monkeypatch):
+    """Families whose candidate edges join them in part only, in stars and groups of many blocks."""
+    rng = random.Random(77)
+    texts = {}
+    for family in range(6):
+        w = [word(rng) for _ in range(90)]
+        for k in range(14):
+            own = list(w)
+            for at in rng.sample(range(90), rng.choice([0, 1, 2, 3, 4])):
+                own[at] = word(rng)
+            texts[100 * family + k] = " ".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = plain_links({i: shingle_set(t) for i, t in texts.items()}, 70)
+    assert 6 < len(set(want.values())) < 80
+    for group, star in ((neardup.GROUP_SHINGLES, neardup.STAR_SHINGLES), (200, 100)):
+        monkeypatch.setattr(neardup, "GROUP_SHINGLES", group)
+        monkeypatch.setattr(neardup, "STAR_SHINGLES", star)
+        assert {r.doc_id: r.component_id for r in neardup.components(df, 70).collect()} == want
+
+
 def test_crowded_bands(spark, docs, texts):
     """On either side of the number of sets at which a band is crowded, and in blocks of it."""
     want = {r.doc_id: r.component_id for r in neardup.components(docs, 85).collect()}

@@ -49,7 +49,8 @@ EXACT = 128
 
 _ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
-_ANY = re.compile(rb"(?i:password|passwd|secret|token|api_?key)")
+#: In lower case, what every assignment begins with.
+_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 
 def _set(chars: bytes) -> np.ndarray:
@@ -182,18 +183,20 @@ def find(buf: np.ndarray, offs: np.ndarray) -> list[tuple[list[tuple[int, int, i
     found: list[set] = [set() for _ in range(n)]
     spans: list[set] = [set() for _ in range(n)]
 
-    def rows_with(pattern: re.Pattern) -> set[int]:
-        out, at = set(), 0
-        while m := pattern.search(whole, at):
-            r = int(np.searchsorted(offs, m.start(), "right")) - 1
+    def rows_with(word: bytes, text: bytes) -> set[int]:
+        out, at = set(), text.find(word)
+        while at >= 0:
+            r = int(np.searchsorted(offs, at, "right")) - 1
             out.add(r)
-            at = int(offs[r + 1])
+            at = text.find(word, int(offs[r + 1]))
         return out
 
-    for r in rows_with(_ANY):
+    low = tx.lower(buf).tobytes()
+    for r in set().union(*(rows_with(w, low) for w in _WORDS)):
         a, b = int(offs[r]), int(offs[r + 1])
         spans[r] |= {(m.start() + a, 0, m.end() + a) for m in _ASSIGN.finditer(whole[a:b]) if m.end(2) - m.start(2) >= 8}
-    for r in rows_with(_ACCESS):
+    del low
+    for r in rows_with(b"AKIA", whole):
         a, b = int(offs[r]), int(offs[r + 1])
         spans[r] |= {(m.start() + a, 1, m.end() + a) for m in _ACCESS.finditer(whole[a:b]) if m.end() - m.start() >= 16}
     for s, e in zip(*_long(_HEX, buf, offs, 32), strict=True):

@@ -145,37 +145,50 @@ def packed(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return one, two
 
 
+def _mixed(one: np.ndarray, two: np.ndarray, size: np.ndarray, which: int) -> np.ndarray:
+    a, b, c = (U(x) for x in _KEYS[which])
+    return mix(one * a + mix(two * b + size.astype(U) * c))
+
+
 def word_keys(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit keys of byte strings: mixed from their bytes up to 16, from a digest beyond."""
     one, two = packed(buf, start, end)
-    size = (end - start).astype(U)
-    out = [mix(one * U(a) + mix(two * U(b) + size * U(c))) for a, b, c in _KEYS]
+    size = end - start
+    out = _mixed(one, two, size, 0), _mixed(one, two, size, 1)
     long = np.flatnonzero(size > 16)
     if len(long):
         found = digests(memoryview(np.ascontiguousarray(buf)), start[long], end[long])
         out[0][long], out[1][long] = found[:, 0], found[:, 1]
-    return out[0], out[1]
+    return out
 
 
 def distinct(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, number): the byte strings buf[start:end] numbered, equal numbers exactly for equal strings, and the
+    """(one, number): the byte strings buf[start:end] numbered, equal numbers exactly for equal strings, and the
     index of one string of each number. Strings that a key brings together are compared by their bytes."""
-    key, _ = word_keys(buf, start, end)
-    _, first, number = np.unique(key, return_index=True, return_inverse=True)
-    if not len(key):
-        return first, number
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     one, two = packed(buf, start, end)
-    size, like = end - start, first[number]
+    size = end - start
+    key = _mixed(one, two, size, 0)
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        key[long] = digests(memoryview(np.ascontiguousarray(buf)), start[long], end[long])[:, 0]
+    order = np.argsort(key)
+    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    number = np.empty(len(key), np.int64)
+    number[order] = np.cumsum(new) - 1
+    some = order[new]
+    like = some[number]
     same = (one == one[like]) & (two == two[like]) & (size == size[like])
-    for i in np.flatnonzero(same & (size > 16) & (like != np.arange(len(like)))).tolist():
+    for i in long[same[long] & (like[long] != long)].tolist():
         j = like[i]
         same[i] = np.array_equal(buf[start[i] : end[i]], buf[start[j] : end[j]])
     if not same.all():
         seen: dict[bytes, int] = {}
         raw = buf.tobytes()
         number = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist(), strict=True)])
-        first = np.unique(number, return_index=True)[1]
-    return first, number
+        some = np.unique(number, return_index=True)[1]
+    return some, number
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

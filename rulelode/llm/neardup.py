@@ -15,7 +15,8 @@ shingles instead, which is exact too. Any meeting place of more than `crowd` set
 pair of blocks is a task. Candidate edges are verified first: the set in the middle of a star meets the others one by
 one, in tasks of at most STAR_SHINGLES members, which is linear in the edges. A family of near copies that these
 links join, however large, is done. In other groups every set outside the largest part found meets all sets of the
-group, in blocks of at most GROUP_SHINGLES members, so nothing is dropped and no task grows with its group.
+group: blocks of about GROUP_SHINGLES members of the former, of STAR_SHINGLES of the latter, so nothing is dropped and
+no task grows with its group.
 
 Shingles are told apart by 128 bits, made from their words' bytes or cryptographic digests; sets by a digest of all
 of these; rows by a SHA-256 of doc_id and text. A very long text is walked in parts: memory goes with its words.
@@ -333,23 +334,28 @@ def _star_links(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent:
 def _verified(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """(node, component) over set keys of the groups that candidate edges make, under exact links.
 
-    First the edges themselves are verified, which is linear. A group that they join needs no more. In the others,
-    every set outside the largest part meets all sets of the group, in blocks.
+    First the edges themselves are verified, which is linear, and their links make parts. Where all candidate edges
+    lie inside parts, that is all. Parts between which edges were no links are a group; there every set outside the
+    largest part meets all sets of the group, in blocks.
     """
-    groups = ut.materialize(ut.connected_components(edges), "groups")
-    linked = ut.connected_components(ut.materialize(_star_links(docs, classes, edges, percent), "links"))
-    known = groups.join(linked.withColumnRenamed("component", "v"), "node", "left").withColumn("v", F.coalesce("v", "node"))
-    known = ut.materialize(known, "known")
+    linked = ut.materialize(_star_links(docs, classes, edges, percent), "links")
+    parted = ut.materialize(ut.connected_components(linked).withColumnRenamed("component", "v"), "parts")
+    part_of = lambda side, v: parted.select(F.col("node").alias(side), F.col("v").alias(v))
+    between = edges.join(linked, ["src", "dst"], "left_anti").join(part_of("src", "v"), "src", "left").join(part_of("dst", "w"), "dst", "left")
+    between = between.select(F.coalesce("v", "src").alias("src"), F.coalesce("w", "dst").alias("dst")).where("src <> dst")
+    groups = ut.materialize(ut.connected_components(between).withColumnRenamed("node", "v"), "groups")
+    settled = parted.select("node", F.col("v").alias("component"))
+    alone = groups.select(F.col("v").alias("node"), "v").join(parted.select("node"), "node", "left_anti")
+    known = parted.unionByName(alone).join(groups, "v")
     sizes = known.groupBy("component", "v").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("component").agg(F.max_by("v", F.struct("n", "v")).alias("main"), F.count(F.lit(1)).alias("kinds"))
-    open_ = largest.where("kinds > 1").select("component", "main")
-    settled = known.join(open_, "component", "left_anti").select("node", F.col("v").alias("component"))
-    rest = known.join(open_, "component").withColumnRenamed("node", "k1").join(classes.select("k1", "n_shingles", "rk"), "k1")
+    largest = sizes.groupBy("component").agg(F.max_by("v", F.struct("n", "v")).alias("main"))
+    rest = known.join(largest, "component").withColumnRenamed("node", "k1").join(classes.select("k1", "n_shingles", "rk"), "k1")
     rest = ut.materialize(rest.withColumn("out", F.col("v") != F.col("main")), "members")
     if rest.isEmpty():
         return settled
-    some = lambda x: F.greatest(F.ceil(F.sum(x) / GROUP_SHINGLES), F.lit(1)).cast("int")
-    blocks = rest.groupBy("component").agg(some("n_shingles").alias("all"), some(F.when(F.col("out"), F.col("n_shingles")).otherwise(0)).alias("few"))
+    some = lambda x, size: F.greatest(F.ceil(F.sum(x) / size), F.lit(1)).cast("int")
+    few = F.when(F.col("out"), F.col("n_shingles")).otherwise(0)
+    blocks = rest.groupBy("component").agg(some("n_shingles", STAR_SHINGLES).alias("all"), some(few, GROUP_SHINGLES).alias("few"))
     dealt = rest.join(blocks, "component")
     place = lambda n: F.pmod(F.xxhash64("k1"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -368,7 +374,8 @@ def _verified(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent: in
             if len(sets) < 2:
                 return [], []
             comp = link_components(sets, percent, np.array([v for v, _ in marks]), np.array([p for _, p in marks]))
-            return ids, [ids[c] for c in comp.tolist()]
+            parts_met = {(marks[i][0], marks[c][0]) for i, c in enumerate(comp.tolist()) if marks[i][0] != marks[c][0]}
+            return [a for a, _ in parts_met], [b for _, b in parts_met]
 
         for batch in batches:
             out: tuple[list, list] = ([], [])
@@ -387,8 +394,11 @@ def _verified(docs: DataFrame, classes: DataFrame, edges: DataFrame, percent: in
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flush()], ["src", "dst"])
 
     found = full.repartition(parts, "task").sortWithinPartitions("task", "k1").mapInArrow(run, "src long, dst long")
-    found = ut.materialize(found, "found").unionByName(rest.select(F.col("k1").alias("src"), F.col("v").alias("dst")))
-    return settled.unionByName(ut.connected_components(found))
+    # Links found there join parts: few nodes, named by the parts they lie in.
+    found = ut.materialize(found, "found").where("src <> dst")
+    more = ut.connected_components(found).withColumnsRenamed({"node": "v", "component": "to"})
+    both = settled.withColumnRenamed("component", "v").unionByName(alone).join(more, "v", "left")
+    return both.select("node", F.coalesce("to", "v").alias("component"))
 
 
 def components(docs: DataFrame, percent: int = STAGE_PERCENT, crowd: int = CROWD) -> DataFrame:

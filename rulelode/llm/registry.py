@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rulelode.llm import embeddup, langid, licenses, mixing, neardup, packing, quality, repeats, secrets, toxicity
+from rulelode.llm import collocations, embeddup, langid, licenses, mixing, neardup, packing, quality, repeats, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.op8_mixing,
         "op9_language_id": langid.op9_language_id,
         "op10_packing": packing.op10_packing,
+        "op11_collocations": collocations.op11_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -49,4 +50,4 @@ select g.id as vec_id, coalesce(d.n, 0) as n_links, component_id, g.id = compone
 
 def oracle_sql() -> dict[str, str]:
     """The others depend on fitted models, hashes of bytes or random draws; tests hold them against plain versions."""
-    return {"op2_near_dedup": _NEAR, "op4_embedding_dedup": _COSINE}
+    return {"op2_near_dedup": _NEAR, "op4_embedding_dedup": _COSINE, "op11_collocations": collocations.SQL}

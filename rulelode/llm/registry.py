@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rulelode.llm import collocations, embeddup, langid, licenses, mixing, neardup, packing, quality, repeats, secrets, spelling, toxicity
+from rulelode.llm import collocations, embeddup, langid, licenses, mixing, neardup, packing, quality, repeats, secrets, spelling, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": packing.op10_packing,
         "op11_collocations": collocations.op11_collocations,
         "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_url_filters": urls.op13_url_filters,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -51,4 +52,7 @@ select g.id as vec_id, coalesce(d.n, 0) as n_links, component_id, g.id = compone
 
 def oracle_sql() -> dict[str, str]:
     """The others depend on fitted models, hashes of bytes or random draws; tests hold them against plain versions."""
-    return {"op2_near_dedup": _NEAR, "op4_embedding_dedup": _COSINE, "op11_collocations": collocations.SQL, "op12_spelling_variants": spelling.SQL}
+    return {
+        "op2_near_dedup": _NEAR, "op4_embedding_dedup": _COSINE, "op11_collocations": collocations.SQL, "op12_spelling_variants": spelling.SQL,
+        "op13_url_filters": urls.SQL,
+    }

@@ -41,7 +41,7 @@ SALTS = 16
 #: Words that are numbered at once; three such numbers fit into 63 bits.
 WORDS = 1 << 19
 #: Touched cells that a task holds before it sends them.
-HELD = 1 << 22
+HELD = 1 << 20
 _BLOCK = 1 << 16
 _U = np.uint64
 
@@ -89,7 +89,7 @@ class Phrases:
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[Phrases, np.ndarray, list]]:
     """Phrases of a batch of (lang, text) by stretches of words, with the language number of each word number."""
-    for part, buf, offs in tx.pieces(batch, "text", 1 << 22):
+    for part, buf, offs in tx.pieces(batch, "text", 1 << 21):
         langs = part.column("lang").dictionary_encode()
         names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
         low = tx.lower(buf)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelode.functions import prompts, scalar
-from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, organize, placement, provenance, render, vectors
+from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, linkage, organize, placement, provenance, render, vectors
 from rulelode.plans import pipeline
 
 NEAR = 0.35
@@ -299,13 +299,12 @@ def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def avg_linkage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.average_linkage_clusters(table(spark, sf_dir, "embeddings"), NEAR)
+    return linkage.average_linkage_clusters(table(spark, sf_dir, "embeddings"), NEAR)
 
 
 def unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    pairs = vectors.cosine_pairs(e, NEAR)
-    return vectors.unclustered(e.select("vec_id"), pairs.select(F.explode(F.array("i", "j")).alias("vec_id")), "vec_id")
+    return vectors.unclustered(e.select("vec_id"), vectors.partnered(e, NEAR), "vec_id")
 
 
 def _outputs(r: DataFrame) -> DataFrame:

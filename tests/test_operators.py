@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rulelode.functions import scalar
-from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, organize, placement, provenance, render, vectors
+from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, linkage, organize, placement, provenance, render, vectors
 from rulelode.operators.numbering import with_numbers
 from rulelode.plans import pipeline
 from rulelode.sources import files
@@ -132,7 +132,7 @@ def test_average_linkage(spark, seed):
     x[5] = 0
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     found = {}
-    for r in vectors.average_linkage_clusters(df, 0.8).collect():
+    for r in linkage.average_linkage_clusters(df, 0.8).collect():
         found.setdefault(r.cluster_id, {})[r.pos] = r.vec_id
     n = np.linalg.norm(x, axis=1, keepdims=True)
     want = plain_linkage(x / np.where(n > 0, n, 1), 0.8)
@@ -142,10 +142,10 @@ def test_average_linkage(spark, seed):
 
 def test_average_linkage_ties_and_guard(spark):
     x = np.array([[1.0, 0], [0, 1], [1, 0], [0, 1]])
-    assert vectors.average_linkage(x, 0.5) == [[0, 2], [1, 3]]
+    assert linkage.average_linkage(x, 0.5) == [[0, 2], [1, 3]]
     df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(5)], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="raise the threshold"):
-        vectors.average_linkage_clusters(df, 0.5, largest=4)
+        linkage.average_linkage_clusters(df, 0.5, largest=4)
 
 
 def test_average_linkage_in_rounds(spark):
@@ -154,14 +154,14 @@ def test_average_linkage_in_rounds(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None)], "vec_id long, embedding array<double>")
     n = np.linalg.norm(x, axis=1, keepdims=True)
     want = sorted(plain_linkage(x / np.where(n > 0, n, 1), 0.6))
-    for local, block in ((4096, 2048), (3, 5)):
+    for local, block, whole in ((4096, 2048, None), (3, 5, None), (3, 8, 8)):
         found = {}
-        for r in vectors.average_linkage_clusters(df, 0.6, local=local, block=block).collect():
+        for r in linkage.average_linkage_clusters(df, 0.6, local=local, block=block, whole=whole).collect():
             found.setdefault(r.cluster_id, {})[r.pos] = r.vec_id
         # Clusters and the order of their members, copies of a vector first.
         assert [[c[p] for p in range(len(c))] for _, c in sorted(found.items())] == want
     same = spark.range(25_000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(0.5)).alias("embedding"))
-    got = vectors.average_linkage_clusters(same, 0.9)
+    got = linkage.average_linkage_clusters(same, 0.9)
     assert got.where("cluster_id = 0 and pos = vec_id").count() == 25_000 == got.count()
 
 
@@ -174,6 +174,101 @@ def test_cosine_blocks(spark):
         assert sorted((r.i, r.j) for r in vectors.cosine_pairs(df, 0.7, block=block).collect()) == want
 
 
+def unit_table(spark, x, extra=()):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + list(extra), "vec_id long, embedding array<double>")
+
+
+def around(rng, centres, n, spread, d=16):
+    c = rng.standard_normal((centres, d))
+    x = c[rng.integers(0, centres, n)] + spread * rng.standard_normal((n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_lazy_linkage_is_the_plain_one(seed):
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((int(rng.integers(1, 50)), int(rng.integers(2, 5))))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    t = (0.1, 0.4, 0.7, 0.9)[seed % 4]
+    got, sums, left = linkage.lazy_linkage(x, np.ones(len(x)), t)
+    assert [m for m in got if len(m) > 1] == sorted(plain_linkage(x, t))
+    assert np.allclose(sums, [x[m].sum(0) for m in got]) and not left.any()
+
+
+def test_lazy_linkage_keeps_to_its_bounds():
+    """Whatever stands outside, a pocket merges nothing that the whole would not."""
+    for seed in range(20):
+        rng = np.random.default_rng(100 + seed)
+        x = rng.standard_normal((40, 3))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        whole = {frozenset(m) for m in plain_linkage(x, 0.5)}
+        part = np.sort(rng.choice(40, 20, replace=False))
+        out = np.setdiff1d(np.arange(40), part)
+        got, _, left = linkage.lazy_linkage(x[part], np.ones(20), 0.5, (x[part] @ x[out].T).max(1))
+        for m, more in zip(got, left, strict=True):
+            own = set(part[m].tolist())
+            assert len(m) == 1 or any(own <= c for c in whole)
+            assert more or frozenset(own) in whole or len(m) == 1
+
+
+def test_average_linkage_of_a_large_component(spark):
+    """One component, dealt into pockets: the same clusters as in one piece, in a few rounds."""
+    x = around(np.random.default_rng(3), 30, 3000, 0.7)
+    want, _, _ = linkage.lazy_linkage(x, np.ones(len(x)), 0.45)
+    found = {}
+    for r in linkage.average_linkage_clusters(unit_table(spark, x), 0.45, local=100, whole=800, block=400).collect():
+        found.setdefault(r.cluster_id, {})[r.pos] = r.vec_id
+    assert [[c[p] for p in range(len(c))] for _, c in sorted(found.items())] == [m for m in want if len(m) > 1]
+    assert 1 < len(linkage.ROUNDS) < 30 and linkage.ROUNDS[0]["nodes"] > 2900
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.6, 0.0])
+def test_pairs_partners_and_components_by_pivots(spark, threshold):
+    x = around(np.random.default_rng(5), 12, 300, 0.25, 6)
+    df = unit_table(spark, x * 3, [(300, None), (301, [0.0] * 6), (302, [1.0]), (303, [float("nan")] * 6), (304, []), (None, x[0].tolist()), (305, [2.0])])
+    sim = x @ x.T
+    pairs = {(i, j) for i, j in zip(*np.nonzero(sim >= threshold), strict=True) if i < j}
+    if threshold == 0:
+        # A vector of zeros is at 0 with all of its length.
+        pairs |= {(i, 301) for i in range(300)}
+    pairs.add((302, 305))
+    label = {i: i for i in range(306)}
+    for i, j in sorted(pairs):
+        a, b = label[i], label[j]
+        if a != b:
+            label = {k: min(a, b) if v in (a, b) else v for k, v in label.items()}
+    for block in (30, 100, 10_000):
+        assert {(r.i, r.j) for r in vectors.cosine_pairs(df, threshold, block=block).collect()} == pairs
+        assert sorted(r.vec_id for r in vectors.partnered(df, threshold, block=block).collect()) == sorted({i for p in pairs for i in p})
+        got = {r.vec_id: r.component for r in vectors.similar_components(df.where("vec_id is not null"), threshold, block=block).collect()}
+        assert got == label
+
+
+def test_blocks_out_of_reach_are_not_compared(spark):
+    """Vectors in tight groups: most pairs of blocks are no task, and few copies of a vector are made."""
+    x = around(np.random.default_rng(7), 40, 2000, 0.05, 8)
+    own = vectors.vectors_of(unit_table(spark, x), "vec_id", "embedding")
+    blocks = vectors.blocks_of(own, 0.9, 100)
+    dealt = vectors.tasks(vectors.dealt(own, blocks))
+    pairs = dealt.select("lo", "hi").distinct().count()
+    assert blocks.count >= 20 and pairs < blocks.count * (blocks.count + 1) / 2 / 3
+    assert dealt.count() < 4 * 2000
+
+
+def test_equal_directions_make_few_edges(spark):
+    n = 20_000
+    df = spark.range(n).select("id", F.array((F.col("id") + 1).cast("double"), (2 * (F.col("id") + 1)).cast("double")).alias("v"))
+    labels, edges = vectors.labelled(df, 0.99, block=4000)
+    assert edges.count() < 100 and labels.count() == n
+    assert {r.component for r in vectors.similar_components(df, 0.99, "id", "v", block=4000).collect()} == {0}
+
+
+def test_an_id_with_several_vectors(spark):
+    df = spark.createDataFrame([(5, [1.0, 0.0]), (3, [1.0, 0.01]), (5, [0.0, 1.0]), (9, [0.01, 1.0]), (7, [-1.0, -1.0])], "vec_id long, embedding array<double>")
+    for block in (2, 100):
+        assert rows(vectors.similar_components(df, 0.9, block=block)) == [(3, 3), (5, 3), (7, 7), (9, 3)]
+
+
 def rule(i, **k):
     base = {"rule_id": i, "cluster_id": 1, "text": f"t{i}", "reason": "", "confidence": 0.9, "rule_score": 0.5, "category": "c", "scope": "s", "example_bad": None, "example_good": None, "related_entities": [], "source_comments": [i], "source_prs": [i], "unique_pr_count": 1, "cluster_coherence": 0.5, "common_pattern": "", "is_override": False, "explicit_category": False, "explicit_scope": False, "ord": i, "group_id": 1}
     return base | k

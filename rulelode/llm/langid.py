@@ -152,7 +152,7 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     """Profiles from text and lang of docs: of each language the rows of least hash, at most per_language, at most
-    its even share of sample_rows, and at least one."""
+    its even share of sample_rows, and at least one. Rows equal in doc_id and text count once."""
     named = ut.only(docs, doc_id="long", text="string", lang="string").where("lang is not null and text is not null")
     counts = ut.materialize(named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
     languages = counts.count()
@@ -160,11 +160,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, top: int = TOP, sampl
         return profiles({}, top)
     per_language = max(1, min(per_language, sample_rows // languages))
     # A hash bound per language leaves about twice the rows wanted, and 32 more, before any shuffle, however frequent it is.
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    some = named.join(counts, "lang").where(draw * F.col("rows") <= 2 * per_language + 32)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    # A language none of whose few rows is under the bound cannot be: it would need over 32 rows, all of high hash.
-    chosen = some.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "text")
+    named = named.withColumn("rk", ut.row_key(F.col("doc_id"), F.col("text")))
+    draw = F.pmod(F.xxhash64("rk"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    some = named.join(counts, "lang").where(draw * F.col("rows") <= 2 * per_language + 32).groupBy("lang", "rk").agg(F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rk"))
+    some = ut.materialize(some.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "text"), "sample")
+    # A language whose rows repeat one another can have none under the bound: it is learned from its least row.
+    least = named.groupBy("lang").agg(F.min_by("text", "rk").alias("text")).join(some.select("lang").distinct(), "lang", "left_anti")
+    chosen = some.unionByName(least)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for name, text in zip(batch.column("lang"), batch.column("text"), strict=True):

@@ -212,12 +212,17 @@ class Matcher:
             for j, key in zip(number[hit[a:b]].tolist(), k[hit[a:b]].tolist(), strict=True):
                 for t in self.owners[key]:
                     seen.setdefault(t, []).append((j, key))
-            found = []
+            found, before = [], None
             for t, own in seen.items():
                 size, kinds = len(self.sets[t]), len({key for _, key in own})
                 if kinds < self._least(size):
                     continue
-                found += self._stretches(t, own, own_row)
+                if before is None:
+                    order = np.argsort(own_row, kind="stable")
+                    before = np.full(len(own_row), -1)
+                    same = own_row[order][1:] == own_row[order][:-1]
+                    before[order[1:][same]] = order[:-1][same]
+                found += self._stretches(t, own, own_row, before)
                 lo, hi = size * self.threshold / (2 - self.threshold), size * (2 - self.threshold) / self.threshold
                 if len(own_row) >= lo:
                     whole = len(np.unique(own_row))
@@ -230,27 +235,44 @@ class Matcher:
         """Common bigrams without which no text reaches the threshold: 2 * i / (size + kinds) with kinds >= i."""
         return math.ceil(self.threshold * size / (2 - self.threshold) - 1e-9)
 
-    def _stretches(self, t: int, own: list[tuple[int, int]], row: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """Stretches that begin with a bigram of the template and end with the last one within the template's length,
-        or within the greatest length at which a text of distinct bigrams can still reach the threshold."""
-        size = len(self.sets[t])
-        need = self._least(size)
+    def _stretches(self, t: int, own: list[tuple[int, int]], row: np.ndarray, before: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """Of each place where a bigram of the template stands, the stretch of greatest coefficient that begins there.
+
+        A stretch ends with a bigram of the template. It need not go on to where its first bigram stands again, as
+        without the first one it would be as good; nor once it has more kinds of bigrams than the threshold allows.
+        `before` has for each bigram of the row its last place before, or -1.
+        """
+        size, need = len(self.sets[t]), self._least(len(self.sets[t]))
+        most = size * (2 - self.threshold) / self.threshold
+        step = int(4 * most)
+        place = np.array([p for p, _ in own])
+        last: dict[int, int] = {}
+        prior, onward = np.full(len(own), -1), np.full(len(own), len(own))
+        for i, (_, key) in enumerate(own):
+            if key in last:
+                prior[i] = last[key]
+                onward[last[key]] = i
+            last[key] = i
         out = []
-        for span in sorted({self.words[t] - 1, int(size * (2 - self.threshold) / self.threshold)}):
-            inside: dict[int, int] = {}
-            end = 0
-            for i, (start, key) in enumerate(own):
-                while end < len(own) and own[end][0] < start + span:
-                    inside[own[end][1]] = inside.get(own[end][1], 0) + 1
-                    end += 1
-                if len(inside) >= need:
-                    stop = own[end - 1][0] + 1
-                    kinds = len(np.unique(row[start:stop]))
-                    if 2 * len(inside) >= self.threshold * (kinds + size):
-                        out.append((start, stop + 1, t, 2 * len(inside) / (kinds + size)))
-                inside[key] -= 1
-                if not inside[key]:
-                    del inside[key]
+        for i, start in enumerate(place.tolist()):
+            best, at, common, kinds, lo = 0.0, -1, 0, 0, i
+            while lo < onward[i]:
+                # Ends within some words more; counts of distinct bigrams go on from the words before.
+                past = start if lo == i else int(place[lo - 1]) + 1
+                hi = min(int(np.searchsorted(place, past + step, "right")), int(onward[i]))
+                hi = max(hi, lo + 1)
+                new = np.cumsum(prior[lo:hi] < i) + common
+                seen = np.cumsum(before[past : place[hi - 1] + 1] < start) + kinds
+                of = seen[place[lo:hi] - past]
+                score = 2 * new / (of + size)
+                k = int(score.argmax())
+                if score[k] > best and new[k] >= need:
+                    best, at = float(score[k]), lo + k
+                common, kinds, lo = int(new[-1]), int(of[-1]), hi
+                if kinds > most:
+                    break
+            if best >= self.threshold:
+                out.append((start, int(place[at]) + 2, t, best))
         return out
 
 

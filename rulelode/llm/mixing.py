@@ -1,13 +1,16 @@
 """Mixing sources to target weights through a multivariate-hypergeometric splitting tree.
 
 Sizes are words. Targets share the corpus by weight and stop at CAP times a source's size. A source takes whole
-epochs of its documents and a part of one more: documents fall by hash into blocks of about BLOCK rows, blocks are
-taken in that random order up to the target, and within the one block where the target falls a greedy fit picks
-documents. Where a few documents are larger than a good part of what the last epoch still wants, those are left to
-the whole epochs, as they would overshoot or block it. This fixes an exact quota of blocks for every source. The quotas are then split over the output shards
-by a binary tree: a node draws, without replacement, how many blocks of each source go left (a multivariate
-hypergeometric variate), and the rest go right, so every shard gets a fair mixture and no block twice. Shards take
-consecutive runs of each source's blocks, permuted anew for each epoch, and are shuffled inside.
+epochs of its documents and a part of one more: documents fall by a seeded hash into blocks of about BLOCK rows, and
+blocks are taken in that random order up to what the part wants. Documents over 1 / PARTS of that are walked apart from
+the others, up to their share of its words; the one that crosses it is taken with the probability that it fits, by a
+seeded draw. The other documents fill what these leave: within the one block where that falls, every document that
+still fits is taken, in random order. So any document can be in the mix, whatever its size, and a source misses its
+target by less than a small document, or, where too few small ones are left, by less than one large one. This fixes an
+exact quota of blocks for every source. The quotas are then split over the output shards by a binary tree: a node
+draws, without replacement, how many blocks of each source go left (a multivariate hypergeometric variate), and the
+rest go right, so every shard gets a fair mixture and no block twice. Shards take consecutive runs of each source's
+blocks, permuted anew for each epoch, and are shuffled inside.
 
 Everything is a function of the rows and `seed`: reruns agree. A source of any share is spread over its blocks;
 no window or group holds more than RUN blocks, the runs of one source or the rows of one block.
@@ -34,7 +37,9 @@ from rulelode.llm import _util as ut
 WEIGHTS = (1, 2, 3)
 CAP = 3
 BLOCK = 128
-SHARD_WORDS = 500_000
+SHARD_WORDS = 100_000
+#: A document over this part of what the last epoch wants is a large one.
+PARTS = 64
 SEED = 20
 TABLE = 1 << 22
 #: Blocks in all, below what numpy can draw from; blocks hold more rows where BLOCK would make more of them.
@@ -80,36 +85,20 @@ def split(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
-def _sized(docs: DataFrame) -> DataFrame:
+def _sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows with _size and the row's random key _key; _source and _id stand for its columns."""
     have = set(docs.columns)
     text = F.col("text").cast("string") if "text" in have else F.lit(None).cast("string")
     ident = F.col("doc_id").cast("long") if "doc_id" in have else F.lit(None).cast("long")
     source = F.col("source").cast("string") if "source" in have else F.lit(None).cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.withColumns({"_size": size, "_source": source, "_id": ident, "_key": F.xxhash64(F.lit(SEED), ident, text)})
+    return docs.withColumns({"_size": size, "_source": source, "_id": ident, "_key": F.xxhash64(F.lit(seed), ident, text)})
 
 
 def _block(key: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(1)), blocks)
 
 
-def _limits(sized: DataFrame, rest: list[tuple[str | None, int, float]]) -> list[float]:
-    """The size over which documents of each source are left out of its last epoch: the smallest of some parts of
-    what is wanted under which enough words remain, else all that is wanted."""
-    if not rest:
-        return []
-    parts = (1 / 64, 1 / 16, 1 / 4)
-    wanted = ut.local_table(sized.sparkSession, rest, {"_source": pa.string(), "_i": pa.int32(), "_rest": pa.float64()})
-    on = sized.join(wanted, sized["_source"].eqNullSafe(wanted["_source"]))
-    sums = {
-        r["_i"]: r for r in on.groupBy("_i").agg(
-            *[F.sum(F.when(F.col("_size") <= F.col("_rest") * p, F.col("_size")).otherwise(0)).alias(f"s{k}") for k, p in enumerate(parts)]
-        ).collect()
-    }
-    return [next((w * p for k, p in enumerate(parts) if sums[i][f"s{k}"] >= w), w) for _, i, w in rest]
-
-
 def _words_before(words: DataFrame) -> DataFrame:
     """words of blocks (_i, _block, _words) with _before, the words of the source's blocks before: sums inside runs
     of RUN blocks, and sums of whole runs, so that no task holds all blocks of a source."""
@@ -131,27 +120,57 @@ def _words_before(words: DataFrame) -> DataFrame:
     )
 
 
+def _walk(words: DataFrame, on: DataFrame, wanted: dict[int, float], stop: bool) -> tuple[DataFrame, DataFrame]:
+    """(blocks taken whole, documents taken one by one) of each number in `wanted`, up to so many words.
+
+    words: _i, _block, _words, _before; on: _i, _block, _size, _key. In the block where the words end, documents that
+    fit are taken in the order of their keys; with `stop`, the first that does not fit ends it, and is taken too with
+    the probability that it fits.
+    """
+    goal = ut.local_table(words.sparkSession, list(wanted.items()), {"_i": pa.int32(), "_want": pa.float64()})
+    at = words.join(goal, "_i").where("_before <= _want")
+    whole = at.where("_before + _words <= _want").select("_i", "_block", "_words")
+    cut = at.where("_before + _words > _want").select("_i", "_block", (F.col("_want") - F.col("_before")).alias("_cut"))
+    # One such block a number. Copies of one key are one item, so that an item list stays as short as a block.
+    items = on.join(cut, ["_i", "_block"]).groupBy("_i", "_block", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0")
+    listed = items.groupBy("_i", "_block", "_cut").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("_key", F.lit(2)).alias("o"), "_key", "w"))).alias("items"))
+    one = lambda x: F.array(F.struct(x["_key"].alias("_key"), x["w"].alias("w")))
+    start = F.struct(F.col("_cut").alias("left"), F.lit(False).alias("ended"), F.array().cast("array<struct<_key:bigint,w:bigint>>").alias("took"))
+    chance = lambda x: F.pmod(F.xxhash64(x["_key"], F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    fit = F.aggregate(
+        "items", start,
+        lambda a, x: F.when(a["ended"], a).when(
+            x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.lit(False).alias("ended"), F.concat(a["took"], one(x)).alias("took")),
+        ).otherwise(
+            F.struct(
+                a["left"].alias("left"), F.lit(stop).alias("ended"),
+                F.when(F.lit(stop) & (chance(x) * x["w"] < a["left"]), F.concat(a["took"], one(x))).otherwise(a["took"]).alias("took"),
+            )
+        ),
+    )
+    picks = listed.select("_i", "_block", F.inline(fit["took"]))
+    return ut.materialize(whole, "whole"), ut.materialize(picks, "picks")
+
+
 def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sources, blocks, picks) from rows of _source, _size, _key.
 
-    sources: _source, _i, _n_blocks, source_size, target, _epochs. blocks: _i, _block, _shards (one shard per copy
-    that the block's documents get), _cut (words still wanted, in the block where the target falls, else null).
-    picks: _i, _key of the documents taken once more in the cut blocks.
+    sources: _source, _i, _n_blocks, source_size, target, _epochs, _limit (the size over which a document is large).
+    blocks: _i, _block, _shards (one shard per copy that the block's documents get), _part (whether the last of them
+    is of the last epoch), _small and _large (whether all small and all large documents have that copy). picks: _i,
+    _key of the other documents that have it.
     """
     spark = sized.sparkSession
     found = (
         sized.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")).orderBy(F.col("_source").asc_nulls_last()).collect()
     )
     goal = targets([r["size"] for r in found])
-    rest = []
-    for i, (r, t) in enumerate(zip(found, goal, strict=True)):
-        rest.append((r["_source"], i, t - min(int(t // r["size"]), CAP) * r["size"] if r["size"] else 0.0))
-    limits = _limits(sized, rest)
     block = max(BLOCK, math.ceil(CAP * sum(r["n"] for r in found) / MOST_BLOCKS))
     rows = []
     for i, (r, t) in enumerate(zip(found, goal, strict=True)):
         epochs = min(int(t // r["size"]), CAP) if r["size"] else 0
-        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / block)), r["size"], t, epochs, t - epochs * r["size"], limits[i]))
+        rest = t - epochs * r["size"]
+        rows.append((r["_source"], i, max(1, math.ceil(r["n"] / block)), r["size"], t, epochs, rest, rest / PARTS))
     sources = ut.local_table(
         spark, rows,
         {
@@ -159,36 +178,33 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
             "_epochs": pa.int32(), "_rest": pa.float64(), "_limit": pa.float64(),
         },
     )
+    # What is walked is a source's small (even numbers) and its large documents (odd ones).
     on = (
         sized.join(sources, sized["_source"].eqNullSafe(sources["_source"]))
-        .select("_i", "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"), "_rest", "_epochs", "_n_blocks", "_limit")
-    )
-    words = (
-        on.groupBy("_i", "_block", "_rest", "_epochs", "_n_blocks")
-        .agg(F.sum(F.when(F.col("_size") <= F.col("_limit"), F.col("_size")).otherwise(0)).alias("_words"))
+        .select((2 * F.col("_i") + (F.col("_size") > F.col("_limit")).cast("int")).alias("_i"), "_size", "_key", _block(F.col("_key"), F.col("_n_blocks")).alias("_block"))
     )
-    cut = F.when((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before"))
-    words = ut.materialize(_words_before(words).withColumn("_cut", cut).withColumn("_part", F.col("_before") <= F.col("_rest")), "blocks")
-
-    # The cut blocks: one per source. Copies of one key are one item, so that an item list stays as short as a block.
-    cut = words.where("_cut is not null").select("_i", "_block", "_cut")
-    items = (
-        on.where("_size <= _limit").select("_i", "_block", "_size", "_key").join(cut, ["_i", "_block"]).groupBy("_i", "_cut", "_key")
-        .agg(F.sum("_size").alias("w")).where("w > 0 and w <= _cut")
+    words = ut.materialize(_words_before(on.groupBy("_i", "_block").agg(F.sum("_size").alias("_words"))), "blocks")
+    sums = {r["_i"]: r["w"] for r in words.groupBy("_i").agg(F.sum("_words").alias("w")).collect()}
+    large = {2 * r[1] + 1: r[6] * sums.get(2 * r[1] + 1, 0) / r[3] if r[3] else 0.0 for r in rows}
+    whole, some = _walk(words, on, large, stop=True)
+    took = {r["_i"]: r["w"] for r in whole.select("_i", "_words").unionByName(some.select("_i", F.col("w").alias("_words"))).groupBy("_i").agg(F.sum("_words").alias("w")).collect()}
+    small = {2 * r[1]: max(r[6] - took.get(2 * r[1] + 1, 0), 0.0) for r in rows}
+    more, fill = _walk(words, on, small, stop=False)
+    picks = some.unionByName(fill).select((F.col("_i") / 2).cast("int").alias("_i"), "_key")
+
+    full = whole.unionByName(more).select((F.col("_i") / 2).cast("int").alias("_i"), "_block", (F.col("_i") % 2 == 1).alias("_odd"))
+    cut = some.unionByName(fill).select((F.col("_i") / 2).cast("int").alias("_i"), "_block", F.lit(None).cast("boolean").alias("_odd"))
+    every = words.select((F.col("_i") / 2).cast("int").alias("_i"), "_block").distinct()
+    marks = full.unionByName(cut).groupBy("_i", "_block").agg(
+        F.coalesce(F.bool_or(F.col("_odd")), F.lit(False)).alias("_large"), F.coalesce(F.bool_or(~F.col("_odd")), F.lit(False)).alias("_small"), F.lit(True).alias("_part"),
     )
-    listed = items.groupBy("_i", "_cut").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "_key", "w"))).alias("items"))
-    start = F.struct(F.col("_cut").alias("left"), F.array().cast("array<bigint>").alias("took"))
-    fit = F.aggregate(
-        "items", start,
-        lambda a, x: F.when(
-            x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["took"], F.array(x["_key"])).alias("took")),
-        ).otherwise(a),
-    )
-    picks = ut.materialize(listed.select("_i", F.explode(fit["took"]).alias("_key")), "picks")
+    words = every.join(marks, ["_i", "_block"], "left").join(sources.select("_i", "_n_blocks", "_epochs"), "_i")
+    no = {c: F.coalesce(c, F.lit(False)) for c in ("_large", "_small", "_part")}
+    words = ut.materialize(words.withColumns(no), "marked")
 
     # Quotas in blocks: whole epochs, and the blocks up to the cut.
     last = {r["_i"]: r["b"] for r in words.where("_part").groupBy("_i").agg(F.max("_block").alias("b")).collect()}
-    quotas = np.array([r[5] * r[2] + (last.get(r[1], -1) + 1 if r[6] > 0 else 0) for r in rows], np.int64)
+    quotas = np.array([r[5] * r[2] + last.get(r[1], -1) + 1 for r in rows], np.int64)
     shards = max(1, min(math.ceil(sum(goal) / shard_words), table // max(len(rows), 1)))
     upto = split(quotas, shards, seed).cumsum(1) if len(rows) else np.zeros((0, 1), np.int64)
 
@@ -207,18 +223,18 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
                     at.append(epochs * n + block)
                 out.append(np.minimum(np.searchsorted(upto[i], at, "right"), shards - 1).astype(np.int32).tolist())
             yield pa.RecordBatch.from_arrays(
-                [b.column("_i"), b.column("_block"), b.column("_cut"), b.column("_part"), pa.array(out, pa.list_(pa.int32()))],
-                ["_i", "_block", "_cut", "_part", "_shards"],
+                [*(b.column(c) for c in ("_i", "_block", "_part", "_small", "_large")), pa.array(out, pa.list_(pa.int32()))],
+                ["_i", "_block", "_part", "_small", "_large", "_shards"],
             )
 
-    return sources, words.select("_i", "_block", "_cut", "_n_blocks", "_epochs", "_part").mapInArrow(
-        run, "_i int, _block long, _cut double, _part boolean, _shards array<int>",
+    return sources, words.select("_i", "_block", "_n_blocks", "_epochs", "_part", "_small", "_large").mapInArrow(
+        run, "_i int, _block long, _part boolean, _small boolean, _large boolean, _shards array<int>",
     ), picks
 
 
 def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> DataFrame:
     """The rows of docs with _size, source_size, target and _shards: the shard of each copy that the mix takes."""
-    sized = _sized(docs)
+    sized = _sized(docs, seed)
     narrow = ut.materialize(sized.select("_source", "_size", "_key"), "sizes")
     sources, blocks, picks = plan(narrow, seed, shard_words, table)
     full = (
@@ -227,14 +243,11 @@ def mix(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table
     )
     full = full.withColumn("_block", _block(F.col("_key"), F.col("_n_blocks"))).join(blocks, ["_i", "_block"], "left")
     full = full.join(picks.withColumn("_picked", F.lit(True)), ["_i", "_key"], "left")
-    n = F.size("_shards")
-    # In a cut block the last copy is of the picked documents only; nowhere is it of those over the limit.
+    # The last epoch's copy is of the documents that it takes.
+    takes = F.when(F.col("_size") > F.col("_limit"), F.col("_large")).otherwise(F.col("_small")) | F.col("_picked").isNotNull()
     own = (
         F.when(F.col("_size") == 0, F.array().cast("array<int>"))
-        .when(
-            F.col("_part") & ((F.col("_size") > F.col("_limit")) | F.col("_cut").isNotNull() & F.col("_picked").isNull()),
-            F.slice("_shards", F.lit(1), F.greatest(n - 1, F.lit(0))),
-        )
+        .when(F.col("_part") & ~takes, F.slice("_shards", F.lit(1), F.greatest(F.size("_shards") - 1, F.lit(0))))
         .otherwise(F.col("_shards"))
     )
     return full.withColumn("_shards", F.coalesce(own, F.array().cast("array<int>")))

@@ -8,7 +8,7 @@ import pytest
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, f"{ROOT}/tests", *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")

@@ -17,7 +17,7 @@ from rulelode.sources import files, scratch
 
 TABLES = {
     "extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "unclustered": "unclustered", "dedupe": "rules",
-    "merge_log": "merge_log", "place": "placements", "group": "organized",
+    "merge_log": "merge_log", "components": "components", "place": "placements", "group": "organized",
 }
 #: What each stage writes, and the table that its input hash is of.
 OUTPUTS = {
@@ -172,7 +172,10 @@ class Run:
     def _dedupe(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
         over = files.overrides(self.spark, self.a.overrides) if self.a.overrides else None
         before = self.read("synthesize")
+        # Similar rules outlive a changed input: only what is new or has changed is compared again.
+        o.components = scratch.materialize(self.read("components"), "components") if self.has("components") and not self.a.fresh else None
         rules, log = pipeline.dedupe(before, over, o)
+        self.put("components", o.components)
         self.put("dedupe", rules)
         self.put("merge_log", log)
         stats.set("input_rules", before.count() + (over.count() if over is not None else 0))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,30 +100,18 @@ def merged(outputs: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def allocated(sources: DataFrame) -> DataFrame:
-    """(group_id, out, rule_id): outputs in turn take the lowest unused id of merged_from. A group is one cluster.
+    """(group_id, out, rule_id): outputs in turn take the lowest unused id of merged_from, the lowest one if all are
+    used. A fold over the outputs of a group, which are as many as one answer of a model has."""
+    outputs = F.array_sort(F.collect_list(F.struct(F.col("out").cast("int").alias("out"), F.array_sort(F.col("merged_from").cast("array<bigint>")).alias("ids"))))
+    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<out:int,rule_id:bigint>>").alias("got"))
 
-    A group of one output, the usual case, needs no Python: it takes its lowest id.
-    """
+    def take(a: Column, x: Column) -> Column:
+        free = F.array_except(x["ids"], a["used"])
+        one = F.when(F.size(free) > 0, F.get(free, F.lit(0))).otherwise(F.get(x["ids"], F.lit(0)))
+        return F.struct(F.concat(a["used"], F.array(one)).alias("used"), F.concat(a["got"], F.array(F.struct(x["out"].alias("out"), one.alias("rule_id")))).alias("got"))
 
-    def allot(pdf: pd.DataFrame) -> pd.DataFrame:
-        used: set[int] = set()
-        out = []
-        for g, o, ids in pdf.sort_values("out")[["group_id", "out", "merged_from"]].itertuples(index=False):
-            ids = sorted(int(i) for i in ids)
-            took = next((i for i in ids if i not in used), ids[0])
-            used.add(took)
-            out.append((g, o, took))
-        return pd.DataFrame(out, columns=["group_id", "out", "rule_id"])
-
-    counted = sources.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("group_id")))
-    alone = (
-        counted.where("_n = 1")
-        .select(
-            F.col("group_id").cast("long").alias("group_id"), F.col("out").cast("int").alias("out"),
-            F.array_min("merged_from").cast("long").alias("rule_id"),
-        )
-    )
-    return alone.unionByName(counted.where("_n > 1").drop("_n").groupBy("group_id").applyInPandas(allot, "group_id long, out int, rule_id long"))
+    lists = sources.groupBy(F.col("group_id").cast("long").alias("group_id")).agg(outputs.alias("outputs"))
+    return lists.select("group_id", F.inline(F.aggregate("outputs", start, take)["got"]))
 
 
 def overridden(rules: DataFrame, group: str = "group_id", zero_is_id: bool = True) -> DataFrame:
@@ -253,10 +240,8 @@ def deduplicated(
     rules, log = consolidate_pass(rules, components, "similarity", outputs)
     rules = materialize(rules, "pass1")
     for name, least in (("category", 2), ("category again", 3)):
-        some = (
-            rules.where("category is not null").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("category"))).where(F.col("_n") >= least)
-            .drop("_n")
-        )
+        of = rules.where("category is not null").groupBy("category").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+        some = rules.join(of.select("category"), "category", "left_semi")
         if least == 3:
             again = log.where(F.col("pass") == "category").join(rules.select("rule_id", "category"), "rule_id").select("category").distinct()
             some = some.join(again, "category", "left_semi")

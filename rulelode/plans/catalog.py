@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rulelode.functions import prompts, scalar
 from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, linkage, organize, placement, provenance, render, vectors
 from rulelode.plans import pipeline
+from rulelode.sources.scratch import materialize
 
 NEAR = 0.35
 
@@ -466,9 +467,9 @@ def doc_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guideline files and topic guides, every crowded location split into two topics."""
     p = placed(spark, sf_dir)
-    at = organize.located(p)
+    at = materialize(organize.located(p), "located")
     topics = at.select("location", F.concat(F.lit("t_"), (F.col("rule_id") % 2).cast("string")).alias("topic_id"), "rule_id")
-    rows = organize.rolled_up(organize.organized(at, topics))
+    rows = materialize(organize.rolled_up(organize.organized(at, topics)), "organized")
     return render.documents(rows, p.select("rule_id", F.col("lang").alias("category")), _texts(spark, sf_dir), p.select("rule_id", "rule_score"), pipeline.topic_names(rows))
 
 

@@ -275,6 +275,52 @@ def test_equal_directions_make_few_edges(spark):
     assert {r.component for r in vectors.similar_components(df, 0.99, "id", "v", block=4000).collect()} == {0}
 
 
+def test_components_grow(spark):
+    """Rows that come, change and go: the same as found anew, and only components of such rows are compared."""
+    rng = np.random.default_rng(13)
+    x = around(rng, 25, 160, 0.3, 8)
+    table = lambda ids, texts=None: spark.createDataFrame([(int(i), x[i].tolist(), (texts or {}).get(i, f"t{i}")) for i in ids], "vec_id long, embedding array<double>, text string")
+    steps = [(list(range(0, 160, 2)), {}), ([i for i in range(160) if i % 7], {}), ([i for i in range(3, 150)], {5: "new", 40: "new"})]
+    state = None
+    for ids, texts in steps:
+        now = table(ids, texts)
+        state = vectors.materialize(vectors.maintained_components(now, state, 0.8, block=40), "state")
+        got = {r.vec_id: r.component for r in state.collect()}
+        assert got == {r.vec_id: r.component for r in vectors.similar_components(now, 0.8, block=40).collect()}
+    same = vectors.maintained_components(now, state, 0.8, block=40)
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, state.collect()))
+
+
+def test_a_new_row_touches_only_its_component(spark, monkeypatch):
+    x = around(np.random.default_rng(17), 20, 200, 0.1, 8)
+    known = unit_table(spark, x)
+    known = known.join(vectors.similar_components(known, 0.9), "vec_id")
+    fresh = spark.createDataFrame([(500, x[7].tolist()), (501, (-x[7]).tolist())], "vec_id long, embedding array<double>")
+    added, moved = vectors.grown_components(fresh, known, 0.9)
+    of = {r.vec_id: r.component for r in known.collect()}
+    assert rows(added) == [(500, of[7]), (501, 501)] and rows(moved) == []
+    # One that stands between two groups makes them one.
+    ends = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [0.8, 0.6], 2)], "vec_id long, embedding array<double>, component long")
+    between = spark.createDataFrame([(9, [0.95, 0.3])], "vec_id long, embedding array<double>")
+    added, moved = vectors.grown_components(between, ends, 0.9)
+    assert rows(added) == [(9, 1)] and rows(moved) == [(2, 1)]
+
+
+def test_ids_by_a_fold(spark):
+    rng = random.Random(1)
+    data = [(g, o, [rng.randint(0, 6) for _ in range(rng.randint(1, 4))]) for g in range(30) for o in range(rng.randint(1, 5))]
+    want = []
+    for g in range(30):
+        used = set()
+        for _, _, ids in sorted(r for r in data if r[0] == g):
+            one = next((i for i in sorted(ids) if i not in used), min(ids))
+            used.add(one)
+            want.append(one)
+    df = consolidate.allocated(spark.createDataFrame(data, "group_id long, out int, merged_from array<long>"))
+    assert [r.rule_id for r in df.orderBy("group_id", "out").collect()] == want
+    assert "Python" not in df._jdf.queryExecution().toString() and df.dtypes == [("group_id", "bigint"), ("out", "int"), ("rule_id", "bigint")]
+
+
 def test_an_id_with_several_vectors(spark):
     df = spark.createDataFrame([(5, [1.0, 0.0]), (3, [1.0, 0.01]), (5, [0.0, 1.0]), (9, [0.01, 1.0]), (7, [-1.0, -1.0])], "vec_id long, embedding array<double>")
     for block in (2, 100):

@@ -14,6 +14,7 @@ from rulelode.functions import scalar
 from rulelode.operators import annotate, consolidate, extraction, ledger, organize, placement, progress, provenance
 from rulelode.plans import pipeline
 from rulelode.sources import files, scratch
+from rulelode.sources.state import State
 
 TABLES = {
     "extract": "extractions", "synthesize": "synthesized", "clusters": "clusters", "unclustered": "unclustered", "dedupe": "rules",
@@ -68,7 +69,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 class Run:
-    """Stage outputs as Parquet below data/repo; a stage that another's output feeds reads it from there.
+    """Stage outputs as versions of Parquet tables below data/repo; a stage that another's output feeds reads it from there.
 
     A record of each stage holds the hash of what it read, its numbers and its cost. A stage whose input has changed
     starts anew; else it goes on from where it is, and one that has ended with the same options does nothing.
@@ -78,33 +79,25 @@ class Run:
         if "/" not in a.repo:
             raise SystemExit("--repo must be owner/name")
         self.spark, self.a, self.root = spark, a, f"{a.data}/{a.repo}"
-        self.records = ledger.Records(spark, f"{self.root}/ledger")
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{TABLES[name]}"
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
-
-    def has(self, name: str) -> bool:
-        return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
+        self.state = State(spark, self.root, TABLES)
+        self.read, self.has = self.state.read, self.state.has
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
-        df.write.mode(mode).parquet(self.path(name))
+        self.state.put(name, df, mode == "append")
 
     def input_hash(self, name: str) -> str | None:
         """Of what the stage reads now; None without it."""
         if name == "extract":
-            folder = self.a.comments if "comments" in self.a and self.a.comments else (self.records.read("extract") or {}).get("stats", {}).get("comments")
+            folder = self.a.comments if "comments" in self.a and self.a.comments else (self.state.record("extract") or {}).get("stats", {}).get("comments")
             return ledger.file_hash(self.spark, [f"{folder}/*.json"]).first()[0] if folder and files.files_below(self.spark, folder, ".json") else None
         if not self.has(INPUT[name]):
             return None
-        rows = self.read(INPUT[name])
-        return ledger.content_hash(rows, *rows.columns).first()[0]
+        # The sums of each version stand in the state: no table is read.
+        return self.state.digest(INPUT[name])
 
     def stage(self, name: str, o: pipeline.Options) -> None:
         current = self.input_hash(name)
-        record = self.records.read(name) or {}
+        record = self.state.record(name) or {}
         before = record.get("stats", {})
         options = {k: getattr(self.a, k, None) for k in MATTERS[name]}
         same = record.get("input_hash") == current and not self.a.fresh
@@ -113,9 +106,8 @@ class Run:
             return
         if not same:
             for table in OUTPUTS[name]:
-                files.delete(self.spark, self.path(table))
-        stats = progress.StageStats(cost=self.records.cost(name) if same else Decimal(0))
-        self.records.write(name, current, before if same else {}, stats.cost, False)
+                self.state.drop(table)
+        stats = progress.StageStats(cost=self.state.cost(name) if same else Decimal(0))
         for cache in CACHES:
             path = f"{self.root}/{cache}"
             if files.exists(self.spark, path):
@@ -131,7 +123,9 @@ class Run:
         o.rejected.clear()
         stats.set("options", options)
         if not self.a.dry_run and not self.a.preview:
-            self.records.write(name, current, stats.values, stats.cost, done)
+            self.state.note(name, current, stats.values, stats.cost, done)
+        # The stage's tables and its record come into being in one step.
+        self.state.commit()
         print(f"{name}: {stats.detail or stats.summary()}")
 
     def _extract(self, o: pipeline.Options, stats: progress.StageStats) -> bool:
@@ -224,7 +218,7 @@ class Run:
 
     def landed(self) -> tuple | None:
         """The row of the download, made by other means: how many of the listed changes have all their files."""
-        folder = (self.records.read("extract") or {}).get("stats", {}).get("comments")
+        folder = (self.state.record("extract") or {}).get("stats", {}).get("comments")
         folder = folder.rstrip("/").rpartition("/")[0] if folder else f"{self.root}/1-download"
         if not files.exists(self.spark, f"{folder}/pr_list.json"):
             return None
@@ -241,16 +235,16 @@ class Run:
         """One row a stage: ord, stage, status, detail, age, cost; the table that `status` prints."""
         rows = [x for x in [self.landed()] if x]
         for i, name in enumerate(ledger.STAGES[1:], 1):
-            record = self.records.read(name)
+            record = self.state.record(name)
             done = bool(record) and (not OUTPUTS[name] or self.has(OUTPUTS[name][0]))
             s = (record or {}).get("stats", {})
             detail = "" if not done else progress.extract_detail(s, s.get("available")) if name == "extract" else progress.DETAILS[name](s) if record.get("done") else f"{self.read(OUTPUTS[name][0]).count()} rows so far" if OUTPUTS[name] else ""
-            written = files.modified(self.spark, f"{self.root}/ledger/{name}.json")
+            written = (record or {}).get("at")
             rows.append(
                 (
                     i, name, 1 if done else 0, 1 if not record or record.get("done") else 2, (record or {}).get("input_hash"),
                     self.input_hash(name) if record else None, detail, None if written is None else time.time() - written,
-                    str(self.records.cost(name)),
+                    str(self.state.cost(name)),
                 )
             )
         known = self.spark.createDataFrame(
@@ -297,7 +291,8 @@ class Run:
         for name in LAYOUT:
             if self.has(name):
                 stats = {"options": {k: None for k in MATTERS[name]}}
-                self.records.write(name, self.input_hash(name) if name != "extract" else None, stats, self.records.cost(name), True)
+                self.state.note(name, self.input_hash(name) if name != "extract" else None, stats, self.state.cost(name), True)
+        self.state.commit()
 
     def give_out(self, folder: str) -> None:
         """Tables become stage files of the JSON layout: folders of JSON lines, and one organization document."""
@@ -309,7 +304,7 @@ class Run:
                 files.write_lines(rows.orderBy("ord").select(*have), f"{folder}/{LAYOUT[name]}")
         if self.has("group"):
             rows = self.read("group")
-            stats = {k: v for k, v in (self.records.read("group") or {}).get("stats", {}).items() if k != "options"}
+            stats = {k: v for k, v in (self.state.record("group") or {}).get("stats", {}).items() if k != "options"}
             files.write_text(
                 self.spark, f"{folder}/{LAYOUT['group']}", files.organization_document(rows, pipeline.topic_names(rows), stats).first()["value"],
             )
@@ -341,6 +336,8 @@ def main(argv: list[str] | None = None) -> None:
         max_rules=a.max_rules,
     )
     names = pipeline.stages_from(a.start, a.skip) if a.command == "run" else [a.command]
+    if "download" in names:
+        print("download: left to other tools; files are read from --comments")
     for name in (n for n in names if n != "download"):
         r.stage(name, o)
         scratch.clear(spark)
@@ -348,7 +345,7 @@ def main(argv: list[str] | None = None) -> None:
 
 def _comments(r: Run) -> DataFrame:
     """All comments where their files can be read, so that ones never extracted are found too; else the extracted."""
-    folder = (r.records.read("extract") or {}).get("stats", {}).get("comments")
+    folder = (r.state.record("extract") or {}).get("stats", {}).get("comments")
     if folder and files.files_below(r.spark, folder, ".json"):
         return files.comments(r.spark, folder)
     x = r.read("extract")

@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-import json
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rulelode.sources import files
-
 #: The stages in order.
 STAGES = ("download", "extract", "synthesize", "dedupe", "place", "group", "generate")
 
@@ -41,23 +37,22 @@ def joined_hash(spark: SparkSession, paths: list[str]) -> str:
     return h.hexdigest()
 
 
-def content_hash(rows: DataFrame, *columns: str) -> DataFrame:
-    """(input_hash, n): an order-free hash of a table; sums of row hashes in two halves, combined as partial sums."""
+def row_sums(rows: DataFrame, *columns: str) -> DataFrame:
+    """(a, b, n): sums of row hashes in two halves and the number of rows. Sums of parts add up to those of the whole."""
     h = F.sha2(F.to_json(F.struct(*columns)), 256)
-    half = lambda at: F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)"))
-    return rows.agg(
-        (
-            F.sha2(
-                F.concat_ws(
-                    ":", F.coalesce(half(1), F.lit(0)).cast("string"), F.coalesce(half(16), F.lit(0)).cast("string"),
-                    F.count(F.lit(1)).cast("string"),
-                ),
-                256,
-            )
-            .alias("input_hash")
-        ),
-        F.count(F.lit(1)).alias("n"),
-    )
+    half = lambda at: F.coalesce(F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
+    return rows.agg(half(1).alias("a"), half(16).alias("b"), F.count(F.lit(1)).alias("n"))
+
+
+def content_hash(rows: DataFrame, *columns: str) -> DataFrame:
+    """(input_hash, n): an order-free hash of a table, from its row_sums."""
+    told = F.concat_ws(":", *[F.col(c).cast("string") for c in ("a", "b", "n")])
+    return row_sums(rows, *columns).select(F.sha2(told, 256).alias("input_hash"), "n")
+
+
+def digest(parts: list[tuple[int, int, int]]) -> str:
+    """content_hash of a table from the row_sums of its parts."""
+    return hashlib.sha256(":".join(str(sum(p[k] for p in parts)) for k in range(3)).encode()).hexdigest()
 
 
 def is_stale(stored: Column, current: Column) -> Column:
@@ -95,30 +90,3 @@ def with_cost(ledger: DataFrame) -> DataFrame:
 
 def total_cost(ledger: DataFrame) -> DataFrame:
     return ledger.agg(F.coalesce(F.sum(F.col("cost").cast("decimal(18,6)")), F.lit(0)).cast("decimal(18,6)").alias("cost"))
-
-
-class Records:
-    """One JSON record a stage below a folder of the shared file system: input hash, numbers, cost, whether it ended."""
-
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
-
-    def read(self, stage: str) -> dict | None:
-        text = files.read_text(self.spark, f"{self.folder}/{stage}.json")
-        try:
-            found = json.loads(text) if text else None
-        except ValueError:
-            return None
-        return found if isinstance(found, dict) else None
-
-    def write(self, stage: str, input_hash: str, stats: dict, cost: Decimal, done: bool) -> None:
-        files.write_text(
-            self.spark, f"{self.folder}/{stage}.json",
-            json.dumps({"input_hash": input_hash, "stats": stats, "cost": str(cost), "done": done}, indent=2, default=str),
-        )
-
-    def cost(self, stage: str) -> Decimal:
-        try:
-            return Decimal((self.read(stage) or {}).get("cost", "0"))
-        except ArithmeticError:
-            return Decimal(0)

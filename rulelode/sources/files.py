@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,6 +202,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file put in the place of another in one step: readers see the old text or the new."""
+    part = f"{path}.{uuid.uuid4().hex}"
+    write_text(spark, part, text)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    old, system = _path(spark, part)
+    new = system.makeQualified(_path(spark, path)[0])
+    hadoop.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration()).rename(system.makeQualified(old), new, how)
+
+
+def folders_in(spark: SparkSession, folder: str) -> list[str]:
+    p, system = _path(spark, folder)
+    return [x.getPath().getName() for x in system.listStatus(p) if x.isDirectory()] if system.exists(p) else []
+
+
 def files_below(spark: SparkSession, folder: str, ending: str) -> list[tuple[str, int]]:
     """(path below the folder, bytes) of the files of one ending, at any depth, by path."""
     top, system = _path(spark, folder)

@@ -126,3 +126,83 @@ def test_files_of_the_other_layout(spark, tmp_path, capsys):
     cli.main([*second, "generate"])
     texts = [(tmp_path / x / "a/b/documents/AGENTS.md").read_text() for x in ("one", "two") if (tmp_path / x / "a/b/documents/AGENTS.md").exists()]
     assert len(texts) != 1 and len(set(texts)) <= 1
+
+
+class Killed(BaseException):
+    pass
+
+
+def test_a_run_that_dies_leaves_a_whole_state(spark, tmp_path, monkeypatch):
+    """Killed before or after any step of publishing: the tables and records of before, or those of after."""
+    from rulelode.sources import files
+    from rulelode.sources.state import State
+
+    names = {"a": "one", "b": "two"}
+    root = str(tmp_path / "r")
+
+    def seen():
+        s = State(spark, root, names)
+        return {t: sorted(r.n for r in s.read(t).collect()) for t in names if s.has(t)}, (s.record("x") or {}).get("stats")
+
+    def publish(k, append=False):
+        s = State(spark, root, names)
+        s.put("a", spark.range(k).toDF("n"), append)
+        s.put("b", spark.range(k, 2 * k).toDF("n"))
+        s.note("x", "h", {"k": k}, 0, True)
+        s.commit()
+
+    publish(2)
+    old = seen()
+    assert old == ({"a": [0, 1], "b": [2, 3]}, {"k": 2})
+    for where in ("put", "write_text", "replace_text", "sweep", "delete"):
+        for late in (False, True):
+            owner = State if where in ("put", "sweep") else files
+            real = getattr(owner, where)
+
+            def dying(*a, real=real, late=late, **k):
+                if late:
+                    real(*a, **k)
+                raise Killed
+
+            before = seen()
+            with monkeypatch.context() as m:
+                m.setattr(owner, where, dying)
+                with pytest.raises(Killed):
+                    publish(3)
+            assert seen() in (before, ({"a": [0, 1, 2], "b": [3, 4, 5]}, {"k": 3}))
+            assert (seen() == before) == (where in ("put", "write_text") or where == "replace_text" and not late)
+            publish(2)
+            assert seen() == old and len(list((tmp_path / "r/one").iterdir())) == 1
+    publish(1, append=True)
+    assert seen() == ({"a": [0, 0, 1], "b": [1]}, {"k": 1})
+
+
+def test_a_killed_stage_starts_again(spark, tmp_path, capsys, monkeypatch):
+    _comment_files(tmp_path / "c")
+    run = ["--data", str(tmp_path / "data"), "--repo", "a/b", "run", "--comments", str(tmp_path / "c")]
+    with monkeypatch.context() as m:
+        m.setattr(cli.placement, "type_counts", lambda *a: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            cli.main(run)
+    capsys.readouterr()
+    cli.main(run)
+    text = capsys.readouterr().out
+    assert text.count("up to date") == 3 and "place: " in text and "place: up to date" not in text
+
+
+def test_status_reads_no_table(spark, tmp_path, capsys, monkeypatch):
+    """Hashes of tables come from the state, and are those of the tables."""
+    from pyspark.sql import functions as F
+
+    from rulelode.operators import ledger
+    from rulelode.sources.state import State
+
+    s = State(spark, str(tmp_path / "r"), {"a": "one"})
+    s.put("a", spark.range(50).withColumn("x", F.col("id") * 0.5))
+    s.put("a", spark.range(50, 70).withColumn("x", F.lit(None).cast("double")), append=True)
+    s.commit()
+    rows = s.read("a")
+    assert s.digest("a") == ledger.content_hash(rows, *rows.columns).first()["input_hash"]
+    fresh = State(spark, str(tmp_path / "r"), {"a": "one"})
+    monkeypatch.setattr(State, "read", lambda *a: 1 / 0)
+    assert fresh.digest("a") == s.digest("a")

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from rulelode.functions import scalar
 from rulelode.operators import annotate, consolidate, extraction, ledger, organize, placement, progress, provenance
 from rulelode.plans import pipeline
-from rulelode.sources import files, scratch
+from rulelode.sources import changes, files, scratch
 from rulelode.sources.state import State
 
 TABLES = {
@@ -63,6 +63,9 @@ def _parser() -> argparse.ArgumentParser:
     find = sub.add_parser("lookup")
     find.add_argument("what", nargs="?", help="a rule id or words")
     sub.add_parser("status")
+    get = sub.add_parser("download", help="fetch what is missing of a repository's changes")
+    get.add_argument("--client", required=True, help="module:function that knows the service")
+    get.add_argument("--since")
     for name, what in (("import", "read stage files of the JSON layout into tables"), ("export", "write tables as stage files of the JSON layout")):
         sub.add_parser(name, help=what).add_argument("folder")
     return p
@@ -329,6 +332,11 @@ def main(argv: list[str] | None = None) -> None:
         return
     if a.command == "status":
         return r.status()
+    if a.command == "download":
+        tried = changes.land(spark, a.client, f"{r.root}/1-download", a.since).groupBy("resource").agg(F.count_if(F.col("error").isNull()).alias("n"), F.count("error").alias("failed"))
+        for x in tried.orderBy("resource").collect():
+            print(f"{x['resource']}: {x['n']} fetched" + (f", {x['failed']} failed" if x["failed"] else ""))
+        return
     if a.command in ("import", "export"):
         return (r.take_in if a.command == "import" else r.give_out)(a.folder)
     o = pipeline.Options(
@@ -337,7 +345,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     names = pipeline.stages_from(a.start, a.skip) if a.command == "run" else [a.command]
     if "download" in names:
-        print("download: left to other tools; files are read from --comments")
+        print("download: a command of its own; files are read from --comments")
     for name in (n for n in names if n != "download"):
         r.stage(name, o)
         scratch.clear(spark)

@@ -3,10 +3,10 @@
 Sizes are words. Targets share the corpus by weight and stop at CAP times a source's size. A source takes whole
 epochs of its documents and a part of one more: documents fall by a seeded hash into blocks of about BLOCK rows, and
 blocks are taken in that random order up to what the part wants. Documents over 1 / PARTS of that are walked apart from
-the others, up to their share of its words; the one that crosses it is taken with the probability that it fits, by a
-seeded draw. The other documents fill what these leave: within the one block where that falls, every document that
-still fits is taken, in random order. So any document can be in the mix, whatever its size, and a source misses its
-target by less than a small document, or, where too few small ones are left, by less than one large one. This fixes an
+the others, up to their share of its words; the other documents fill what these leave. Within the one block where a
+walk ends, documents that fit are taken in random order, and for the last of the words the largest that fit. A document
+that is larger than all of the part is drawn now and then instead. So any document can be in the mix, whatever its size,
+and a source misses its target by less than a document, a small one where there are enough of them. This fixes an
 exact quota of blocks for every source. The quotas are then split over the output shards by a binary tree: a node
 draws, without replacement, how many blocks of each source go left (a multivariate hypergeometric variate), and the
 rest go right, so every shard gets a fair mixture and no block twice. Shards take consecutive runs of each source's
@@ -40,6 +40,9 @@ BLOCK = 128
 SHARD_WORDS = 100_000
 #: A document over this part of what the last epoch wants is a large one.
 PARTS = 64
+#: The share of a block's last words that is taken in random order, before what fits best; and how much rarer than its
+#: fit a document is taken that is larger than all that is wanted: each can be in a mix, and few mixes miss a target.
+LOOSE, RARE = 0.5, 0.1
 SEED = 20
 TABLE = 1 << 22
 #: Blocks in all, below what numpy can draw from; blocks hold more rows where BLOCK would make more of them.
@@ -120,36 +123,44 @@ def _words_before(words: DataFrame) -> DataFrame:
     )
 
 
-def _walk(words: DataFrame, on: DataFrame, wanted: dict[int, float], stop: bool) -> tuple[DataFrame, DataFrame]:
+def _walk(words: DataFrame, on: DataFrame, wanted: dict[int, tuple[float, float]]) -> tuple[DataFrame, DataFrame]:
     """(blocks taken whole, documents taken one by one) of each number in `wanted`, up to so many words.
 
-    words: _i, _block, _words, _before; on: _i, _block, _size, _key. In the block where the words end, documents that
-    fit are taken in the order of their keys; with `stop`, the first that does not fit ends it, and is taken too with
-    the probability that it fits.
+    words: _i, _block, _words, _before; on: _i, _block, _size, _key; wanted: the words and what the source's last epoch
+    wants in all. In the block where the words end, documents that fit are taken in the order of their keys up to
+    LOOSE of what is left, then the largest that fit. A document that is larger than all of the last epoch never fits:
+    it is taken, and ends the walk, with RARE times the probability that it would.
     """
-    goal = ut.local_table(words.sparkSession, list(wanted.items()), {"_i": pa.int32(), "_want": pa.float64()})
+    rows = [(i, w, r) for i, (w, r) in wanted.items()]
+    goal = ut.local_table(words.sparkSession, rows, {"_i": pa.int32(), "_want": pa.float64(), "_rest": pa.float64()})
     at = words.join(goal, "_i").where("_before <= _want")
     whole = at.where("_before + _words <= _want").select("_i", "_block", "_words")
-    cut = at.where("_before + _words > _want").select("_i", "_block", (F.col("_want") - F.col("_before")).alias("_cut"))
+    cut = at.where("_before + _words > _want").select("_i", "_block", (F.col("_want") - F.col("_before")).alias("_cut"), "_rest")
     # One such block a number. Copies of one key are one item, so that an item list stays as short as a block.
-    items = on.join(cut, ["_i", "_block"]).groupBy("_i", "_block", "_cut", "_key").agg(F.sum("_size").alias("w")).where("w > 0")
-    listed = items.groupBy("_i", "_block", "_cut").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("_key", F.lit(2)).alias("o"), "_key", "w"))).alias("items"))
-    one = lambda x: F.array(F.struct(x["_key"].alias("_key"), x["w"].alias("w")))
-    start = F.struct(F.col("_cut").alias("left"), F.lit(False).alias("ended"), F.array().cast("array<struct<_key:bigint,w:bigint>>").alias("took"))
-    chance = lambda x: F.pmod(F.xxhash64(x["_key"], F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    fit = F.aggregate(
-        "items", start,
-        lambda a, x: F.when(a["ended"], a).when(
-            x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.lit(False).alias("ended"), F.concat(a["took"], one(x)).alias("took")),
-        ).otherwise(
-            F.struct(
-                a["left"].alias("left"), F.lit(stop).alias("ended"),
-                F.when(F.lit(stop) & (chance(x) * x["w"] < a["left"]), F.concat(a["took"], one(x))).otherwise(a["took"]).alias("took"),
-            )
-        ),
-    )
-    picks = listed.select("_i", "_block", F.inline(fit["took"]))
-    return ut.materialize(whole, "whole"), ut.materialize(picks, "picks")
+    items = on.join(cut, ["_i", "_block"]).groupBy("_i", "_block", "_cut", "_rest", "_key").agg(F.sum("_size").alias("w")).where("w > 0")
+    odd = (F.col("w") > F.col("_rest")) & (F.pmod(F.xxhash64("_key", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("w") < RARE * F.col("_cut"))
+    one = F.struct(F.xxhash64("_key", F.lit(2)).alias("o"), "_key", "w", odd.alias("odd"))
+    listed = items.select("_i", "_block", "_cut", one.alias("x")).groupBy("_i", "_block", "_cut").agg(F.array_sort(F.collect_list("x")).alias("items"))
+
+    def fit(items: Column, left: Column) -> Column:
+        start = F.struct(left.alias("left"), F.array().cast("array<struct<_key:bigint,w:bigint>>").alias("took"))
+        return F.aggregate(
+            items, start,
+            lambda a, x: F.when(
+                x["w"] <= a["left"],
+                F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["took"], F.array(F.struct(x["_key"].alias("_key"), x["w"].alias("w")))).alias("took")),
+            ).otherwise(a),
+        )
+
+    # Arrays as columns of their own are worked out once.
+    rare = F.slice(F.filter("items", lambda x: x["odd"]), 1, 1)
+    listed = listed.withColumn("rare", F.transform(rare, lambda x: F.struct(x["_key"].alias("_key"), x["w"].alias("w"))))
+    listed = ut.materialize(listed.withColumn("first", fit(F.col("items"), F.col("_cut") * LOOSE)), "first")
+    keys = F.transform("first.took", lambda x: x["_key"])
+    rest = F.array_sort(F.transform(F.filter("items", lambda x: ~F.array_contains(keys, x["_key"])), lambda x: F.struct((-x["w"]).alias("n"), x["o"].alias("o"), x["_key"].alias("_key"), x["w"].alias("w"))))
+    more = fit(rest, F.col("first.left") + F.col("_cut") * (1 - LOOSE))["took"]
+    took = F.when(F.size("rare") > 0, F.col("rare")).otherwise(F.concat("first.took", more))
+    return ut.materialize(whole, "whole"), ut.materialize(listed.select("_i", "_block", F.inline(took)), "picks")
 
 
 def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, table: int = TABLE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -185,11 +196,11 @@ def plan(sized: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, tab
     )
     words = ut.materialize(_words_before(on.groupBy("_i", "_block").agg(F.sum("_size").alias("_words"))), "blocks")
     sums = {r["_i"]: r["w"] for r in words.groupBy("_i").agg(F.sum("_words").alias("w")).collect()}
-    large = {2 * r[1] + 1: r[6] * sums.get(2 * r[1] + 1, 0) / r[3] if r[3] else 0.0 for r in rows}
-    whole, some = _walk(words, on, large, stop=True)
+    large = {2 * r[1] + 1: (r[6] * sums.get(2 * r[1] + 1, 0) / r[3] if r[3] else 0.0, r[6]) for r in rows}
+    whole, some = _walk(words, on, large)
     took = {r["_i"]: r["w"] for r in whole.select("_i", "_words").unionByName(some.select("_i", F.col("w").alias("_words"))).groupBy("_i").agg(F.sum("_words").alias("w")).collect()}
-    small = {2 * r[1]: max(r[6] - took.get(2 * r[1] + 1, 0), 0.0) for r in rows}
-    more, fill = _walk(words, on, small, stop=False)
+    small = {2 * r[1]: (max(r[6] - took.get(2 * r[1] + 1, 0), 0.0), r[6]) for r in rows}
+    more, fill = _walk(words, on, small)
     picks = some.unionByName(fill).select((F.col("_i") / 2).cast("int").alias("_i"), "_key")
 
     full = whole.unionByName(more).select((F.col("_i") / 2).cast("int").alias("_i"), "_block", (F.col("_i") % 2 == 1).alias("_odd"))

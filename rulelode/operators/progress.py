@@ -48,7 +48,8 @@ def number(n: int) -> str:
     return f"{int(n):,}"
 
 
-# What each stage's line of the status table says, from its numbers. None stands for a stage that has not finished.
+# What each stage's line of the status table says, from its numbers. None stands for a stage that has not
+# finished.
 
 
 def extract_detail(s: dict, available: int | None) -> str:

@@ -53,7 +53,7 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     reason = F.when(F.col("quality").isNull(), F.lit(None)).when(F.col("toxic") == 1, F.lit("pr_workflow")).otherwise(F.lit("unclear"))
     return rows.select(
         F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("ord"), F.lit(1).cast("long").alias("pr_number"), F.col("source").alias("author"),
-        (F.coalesce("quality", F.lit(0)) == 1).alias("is_actionable"), reason.alias("rejection_reason"), F.slice(s, 1, 2).alias("changes"),
+        (F.coalesce("quality", F.lit(0)) == 1).alias("is_actionable"), reason.alias("rejection_reason"), s.alias("changes"),
         rules.alias("potential_rules"), F.struct("text").alias("source"),
     )
 
@@ -572,7 +572,7 @@ SQL: dict[str, str] = {
     "cost_texts": "with m as (select c_custkey, cast(round(c_acctbal) as bigint) * 10 as u from customer), h as (select *, u // 100 + case when 2 * (u % 100) > 100 or 2 * (u % 100) = 100 and (u // 100) % 2 = 1 then 1 else 0 end as four, u // 10000 + case when 2 * (u % 10000) > 10000 or 2 * (u % 10000) = 10000 and (u // 10000) % 2 = 1 then 1 else 0 end as two from m) select c_custkey, case when u <= 0 then '' when u < 10000 then '$' || cast(four // 10000 as varchar) || '.' || lpad(cast(four % 10000 as varchar), 4, '0') else '$' || cast(two // 100 as varchar) || '.' || lpad(cast(two % 100 as varchar), 2, '0') end as cost_text from h",
     "sample_seeded": "select doc_id from documents order by md5(cast(doc_id as varchar) || ':42'), doc_id limit 50",
     "generalization_explode": "select comment_id, pos, generalization, scope from (select d.doc_id as comment_id, unnest(range(len(s))) as pos, trim(unnest(s)) as generalization, lang as scope from (select doc_id, lang, string_split(text, '. ') as s from documents) d join labels l on l.doc_id = d.doc_id where l.quality = 1) where generalization <> ''",
-    "extraction_stats": "select count(*) as total_processed, count(*) filter (where a) as actionable, count(*) filter (where not a) as non_actionable, cast(coalesce(sum(case when a then least(len(s), 2) end), 0) as bigint) as total_changes, cast(coalesce(sum(case when a then len(s) end), 0) as bigint) as total_potential_rules from (select string_split(text, '. ') as s, coalesce(quality, 0) = 1 as a from documents d left join labels l on l.doc_id = d.doc_id)",
+    "extraction_stats": "select count(*) as total_processed, count(*) filter (where a) as actionable, count(*) filter (where not a) as non_actionable, cast(coalesce(sum(case when a then len(s) end), 0) as bigint) as total_changes, cast(coalesce(sum(case when a then len(s) end), 0) as bigint) as total_potential_rules from (select string_split(text, '. ') as s, coalesce(quality, 0) = 1 as a from documents d left join labels l on l.doc_id = d.doc_id)",
     "rules_per_comment": "select len(string_split(text, '. ')) as n_rules, count(*) as n_comments from documents d join labels l on l.doc_id = d.doc_id where quality = 1 group by 1",
     "rejection_counts": "select case when quality is null then 'unknown' when toxic = 1 then 'pr_workflow' else 'unclear' end as reason, count(*) as n from documents d left join labels l on l.doc_id = d.doc_id where coalesce(quality, 0) <> 1 group by 1",
     "checkpoint_resume": "select doc_id, source from documents where doc_id not in (select doc_id from labels)",

@@ -7,6 +7,8 @@ cannot be answered stays on record instead of failing a run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +102,17 @@ def rephrase(call: Call, folder: str, terms: Terms) -> annotate.Annotator:
     return run
 
 
+def embedding(fn: Callable[[list[str]], list[list[float]]], parallel: int | None = None, rows: int = 100) -> annotate.Annotator:
+    """An `embed` step from a function over lists of texts, `rows` at most in a call."""
+
+    def run(df: DataFrame) -> DataFrame:
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        return annotate.batched(lambda pdf: pdf.assign(embedding=fn(pdf["text"].tolist())), f"{kinds}, embedding array<double>", parallel, rows)(df)
+
+    return run
+
+
 def options(call: Call, folder: str, terms: Terms = Terms(), **others) -> Options:  # noqa: ANN003
-    """Options whose model steps ask `call`; others are Options' own."""
+    """Options whose model steps ask `call`; others are Options' own, as embed=embedding(fn)."""
     steps = {"extract": extract, "analyse": analyse, "consolidate": consolidation, "place": place, "topics": topics, "rephrase": rephrase}
     return Options(**({name: make(call, folder, terms) for name, make in steps.items()} | others))

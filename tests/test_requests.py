@@ -97,6 +97,19 @@ def test_a_task_that_is_repeated_asks_nothing_twice(spark, tmp_path):
     assert sorted(calls(log)) == sorted(f"q{i}" for i in range(30))
 
 
+def test_embedding_in_batches(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def lengths(texts):
+        noted(log, [(t, t) for t in texts])
+        return [[float(len(t)), 1.0] for t in texts]
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(25)], "id long, text string").coalesce(1)
+    got = models.embedding(lengths, rows=10)(df).collect()
+    assert [(r.id, r.embedding) for r in got] == [(i, [float(i), 1.0]) for i in range(25)]
+    assert sorted(len(json.load(open(f"{log}/{n}"))) for n in os.listdir(log)) == [5, 10, 10]
+
+
 def test_pipeline_over_a_service(spark, tmp_path):
     """All steps through one function, with answers beyond their bounds; what fails is left for another run."""
     folder = str(tmp_path / "ledger")

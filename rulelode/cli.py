@@ -32,6 +32,8 @@ MATTERS = {
     "group": ("min_score", "max_rules"), "generate": (),
 }
 CACHES = {"embeddings": "embedding", "rephrased": "told"}
+#: A cache of more versions than this is written anew as one.
+COMPACT = 8
 #: Files of the other layout, by stage.
 LAYOUT = {
     "extract": "2-extract/extractions.jsonl", "synthesize": "3-synthesize/rules.jsonl", "dedupe": "4-dedupe/rules.jsonl",
@@ -82,7 +84,7 @@ class Run:
         if "/" not in a.repo:
             raise SystemExit("--repo must be owner/name")
         self.spark, self.a, self.root = spark, a, f"{a.data}/{a.repo}"
-        self.state = State(spark, self.root, TABLES)
+        self.state = State(spark, self.root, TABLES | {c: c for c in CACHES})
         self.read, self.has = self.state.read, self.state.has
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
@@ -111,15 +113,14 @@ class Run:
             for table in OUTPUTS[name]:
                 self.state.drop(table)
         stats = progress.StageStats(cost=self.state.cost(name) if same else Decimal(0))
-        for cache in CACHES:
-            path = f"{self.root}/{cache}"
-            if files.exists(self.spark, path):
-                o.caches[cache] = self.spark.read.parquet(path)
+        o.caches |= {cache: self.read(cache) for cache in CACHES if self.has(cache)}
         known = dict(o.caches)
         done = getattr(self, f"_{name}")(o, stats)
         for cache, rows in o.caches.items():
             if rows is not known.get(cache):
-                annotate.new_entries(rows, known.get(cache)).write.mode("append").parquet(f"{self.root}/{cache}")
+                self.put(cache, annotate.new_entries(rows, known.get(cache)), "append")
+                if len(self.state.paths(cache)) > COMPACT:
+                    self.put(cache, self.read(cache))
         o.caches.clear()
         for rejected in o.rejected.values():
             stats.inc("rejected_outputs", rejected.count())

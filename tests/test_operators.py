@@ -405,6 +405,17 @@ def test_render(spark):
     assert doc.text == "\n".join(["<!-- guidelines -->", "", "# Coding Guidelines", "", "## Testing", "", line(2), line(1), "", "## General", "", line(3), "", "## File-Specific Rules", "", "### `a.py`", "", line(5), "", "<!-- /guidelines -->"])
 
 
+def test_topics_of_a_file_are_linked_from_nowhere(spark):
+    at = loc(spark, {"a": 12, "file:a/b.py": 12})
+    rl = organize.rolled_up(organize.organized(at, at.select("location", F.lit("t").alias("topic_id"), "rule_id")))
+    ids = rl.select("rule_id").distinct()
+    texts = ids.select("rule_id", F.lit("text").alias("rule_text"), F.lit("why").alias("rationale"))
+    names = rl.select("location", "topic_id", F.lit("T").alias("topic_name"), F.lit("d").alias("topic_description"), F.lit("w").alias("trigger_description")).distinct()
+    got = {r.path: r.text for r in render.documents(rl, ids.withColumn("category", F.lit("x")), texts, ids.withColumn("rule_score", F.lit(0.5)), names).collect()}
+    assert sorted(got) == ["a/AGENTS.md", "a/agent_docs/t.md", "file:a/b.py/agent_docs/t.md"]
+    assert got["a/AGENTS.md"].count("agent_docs/t.md") == 1
+
+
 def test_provenance(spark):
     at = spark.createDataFrame([("b", 1, None), ("b", 1, "t"), ("c", 1, None)], "location string, rule_id long, topic_id string")
     assert rows(provenance.rule_locations(at)) == [(1, "b", None)]

@@ -9,7 +9,8 @@ numbers, exact in double precision, so they come out alike wherever they are com
 
 Scale: equal vectors are one class with a weight; bits grow with the number of classes, without an end, so that
 unlike vectors rarely meet; buckets of one class end before vectors are shuffled; a bucket over BUCKET classes is
-dealt into blocks, and every pair of blocks is a task of its own.
+dealt into blocks, and every pair of blocks is a task of its own. Joins are merges: every table here grows with the
+vectors, and a table of buckets just under the threshold of a broadcast takes some hundred MB of the driver.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing;
 vectors of different length never link; rows that repeat a vec_id are rows of their own; a cosine of exactly the
@@ -201,25 +202,26 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         .drop("m")
     )
     met = (
-        buckets.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+        buckets.join(counts.hint("merge"), "bucket").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
         .withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
     met = met.select(
         F.xxhash64("bucket", F.least("block", "c"), F.greatest("block", "c")).alias("task"), "k", "t", "block",
         (F.col("block") != F.col("c")).alias("cross"),
     )
-    found = ut.materialize(_compared(met.join(classes.select("k", "weight", "dim", "v"), "k"), bits, tables, cosine), "cosines")
+    found = ut.materialize(_compared(met.join(classes.select("k", "weight", "dim", "v").hint("merge"), "k"), bits, tables, cosine), "cosines")
     joined = ut.materialize(ut.connected_components(found.select(F.col("k").alias("src"), F.col("to").alias("dst"))), "components")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
     per_class = (
-        classes.select("k", "h1", "h2", "weight", "low").join(links, "k", "left").join(joined.withColumnRenamed("node", "k"), "k", "left")
+        classes.select("k", "h1", "h2", "weight", "low").join(links.hint("merge"), "k", "left")
+        .join(joined.withColumnRenamed("node", "k").hint("merge"), "k", "left")
         .withColumn("component", F.coalesce("component", "k"))
     )
     names = per_class.groupBy("component").agg(F.min("low").alias("component_id"))
     per_class = (
-        per_class.join(names, "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+        per_class.join(names.hint("merge"), "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     )
-    linked = rows.where("ok").join(per_class, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    linked = rows.where("ok").join(per_class.hint("merge"), ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

@@ -12,8 +12,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for undirected edges (src, dst) of longs; component is the smallest node reachable.
 
     Every round ends in a table of the shared folder, is a constant number of shuffles, and keeps at most the edges
-    it was given; rounds go on until one changes nothing. Centres of large stars are join keys of plain exchanges,
-    which adaptive execution can split. Nodes with no edge do not appear; self loops name no node.
+    it was given; rounds go on until one changes nothing. Nothing is broadcast, as every table grows with the nodes.
+    Centres of large stars are join keys of plain exchanges, which adaptive execution can split. Nodes with no edge do
+    not appear; self loops name no node.
     """
     e = materialize(
         (
@@ -30,11 +31,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
-        large = both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
+        large = both.join(low.hint("merge"), "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
         large = materialize(large.select("src", "dst"), "large")
         low = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = (
-            large.join(low, "src")
+            large.join(low.hint("merge"), "src")
             .select(F.when(F.col("dst") == F.col("m"), F.col("src")).otherwise(F.col("dst")).alias("src"), F.col("m").alias("dst"))
             .where("src <> dst").distinct()
         )

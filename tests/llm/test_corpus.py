@@ -1074,3 +1074,26 @@ def test_fit_with_ties_and_repeated_rows(spark):
     assert one.weights == pytest.approx(two.weights) and one.score(pa.array(["vile scum"]))[0] > one.score(pa.array(["good words"]))[0]
     a, b = langid.fit(docs), langid.fit(docs.withColumn("n", F.lit(1)))
     assert a.languages == b.languages == ["k", "l"] and (a.vocabulary == b.vocabulary).all()
+
+
+def test_embedding_duplicates_broadcast_nothing(spark, monkeypatch):
+    """Every table of the operator grows with the vectors; one that is broadcast is held whole by the driver."""
+    from rulelode.operators import graph
+
+    plans = []
+
+    def written(df, name, write=graph.materialize):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(graph, "materialize", written)
+    monkeypatch.setattr(embeddup.ut, "materialize", written)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        out = embeddup.near_duplicates(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [line for p in plans for line in p.splitlines()]
+    assert [line for line in lines if "Broadcast" in line] == []
+    assert sum("SortMergeJoin" in line for line in lines) >= 6

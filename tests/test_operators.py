@@ -6,6 +6,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,6 +276,18 @@ def test_equal_directions_make_few_edges(spark):
     assert {r.component for r in vectors.similar_components(df, 0.99, "id", "v", block=4000).collect()} == {0}
 
 
+def test_copies_of_a_vector_do_not_grow_with_the_table(spark):
+    count = {n: vectors.blocks_of(spark.range(n).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v")), 0.5).count for n in (20_000, 120_000)}
+    assert count == {20_000: 6, 120_000: 6}
+
+
+def test_strips_of_a_large_block_are_narrow():
+    n = 20_000
+    table = pa.table({"id": np.arange(n), "v": pa.array([[1.0, 0.0]] * n), "b": np.zeros(n, np.int32), "lo": np.zeros(n, np.int32), "hi": np.zeros(n, np.int32)})
+    seen = [(len(rows), sim.size) for rows, _, sim, _ in vectors.compared(table)]
+    assert sum(k for k, _ in seen) == n and max(size for _, size in seen) <= 1 << 20
+
+
 def test_components_grow(spark):
     """Rows that come, change and go: the same as found anew, and only components of such rows are compared."""
     rng = np.random.default_rng(13)

@@ -2,8 +2,10 @@
 
 Statistics of every whole text are computed in one Arrow pass. A forest of random splits is grown on half of the
 labelled rows of good quality; a short mean path means an odd document. The threshold on the path score is
-calibrated on the other half, good and bad, which the trees have not seen. The labelled sample is bounded by
-`sample_rows`; nothing else is sampled. Repeated words and lines are found by comparing bytes, not hashes.
+calibrated on the other half, good and bad, which the trees have not seen. All labelled rows are used: each tree draws
+its TREE_ROWS rows, as an isolation forest does, from the whole half; ranges of statistics and the threshold are exact
+over all rows and found by Spark, and only the rows of the trees reach the driver, TREES * TREE_ROWS at most. Repeated
+words and lines are found by comparing bytes, not hashes.
 
 Defined results: a null or empty text has zero statistics and fails the base rule; extra columns are ignored by
 `quality_scores` and kept by `quality_filter`; repeated rows are judged alike; documents of one score, tied with the
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from rulelode.llm import _text as tx
 from rulelode.llm import _util as ut
+from rulelode.operators.numbering import with_numbers
 
-SAMPLE_ROWS = 6000
 TREES = 200
 TREE_ROWS = 256
 MAX_FALSE_REJECTS = 0.005
@@ -112,6 +114,8 @@ class Forest:
     path: np.ndarray
     norm: float
     threshold: float = np.inf
+    #: Labelled rows that it was fitted on.
+    rows: int = 0
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """2 ** -(mean path / expected path): near 1 for odd rows, about 0.5 and less for ordinary ones."""
@@ -133,15 +137,23 @@ def _expected(n: int) -> float:
     return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else float(n == 2)
 
 
-def grow(x: np.ndarray, spread: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7) -> Forest:
-    """Trees over the ordinary rows x. Cuts reach past a node's range by a part of `spread`, the range of each
+def drawn(n: int, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7) -> list[np.ndarray]:
+    """Places of the rows that each tree grows on, among n."""
+    rng = np.random.default_rng([seed, n])
+    return [rng.choice(n, min(rows, n), replace=False) for _ in range(trees)]
+
+
+def grow(
+    x: np.ndarray, spread: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7, draws: list[np.ndarray] | None = None,
+) -> Forest:
+    """Trees over the ordinary rows x, each on `rows` of them or on those of its draw. Cuts reach past a node's range by a part of `spread`, the range of each
     statistic over all labelled rows: a statistic that never varies in x still isolates rows where it does."""
     rng = np.random.default_rng(seed)
     depth = int(np.ceil(np.log2(max(min(rows, len(x)), 2)))) + 3
     size = 2 ** (depth + 1) - 1
     feature, cut, path = np.full((trees, size), -1, np.int8), np.zeros((trees, size)), np.zeros((trees, size))
     for t in range(trees):
-        todo = [(0, 0, x[rng.choice(len(x), min(rows, len(x)), replace=False)])]
+        todo = [(0, 0, x[rng.choice(len(x), min(rows, len(x)), replace=False) if draws is None else draws[t]])]
         while todo:
             node, d, own = todo.pop()
             lo, hi = own.min(0), own.max(0)
@@ -177,28 +189,89 @@ def calibrate(forest: Forest, good: np.ndarray, bad: np.ndarray, most: float = M
     return forest
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Forest | None:
-    """A forest fitted on at most sample_rows labelled rows, those of least hash."""
+_NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_digits", "n_bangs", "n_lines")
+
+
+def _stats_of(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return features({k: rows.column(k).to_numpy() for k in _NAMES})
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(number, quality, statistics) of every labelled row of quality 0 or 1 that the base rule lets pass, each doc_id
+    once, numbered from 0 by quality and doc_id."""
     marks = ut.only(labels, doc_id="long", quality="int").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    own = ut.only(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_digits", "n_bangs", "n_lines")
+    own = ut.only(docs, doc_id="long", text="string").join(marks.where("quality in (0, 1)"), "doc_id")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
             s = statistics(buf, offs)
+            usable = pa.array(~base_failed(s))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("quality"), *(pa.array(s[k], pa.int64()) for k in _NAMES)], ["doc_id", "quality", *_NAMES],
+            ).filter(usable)
+
+    rows = ut.map_batches(own, run, "doc_id long, quality int, " + ", ".join(f"{k} long" for k in _NAMES))
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", *_NAMES)).alias("s")).select("doc_id", "s.*")
+    return with_numbers(rows.withColumn("at", F.struct("quality", "doc_id")), "at", "number").drop("at", "doc_id")
+
+
+def _spread(rows: DataFrame) -> np.ndarray:
+    """The range of each feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _stats_of(batch)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(x.shape[1])), pa.array(x.min(0)), pa.array(x.max(0))], ["f", "lo", "hi"])
+
+    ends = rows.select(*_NAMES).mapInArrow(run, "f long, lo double, hi double").groupBy("f").agg((F.max("hi") - F.min("lo")).alias("d"))
+    return np.array([r["d"] for r in ends.orderBy("f").collect()])
+
+
+def threshold_of(scores: DataFrame, n_good: int, most: float = MAX_FALSE_REJECTS) -> float:
+    """The threshold of `calibrate` over (number, quality, score) rows of any number, n_good of them of quality 1."""
+    lost = int(most * n_good) + 1
+    while lost and 1 - (n_good - lost) / n_good > most:
+        lost -= 1
+    # With `lost` good rows above it, the lowest cut is right over the next good score.
+    good = with_numbers(scores.where("quality = 1").select(F.struct("score", "number").alias("at")), "at", "rank")
+    least = good.where(F.col("rank") == n_good - 1 - lost).select("at.score").first()[0]
+    bad = scores.where(F.col("score") > least).agg(F.min(F.when(F.col("quality") == 0, F.col("score")))).first()[0]
+    if bad is None:
+        return np.inf
+    # All cuts up to the next bad score find as many bad rows: the one in the middle is taken.
+    cuts = with_numbers(scores.where(F.col("score").between(least, bad)).select("score").distinct(), "score", "rank")
+    at = (cuts.count() - 1) // 2
+    pair = [r[0] for r in cuts.where(F.col("rank").isin(at, at + 1)).orderBy("rank").select("score").collect()]
+    return (pair[1] + pair[0]) / 2
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Forest | None:
+    """A forest fitted on all labelled rows: as `learn`, with the rows in a table."""
+    rows = labelled(docs, labels)
+    n_bad, n_good = rows.agg(F.count_if(F.col("quality") == 0), F.count_if(F.col("quality") == 1)).first()
+    if n_good < 16 or n_bad < 2:
+        return None
+    # Every other row of each kind, bad ones first in number.
+    rank = F.when(F.col("quality") == 1, F.col("number") - F.lit(n_bad)).otherwise(F.col("number"))
+    rows = rows.withColumn("rank", rank)
+    seen, unseen = rows.where(F.col("rank") % 2 == 0), rows.where(F.col("rank") % 2 == 1)
+    draws = drawn((n_good + 1) // 2)
+    need = np.unique(np.concatenate(draws))
+    places = ut.local_table(rows.sparkSession, [(int(2 * i),) for i in need], {"rank": pa.int64()})
+    grown = seen.where("quality = 1").join(F.broadcast(places), "rank").orderBy("rank").select(*_NAMES).toArrow()
+    forest = grow(_stats_of(grown), _spread(seen), draws=[np.searchsorted(need, d) for d in draws])
+    forest.rows = n_good + n_bad
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("quality"), *(pa.array(s[k], pa.int64()) for k in names)], ["doc_id", "quality", *names],
+                [batch.column("number"), batch.column("quality"), pa.array(forest.score(_stats_of(batch)))], ["number", "quality", "score"],
             )
 
-    rows = (
-        ut.map_batches(own, run, "doc_id long, quality int, " + ", ".join(f"{k} long" for k in names)).dropDuplicates(["doc_id"]).orderBy("doc_id")
-        .toArrow()
-    )
-    s = {k: rows.column(k).to_numpy() for k in names}
-    x, q = features(s), rows.column("quality").to_numpy()
-    usable = ~base_failed(s)
-    return learn(x[usable], q[usable])
+    scores = unseen.select("number", "quality", *_NAMES).mapInArrow(run, "number long, quality int, score double")
+    forest.threshold = threshold_of(ut.materialize(scores, "scores"), n_good // 2)
+    return forest
 
 
 def learn(x: np.ndarray, quality: np.ndarray) -> Forest | None:

@@ -598,6 +598,24 @@ def test_forest_on_unseen_rows(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.35
 
 
+def test_forest_of_all_labels(spark):
+    docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.concat(F.lit("Words of a text. "), F.repeat(F.concat(F.lit(" w"), F.col("id")), 3), F.expr("array_join(transform(sequence(1, 60), i -> concat('x', i * (id % 97 + 3))), ' ')")).alias("text"))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 50 == 0, F.concat("text", F.expr("array_join(transform(sequence(1, 40), i -> concat(' #$', i)), '')"))).otherwise(F.col("text")))
+    labels = docs.select("doc_id", (F.col("doc_id") % 50 != 0).cast("int").alias("quality"))
+    assert quality.fit(docs, labels).rows == quality.labelled(docs, labels).count() > 6000
+
+
+def test_threshold_in_a_table(spark):
+    rng = np.random.default_rng(11)
+    for good, bad in ((np.round(rng.normal(0.4, 0.05, 900), 3), np.round(rng.normal(0.5, 0.05, 60), 3)), (rng.random(30), rng.random(5)), (np.full(20, 0.5), np.full(3, 0.4))):
+        class Scores:
+            threshold = np.inf
+            score = staticmethod(lambda x: x)
+
+        rows = [(i, int(i < len(good)), float(v)) for i, v in enumerate(np.concatenate([good, bad]))]
+        assert quality.threshold_of(spark.createDataFrame(rows, "number long, quality int, score double"), len(good)) == quality.calibrate(Scores(), good, bad).threshold
+
+
 def plain_path(forest, tree, x, node=0):
     k = forest.feature[tree, node]
     return forest.path[tree, node] if k < 0 else plain_path(forest, tree, x, 2 * node + 1 + int(x[k] >= forest.cut[tree, node]))

@@ -1,8 +1,8 @@
 """Quality rules: an isolation forest over per-document rule statistics.
 
-Statistics of every whole text are computed in one Arrow pass. A forest of random splits is grown on half of the
-labelled rows of good quality; a short mean path means an odd document. The threshold on the path score is
-calibrated on the other half, good and bad, which the trees have not seen. All labelled rows are used: each tree draws
+Statistics of every whole text are computed in one Arrow pass; labels are joined to them, so that no text is shuffled.
+A forest of random splits is grown on half of the labelled rows of good quality; a short mean path means an odd
+document. The threshold on the path score is calibrated on the other half, good and bad, which the trees have not seen. All labelled rows are used: each tree draws
 its TREE_ROWS rows, as an isolation forest does, from the whole half; ranges of statistics and the threshold are exact
 over all rows and found by Spark, and only the rows of the trees reach the driver, TREES * TREE_ROWS at most. Repeated
 words and lines are found by comparing bytes, not hashes.
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelode.llm import _text as tx
@@ -196,21 +196,22 @@ def _stats_of(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
     return features({k: rows.column(k).to_numpy() for k in _NAMES})
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(number, quality, statistics) of every labelled row of quality 0 or 1 that the base rule lets pass, each doc_id
-    once, numbered from 0 by quality and doc_id."""
-    marks = ut.only(labels, doc_id="long", quality="int").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    own = ut.only(docs, doc_id="long", text="string").join(marks.where("quality in (0, 1)"), "doc_id")
+def rule_counts(docs: DataFrame) -> DataFrame:
+    """doc_id and the statistics of every row: what the rules and the forest need to know of a text, without the text."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in tx.pieces(batch, "text"):
             s = statistics(buf, offs)
-            usable = pa.array(~base_failed(s))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("quality"), *(pa.array(s[k], pa.int64()) for k in _NAMES)], ["doc_id", "quality", *_NAMES],
-            ).filter(usable)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(s[k], pa.int64()) for k in _NAMES)], ["doc_id", *_NAMES])
 
-    rows = ut.map_batches(own, run, "doc_id long, quality int, " + ", ".join(f"{k} long" for k in _NAMES))
+    return ut.map_batches(ut.only(docs, doc_id="long", text="string"), run, "doc_id long, " + ", ".join(f"{k} long" for k in _NAMES))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """(number, quality, statistics) of every labelled row of quality 0 or 1 that the base rule lets pass, each doc_id
+    once, numbered from 0 by quality and doc_id. Labels meet the `rule_counts` of docs, so that no text is shuffled."""
+    marks = ut.only(labels, doc_id="long", quality="int").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = (rule_counts(docs) if counts is None else counts).join(marks.where("quality in (0, 1)"), "doc_id").where(~base_failed({k: F.col(k) for k in ("n_words", "n_repeat_words")}))
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", *_NAMES)).alias("s")).select("doc_id", "s.*")
     return with_numbers(rows.withColumn("at", F.struct("quality", "doc_id")), "at", "number").drop("at", "doc_id")
 
@@ -246,9 +247,10 @@ def threshold_of(scores: DataFrame, n_good: int, most: float = MAX_FALSE_REJECTS
     return (pair[1] + pair[0]) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Forest | None:
-    """A forest fitted on all labelled rows: as `learn`, with the rows in a table."""
-    rows = labelled(docs, labels)
+def fit(docs: DataFrame, labels: DataFrame, counts: DataFrame | None = None) -> Forest | None:
+    """A forest fitted on all labelled rows: as `learn`, with the rows in a table. `counts` are the `rule_counts` of
+    docs, where they are at hand."""
+    rows = labelled(docs, labels, counts)
     n_bad, n_good = rows.agg(F.count_if(F.col("quality") == 0), F.count_if(F.col("quality") == 1)).first()
     if n_good < 16 or n_bad < 2:
         return None
@@ -282,7 +284,7 @@ def learn(x: np.ndarray, quality: np.ndarray) -> Forest | None:
     return calibrate(grow(good[::2], np.ptp(np.concatenate([good[::2], bad[::2]]), axis=0)), good[1::2], bad[1::2])
 
 
-def base_failed(s: dict[str, np.ndarray]) -> np.ndarray:
+def base_failed(s: dict[str, np.ndarray] | dict[str, Column]) -> np.ndarray | Column:
     return (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
 
 
@@ -293,20 +295,19 @@ def _verdict(forest: Forest | None, s: dict[str, np.ndarray]) -> tuple[np.ndarra
     return failed, score, kept
 
 
-def quality_scores(docs: DataFrame, forest: Forest | None) -> DataFrame:
-    """doc_id, the counts of COUNTS, base_failed, kept, anomaly (the forest's score), for every row."""
+def quality_scores(docs: DataFrame, forest: Forest | None, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, the counts of COUNTS, base_failed, kept, anomaly (the forest's score), for every row; from the
+    `rule_counts` of docs, where they are at hand."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part, buf, offs in tx.pieces(batch, "text"):
-            s = statistics(buf, offs)
-            failed, score, kept = _verdict(forest, s)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *(pa.array(s[k], pa.int64()) for k in COUNTS), pa.array(failed), pa.array(kept), pa.array(score)],
-                ["doc_id", *COUNTS, "base_failed", "kept", "anomaly"],
-            )
+        failed, score, kept = _verdict(forest, {k: batch.column(k).to_numpy() for k in _NAMES})
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *(batch.column(k) for k in COUNTS), pa.array(failed), pa.array(kept), pa.array(score)],
+            ["doc_id", *COUNTS, "base_failed", "kept", "anomaly"],
+        )
 
     return ut.map_batches(
-        ut.only(docs, doc_id="long", text="string"), run,
+        rule_counts(docs) if counts is None else counts, run,
         "doc_id long, " + ", ".join(f"{k} long" for k in COUNTS) + ", base_failed boolean, kept boolean, anomaly double",
     )
 
@@ -323,4 +324,5 @@ def quality_filter(docs: DataFrame, forest: Forest | None) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ut.table(spark, sf_dir, "documents")
-    return quality_scores(docs, fit(docs, ut.table(spark, sf_dir, "labels")))
+    counts = ut.materialize(rule_counts(docs), "counts")
+    return quality_scores(docs, fit(docs, ut.table(spark, sf_dir, "labels"), counts), counts)

@@ -605,6 +605,20 @@ def test_forest_of_all_labels(spark):
     assert quality.fit(docs, labels).rows == quality.labelled(docs, labels).count() > 6000
 
 
+def test_labels_meet_counts_and_no_texts(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    plans = []
+    monkeypatch.setattr(quality, "with_numbers", lambda rows, *_: plans.append(spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")) or rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        quality.labelled(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plans[0])
+    assert len(dealt) > 1 and not any(re.search(r"\btext#", x) for x in dealt)
+
+
 def test_threshold_in_a_table(spark):
     rng = np.random.default_rng(11)
     for good, bad in ((np.round(rng.normal(0.4, 0.05, 900), 3), np.round(rng.normal(0.5, 0.05, 60), 3)), (rng.random(30), rng.random(5)), (np.full(20, 0.5), np.full(3, 0.4))):

@@ -598,3 +598,25 @@ def test_stream_knows_threads(spark, tmp_path):
     go()
     got = {r.comment_id: r.source.thread_context for r in spark.read.parquet(str(tmp_path / "out") + "/batch=*").collect()}
     assert got[2] == "[1] @a: Use x." and got[1] == "No prior thread context."
+
+
+def test_offline_embedding_hashes_words_once(spark):
+    """Words are no part of what is worked out for each of the dimensions."""
+    rows = annotate.embed_offline("text")(spark.createDataFrame([("A b, a!",), (None,), ("",)], "text string"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "filter(transform(" not in plan
+    got = [r.embedding for r in rows.collect()]
+    assert sorted(abs(v) for v in got[0] if v) == [1.0, 2.0] and len(got[0]) == 64 and got[1] == [None] * 64 and not any(got[2])
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.5, -1.0])
+def test_close_pairs_by_tiles(spark, monkeypatch, threshold):
+    monkeypatch.setattr(vectors, "TILE", 7)
+    x = around(np.random.default_rng(8), 5, 40, 0.3, 6)
+    mean, block = x @ x.T, np.arange(40) % 2
+    for lo, hi in ((0, 0), (0, 1)):
+        of = np.flatnonzero((block == lo) | (block == hi))
+        table = pa.table({"v": pa.array(x[of].tolist()), "b": block[of], "lo": np.full(len(of), lo), "hi": np.full(len(of), hi)})
+        got = [(of[i], of[j]) for rows, others, _ in vectors.close(table, threshold) for i, j in zip(rows, others, strict=True)]
+        want = {(i, j) for i in of for j in of if i < j and mean[i, j] >= threshold and (lo == hi or block[i] != block[j])}
+        assert len(got) == len(want) and {(min(p), max(p)) for p in got} == want

@@ -62,10 +62,10 @@ def group_closure(groups: DataFrame, valid: DataFrame) -> DataFrame:
     groups holds arrays rule_ids; ids that are not in valid(rule_id) are dropped first, then repeats, and groups
     of fewer than two ids mean nothing.
     """
-    flat = groups.select(
-        F.monotonically_increasing_id().alias("g"), F.array_distinct("rule_ids").alias("ids"),
-    ) if "group_id" not in groups.columns else groups.select(F.col("group_id").alias("g"), F.array_distinct("rule_ids").alias("ids"))
-    flat = flat.select("g", F.explode("ids").alias("rule_id")).join(valid.select("rule_id").distinct(), "rule_id", "left_semi")
+    own = groups.select(F.col("group_id") if "group_id" in groups.columns else F.monotonically_increasing_id().alias("group_id"), "rule_ids")
+    flat = own.select(F.col("group_id").alias("g"), F.explode(F.array_distinct("rule_ids")).alias("rule_id"))
+    # Read twice, so written: numbers, and lists that were collected from other tasks, may differ when worked out again.
+    flat = materialize(flat.join(valid.select("rule_id").distinct(), "rule_id", "left_semi").select("g", "rule_id"), "groups")
     low = flat.groupBy("g").agg(F.min("rule_id").alias("dst"), F.count(F.lit(1)).alias("n")).where("n > 1")
     edges = flat.join(low, "g").select(F.col("rule_id").alias("src"), "dst")
     return connected_components(edges).select(F.col("node").alias("rule_id"), F.col("component").alias("root"))

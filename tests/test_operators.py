@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from rulelode.functions import scalar
 from rulelode.operators import annotate, comments, consolidate, extraction, graph, ledger, linkage, organize, placement, provenance, render, vectors
 from rulelode.operators.numbering import with_numbers
-from rulelode.plans import pipeline
+from rulelode.plans import catalog, pipeline
 from rulelode.sources import files
 from rulelode.streaming import ingest
 
@@ -111,6 +112,23 @@ def test_closure(spark):
     assert rows(graph.group_closure(groups, valid)) == [(1, 1), (2, 1), (3, 1)]
 
 
+def test_closure_of_groups_that_come_anew(spark):
+    """Groups keep their members where a table gives other numbers each time that it is worked out."""
+    def numbered(batches):
+        for pdf in batches:
+            yield pdf.assign(group_id=[int.from_bytes(os.urandom(7)) for _ in pdf.index])
+
+    groups = spark.createDataFrame([([1, 2],), ([2, 3],), ([5, 404],)], "rule_ids array<long>").mapInPandas(numbered, "rule_ids array<long>, group_id long")
+    valid = spark.range(1, 6).withColumnRenamed("id", "rule_id")
+    assert rows(graph.group_closure(groups, valid)) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_closure_of_far_ids(spark, tmp_path):
+    docs = [(0, "a"), (100_000_000, "b"), (7, "c"), (8, "d"), (20, "d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(catalog.group_closure(spark, str(tmp_path))) == [(7, 7), (8, 7), (20, 7)]
+
+
 def plain_linkage(x, t):
     members = {i: [i] for i in range(len(x))}
     s = x @ x.T

@@ -638,3 +638,31 @@ def test_close_pairs_by_tiles(spark, monkeypatch, threshold):
         got = [(of[i], of[j]) for rows, others, _ in vectors.close(table, threshold) for i, j in zip(rows, others, strict=True)]
         want = {(i, j) for i in of for j in of if i < j and mean[i, j] >= threshold and (lo == hi or block[i] != block[j])}
         assert len(got) == len(want) and {(min(p), max(p)) for p in got} == want
+
+
+def test_pairs_of_blocks_have_tasks_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    data = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(60, 4)))], "vec_id long, embedding array<double>")
+    pairs = vectors.cosine_pairs(data, -1.0, block=10)
+    blocks = vectors.blocks_of(vectors.vectors_of(data, "vec_id", "embedding"), -1.0, 10).count
+    assert pairs.count() == 60 * 59 // 2
+    assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() >= blocks * (blocks - 1) // 2
+
+
+def test_joined_sets_are_components(spark):
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 1), (50, 20), (50, 60), (400, 350)):
+        edges = rng.integers(0, n, (m, 2))
+        plain = np.arange(n)
+        for _ in range(n):
+            for a, b in edges:
+                plain[[a, b]] = min(plain[a], plain[b])
+        roots, left = np.arange(n), np.arange(n)
+        forest = [vectors._join(roots, *part.T) for part in np.array_split(edges, 3)]
+        gone, kept = (np.concatenate(x) for x in zip(*forest, strict=True))
+        assert (roots == plain).all() and len(gone) == n - len(np.unique(plain))
+        vectors._join(left, gone, kept)
+        assert (left == plain).all()
+    for share in (0.0, 0.001, 0.2, 1.0):
+        flat = rng.random(1003) < share
+        assert (vectors._true(flat) == np.flatnonzero(flat)).all()
